@@ -1,0 +1,212 @@
+"""The neighbourhood pipeline against plain loops."""
+
+import math
+import random
+
+import pytest
+
+from kinrank.operators import neighbours as nb
+from kinrank.operators.quality import UnknownUserError
+from kinrank.operators.recommenders import NeighbourhoodRecommender
+from kinrank.sources.provider import RatingData
+
+
+def by_user(rows):
+    users = {}
+    for u, p, r in rows:
+        users.setdefault(u, {})[p] = r
+    return users
+
+
+def pearson(a, b):
+    both = sorted(a.keys() & b.keys())
+    n = len(both)
+    if not n:
+        return None
+    x, y = [a[p] for p in both], [b[p] for p in both]
+    vx = n * sum(v * v for v in x) - sum(x) ** 2
+    vy = n * sum(v * v for v in y) - sum(y) ** 2
+    if vx <= 0 or vy <= 0:
+        return None
+    cov = n * sum(i * j for i, j in zip(x, y, strict=True)) - sum(x) * sum(y)
+    return n, max(-1.0, min(1.0, cov / (math.sqrt(vx) * math.sqrt(vy))))
+
+
+def nearest(mine, theirs, k):
+    found = {}
+    for u, a in mine.items():
+        sims = [(v, pearson(a, b)) for v, b in theirs.items() if v != u]
+        sims = sorted((-s[1], v, s[0]) for v, s in sims if s)
+        found[u] = [(v, n, -minus) for minus, v, n in sims[:k]]
+    return found
+
+
+def recommended(mine, theirs, k, n):
+    low = min(min(r.values()) for r in theirs.values())
+    high = max(max(r.values()) for r in theirs.values())
+    found = {}
+    for u, near in nearest(mine, theirs, k).items():
+        scored = []
+        for p in {p for v, _, _ in near for p in theirs[v]} - mine[u].keys():
+            raters = [(s, theirs[v][p]) for v, _, s in near if p in theirs[v]]
+            weight = sum(s for s, _ in raters)
+            if len(raters) >= 2 and round(weight, 9) != 0:
+                mean = sum(s * r for s, r in raters) / weight
+                scored.append((-round(max(low, min(high, mean)), 6), p))
+        for pos, (minus, p) in enumerate(sorted(scored)[:n], 1):
+            found[u, pos] = (p, -minus)
+    return found
+
+
+def as_nearest(frame):
+    found = {}
+    for r in sorted(frame.collect(), key=lambda r: (r["user_id"], r["rank"])):
+        found.setdefault(r["user_id"], []).append((r["neighbour_id"], r["n"], r["sim"]))
+    return found
+
+
+def as_recommended(frame):
+    return {(r["user_id"], r["pos"]): (r["product_id"], r["score"]) for r in frame.collect()}
+
+
+def sample(seed, users=40, products=25, share=0.4):
+    draw = random.Random(seed)
+    return [
+        (u, p, float(draw.randint(1, 5)))
+        for u in range(users)
+        for p in range(products)
+        if draw.random() < share
+    ]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    constant = [(100, p, 3.0) for p in range(25)]  # no variance: nobody's neighbour
+    hot_product = [(u, 999, float(1 + u % 5)) for u in range(40)]
+    hot_user = [(101, p, float(1 + p % 5)) for p in range(300)]
+    return sample(1) + constant + hot_product + hot_user
+
+
+def test_three_users_by_hand(frame):
+    rows = [(1, 1, 1.0), (1, 2, 2.0), (1, 3, 3.0)]
+    rows += [(2, 1, 2.0), (2, 2, 3.0), (2, 3, 5.0), (2, 4, 4.0), (2, 5, 1.0)]
+    rows += [(3, 1, 3.0), (3, 2, 2.0), (3, 3, 1.0), (3, 4, 1.0)]
+    ratings = frame(rows)
+    near = as_nearest(nb.user_neighbours(ratings))
+    assert [v for v, _, _ in near[1]] == [2, 3]
+    assert near[1][0][2] == pytest.approx(9 / math.sqrt(6 * 14))
+    assert near[1][1][2] == -1.0
+    # product 4 has two raters among the neighbours, product 5 only one
+    assert as_recommended(nb.knn_recommend(ratings)).keys() == {(1, 1)}
+
+
+@pytest.mark.parametrize("block_users", [5, 1024])
+def test_neighbours(frame, rows, block_users):
+    users = by_user(rows)
+    found = as_nearest(nb.user_neighbours(frame(rows), k=7, block_users=block_users))
+    assert found == {u: near for u, near in nearest(users, users, 7).items() if near}
+    assert 100 not in found and 101 in found
+
+
+def test_a_user_larger_than_a_block_is_split(frame, rows):
+    whole = as_nearest(nb.user_neighbours(frame(rows), k=7))
+    split = nb.user_neighbours(frame(rows), k=7, block_ratings=60)
+    assert "sum(sxy" in split._jdf.queryExecution().toString()  # sums of segments are added
+    assert as_nearest(split) == whole
+
+
+def test_all_similarities_of_targets(spark, frame, rows):
+    users = by_user(rows)
+    targets = spark.createDataFrame([(3,), (17,)], "user_id bigint")
+    found = as_nearest(nb.user_neighbours(frame(rows), targets, k=None))
+    assert found == nearest({u: users[u] for u in (3, 17)}, users, None)
+
+
+def test_pair_similarity_agrees(frame, rows):
+    near = nb.user_neighbours(frame(rows), k=5)
+    pairs = {(r["user_id"], r["neighbour_id"]): (r["n"], r["sim"]) for r in near.collect()}
+    found = nb.pair_similarity(frame(rows), near.select("user_id", "neighbour_id")).collect()
+    assert {(r["user_id"], r["neighbour_id"]): (r["n"], r["sim"]) for r in found} == pairs
+
+
+def test_pairs_without_variance_have_no_similarity(spark, frame):
+    ratings = frame([(1, 1, 3.0), (1, 2, 3.0), (2, 1, 1.0), (2, 2, 5.0)])
+    pairs = spark.createDataFrame([(1, 2), (2, 1)], "user_id bigint, neighbour_id bigint")
+    assert nb.pair_similarity(ratings, pairs).isEmpty()
+    assert nb.user_neighbours(ratings).isEmpty()
+
+
+def test_constant_fractional_ratings_have_no_similarity(frame):
+    rows = [(1, p, 3.3) for p in range(9)] + [(2, p, 0.1 * p) for p in range(9)]
+    assert nb.user_neighbours(frame(rows)).isEmpty()
+
+
+def test_recommend(frame, rows):
+    users = by_user(rows)
+    found = as_recommended(nb.knn_recommend(frame(rows), n=4, k=6))
+    assert found == recommended(users, users, 6, 4)
+
+
+def test_recommend_for_targets(spark, frame, rows):
+    users = by_user(rows)
+    targets = spark.createDataFrame([(3,), (17,), (3,)], "user_id bigint")
+    found = as_recommended(nb.knn_recommend(frame(rows), targets))
+    assert found == recommended({u: users[u] for u in (3, 17)}, users, 25, 10)
+
+
+def test_adhoc_people_do_not_see_each_other(frame, rows):
+    users = by_user(rows)
+    mine = [(-1, p, float(1 + p % 4)) for p in range(0, 25, 2)]
+    mine += [(-2, p, float(1 + p % 3)) for p in range(0, 25, 3)]
+    found = nb.knn_recommend(frame(rows), target_ratings=frame(mine))
+    assert as_recommended(found) == recommended(by_user(mine), users, 25, 10)
+
+
+def test_estimates_of_pairs(frame, rows):
+    near = nb.user_neighbours(frame(rows), k=6)
+    every = {
+        (r["user_id"], r["product_id"]): (r["n"], r["score"])
+        for r in nb.knn_estimate(near, frame(rows)).collect()
+    }
+    pairs = frame([(1, 2, 0.0), (1, 999, 0.0), (2, 3, 0.0), (1, 12345, 0.0)])
+    some = nb.knn_estimate(near, frame(rows), pairs.drop("rating")).collect()
+    asked = {(1, 2), (1, 999), (2, 3)} & every.keys()
+    assert asked
+    assert {(r["user_id"], r["product_id"]): (r["n"], r["score"]) for r in some} == {
+        pair: every[pair] for pair in asked
+    }
+
+
+def test_estimates_stay_within_the_ratings(frame):
+    near = [(1, 2, 1.0), (1, 3, -0.9), (4, 2, 0.5), (4, 3, -0.5)]
+    near = frame(near, "user_id bigint, neighbour_id bigint, sim double")
+    ratings = frame([(2, 7, 5.0), (3, 7, 1.0), (2, 8, 2.0)])
+    found = nb.knn_estimate(near, ratings).collect()
+    # user 4's similarities cancel out, product 8 has one rater
+    assert [(r["user_id"], r["product_id"], r["n"], r["score"]) for r in found] == [(1, 7, 2, 5.0)]
+
+
+def test_mae_counts_what_it_cannot_estimate(frame, rows):
+    found = nb.knn_mae(frame(rows)).first()
+    assert found["n_test"] == found["n_scored"] + found["n_missing"]
+    assert found["n_missing"] > 0  # the products only the hot user rated
+    assert 0 < found["mae"] < 4
+
+
+def test_recommender(spark, frame, rows):
+    names = spark.createDataFrame([(p, f"p{p}") for p in range(1000)], "product_id int, name string")
+    recommender = NeighbourhoodRecommender(RatingData.checked(frame(rows), names))
+    known = spark.createDataFrame([(3,)], "user_id bigint")
+    mixed = spark.createDataFrame([(3,), (-7,)], "user_id bigint")
+    one = as_recommended(recommender.recommend_for_users(known))
+    assert one and one == as_recommended(recommender.recommend_for_users(mixed, on_unknown="drop"))
+    with pytest.raises(UnknownUserError):
+        recommender.recommend_for_users(mixed)
+    mine = frame([(-1, p, float(p % 5)) for p in range(20)])
+    assert recommender.recommend_from_ratings(mine, 3).count() <= 3
+    assert recommender.evaluate().first()["n_test"] > 0
+
+
+def test_few_rows_per_user_reach_the_ranking_shuffles(frame, rows):
+    plan = nb.knn_recommend(frame(rows))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 3
