@@ -32,6 +32,7 @@ BLOCK_PRODUCTS = 8192
 
 
 def _training(ratings: DataFrame) -> DataFrame:
+    """Ratings in the types factors are fitted from; an id beyond INT fails."""
     return ratings.select(
         F.col("user_id").cast("int").alias("user_id"),
         F.col("product_id").cast("int").alias("product_id"),
@@ -70,11 +71,8 @@ def als_fit(
         coldStartStrategy="drop",
         seed=seed,
     )
-    training = _training(ratings).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return als.fit(training)
-    finally:
-        training.unpersist()
+    # not cached here: fitting reads its input once, into cached blocks of its own
+    return als.fit(_training(ratings))
 
 
 def als_predict(model: ALSModel, pairs: DataFrame) -> DataFrame:

@@ -15,6 +15,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# A hot product is joined in this many parts.
+SALTS = 32
+
 # Products both blocks rate this densely are multiplied as matrices, the rest pair by pair.
 DENSE_SHARE = 0.02
 DENSE_COLUMNS = 512
@@ -58,29 +61,17 @@ def cell_partitions(frame: DataFrame, cells: int) -> int:
     return max(1, min(cells, max(configured, 4 * spark.sparkContext.defaultParallelism)))
 
 
-def corated_sums(user, product, rating, other, other_product, other_rating, n_users, n_others):
+def corated_sums(u, x, u_raters, v, y, v_raters, n_users, n_others):
     """Sums over the products two users both rated, for all pairs of two blocks of users.
 
-    Users are given as positions in their block. Returns six (n_users, n_others) arrays:
-    n, sum x, sum y, sum xx, sum yy, sum xy.
+    ``u`` and ``v`` are raters as positions in their block, ``x`` and ``y`` their ratings,
+    product after product; ``u_raters`` and ``v_raters`` say how many belong to each
+    product. Returns six (n_users, n_others) arrays: n, sum x, sum y, sum xx, sum yy,
+    sum xy.
     """
     sums = np.zeros((6, n_users, n_others))
-    shared = np.intersect1d(product, other_product)
-    if not len(shared):
-        return sums
-
-    def within_shared(who, what, rated):
-        column = np.searchsorted(shared, what)
-        column[column == len(shared)] = 0
-        keep = shared[column] == what
-        order = np.argsort(column[keep], kind="stable")
-        column = column[keep][order]
-        starts = np.searchsorted(column, np.arange(len(shared) + 1))
-        return who[keep][order], rated[keep][order], column, starts
-
-    u, x, u_column, u_starts = within_shared(user, product, rating)
-    v, y, _, v_starts = within_shared(other, other_product, other_rating)
-    u_raters, v_raters = np.diff(u_starts), np.diff(v_starts)
+    u_starts = np.concatenate(([0], np.cumsum(u_raters)))
+    v_starts = np.concatenate(([0], np.cumsum(v_raters)))
     dense = u_raters * v_raters >= DENSE_SHARE * n_users * n_others
 
     columns = np.flatnonzero(dense)
@@ -95,8 +86,9 @@ def corated_sums(user, product, rating, other, other_product, other_rating, n_us
         sums[4] += x_mask @ (y_value * y_value).T
         sums[5] += x_value @ y_value.T
 
-    rows = np.flatnonzero(~dense[u_column])
-    partners = v_raters[u_column[rows]]
+    column = np.repeat(np.arange(len(u_raters)), u_raters)
+    rows = np.flatnonzero(~dense[column])
+    partners = v_raters[column[rows]]
     ends = np.cumsum(partners)
     flat = sums.reshape(6, -1)
     first = 0
@@ -107,7 +99,7 @@ def corated_sums(user, product, rating, other, other_product, other_rating, n_us
         step = np.arange(ends[last - 1] - done) - np.repeat(
             ends[first:last] - partners[first:last] - done, partners[first:last]
         )
-        right = v_starts[u_column[left]] + step
+        right = v_starts[column[left]] + step
         cell, a, b = u[left] * n_others + v[right], x[left], y[right]
         for position, weights in enumerate((None, a, b, a * a, b * b, a * b)):
             flat[position] += np.bincount(cell, weights, minlength=flat.shape[1])
@@ -116,10 +108,9 @@ def corated_sums(user, product, rating, other, other_product, other_rating, n_us
 
 
 def _dense(who, rated, starts, columns, n_rows):
-    """Mask and value matrices (row x chosen column) of column-sorted entries."""
-    lengths = starts[columns + 1] - starts[columns]
+    """Mask and value matrices (user x chosen product) of ratings listed by product."""
     entry = np.concatenate([np.arange(starts[c], starts[c + 1]) for c in columns])
-    column = np.repeat(np.arange(len(columns)), lengths)
+    column = np.repeat(np.arange(len(columns)), starts[columns + 1] - starts[columns])
     mask, value = np.zeros((2, n_rows, len(columns)))
     mask[who[entry], column] = 1.0
     value[who[entry], column] = rated[entry]

@@ -8,12 +8,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinrank.functions.scores import VARIANCE_NOISE, block_of, covariance_parts
 from kinrank.operators.blocks import (
+    SALTS,
     Side,
     best_per_row,
     block_count,
@@ -104,10 +105,10 @@ def user_neighbours(
     ``target_ratings``. Negative similarities count, undefined ones do not, and nobody is
     their own neighbour. ``k=None`` gives every defined similarity of the targets.
 
-    Target users and users are hashed into blocks; a block only receives the ratings of
-    products somebody on the other side of the cell rated. A user with more than
-    ``block_ratings`` ratings would overfill a block: then products are hashed into
-    segments as well, cells return sums per pair, and Spark adds them up.
+    Target users and users are hashed into blocks; a cell of two blocks only receives the
+    products both sides rated. A user with more than ``block_ratings`` ratings would
+    overfill a block: then products are hashed into segments as well, cells return sums per
+    pair, and Spark adds them up.
     """
     ratings = _typed(ratings)
     side = Side.of(ratings)
@@ -126,31 +127,20 @@ def user_neighbours(
     )
     segments = max(1, math.ceil(max(side.largest, mine_side.largest) / block_ratings))
 
-    segment = block_of(F.col("product_id"), segments)
-    mine = mine.withColumn("tb", block_of(F.col("user_id"), target_blocks))
-    # aliased anew: the two sides of a cell must not share column identities
-    theirs = _typed(ratings).withColumn("ub", block_of(F.col("user_id"), other_blocks))
-    # which blocks want a product: at most one row per product and block
-    wanted_by_targets = mine.select("product_id", F.col("tb").alias("tb")).distinct()
-    wanted_by_users = theirs.select("product_id", F.col("ub").alias("ub")).distinct()
     partitions = cell_partitions(ratings, target_blocks * other_blocks * segments)
-    cell = ["tb", "ub", "seg"]
-    left = mine.join(wanted_by_users, "product_id").withColumn("seg", segment)
-    right = theirs.join(wanted_by_targets, "product_id").withColumn("seg", segment)
     cells = (
-        left.repartition(partitions, *cell)
-        .groupBy(*cell)
-        .cogroup(right.repartition(partitions, *cell).groupBy(*cell))
+        _cells(mine, ratings, target_blocks, other_blocks, segments)
+        .repartition(partitions, "tb", "ub", "seg")
+        .groupBy("tb", "ub", "seg")
     )
-
     if segments == 1:
-        found = cells.applyInPandas(
+        found = cells.applyInArrow(
             _nearest_in_cell(k), "user_id bigint, neighbour_id bigint, n bigint, sim double"
         )
     else:
         schema = "user_id bigint, neighbour_id bigint, " + ", ".join(f"{s} double" for s in SUMS)
         found = (
-            cells.applyInPandas(_sums_in_cell, schema)
+            cells.applyInArrow(_sums_in_cell, schema)
             .groupBy("user_id", "neighbour_id")
             .agg(*(F.sum(name).alias(name) for name in SUMS))
             .withColumn("sim", _pearson_column())
@@ -162,37 +152,72 @@ def user_neighbours(
     return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
-def _cell_sums(left: pd.DataFrame, right: pd.DataFrame):
-    users, user = np.unique(left["user_id"].to_numpy(), return_inverse=True)
-    others, other = np.unique(right["user_id"].to_numpy(), return_inverse=True)
-    sums = corated_sums(
-        user,
-        left["product_id"].to_numpy(),
-        left["rating"].to_numpy(),
-        other,
-        right["product_id"].to_numpy(),
-        right["rating"].to_numpy(),
-        len(users),
-        len(others),
+def _cells(
+    mine: DataFrame, theirs: DataFrame, target_blocks: int, other_blocks: int, segments: int
+) -> DataFrame:
+    """One row per product and cell (tb, ub, seg), with the raters of both blocks.
+
+    Raters are packed per product and block before anything is joined. A pair is rated
+    once, so a packed row holds at most one block of users, and a product that everybody
+    rated is one row per block; its join is salted over the blocks.
+    """
+
+    def packed(ratings: DataFrame, block: str, blocks: int, who: str, rated: str) -> DataFrame:
+        raters = F.collect_list(F.struct("user_id", "rating"))
+        return (
+            ratings.groupBy("product_id", block_of(F.col("user_id"), blocks).alias(block))
+            .agg(raters.alias("raters"))
+            .select(
+                "product_id",
+                block,
+                F.col("raters.user_id").alias(who),
+                F.col("raters.rating").alias(rated),
+            )
+        )
+
+    salts = min(other_blocks, SALTS)
+    left = packed(mine, "tb", target_blocks, "users", "x").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
+    right = packed(theirs, "ub", other_blocks, "others", "y").withColumn(
+        "salt", F.col("ub") % salts
+    )
+    segment = block_of(F.col("product_id"), segments)
+    return left.join(right, ["product_id", "salt"]).select(
+        "tb", "ub", segment.alias("seg"), "users", "x", "others", "y"
+    )
+
+
+def _cell_sums(cell: pa.Table):
+    """The users of both blocks, the sums of all their pairs, and which pairs are one user."""
+
+    def flat(column):
+        lists = cell[column].combine_chunks()
+        return lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+
+    (user, u_raters), (other, v_raters) = flat("users"), flat("others")
+    users, u = np.unique(user, return_inverse=True)
+    others, v = np.unique(other, return_inverse=True)
+    x, y = flat("x")[0], flat("y")[0]
+    sums = corated_sums(u, x, u_raters, v, y, v_raters, len(users), len(others))
     return users, others, sums, users[:, None] == others[None, :]
 
 
-def _sums_in_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    users, others, sums, same = _cell_sums(left, right)
+def _sums_in_cell(cell: pa.Table) -> pa.Table:
+    users, others, sums, same = _cell_sums(cell)
     row, column = np.nonzero((sums[0] > 0) & ~same)
     pairs = {"user_id": users[row], "neighbour_id": others[column]}
-    return pd.DataFrame(pairs | {s: sums[i][row, column] for i, s in enumerate(SUMS)})
+    return pa.table(pairs | {s: sums[i][row, column] for i, s in enumerate(SUMS)})
 
 
 def _nearest_in_cell(k: int | None):
-    def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        users, others, sums, same = _cell_sums(left, right)
+    def nearest(cell: pa.Table) -> pa.Table:
+        users, others, sums, same = _cell_sums(cell)
         similarity = _pearson_array(sums)
         similarity[same] = np.nan
         # others are in ascending order, so ties go to the lower neighbour
         row, column = best_per_row(similarity, len(others) if k is None else k)
-        return pd.DataFrame(
+        return pa.table(
             {
                 "user_id": users[row],
                 "neighbour_id": others[column],
@@ -264,13 +289,13 @@ def knn_recommend(
 def knn_mae(ratings: DataFrame, train_tenths: int = 9, k: int = NEIGHBOURS) -> DataFrame:
     """Mean absolute error on held-out pairs: n_test, n_scored, n_missing, mae.
 
-    Pairs without an estimate are counted but not averaged.
+    Pairs without an estimate are counted but not averaged. Neighbours are found for all
+    training users, as nearly all of them have a held-out pair.
     """
     split = split_hash(_typed(ratings), train_tenths)
     train = split.where(F.col("split") == TRAIN).drop("split")
     test = split.where(F.col("split") == TEST).drop("split")
-    neighbours = user_neighbours(train, test.select("user_id"), k)
-    estimates = knn_estimate(neighbours, train, test)
+    estimates = knn_estimate(user_neighbours(train, k=k), train, test)
     error = F.abs(F.col("score") - F.col("rating"))
     scored = F.count("score")
     return test.join(estimates, ["user_id", "product_id"], "left").agg(

@@ -16,26 +16,28 @@ from kinrank.sources import tables
 MODEL = {"rank": 12, "regularisation": 0.1, "iterations": 10}
 
 
-def _parts(split):
+def _parts(spark, folder):
+    """Training and held-out supplier ratings."""
+    split = written(splits.split_hash(tables.order_ratings(spark, folder)))
     return [split.where(F.col("split") == part) for part in (splits.TRAIN, splits.TEST)]
 
 
 @query()
 def als_predict(spark, folder):
     """Held-out supplier ratings with their predictions."""
-    train, test = _parts(splits.split_hash(tables.order_ratings(spark, folder)))
+    train, test = _parts(spark, folder)
     return als.als_predict(als.als_fit(train, **MODEL), test.drop("split"))
 
 
 @query()
 def als_rmse(spark, folder):
-    train, test = _parts(splits.split_hash(tables.order_ratings(spark, folder)))
+    train, test = _parts(spark, folder)
     return rmse_all_rows(als.als_predict(als.als_fit(train, **MODEL), test), test)
 
 
 @query()
 def als_implicit_rmse(spark, folder):
-    split = splits.split_hash(tables.order_ratings(spark, folder))
+    split = written(splits.split_hash(tables.order_ratings(spark, folder)))
     return als.als_implicit_rmse(split, rank=10, iterations=10, regularisation=1.0)
 
 

@@ -12,9 +12,16 @@ ratings = st.dictionaries(
 )
 
 
-def _arrays(rated):
-    keys = np.array(sorted(rated), dtype="int64").reshape(-1, 2)
-    return keys[:, 0], keys[:, 1], np.array([float(rated[tuple(k)]) for k in keys])
+def _by_product(left, right):
+    """Raters of the shared products, product after product."""
+    shared = sorted({p for _, p in left} & {p for _, p in right})
+    sides = []
+    for rated in (left, right):
+        entries = [(u, rated[u, p]) for p in shared for u in range(7) if (u, p) in rated]
+        counts = [sum((u, p) in rated for u in range(7)) for p in shared]
+        who = np.array([u for u, _ in entries], dtype="int64")
+        sides += [who, np.array([float(r) for _, r in entries]), np.array(counts, dtype="int64")]
+    return sides
 
 
 def _loops(left, right):
@@ -32,7 +39,7 @@ def test_corated_sums(left, right, dense_share, step):
     before = blocks.DENSE_SHARE, blocks.PAIRS_PER_STEP, blocks.DENSE_COLUMNS
     blocks.DENSE_SHARE, blocks.PAIRS_PER_STEP, blocks.DENSE_COLUMNS = dense_share, step, 3
     try:
-        found = corated_sums(*_arrays(left), *_arrays(right), 7, 7)
+        found = corated_sums(*_by_product(left, right), 7, 7)
     finally:
         blocks.DENSE_SHARE, blocks.PAIRS_PER_STEP, blocks.DENSE_COLUMNS = before
     np.testing.assert_array_equal(found, _loops(left, right))
