@@ -7,7 +7,8 @@ from collections.abc import Iterable
 from itertools import product as grid
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +28,13 @@ ITERATIONS = 20
 REGULARISATION = 1.0
 SEED = 42
 
-BLOCK_USERS = 2048
+# Large blocks keep the copies of the factors few; tiles keep the arrays of a task small.
+BLOCK_USERS = 65_536
 BLOCK_PRODUCTS = 8192
+BLOCK_RATINGS = 4_000_000
+TILE_SCORES = 4_000_000
+
+OUTPUT = pa.schema([("user_id", pa.int32()), ("product_id", pa.int32()), ("score", pa.float64())])
 
 
 def _training(ratings: DataFrame) -> DataFrame:
@@ -106,12 +112,17 @@ def als_recommend(
     catalogue = names.select(F.col("product_id").cast("int").alias("id")).distinct()
     products = model.itemFactors.join(catalogue, "id", "left_semi")
 
-    n_products = products.count()
-    n_users = users.count()
+    rated = _training(ratings).select("user_id", "product_id")
+    if not exclude_rated:
+        rated = rated.limit(0)
+    elif targets is not None:
+        rated = ratings_of(rated, users)
+
+    n_users, n_products, n_rated = users.count(), products.count(), rated.count()
     cores = ratings.sparkSession.sparkContext.defaultParallelism
     pb = block_count(Side(n_products, n_products, 1), block_products, block_products, 1)
     ub = block_count(
-        Side(n_users, n_users, 1), block_users, block_users, math.ceil(2 * cores / pb)
+        Side(n_users, n_rated // pb, 1), block_users, BLOCK_RATINGS, math.ceil(2 * cores / pb)
     )
     every_user_block = F.explode(F.sequence(F.lit(0), F.lit(ub - 1)))
     every_product_block = F.explode(F.sequence(F.lit(0), F.lit(pb - 1)))
@@ -130,48 +141,54 @@ def als_recommend(
             "features",
         )
     )
-    rated = _training(ratings)
-    rated = rated if exclude_rated else rated.limit(0)
     rated = rated.select(
         block_of(F.col("user_id"), ub).alias("ub"),
         block_of(F.col("product_id"), pb).alias("pb"),
         "user_id",
         "product_id",
     )
-    if targets is not None:
-        rated = ratings_of(rated, users)
     partitions = cell_partitions(ratings, ub * pb)
     scored = (
         factors.repartition(partitions, "ub", "pb")
         .groupBy("ub", "pb")
         .cogroup(rated.repartition(partitions, "ub", "pb").groupBy("ub", "pb"))
-        .applyInPandas(_score_cell(n), "user_id int, product_id int, score double")
+        .applyInArrow(_score_cell(n), "user_id int, product_id int, score double")
     )
     return top_n(scored, n)
 
 
 def _score_cell(n: int):
-    def score(factors: pd.DataFrame, rated: pd.DataFrame) -> pd.DataFrame:
-        users = factors[factors["is_user"]].sort_values("id")
-        products = factors[~factors["is_user"]].sort_values("id")
-        if users.empty or products.empty:
-            return pd.DataFrame({"user_id": [], "product_id": [], "score": []})
-        user, product = users["id"].to_numpy(), products["id"].to_numpy()
-        scores = np.stack(users["features"]) @ np.stack(products["features"]).T
-        row = np.searchsorted(user, rated["user_id"])
-        column = np.searchsorted(product, rated["product_id"])
-        row[row == len(user)] = 0
-        column[column == len(product)] = 0
-        here = (user[row] == rated["user_id"]) & (product[column] == rated["product_id"])
-        scores[row[here], column[here]] = np.nan
-        row, column = best_per_row(scores, n)
-        return pd.DataFrame(
-            {
-                "user_id": user[row],
-                "product_id": product[column],
-                "score": scores[row, column].astype("float64"),
-            }
-        )
+    def by_id(factors: pa.Table):
+        factors = factors.sort_by("id")
+        lists = factors["features"].combine_chunks()
+        return factors["id"].to_numpy(), lists.flatten().to_numpy().reshape(len(factors), -1)
+
+    def positions(ids, wanted):
+        """Where ``wanted`` are in the sorted ``ids``, and which of them are there."""
+        place = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
+        return place, ids[place] == wanted
+
+    def score(factors: pa.Table, rated: pa.Table) -> pa.Table:
+        users = factors.filter(factors["is_user"])
+        products = factors.filter(pc.invert(factors["is_user"]))
+        found = [OUTPUT.empty_table()]
+        if len(users) and len(products):
+            user, user_factors = by_id(users)
+            product, product_factors = by_id(products)
+            row, known_user = positions(user, rated["user_id"].to_numpy())
+            column, known_product = positions(product, rated["product_id"].to_numpy())
+            known = known_user & known_product
+            row, column = row[known], column[known]
+            step = max(1, TILE_SCORES // len(product))
+            for first in range(0, len(user), step):
+                scores = user_factors[first : first + step] @ product_factors.T
+                here = (row >= first) & (row < first + step)
+                scores[row[here] - first, column[here]] = np.nan
+                best_row, best = best_per_row(scores, n)
+                top = scores[best_row, best].astype("float64")
+                columns = [user[first + best_row], product[best], top]
+                found.append(pa.table(columns, schema=OUTPUT))
+        return pa.concat_tables(found)
 
     return score
 

@@ -29,8 +29,10 @@ from kinrank.operators.topn import top_n, without_rated
 NEIGHBOURS = 25
 LEAST_RATERS = 2
 
-BLOCK_USERS = 1024
-BLOCK_RATINGS = 2_000_000
+# Large blocks keep the copies of a rating few; tiles keep the arrays of a task small.
+BLOCK_USERS = 8192
+BLOCK_RATINGS = 4_000_000
+TILE_PAIRS = 1_000_000
 
 SUMS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 
@@ -188,8 +190,12 @@ def _cells(
     )
 
 
-def _cell_sums(cell: pa.Table):
-    """The users of both blocks, the sums of all their pairs, and which pairs are one user."""
+def _tiles(cell: pa.Table):
+    """A cell in tiles of some target users and all other users.
+
+    Yields the users of both sides, the sums of all their pairs, and which pairs are one
+    user. A tile holds all that is needed to rank its target users within the cell.
+    """
 
     def flat(column):
         lists = cell[column].combine_chunks()
@@ -199,32 +205,43 @@ def _cell_sums(cell: pa.Table):
     users, u = np.unique(user, return_inverse=True)
     others, v = np.unique(other, return_inverse=True)
     x, y = flat("x")[0], flat("y")[0]
-    sums = corated_sums(u, x, u_raters, v, y, v_raters, len(users), len(others))
-    return users, others, sums, users[:, None] == others[None, :]
+    product = np.repeat(np.arange(len(u_raters)), u_raters)
+    step = max(1, TILE_PAIRS // len(others))
+    for first in range(0, len(users), step):
+        some = users[first : first + step]
+        here = (u >= first) & (u < first + step)
+        raters = np.bincount(product[here], minlength=len(u_raters))
+        sums = corated_sums(
+            u[here] - first, x[here], raters, v, y, v_raters, len(some), len(others)
+        )
+        yield some, others, sums, some[:, None] == others[None, :]
 
 
 def _sums_in_cell(cell: pa.Table) -> pa.Table:
-    users, others, sums, same = _cell_sums(cell)
-    row, column = np.nonzero((sums[0] > 0) & ~same)
-    pairs = {"user_id": users[row], "neighbour_id": others[column]}
-    return pa.table(pairs | {s: sums[i][row, column] for i, s in enumerate(SUMS)})
+    found = []
+    for users, others, sums, same in _tiles(cell):
+        row, column = np.nonzero((sums[0] > 0) & ~same)
+        pairs = {"user_id": users[row], "neighbour_id": others[column]}
+        found.append(pa.table(pairs | {s: sums[i][row, column] for i, s in enumerate(SUMS)}))
+    return pa.concat_tables(found)
 
 
 def _nearest_in_cell(k: int | None):
     def nearest(cell: pa.Table) -> pa.Table:
-        users, others, sums, same = _cell_sums(cell)
-        similarity = _pearson_array(sums)
-        similarity[same] = np.nan
-        # others are in ascending order, so ties go to the lower neighbour
-        row, column = best_per_row(similarity, len(others) if k is None else k)
-        return pa.table(
-            {
+        found = []
+        for users, others, sums, same in _tiles(cell):
+            similarity = _pearson_array(sums)
+            similarity[same] = np.nan
+            # others are in ascending order, so ties go to the lower neighbour
+            row, column = best_per_row(similarity, len(others) if k is None else k)
+            best = {
                 "user_id": users[row],
                 "neighbour_id": others[column],
                 "n": sums[0][row, column].astype("int64"),
                 "sim": similarity[row, column],
             }
-        )
+            found.append(pa.table(best))
+        return pa.concat_tables(found)
 
     return nearest
 

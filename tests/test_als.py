@@ -97,8 +97,11 @@ def test_same_seed_same_model(ratings, model):
         assert second[user] == pytest.approx(first[user], abs=1e-3)
 
 
-@pytest.mark.parametrize("blocks", [{}, {"block_users": 7, "block_products": 6}])
-def test_recommend(model, ratings, rows, names, factors, blocks):
+@pytest.mark.parametrize(
+    "tile, blocks", [(25, {}), (4_000_000, {"block_users": 7, "block_products": 6})]
+)
+def test_recommend(model, ratings, rows, names, factors, tile, blocks, monkeypatch):
+    monkeypatch.setattr(als, "TILE_SCORES", tile)
     catalogue = [r["product_id"] for r in names.collect()]
     rated = {(u, p) for u, p, _ in rows}
     found = als.als_recommend(model, ratings, names, n=5, **blocks)

@@ -100,8 +100,9 @@ def test_three_users_by_hand(frame):
     assert as_recommended(nb.knn_recommend(ratings)).keys() == {(1, 1)}
 
 
-@pytest.mark.parametrize("block_users", [5, 1024])
-def test_neighbours(frame, rows, block_users):
+@pytest.mark.parametrize("block_users, tile", [(5, 1_000_000), (8192, 100)])
+def test_neighbours(frame, rows, block_users, tile, monkeypatch):
+    monkeypatch.setattr(nb, "TILE_PAIRS", tile)
     users = by_user(rows)
     found = as_nearest(nb.user_neighbours(frame(rows), k=7, block_users=block_users))
     assert found == {u: near for u, near in nearest(users, users, 7).items() if near}
