@@ -1,5 +1,8 @@
-"""Latent-factor recommendation. Fitting is iterative, so these have no SQL; the tests hold
-them to their definitions."""
+"""Latent-factor recommendation.
+
+Fitting is iterative, so SQL can say which pairs are predicted and recommended but not with
+what score; the tests hold the scores to their definitions.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +12,7 @@ from kinrank.operators import als, splits
 from kinrank.operators.evaluate import rmse_all_rows
 from kinrank.operators.quality import clean_adhoc
 from kinrank.plans.registry import query
+from kinrank.plans.sql import RATINGS, with_
 from kinrank.session import written
 from kinrank.sources import tables
 
@@ -29,6 +33,24 @@ def als_predict(spark, folder):
     return als.als_predict(als.als_fit(train, **MODEL), test.drop("split"))
 
 
+@query(
+    """WITH supplied AS (
+  SELECT CAST(o_custkey AS INTEGER) AS user_id, CAST(l_suppkey AS INTEGER) AS product_id,
+         CAST(1 + floor((avg(l_quantity) - 1) / 10) AS INTEGER) AS rating
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_suppkey),
+hashed AS (
+  SELECT *, (CAST(user_id AS BIGINT) * 7919 + product_id * 104729) % 1009 % 10 AS digit
+  FROM supplied),
+train AS (SELECT * FROM hashed WHERE digit < 8)
+SELECT user_id, product_id, rating FROM hashed
+WHERE digit >= 8 AND user_id IN (SELECT user_id FROM train)
+  AND product_id IN (SELECT product_id FROM train)"""
+)
+def als_predicted_pairs(spark, folder):
+    """The held-out ratings that get a prediction: user and product are known."""
+    return als_predict(spark, folder).drop("prediction")
+
+
 @query()
 def als_rmse(spark, folder):
     train, test = _parts(spark, folder)
@@ -60,6 +82,22 @@ def als_topk_with_rated(spark, folder):
     return _recommend(spark, folder, 30, False)
 
 
+@query(
+    with_(RATINGS)
+    + """SELECT CAST(user_id AS INTEGER) AS user_id, product_id FROM (
+  SELECT user_id, product_id
+  FROM (SELECT DISTINCT user_id FROM ratings) AS u, (SELECT DISTINCT product_id FROM ratings) AS p
+  WHERE product_id IN (SELECT p_partkey FROM part)
+  EXCEPT SELECT user_id, product_id FROM ratings) AS unrated"""
+)
+def als_unrated_pairs(spark, folder):
+    """The hundred best unrated products of every user, which here are all there are."""
+    ratings = written(tables.event_ratings(spark, folder))
+    model = als.als_fit(ratings, **MODEL)
+    names = tables.part_names(spark, folder)
+    return als.als_recommend(model, ratings, names, n=100).select("user_id", "product_id")
+
+
 @query()
 def als_recommend_adhoc(spark, folder):
     """Ten products for everybody who left marks at signup."""
