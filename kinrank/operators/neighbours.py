@@ -139,6 +139,8 @@ def user_neighbours(
         found = cells.applyInArrow(
             _nearest_in_cell(k), "user_id bigint, neighbour_id bigint, n bigint, sim double"
         )
+        # few bytes, but estimating multiplies them: not to be merged by their size
+        found = found.repartition(cell_partitions(ratings, mine_side.keys), "user_id")
     else:
         schema = "user_id bigint, neighbour_id bigint, " + ", ".join(f"{s} double" for s in SUMS)
         found = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,17 +22,16 @@ def event_product() -> Column:
 
 def event_ratings(spark: SparkSession, folder: str) -> DataFrame:
     """Ratings 1..5 from events, the latest per (user, product)."""
-    latest = Window.partitionBy("user_id", "product_id").orderBy(F.desc("ts"), F.desc("event_id"))
+    latest = F.max(F.struct("ts", "event_id", "value")).alias("latest")
     return (
         table(spark, folder, "events")
-        .withColumn("product_id", event_product())
-        .withColumn("_latest", F.row_number().over(latest))
-        .where(F.col("_latest") == 1)
+        .groupBy("user_id", event_product().alias("product_id"))
+        .agg(latest)
         .select(
             "user_id",
             "product_id",
-            F.least(F.lit(5), 1 + F.floor(F.col("value") / 25).cast("int")).alias("rating"),
-            epoch_seconds(F.col("ts")).alias("ts_s"),
+            F.least(F.lit(5), 1 + F.floor(F.col("latest.value") / 25).cast("int")).alias("rating"),
+            epoch_seconds(F.col("latest.ts")).alias("ts_s"),
         )
     )
 
