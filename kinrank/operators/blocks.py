@@ -33,9 +33,14 @@ class Side:
     largest: int
 
     @classmethod
-    def of(cls, ratings: DataFrame) -> Side:
-        """Distinct users, ratings, and ratings of the most active user: one row of numbers."""
+    def of(cls, ratings: DataFrame, targets: DataFrame | None = None) -> Side:
+        """Distinct users, ratings, and ratings of the most active user: one row of numbers.
+
+        Ratings are counted per user before ``targets`` choose among the users.
+        """
         per_user = ratings.groupBy("user_id").agg(F.count("*").alias("n"))
+        if targets is not None:
+            per_user = per_user.join(targets, "user_id", "left_semi")
         found = per_user.agg(F.count("*"), F.sum("n"), F.max("n")).first()
         return cls(*(value or 0 for value in found))
 

@@ -113,14 +113,15 @@ def user_neighbours(
     pair, and Spark adds them up.
     """
     ratings = _typed(ratings)
-    side = Side.of(ratings)
+    mine, side = ratings, Side.of(ratings)
+    mine_side = side
     if target_ratings is not None:
         mine = _typed(target_ratings)
+        mine_side = Side.of(mine)
     elif targets is not None:
-        mine = ratings.join(targets.select("user_id").distinct(), "user_id", "left_semi")
-    else:
-        mine = ratings
-    mine_side = side if mine is ratings else Side.of(mine)
+        targets = targets.select("user_id").distinct()
+        mine = ratings.join(targets, "user_id", "left_semi")
+        mine_side = Side.of(ratings, targets)
 
     cores = ratings.sparkSession.sparkContext.defaultParallelism
     target_blocks = block_count(mine_side, block_users, block_ratings, 1)
@@ -248,29 +249,24 @@ def _nearest_in_cell(k: int | None):
     return nearest
 
 
-def _estimate(ratings: DataFrame) -> Column:
-    """The weighted mean, within the observed ratings; null when it is undefined."""
-    low = ratings.agg(F.min("rating").cast("double")).scalar()
-    high = ratings.agg(F.max("rating").cast("double")).scalar()
-    # a sum of similarities that cancels out leaves rounding noise instead of zero
-    weight = F.when(F.round("_den", 9) != 0, F.col("_den"))
-    score = F.round(F.greatest(F.least(F.col("_num") / weight, high), low), 6)
-    return F.when(weight.isNotNull() & (F.col("n") >= LEAST_RATERS), score)
-
-
 def knn_estimate(
     neighbours: DataFrame, ratings: DataFrame, pairs: DataFrame | None = None
 ) -> DataFrame:
     """Estimated ratings: user_id, product_id, ``n`` neighbours who rated it, ``score``.
 
     For every product a neighbour rated, or only for the given (user, product) ``pairs``.
-    Needs at least two such neighbours.
+    Needs at least two such neighbours. The estimate is the mean of their ratings weighted
+    by similarity, kept within the observed ratings.
     """
     ratings = _typed(ratings)
     theirs = ratings.select(
         F.col("user_id").alias("neighbour_id"), "product_id", F.col("rating").alias("_rating")
     )
     near = neighbours.select("user_id", "neighbour_id", "sim")
+    observed = ratings.agg(
+        F.struct(F.min("rating").alias("low"), F.max("rating").alias("high")).alias("observed")
+    ).scalar()
+    mean = F.col("_num") / F.col("_den")
     if pairs is None:
         rated = near.join(theirs, "neighbour_id")
     else:
@@ -286,8 +282,9 @@ def knn_estimate(
             F.sum(F.col("sim") * F.col("_rating")).alias("_num"),
             F.sum("sim").alias("_den"),
         )
-        .withColumn("score", _estimate(ratings))
-        .where(F.col("score").isNotNull())
+        # similarities that cancel out leave rounding noise instead of zero
+        .where((F.col("n") >= LEAST_RATERS) & (F.round("_den", 9) != 0))
+        .withColumn("score", F.round(F.greatest(F.least(mean, observed.high), observed.low), 6))
         .select("user_id", "product_id", "n", "score")
     )
 

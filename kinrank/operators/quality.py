@@ -131,11 +131,11 @@ def user_histories(
     no array holds more than ``span`` entries however much one user rates, and reading a
     user's chunks in order gives the whole history in product order.
     """
-    rows = ratings if targets is None else ratings_of(ratings, targets)
-    return (
-        rows.groupBy("user_id", F.floor(F.col("product_id") / span).cast("int").alias("chunk"))
-        .agg(
-            F.count("*").alias("n_ratings"),
-            F.sort_array(F.collect_list(F.struct("product_id", "rating"))).alias("history"),
-        )
+    rows = ratings.withColumn("chunk", F.floor(F.col("product_id") / span).cast("int"))
+    if targets is not None:
+        # shuffled again by chunk: else all rows of a user would stay where they were joined
+        rows = ratings_of(rows, targets).repartition("user_id", "chunk")
+    return rows.groupBy("user_id", "chunk").agg(
+        F.count("*").alias("n_ratings"),
+        F.sort_array(F.collect_list(F.struct("product_id", "rating"))).alias("history"),
     )

@@ -51,9 +51,13 @@ def split_sizes(split: DataFrame, column: str = "split") -> DataFrame:
     return split.groupBy(column).agg(F.count("*").alias("n_rows"))
 
 
-def with_global_index(rows: DataFrame, order: list[str], column: str = "idx") -> DataFrame:
+def with_global_index(
+    rows: DataFrame, order: list[str], column: str = "idx", total: str | None = None
+) -> DataFrame:
     """Number all rows 0, 1, 2, ... in a unique ``order``, without a one-task window.
 
+    ``total`` names a column for the number of all rows.
+
     Rows are range-partitioned and sorted, so a row's position is the number of rows in
     the partitions before its own plus its place there. The sorted rows are checkpointed
     because both counts must see the same partition bounds.
@@ -68,28 +72,31 @@ def with_global_index(rows: DataFrame, order: list[str], column: str = "idx") ->
     # monotonically_increasing_id is the partition number above 33 bits of row number
     part = F.shiftright("_row", 33)
     place = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
-    # one row per partition, so the window over all of them is small
+    # one row per partition, so the windows over all of them are small
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sorted_rows.groupBy(part.alias("_part"))
         .agg(F.count("*").alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        .select(
+            "_part",
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+            F.sum("_n").over(Window.partitionBy()).alias(total or "_total"),
+        )
     )
     return (
         sorted_rows.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
         .withColumn(column, F.col("_before") + place)
-        .drop("_part", "_row", "_before")
+        .drop("_part", "_row", "_before", "_total")
     )
 
 
 def split_kfold(ratings: DataFrame, k: int = 5, order: list[str] | None = None) -> DataFrame:
     """Label ``k`` contiguous folds of equal size, 1..k, in ``order``."""
     order = order or ["ts_s", "user_id", "product_id"]
-    indexed = with_global_index(ratings, order, "_idx")
-    n_rows = indexed.agg(F.count("*")).scalar()
-    fold = F.floor(F.col("_idx") * k / n_rows).cast("int") + 1
-    return indexed.withColumn("fold", fold).drop("_idx")
+    indexed = with_global_index(ratings, order, "_idx", "_rows")
+    fold = F.call_function("div", F.col("_idx") * k, F.col("_rows")).cast("int") + 1
+    return indexed.withColumn("fold", fold).drop("_idx", "_rows")
 
 
 def split_ordinals(

@@ -40,10 +40,7 @@ def candidate_counts(targets: DataFrame, names: DataFrame, ratings: DataFrame) -
     catalogue = names.select("product_id").distinct()
     n_products = catalogue.agg(F.count("*")).scalar()
     rated = (
-        in_catalogue(ratings, catalogue)
-        .join(users, "user_id", "left_semi")
-        .groupBy("user_id")
-        .agg(F.count("*").alias("n_rated"))
+        in_catalogue(ratings, catalogue).groupBy("user_id").agg(F.count("*").alias("n_rated"))
     )
     n_rated = F.coalesce("n_rated", F.lit(0))
     return users.join(rated, "user_id", "left").select(
