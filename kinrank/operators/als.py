@@ -52,18 +52,19 @@ def als_fit(
     iterations: int = ITERATIONS,
     regularisation: float = REGULARISATION,
     implicit: bool = False,
-    blocks: int | None = None,
+    user_blocks: int | None = None,
+    product_blocks: int | None = None,
     seed: int = SEED,
 ) -> ALSModel:
     """Fit user and product factors. Ids must be within the range of INT.
 
-    Without ``blocks`` there are as many user and product blocks as cores, so that fitting
-    spreads over the cluster. Every few iterations the factors are checkpointed to the
-    shared folder, which keeps the lineage short and recovery cheap.
+    By default there are as many user and product blocks as cores, so that fitting spreads
+    over the cluster. Every few iterations the factors are checkpointed to the shared
+    folder, which keeps the lineage short and recovery cheap.
     """
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
-    blocks = blocks or max(2, spark.sparkContext.defaultParallelism)
+    cores = max(2, spark.sparkContext.defaultParallelism)
     als = ALS(
         userCol="user_id",
         itemCol="product_id",
@@ -72,8 +73,8 @@ def als_fit(
         maxIter=iterations,
         regParam=regularisation,
         implicitPrefs=implicit,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numUserBlocks=user_blocks or cores,
+        numItemBlocks=product_blocks or cores,
         coldStartStrategy="drop",
         seed=seed,
     )
@@ -228,8 +229,8 @@ def als_grid(
     one number per fit.
     """
     spark = train.sparkSession
-    parts = [_training(part).persist(StorageLevel.MEMORY_AND_DISK) for part in (train, valid, test)]
-    train, valid, test = parts
+    parts = [part.select("user_id", "product_id", "rating") for part in (train, valid, test)]
+    train, valid, test = (part.persist(StorageLevel.MEMORY_AND_DISK) for part in parts)
     tried, best = [], None
     try:
         for rank, reg, iters in grid(ranks, regularisations, iterations):

@@ -178,3 +178,10 @@ def test_cache_is_released(spark, ratings, names):
     after = spark.sparkContext._jsc.getPersistentRDDs()
     # what remains are factors, which Spark drops with their model
     assert all("Factors" in str(rdd.name()) for rdd in list(after.values())[before:])
+
+
+def test_block_counts_are_passed_on(ratings, model):
+    other = als.als_fit(ratings, **PARAMETERS, user_blocks=3, product_blocks=2)
+    assert other.userFactors.count() == model.userFactors.count()
+    assert other.userFactors.rdd.getNumPartitions() == 3
+    assert other.itemFactors.rdd.getNumPartitions() == 2
