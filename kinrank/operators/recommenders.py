@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kinrank.operators import als, neighbours
 from kinrank.operators.evaluate import rmse_scored_rows
-from kinrank.operators.quality import known_targets, ratings_of, require_adhoc
+from kinrank.operators.quality import known_targets, require_adhoc
 from kinrank.operators.splits import TEST, TRAIN, split_hash
 from kinrank.sources.provider import RatingData
 
@@ -66,8 +66,7 @@ class FactorRecommender(Recommender):
 
     def recommend_for_users(self, targets, n=10, on_unknown="raise"):
         known = known_targets(targets, self.data.ratings, on_unknown)
-        own = ratings_of(self.data.ratings, known)
-        return als.als_recommend(self.model, own, self.data.names, known, n)
+        return als.als_recommend(self.model, self.data.ratings, self.data.names, known, n)
 
     def evaluate(self):
         split = split_hash(self.data.ratings)
