@@ -16,7 +16,7 @@ from pyspark.storagelevel import StorageLevel
 
 from kinrank.functions.scores import binary_label, block_of, implicit_shift
 from kinrank.operators.blocks import Side, best_per_row, block_count, cell_partitions
-from kinrank.operators.evaluate import rmse_all_rows, rmse_scored_rows
+from kinrank.operators.evaluate import rmse_of_predicted
 from kinrank.operators.quality import ratings_of, require_adhoc, with_adhoc
 from kinrank.operators.splits import TEST, TRAIN
 from kinrank.operators.topn import top_n
@@ -235,13 +235,13 @@ def als_grid(
     try:
         for rank, reg, iters in grid(ranks, regularisations, iterations):
             model = als_fit(train, rank, iters, reg, seed=seed)
-            error = rmse_all_rows(als_predict(model, valid), valid).first()["rmse"]
+            error = rmse_of_predicted(als_predict(model, valid), valid).first()["rmse"]
             tried.append((rank, reg, iters, error))
             if error is not None and (best is None or error < best[0]):
                 best = (error, len(tried) - 1, model)
         if best is None:
             raise ValueError("no combination has a validation error")
-        tested = rmse_all_rows(als_predict(best[2], test), test).first()["rmse"]
+        tested = rmse_of_predicted(als_predict(best[2], test), test).first()["rmse"]
     finally:
         for part in parts:
             part.unpersist()
@@ -265,4 +265,4 @@ def als_implicit_rmse(split: DataFrame, **parameters) -> DataFrame:
         "rating", binary_label(F.col("rating"))
     )
     model = als_fit(shifted.where(F.col("split") == TRAIN), implicit=True, **parameters)
-    return rmse_scored_rows(als_predict(model, test), test, clamped=True)
+    return rmse_of_predicted(als_predict(model, test), clamped=True)

@@ -49,6 +49,22 @@ def rmse_scored_rows(
     )
 
 
+def rmse_of_predicted(
+    predicted: DataFrame, held_out: DataFrame | None = None, clamped: bool = False
+) -> DataFrame:
+    """The same for rows that carry both their rating and their prediction: no join.
+
+    Over all rows of ``held_out`` if it is given, else over the predicted rows.
+    """
+    sums = predicted.agg(
+        F.coalesce(F.sum(_squared_error(clamped)), F.lit(0.0)).alias("_total"),
+        F.count("*").alias("n"),
+    )
+    if held_out is not None:
+        sums = sums.withColumn("n", held_out.agg(F.count("*")).scalar())
+    return sums.select(F.sqrt(F.try_divide("_total", "n")).alias("rmse"), "n")
+
+
 def mean_baseline(split: DataFrame) -> DataFrame:
     """Predict the mean of the training and validation ratings for every test row.
 

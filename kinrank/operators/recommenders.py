@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinrank.operators import als, neighbours
-from kinrank.operators.evaluate import rmse_scored_rows
+from kinrank.operators.evaluate import rmse_of_predicted
 from kinrank.operators.quality import known_targets, require_adhoc
 from kinrank.operators.splits import TEST, TRAIN, split_hash
 from kinrank.sources.provider import RatingData
@@ -73,4 +73,4 @@ class FactorRecommender(Recommender):
         train = split.where(F.col("split") == TRAIN)
         test = split.where(F.col("split") == TEST)
         model = als.als_fit(train, **self.parameters)
-        return rmse_scored_rows(als.als_predict(model, test), test)
+        return rmse_of_predicted(als.als_predict(model, test))

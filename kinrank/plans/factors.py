@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kinrank.operators import als, splits
-from kinrank.operators.evaluate import rmse_all_rows
+from kinrank.operators.evaluate import rmse_of_predicted
 from kinrank.operators.quality import clean_adhoc
 from kinrank.plans.registry import query
 from kinrank.plans.sql import RATINGS, with_
@@ -54,7 +54,7 @@ def als_predicted_pairs(spark, folder):
 @query()
 def als_rmse(spark, folder):
     train, test = _parts(spark, folder)
-    return rmse_all_rows(als.als_predict(als.als_fit(train, **MODEL), test), test)
+    return rmse_of_predicted(als.als_predict(als.als_fit(train, **MODEL), test), test)
 
 
 @query()

@@ -19,6 +19,17 @@ def test_a_cold_row_tells_the_two_errors_apart(frame):
     assert (scored["rmse"], scored["n"]) == (pytest.approx(math.sqrt(5 / 2)), 2)
 
 
+def test_predicted_rows_need_no_join(frame):
+    test = frame([(1, 1, 3.0), (1, 2, 5.0), (2, 1, 1.0)])
+    predictions = frame([(1, 1, 4.0), (1, 2, 3.0)], PREDICTIONS)
+    predicted = test.join(predictions, ["user_id", "product_id"])
+    every, scored = e.rmse_of_predicted(predicted, test), e.rmse_of_predicted(predicted)
+    assert every.collect() == e.rmse_all_rows(predictions, test).collect()
+    assert scored.collect() == e.rmse_scored_rows(predictions, test).collect()
+    assert e.rmse_of_predicted(predicted.limit(0), test).first()["rmse"] == 0.0
+    assert e.rmse_of_predicted(predicted.limit(0)).first()["rmse"] is None
+
+
 def test_clamped_error(frame):
     test = frame([(1, 1, 1.0), (1, 2, 0.0)])
     predictions = frame([(1, 1, 1.7), (1, 2, -0.5)], PREDICTIONS)

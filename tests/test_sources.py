@@ -33,13 +33,13 @@ def tuples(frame):
 
 
 def test_fields_beyond_the_rating_are_ignored(lines, ansi):
-    rows = tuples(parse_ratings(lines("7\t3\t4.5\t881250949\textra", "1\t2\t0"), TAB))
+    rows = tuples(parse_ratings(lines("7\t3\t4.5\t1700000000\textra", "1\t2\t0"), TAB))
     assert rows == [(7, 3, 4.5), (1, 2, 0.0)]
 
 
 def test_timestamp_digit_and_shift(lines):
-    parsed = parse_ratings(lines("1::2::5::978300769"), COLONS, keep_ts=True, implicit=True)
-    assert tuples(parsed) == [(1, 2, 2.5, 978300769, 9)]
+    parsed = parse_ratings(lines("1::2::5::1700000009"), COLONS, keep_ts=True, implicit=True)
+    assert tuples(parsed) == [(1, 2, 2.5, 1700000009, 9)]
 
 
 @pytest.mark.parametrize("line", ["1::2", "1::x::3", "", "::2::3", "1.5::2::3"])
@@ -54,8 +54,8 @@ def test_short_line_for_timestamp_fails(lines, ansi):
 
 
 def test_names(lines, ansi):
-    assert tuples(parse_names(lines("1|Toys (1995)|01-Jan||x"), PIPE)) == [(1, "Toys (1995)")]
-    assert tuples(parse_names(lines("9::A | B::Drama|War"), COLONS)) == [(9, "A | B")]
+    assert tuples(parse_names(lines("1|A name (1)|b||x"), PIPE)) == [(1, "A name (1)")]
+    assert tuples(parse_names(lines("9::A | B::x|y"), COLONS)) == [(9, "A | B")]
     with pytest.raises(PySparkException):
         parse_names(lines("9"), COLONS).collect()
 
