@@ -31,10 +31,12 @@ def clamp(prediction: Column, low: float = 0.0, high: float = 1.0) -> Column:
 def hash_tenth(user: Column, product: Column) -> Column:
     """A digit 0..9 that depends on the (user, product) pair alone.
 
-    Splits made from it do not move when the data is laid out differently.
+    Splits made from it do not move when the data is laid out differently. Ids are reduced
+    before they are multiplied, so that large ones do not overflow.
     """
-    key = user.cast("bigint") * 7919 + product.cast("bigint") * 104729
-    return F.pmod(F.pmod(key, F.lit(1009)), F.lit(10)).cast("int")
+    modulus = F.lit(1009)
+    user, product = F.pmod(user.cast("bigint"), modulus), F.pmod(product.cast("bigint"), modulus)
+    return F.pmod(F.pmod(user * 7919 + product * 104729, modulus), F.lit(10)).cast("int")
 
 
 def block_of(key: Column, blocks: int) -> Column:

@@ -115,7 +115,7 @@ def als_recommend(
 
     rated = _training(ratings).select("user_id", "product_id")
     if not exclude_rated:
-        rated = rated.limit(0)
+        rated = rated.where(F.lit(False))
     elif targets is not None:
         rated = ratings_of(rated, users)
 

@@ -40,8 +40,8 @@ def test_splits_do_not_depend_on_layout(rated, split):
 
 
 def test_random_split_weight(spark):
-    pairs = spark.range(100).crossJoin(spark.range(100).toDF("product_id"))
-    split = s.split_random(pairs.withColumnRenamed("id", "user_id"), 0.8, seed=1)
+    pairs = spark.range(10_000).selectExpr("id % 100 AS user_id", "id div 100 AS product_id")
+    split = s.split_random(pairs, 0.8, seed=1)
     sizes = {r["split"]: r["n_rows"] for r in s.split_sizes(split).collect()}
     assert 0.78 < sizes["train"] / 10_000 < 0.82
 
@@ -79,3 +79,12 @@ def test_ordinals(rated, start, stop, cap):
 def test_few_rows_per_user_reach_the_ordinal_shuffle(rated):
     plan = s.split_ordinals(rated[1], 1, 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_hash_split_takes_any_id(frame):
+    big = 2**63 - 1
+    rows = [(u, p, 1.0) for u in (-5, 7, big) for p in (-9, 3, big)]
+    found = {(r["user_id"], r["product_id"]): r["split"] for r in s.split_hash(frame(rows)).collect()}
+    assert found == {
+        (u, p): "train" if (u * 7919 + p * 104729) % 1009 % 10 < 8 else "test" for u, p, _ in rows
+    }
