@@ -164,7 +164,9 @@ def _cells(
 
     Raters are packed per product and block before anything is joined. A pair is rated
     once, so a packed row holds at most one block of users, and a product that everybody
-    rated is one row per block; its join is salted over the blocks.
+    rated is one row per block. Its join is spread over salts taken from the blocks: a
+    packed row of targets is copied once per salt in which the product has raters, so a
+    rarely rated product is not copied at all.
     """
 
     def packed(ratings: DataFrame, block: str, blocks: int, who: str, rated: str) -> DataFrame:
@@ -181,9 +183,10 @@ def _cells(
         )
 
     salts = min(other_blocks, SALTS)
-    left = packed(mine, "tb", target_blocks, "users", "x").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    salt = block_of(F.col("user_id"), other_blocks) % salts
+    salted = theirs.groupBy("product_id").agg(F.collect_set(salt).alias("salts"))
+    left = packed(mine, "tb", target_blocks, "users", "x").join(salted, "product_id")
+    left = left.withColumn("salt", F.explode("salts"))
     right = packed(theirs, "ub", other_blocks, "others", "y").withColumn(
         "salt", F.col("ub") % salts
     )
