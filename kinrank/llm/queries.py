@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinrank.llm import exact_dedup, licenses, sharding
+from kinrank.llm import bpe, exact_dedup, licenses, sharding
 from kinrank.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,18 @@ def query(sql: str | None = None):
     return register
 
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+@query()
+def op2_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    return bpe.tokens(
+        documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+    )
+
+
 @query(
     """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
