@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinrank.llm import bpe, exact_dedup, licenses, sharding
+from kinrank.llm import bpe, exact_dedup, licenses, near_dup, sharding
 from kinrank.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op4_sharding(spark, sf_dir):
 @query(licenses.oracle())
 def op9_license_scan(spark, sf_dir):
     return licenses.license_matches(documents(spark, sf_dir))
+
+
+@query()
+def op10_minhash_near_dedup(spark, sf_dir):
+    return near_dup.near_copies(documents(spark, sf_dir), width=2)
