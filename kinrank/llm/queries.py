@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinrank.llm import bpe, exact_dedup, licenses, near_dup, sharding
-from kinrank.llm.tables import documents
+from kinrank.llm import bpe, exact_dedup, licenses, mixing, near_dup, quality, sharding
+from kinrank.llm.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +76,19 @@ def op9_license_scan(spark, sf_dir):
 @query()
 def op10_minhash_near_dedup(spark, sf_dir):
     return near_dup.near_copies(documents(spark, sf_dir), width=2)
+
+
+@query()
+def op5_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+# Shares of tokens by language.
+WEIGHTS = {"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1}
+
+
+@query()
+def op8_mixing(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return mixing.rates(docs, mixing.fit_mixture(docs, WEIGHTS))
