@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinrank.llm import bpe, exact_dedup, licenses, mixing, near_dup, quality, sharding
+from kinrank.llm import bpe, embedding_dedup, exact_dedup, licenses, mixing, near_dup, quality, sharding
 from kinrank.llm.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ WEIGHTS = {"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1}
 def op8_mixing(spark, sf_dir):
     docs = documents(spark, sf_dir)
     return mixing.rates(docs, mixing.fit_mixture(docs, WEIGHTS))
+
+
+@query()
+def op6_embedding_near_dedup(spark, sf_dir):
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
