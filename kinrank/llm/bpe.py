@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from kinrank.llm.tables import texts
+from kinrank.llm.worker import remembered
 
 # Pieces a worker remembers, and bytes of text it works on at once.
 REMEMBERED = 250_000
@@ -221,15 +222,10 @@ def _between_spaces(text: str) -> list[str]:
     return result
 
 
-_CODECS: dict[tuple[bytes, str], Codec] = {}
-
-
 def codec(ranks: bytes, pattern: str) -> Codec:
     """This worker's codec; its memory of pieces serves all tasks of the worker."""
-    key = (hashlib.sha256(ranks).digest(), pattern)
-    if key not in _CODECS:
-        _CODECS[key] = Codec(ranks, pattern)
-    return _CODECS[key]
+    key = ("codec", hashlib.sha256(ranks).digest(), pattern)
+    return remembered(key, lambda: Codec(ranks, pattern))
 
 
 def _slices(values: Iterable[str]) -> Iterator[list[str]]:

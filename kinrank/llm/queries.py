@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinrank.llm import bpe, embedding_dedup, exact_dedup, licenses, mixing, near_dup, quality, sharding
+from kinrank.llm import (
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    licenses,
+    mixing,
+    near_dup,
+    quality,
+    sharding,
+    token_files,
+)
 from kinrank.llm.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +107,17 @@ def op8_mixing(spark, sf_dir):
 @query()
 def op6_embedding_near_dedup(spark, sf_dir):
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+WORDS, WORD_IDS = "word_bpe_49k.json", 49_408
+
+
+@query()
+def op7_token_files(spark, sf_dir):
+    import public_tokenizers
+
+    folder = token_files.token_folder(spark)
+    files = token_files.write_tokens(
+        documents(spark, sf_dir), folder, public_tokenizers.path(WORDS), WORD_IDS
+    )
+    return token_files.read_tokens(files, folder)
