@@ -13,6 +13,7 @@ from kinrank.llm import (
     licenses,
     mixing,
     near_dup,
+    pii,
     quality,
     sharding,
     token_files,
@@ -121,3 +122,8 @@ def op7_token_files(spark, sf_dir):
         documents(spark, sf_dir), folder, public_tokenizers.path(WORDS), WORD_IDS
     )
     return token_files.read_tokens(files, folder)
+
+
+@query()
+def op1_pii(spark, sf_dir):
+    return pii.personal_data(documents(spark, sf_dir))
