@@ -4,9 +4,9 @@ import pytest
 from compare import duck, rows_of_spark, rows_of_sql, types_of_spark, types_of_sql
 
 import __spark_entry__ as registered
+from kinrank.plans.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +24,8 @@ def test_query_agrees_with_sql(spark, connection, name):
 def test_only_factor_scores_have_no_sql():
     assert all(name.startswith("als_") for name in QUERIES.keys() - ORACLES.keys())
     assert ORACLES.keys() <= QUERIES.keys()
+    assert QUERIES.items() <= registered.queries().items()
+    assert ORACLES.items() <= registered.oracle_sql().items()
 
 
 def test_entry_has_rows_and_names(spark):
