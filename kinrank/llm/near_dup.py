@@ -32,7 +32,7 @@ from kinrank.session import written
 CHUNKS, LENGTH, ERRORS = 10, 5, 1
 PERCENT = 80
 # Pivots tried before the rest of a group is compared in full.
-PIVOTS = 6
+PIVOTS = 8
 # Up to this many texts a group's pairs are listed; beyond, blocks of this many are compared.
 LISTED = 32
 BLOCK = 256
@@ -296,7 +296,7 @@ def _labels(docs: DataFrame, members: DataFrame, width: int, percent: int, liste
     checked = None
     for turn in range(PIVOTS + 1):
         marked = members.join(labels, "doc")
-        order = F.xxhash64("doc", F.lit(turn)) if turn else F.lit(0)
+        order = F.xxhash64("doc", F.lit(turn)) if turn else F.lit(0).cast("bigint")
         pivots = (
             marked.groupBy("key")
             .agg(
@@ -306,23 +306,22 @@ def _labels(docs: DataFrame, members: DataFrame, width: int, percent: int, liste
                 F.count("*").alias("size"),
             )
             .filter("low <> high")
-            .select("key", "p.pivot", "p.of", "p.pn", "size")
+            .select("key", "p.o", "p.pivot", "p.of", "p.pn", "size")
         )
         if turn == PIVOTS:
             break
-        pairs = (
+        meetings = (
             marked.join(pivots, "key")
             .filter((F.col("label") != F.col("of")) & _sizes_allow("n", "pn", percent))
-            .select(*_ordered(F.col("doc"), F.col("pivot")))
-            .distinct()
+            .select("doc", "o", "pivot", *_ordered(F.col("doc"), F.col("pivot")))
         )
         if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = written(pairs)
+            meetings = meetings.join(checked, ["a", "b"], "left_anti")
+        # Each text meets one new pivot a turn, of all its keys' the first in the order.
+        first = meetings.groupBy("doc").agg(F.min(F.struct("o", "pivot")).alias("p"))
+        pairs = written(first.select(*_ordered(F.col("doc"), F.col("p.pivot"))).distinct())
         if pairs.isEmpty():
-            if turn > 1:
-                break
-            continue
+            break
         checked = pairs if checked is None else checked.unionByName(pairs)
         links = written(_confirmed(pairs, sets, percent))
         if not links.isEmpty():
@@ -387,7 +386,7 @@ def near_copies(
         "set_id", F.coalesce("label", "doc").alias("component_id")
     )
     placed = sketches.join(named, "set_id", "left").withColumn(
-        "component_id", F.coalesce("component_id", "doc_id")
+        "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     )
     placed = _repeated_ids_joined(placed)
     return placed.select(
