@@ -15,8 +15,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A hot product is joined in this many parts.
-SALTS = 32
+# Shuffled bytes of a block product that one partition should take.
+PARTITION_BYTES = 128 << 20
 
 # Products both blocks rate this densely are multiplied as matrices, the rest pair by pair.
 DENSE_SHARE = 0.02
@@ -55,26 +55,77 @@ def block_count(side: Side, block_keys: int, block_rows: int, wanted: int, least
     return max(needed, min(wanted, side.keys // least))
 
 
-def cell_partitions(frame: DataFrame, cells: int) -> int:
-    """Shuffle partitions for a block product.
+def cell_partitions(frame: DataFrame, cells: int, size: float = 0.0) -> int:
+    """Shuffle partitions for a block product of so many cells and about ``size`` bytes.
 
-    Set by the number of cells because their work does not show in their bytes, which is
-    what adaptive execution would merge them by.
+    At least four a core, because the work of cells does not show in their bytes, which is
+    what adaptive execution would merge them by; more as the bytes grow.
     """
     spark = frame.sparkSession
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(cells, max(configured, 4 * spark.sparkContext.defaultParallelism)))
+    least = max(configured, 4 * spark.sparkContext.defaultParallelism)
+    return max(1, min(cells, max(least, math.ceil(size / PARTITION_BYTES))))
 
 
-def corated_sums(u, x, u_raters, v, y, v_raters, n_users, n_others):
+class Members:
+    """Ids of one side of a cell, numbered as they come."""
+
+    def __init__(self):
+        self.ids = np.zeros(0, dtype=np.int64)
+        self._sorted, self._order = self.ids, self.ids
+
+    def positions(self, ids: np.ndarray) -> np.ndarray:
+        """The number of each id; unseen ids get the next ones."""
+        new = np.setdiff1d(ids, self._sorted)
+        if len(new):
+            self.ids = np.concatenate([self.ids, new])
+            self._order = np.argsort(self.ids)
+            self._sorted = self.ids[self._order]
+        return self._order[np.searchsorted(self._sorted, ids)]
+
+
+class RunningSums:
+    """Co-rated sums of a cell whose products come batch by batch.
+
+    Memory follows the users of the two blocks, not how much they rated.
+    """
+
+    def __init__(self):
+        self.users, self.others = Members(), Members()
+        self.sums = np.zeros((6, 0, 0))
+
+    def _room(self, rows: int, columns: int) -> None:
+        _, had_rows, had_columns = self.sums.shape
+        if rows > had_rows or columns > had_columns:
+            # grown by half, so that few batches copy the sums
+            grown = [n if n <= had else max(n, had * 3 // 2) for n, had in ((rows, had_rows), (columns, had_columns))]
+            larger = np.zeros((6, max(grown[0], had_rows), max(grown[1], had_columns)))
+            larger[:, :had_rows, :had_columns] = self.sums
+            self.sums = larger
+
+    def add(self, user, x, user_raters, other, y, other_raters) -> None:
+        """Raters and ratings of some products, as ``corated_sums`` takes them, with ids."""
+        u, v = self.users.positions(user), self.others.positions(other)
+        self._room(len(self.users.ids), len(self.others.ids))
+        corated_sums(u, x, user_raters, v, y, other_raters, sums=self.sums)
+
+    def by_id(self):
+        """Both sides' ids in ascending order, and their sums."""
+        row, column = np.argsort(self.users.ids), np.argsort(self.others.ids)
+        return self.users.ids[row], self.others.ids[column], self.sums[:, row][:, :, column]
+
+
+def corated_sums(u, x, u_raters, v, y, v_raters, n_users=0, n_others=0, sums=None):
     """Sums over the products two users both rated, for all pairs of two blocks of users.
 
     ``u`` and ``v`` are raters as positions in their block, ``x`` and ``y`` their ratings,
     product after product; ``u_raters`` and ``v_raters`` say how many belong to each
     product. Returns six (n_users, n_others) arrays: n, sum x, sum y, sum xx, sum yy,
-    sum xy.
+    sum xy; or adds to ``sums`` of that shape.
     """
-    sums = np.zeros((6, n_users, n_others))
+    if sums is None:
+        sums = np.zeros((6, n_users, n_others))
+    _, n_users, n_others = sums.shape
     u_starts = np.concatenate(([0], np.cumsum(u_raters)))
     v_starts = np.concatenate(([0], np.cumsum(v_raters)))
     dense = u_raters * v_raters >= DENSE_SHARE * n_users * n_others

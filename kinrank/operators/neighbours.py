@@ -6,6 +6,7 @@ Ratings are (user_id, product_id, rating), unique per (user, product).
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,12 +15,11 @@ from pyspark.sql import functions as F
 
 from kinrank.functions.scores import VARIANCE_NOISE, block_of, covariance_parts
 from kinrank.operators.blocks import (
-    SALTS,
+    RunningSums,
     Side,
     best_per_row,
     block_count,
     cell_partitions,
-    corated_sums,
 )
 from kinrank.operators.splits import TEST, TRAIN, split_hash
 from kinrank.operators.topn import top_n, without_rated
@@ -29,10 +29,12 @@ from kinrank.operators.topn import top_n, without_rated
 NEIGHBOURS = 25
 LEAST_RATERS = 2
 
-# Large blocks keep the copies of a rating few; tiles keep the arrays of a task small.
-BLOCK_USERS = 8192
-BLOCK_RATINGS = 4_000_000
-TILE_PAIRS = 1_000_000
+# Larger blocks copy a rating less often; the sums of a cell take 48 bytes a pair.
+BLOCK_USERS = 2048
+# Ratings of a neighbour that are joined in one part.
+SEGMENT_RATINGS = 1000
+# Raters whose products a cell adds up at once.
+RATERS_PER_STEP = 200_000
 
 SUMS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 
@@ -99,19 +101,21 @@ def user_neighbours(
     k: int | None = NEIGHBOURS,
     target_ratings: DataFrame | None = None,
     block_users: int = BLOCK_USERS,
-    block_ratings: int = BLOCK_RATINGS,
 ) -> DataFrame:
     """The ``k`` most similar users of each target: user_id, neighbour_id, n, sim, rank.
 
     Targets are everybody, the users in ``targets``, or people who bring their own
     ``target_ratings``. Negative similarities count, undefined ones do not, and nobody is
-    their own neighbour. ``k=None`` gives every defined similarity of the targets.
+    their own neighbour. ``k=None`` gives every defined similarity of given targets; for
+    everybody that would be all pairs, and is refused.
 
-    Target users and users are hashed into blocks; a cell of two blocks only receives the
-    products both sides rated. A user with more than ``block_ratings`` ratings would
-    overfill a block: then products are hashed into segments as well, cells return sums per
-    pair, and Spark adds them up.
+    Target users and users are hashed into blocks; a cell of two blocks receives the
+    products both sides rated as a stream, and adds them up in one grid of its users. So
+    its memory does not depend on how much anybody rated, and at most ``k`` rows a user
+    leave it.
     """
+    if k is None and targets is None and target_ratings is None:
+        raise ValueError("all similarities are only given for targets")
     ratings = _typed(ratings)
     mine, side = ratings, Side.of(ratings)
     mine_side = side
@@ -124,49 +128,32 @@ def user_neighbours(
         mine_side = Side.of(ratings, targets)
 
     cores = ratings.sparkSession.sparkContext.defaultParallelism
-    target_blocks = block_count(mine_side, block_users, block_ratings, 1)
-    other_blocks = block_count(
-        side, block_users, block_ratings, math.ceil(2 * cores / target_blocks)
-    )
-    segments = max(1, math.ceil(max(side.largest, mine_side.largest) / block_ratings))
-
-    partitions = cell_partitions(ratings, target_blocks * other_blocks * segments)
-    cells = (
-        _cells(mine, ratings, target_blocks, other_blocks, segments)
-        .repartition(partitions, "tb", "ub", "seg")
-        .groupBy("tb", "ub", "seg")
-    )
-    if segments == 1:
-        found = cells.applyInArrow(
+    target_blocks = block_count(mine_side, block_users, math.inf, 1)
+    other_blocks = block_count(side, block_users, math.inf, math.ceil(2 * cores / target_blocks))
+
+    copied = 16.0 * (mine_side.rows * other_blocks + side.rows * target_blocks)
+    partitions = cell_partitions(ratings, target_blocks * other_blocks, copied)
+    found = (
+        _cells(mine, ratings, target_blocks, other_blocks)
+        .repartition(partitions, "tb", "ub")
+        .groupBy("tb", "ub")
+        .applyInArrow(
             _nearest_in_cell(k), "user_id bigint, neighbour_id bigint, n bigint, sim double"
         )
-        # few bytes, but estimating multiplies them: not to be merged by their size
-        found = found.repartition(cell_partitions(ratings, mine_side.keys), "user_id")
-    else:
-        schema = "user_id bigint, neighbour_id bigint, " + ", ".join(f"{s} double" for s in SUMS)
-        found = (
-            cells.applyInArrow(_sums_in_cell, schema)
-            .groupBy("user_id", "neighbour_id")
-            .agg(*(F.sum(name).alias(name) for name in SUMS))
-            .withColumn("sim", _pearson_column())
-            .where(F.col("sim").isNotNull())
-            .select("user_id", "neighbour_id", F.col("n").cast("bigint").alias("n"), "sim")
-        )
+    )
     by_user = Window.partitionBy("user_id").orderBy(F.desc("sim"), "neighbour_id")
     ranked = found.withColumn("rank", F.row_number().over(by_user))
     return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
-def _cells(
-    mine: DataFrame, theirs: DataFrame, target_blocks: int, other_blocks: int, segments: int
-) -> DataFrame:
-    """One row per product and cell (tb, ub, seg), with the raters of both blocks.
+def _cells(mine: DataFrame, theirs: DataFrame, target_blocks: int, other_blocks: int) -> DataFrame:
+    """One row per product and cell (tb, ub), with the raters of both blocks.
 
     Raters are packed per product and block before anything is joined. A pair is rated
     once, so a packed row holds at most one block of users, and a product that everybody
-    rated is one row per block. Its join is spread over salts taken from the blocks: a
-    packed row of targets is copied once per salt in which the product has raters, so a
-    rarely rated product is not copied at all.
+    rated is one row per block. A packed row of targets is copied to the blocks in which
+    its product has raters, and joined by product and block, so that a hot product is as
+    many join keys as it has blocks.
     """
 
     def packed(ratings: DataFrame, block: str, blocks: int, who: str, rated: str) -> DataFrame:
@@ -182,72 +169,53 @@ def _cells(
             )
         )
 
-    salts = min(other_blocks, SALTS)
-    salt = block_of(F.col("user_id"), other_blocks) % salts
-    salted = theirs.groupBy("product_id").agg(F.collect_set(salt).alias("salts"))
-    left = packed(mine, "tb", target_blocks, "users", "x").join(salted, "product_id")
-    left = left.withColumn("salt", F.explode("salts"))
-    right = packed(theirs, "ub", other_blocks, "others", "y").withColumn(
-        "salt", F.col("ub") % salts
-    )
-    segment = block_of(F.col("product_id"), segments)
-    return left.join(right, ["product_id", "salt"]).select(
-        "tb", "ub", segment.alias("seg"), "users", "x", "others", "y"
+    present = theirs.groupBy("product_id").agg(
+        F.collect_set(block_of(F.col("user_id"), other_blocks)).alias("blocks")
     )
+    left = packed(mine, "tb", target_blocks, "users", "x").join(present, "product_id")
+    left = left.withColumn("ub", F.explode("blocks")).drop("blocks")
+    right = packed(theirs, "ub", other_blocks, "others", "y")
+    return left.join(right, ["product_id", "ub"]).select("tb", "ub", "users", "x", "others", "y")
 
 
-def _tiles(cell: pa.Table):
-    """A cell in tiles of some target users and all other users.
+def _steps(batch: pa.RecordBatch):
+    """Products of a batch, a bounded number of raters at a time."""
+    raters = np.maximum.reduce(
+        [batch.column(c).value_lengths().to_numpy(zero_copy_only=False) for c in ("users", "others")]
+    )
+    step = np.cumsum(raters) // RATERS_PER_STEP
+    cuts = np.flatnonzero(np.diff(step, prepend=-1))
+    for first, last in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):
+        yield batch.slice(first, last - first)
 
-    Yields the users of both sides, the sums of all their pairs, and which pairs are one
-    user. A tile holds all that is needed to rank its target users within the cell.
-    """
 
-    def flat(column):
-        lists = cell[column].combine_chunks()
+def _nearest_in_cell(k: int | None):
+    def flat(batch: pa.RecordBatch, column: str):
+        lists = batch.column(column)
         return lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
 
-    (user, u_raters), (other, v_raters) = flat("users"), flat("others")
-    users, u = np.unique(user, return_inverse=True)
-    others, v = np.unique(other, return_inverse=True)
-    x, y = flat("x")[0], flat("y")[0]
-    product = np.repeat(np.arange(len(u_raters)), u_raters)
-    step = max(1, TILE_PAIRS // len(others))
-    for first in range(0, len(users), step):
-        some = users[first : first + step]
-        here = (u >= first) & (u < first + step)
-        raters = np.bincount(product[here], minlength=len(u_raters))
-        sums = corated_sums(
-            u[here] - first, x[here], raters, v, y, v_raters, len(some), len(others)
-        )
-        yield some, others, sums, some[:, None] == others[None, :]
-
-
-def _sums_in_cell(cell: pa.Table) -> pa.Table:
-    found = []
-    for users, others, sums, same in _tiles(cell):
-        row, column = np.nonzero((sums[0] > 0) & ~same)
-        pairs = {"user_id": users[row], "neighbour_id": others[column]}
-        found.append(pa.table(pairs | {s: sums[i][row, column] for i, s in enumerate(SUMS)}))
-    return pa.concat_tables(found)
-
-
-def _nearest_in_cell(k: int | None):
-    def nearest(cell: pa.Table) -> pa.Table:
-        found = []
-        for users, others, sums, same in _tiles(cell):
-            similarity = _pearson_array(sums)
-            similarity[same] = np.nan
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell = RunningSums()
+        for batch in batches:
+            for some in _steps(batch):
+                (user, user_raters), (other, other_raters) = flat(some, "users"), flat(some, "others")
+                x, y = flat(some, "x")[0], flat(some, "y")[0]
+                cell.add(user, x, user_raters, other, y, other_raters)
+        users, others, sums = cell.by_id()
+        # some target users at a time, as ranking takes arrays of its own
+        for first in range(0, len(users), 256):
+            part, who = sums[:, first : first + 256], users[first : first + 256]
+            similarity = _pearson_array(part)
+            similarity[who[:, None] == others[None, :]] = np.nan
             # others are in ascending order, so ties go to the lower neighbour
             row, column = best_per_row(similarity, len(others) if k is None else k)
             best = {
-                "user_id": users[row],
+                "user_id": who[row],
                 "neighbour_id": others[column],
-                "n": sums[0][row, column].astype("int64"),
+                "n": part[0][row, column].astype("int64"),
                 "sim": similarity[row, column],
             }
-            found.append(pa.table(best))
-        return pa.concat_tables(found)
+            yield pa.RecordBatch.from_pydict(best)
 
     return nearest
 
@@ -271,7 +239,7 @@ def knn_estimate(
     ).scalar()
     mean = F.col("_num") / F.col("_den")
     if pairs is None:
-        rated = near.join(theirs, "neighbour_id")
+        rated = _spread(near, theirs)
     else:
         rated = (
             pairs.select("user_id", "product_id")
@@ -292,6 +260,23 @@ def knn_estimate(
     )
 
 
+def _spread(near: DataFrame, theirs: DataFrame) -> DataFrame:
+    """Every neighbour's ratings for each user they are near to.
+
+    A neighbour's products are cut into segments of about ``SEGMENT_RATINGS``, and the
+    users near to them are copied to the segments they have: a neighbour who rated a lot
+    and is near to many is that many join keys instead of one.
+    """
+    largest = theirs.groupBy("neighbour_id").count().agg(F.max("count")).first()[0] or 1
+    segments = math.ceil(largest / SEGMENT_RATINGS)
+    theirs = theirs.withColumn("_segment", block_of(F.col("product_id"), segments))
+    present = theirs.groupBy("neighbour_id").agg(F.collect_set("_segment").alias("_segments"))
+    copied = near.join(present, "neighbour_id").select(
+        "user_id", "neighbour_id", "sim", F.explode("_segments").alias("_segment")
+    )
+    return copied.join(theirs, ["neighbour_id", "_segment"])
+
+
 def knn_recommend(
     ratings: DataFrame,
     targets: DataFrame | None = None,

@@ -3,9 +3,11 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from kinrank.operators import neighbours as nb
+from kinrank.operators.blocks import RunningSums
 from kinrank.operators.quality import UnknownUserError
 from kinrank.operators.recommenders import NeighbourhoodRecommender
 from kinrank.sources.provider import RatingData
@@ -100,20 +102,66 @@ def test_three_users_by_hand(frame):
     assert as_recommended(nb.knn_recommend(ratings)).keys() == {(1, 1)}
 
 
-@pytest.mark.parametrize("block_users, tile", [(5, 1_000_000), (8192, 100)])
-def test_neighbours(frame, rows, block_users, tile, monkeypatch):
-    monkeypatch.setattr(nb, "TILE_PAIRS", tile)
+@pytest.mark.parametrize("block_users, step", [(5, 1_000_000), (2048, 30)])
+def test_neighbours(frame, rows, block_users, step, monkeypatch):
+    monkeypatch.setattr(nb, "RATERS_PER_STEP", step)
     users = by_user(rows)
     found = as_nearest(nb.user_neighbours(frame(rows), k=7, block_users=block_users))
     assert found == {u: near for u, near in nearest(users, users, 7).items() if near}
     assert 100 not in found and 101 in found
 
 
-def test_a_user_larger_than_a_block_is_split(frame, rows):
-    whole = as_nearest(nb.user_neighbours(frame(rows), k=7))
-    split = nb.user_neighbours(frame(rows), k=7, block_ratings=60)
-    assert "sum(sxy" in split._jdf.queryExecution().toString()  # sums of segments are added
-    assert as_nearest(split) == whole
+def test_one_very_active_user_changes_nothing(spark, frame, rows):
+    """Whatever one user rated, at most k rows a user and cell leave the cells."""
+    crawler = [(500, p, float(1 + p % 5)) for p in range(20_000)]
+    near = nb.user_neighbours(frame(rows + crawler), k=3, block_users=20)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[user_id" not in plan.split("FlatMapGroupsInArrow")[0]
+    users = by_user(rows + crawler)
+    assert as_nearest(near) == {u: n for u, n in nearest(users, users, 3).items() if n}
+
+
+def test_all_pairs_of_everybody_are_refused(frame, rows):
+    with pytest.raises(ValueError):
+        nb.user_neighbours(frame(rows), k=None)
+
+
+def test_cells_take_their_products_in_batches():
+    draw = random.Random(4)
+    cell, expected = RunningSums(), {}
+    for _ in range(6):
+        batch = []
+        for _ in range(5):
+            u = {draw.randrange(30): draw.randint(1, 5) for _ in range(draw.randint(1, 9))}
+            v = {draw.randrange(100, 140): draw.randint(1, 5) for _ in range(draw.randint(1, 9))}
+            batch.append((u, v))
+            for a, x in u.items():
+                for b, y in v.items():
+                    sums = expected.setdefault((a, b), np.zeros(6))
+                    sums += (1, x, y, x * x, y * y, x * y)
+        sides = []
+        for side in (0, 1):
+            sides += [
+                np.array([i for pair in batch for i in pair[side]]),
+                np.array([float(r) for pair in batch for r in pair[side].values()]),
+                np.array([len(pair[side]) for pair in batch]),
+            ]
+        cell.add(*sides)
+    users, others, sums = cell.by_id()
+    assert list(users) == sorted(users) and list(others) == sorted(others)
+    for i, a in enumerate(users):
+        for j, b in enumerate(others):
+            np.testing.assert_array_equal(sums[:, i, j], expected.get((a, b), np.zeros(6)))
+
+
+def test_a_neighbour_of_everybody_is_joined_in_parts(frame, monkeypatch):
+    """All users are near to one who rated everything."""
+    monkeypatch.setattr(nb, "SEGMENT_RATINGS", 10)
+    rows = [(0, p, float(1 + p % 5)) for p in range(200)]
+    rows += [(u, p, float(1 + p % 5)) for u in range(1, 30) for p in range(u, u + 6)]
+    users = by_user(rows)
+    found = as_recommended(nb.knn_recommend(frame(rows), n=4, k=3))
+    assert found == recommended(users, users, 3, 4)
 
 
 def test_all_similarities_of_targets(spark, frame, rows):
@@ -209,5 +257,16 @@ def test_recommender(spark, frame, rows):
 
 
 def test_few_rows_per_user_reach_the_ranking_shuffles(frame, rows):
+    """Below the exchange of each ranking stands a group limit."""
     plan = nb.knn_recommend(frame(rows))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 3
+    lines = plan.splitlines()
+    final = [i for i, line in enumerate(lines) if "WindowGroupLimit" in line and "Final" in line]
+    assert final
+    for i in final:
+        below = lines[i + 1 : i + 8]
+        exchange = next((k for k, line in enumerate(below) if "Exchange" in line), None)
+        if exchange is not None and "ENSURE_REQUIREMENTS" in below[exchange]:
+            assert "WindowGroupLimit" in below[exchange + 1] and "Partial" in below[exchange + 1] or any(
+                "WindowGroupLimit" in line and "Partial" in line for line in below[exchange:]
+            )
