@@ -20,7 +20,7 @@ from kinrank.operators.evaluate import rmse_of_predicted
 from kinrank.operators.quality import ratings_of, require_adhoc, with_adhoc
 from kinrank.operators.splits import TEST, TRAIN
 from kinrank.operators.topn import top_n
-from kinrank.session import ensure_checkpoint_dir
+from kinrank.session import ensure_checkpoint_dir, written
 
 # Default training parameters.
 RANK = 10
@@ -28,6 +28,9 @@ ITERATIONS = 20
 REGULARISATION = 1.0
 SEED = 42
 
+# Ratings that one in-memory block of a fit should hold.
+RATINGS_PER_BLOCK = 2_000_000
+
 # Large blocks keep the copies of the factors few; tiles keep the arrays of a task small.
 BLOCK_USERS = 65_536
 BLOCK_PRODUCTS = 8192
@@ -58,13 +61,16 @@ def als_fit(
 ) -> ALSModel:
     """Fit user and product factors. Ids must be within the range of INT.
 
-    By default there are as many user and product blocks as cores, so that fitting spreads
-    over the cluster. Every few iterations the factors are checkpointed to the shared
-    folder, which keeps the lineage short and recovery cheap.
+    By default there are as many user and product blocks as the ratings need, and no fewer
+    than cores, so that fitting spreads over the cluster and a block stays within memory.
+    Every few iterations the factors are checkpointed to the shared folder, which keeps the
+    lineage short and recovery cheap.
     """
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
-    cores = max(2, spark.sparkContext.defaultParallelism)
+    blocks = max(2, spark.sparkContext.defaultParallelism)
+    if user_blocks is None or product_blocks is None:
+        blocks = max(blocks, math.ceil(ratings.count() / RATINGS_PER_BLOCK))
     als = ALS(
         userCol="user_id",
         itemCol="product_id",
@@ -73,8 +79,8 @@ def als_fit(
         maxIter=iterations,
         regParam=regularisation,
         implicitPrefs=implicit,
-        numUserBlocks=user_blocks or cores,
-        numItemBlocks=product_blocks or cores,
+        numUserBlocks=user_blocks or blocks,
+        numItemBlocks=product_blocks or blocks,
         coldStartStrategy="drop",
         seed=seed,
     )
@@ -148,7 +154,8 @@ def als_recommend(
         "user_id",
         "product_id",
     )
-    partitions = cell_partitions(ratings, ub * pb)
+    copied = 8.0 * model.rank * (n_users * pb + n_products * ub) + 16.0 * n_rated
+    partitions = cell_partitions(ratings, ub * pb, copied)
     scored = (
         factors.repartition(partitions, "ub", "pb")
         .groupBy("ub", "pb")
@@ -204,8 +211,11 @@ def als_recommend_adhoc(
     """Recommend to people who bring their own ratings, under ids nobody else has.
 
     Their ratings join the training data and the model is fitted anew, once for all of
-    them. Marks of 0 ("not seen") are dropped; somebody without any other mark raises.
+    them. Marks of 0 ("not seen") are dropped; somebody without any other mark raises, and
+    so does a mark outside 0 to 5.
     """
+    # checked, fitted, counted and scored: both are derived once
+    adhoc, ratings = written(adhoc), written(ratings.select("user_id", "product_id", "rating"))
     mine = require_adhoc(adhoc)
     if not ratings_of(ratings, mine).isEmpty():
         raise ValueError("an ad-hoc user id already has ratings")
@@ -225,8 +235,9 @@ def als_grid(
     """Fit every combination, keep the one with the least validation error, test it.
 
     One row per combination: rank, reg, iters, rmse_valid, is_best, rmse_test (of the best
-    only). Errors are over all held-out rows; the first of equals wins. The driver sees
-    one number per fit.
+    only). Errors are over all held-out rows; the first of equals wins. A model that scored
+    nothing, or whose error is not finite, never wins; if none is left, this raises. The
+    driver sees one number per fit.
     """
     spark = train.sparkSession
     parts = [part.select("user_id", "product_id", "rating") for part in (train, valid, test)]
@@ -237,10 +248,10 @@ def als_grid(
             model = als_fit(train, rank, iters, reg, seed=seed)
             error = rmse_of_predicted(als_predict(model, valid), valid).first()["rmse"]
             tried.append((rank, reg, iters, error))
-            if error is not None and (best is None or error < best[0]):
+            if error is not None and math.isfinite(error) and (best is None or error < best[0]):
                 best = (error, len(tried) - 1, model)
         if best is None:
-            raise ValueError("no combination has a validation error")
+            raise ValueError("no combination has a finite validation error")
         tested = rmse_of_predicted(als_predict(best[2], test), test).first()["rmse"]
     finally:
         for part in parts:

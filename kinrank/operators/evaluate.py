@@ -28,13 +28,13 @@ def _squared_error(clamped: bool = False) -> Column:
 
 def rmse_all_rows(predictions: DataFrame, test: DataFrame) -> DataFrame:
     """Root mean squared error over **all** held-out rows; a row without a prediction adds
-    nothing to the error but counts in the mean."""
+    nothing to the error but counts in the mean. Null when no row has a prediction."""
     joined = test.select("user_id", "product_id", "rating").join(
         predictions.select("user_id", "product_id", "prediction"),
         ["user_id", "product_id"],
         "left",
     )
-    total = F.coalesce(F.sum(_squared_error()), F.lit(0.0))
+    total = F.sum(_squared_error())
     return joined.agg(
         F.sqrt(F.try_divide(total, F.count("*"))).alias("rmse"), F.count("*").alias("n")
     )
@@ -54,10 +54,11 @@ def rmse_of_predicted(
 ) -> DataFrame:
     """The same for rows that carry both their rating and their prediction: no join.
 
-    Over all rows of ``held_out`` if it is given, else over the predicted rows.
+    Over all rows of ``held_out`` if it is given, else over the predicted rows; null when
+    nothing was predicted.
     """
     sums = predicted.agg(
-        F.coalesce(F.sum(_squared_error(clamped)), F.lit(0.0)).alias("_total"),
+        F.sum(_squared_error(clamped)).alias("_total"),
         F.count("*").alias("n"),
     )
     if held_out is not None:
@@ -85,6 +86,20 @@ def mean_baseline(split: DataFrame) -> DataFrame:
     return sums.select("mean_rating", F.sqrt(squared).alias("rmse"), "n")
 
 
+def least_error(tried: DataFrame) -> DataFrame:
+    """``tried`` with ``is_best``: the first row, by ``trial``, of the least ``rmse_valid``.
+
+    Only finite errors compete: a model that scored nothing (null) or ran away (NaN,
+    infinite) never wins. With none left every row is false.
+    """
+    error = F.col("rmse_valid")
+    finite = error.isNotNull() & ~F.isnan(error) & (F.abs(error) < float("inf"))
+    best = tried.where(finite).agg(F.min(F.struct("rmse_valid", "trial")).alias("best"))
+    chosen = F.col("trial") == F.col("best.trial")
+    # one row beside all
+    return tried.join(F.broadcast(best)).withColumn("is_best", F.coalesce(chosen, F.lit(False))).drop("best")
+
+
 def improvement_pct(baseline: Column, model: Column) -> Column:
     """By how many percent the model's error is below the baseline's."""
     return (baseline - model) / baseline * 100

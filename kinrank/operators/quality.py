@@ -28,11 +28,13 @@ def invalid_ratings(
 ) -> DataFrame:
     """The rows that break a rule, with the first rule broken as ``reason``.
 
-    The bounds themselves are valid. NaN counts as above the range.
+    The bounds themselves are valid. NaN counts as above the range; a null rating is no
+    rating.
     """
     known = names.select("product_id").distinct().withColumn("_known", F.lit(True))
     reason = (
-        F.when(F.col("rating") < low, "below range")
+        F.when(F.col("rating").isNull(), "no rating")
+        .when(F.col("rating") < low, "below range")
         .when(F.col("rating") > high, "above range")
         .when(F.col("_known").isNull(), "unknown product")
     )
@@ -51,21 +53,47 @@ def require_valid(ratings: DataFrame, names: DataFrame, **bounds) -> DataFrame:
     return ratings
 
 
+def _not_seen():
+    return F.col("rating") == 0
+
+
+def impossible_marks(marks: DataFrame) -> DataFrame:
+    """Marks of ad-hoc people that are no mark: null, NaN, below 0 or above 5."""
+    rating = F.col("rating")
+    possible = F.coalesce(rating.between(0, HIGHEST_RATING), F.lit(False))
+    return marks.where(~possible).select("user_id", "product_id", "rating")
+
+
 def clean_adhoc(ratings: DataFrame) -> DataFrame:
-    """Drop the 0 = "not seen" marks of people who bring their own ratings; keep 1..5."""
-    return ratings.where(F.col("rating").between(1, HIGHEST_RATING)).select(
-        "user_id", "product_id", "rating"
+    """Drop the 0 = "not seen" marks of people who bring their own ratings, and only those.
+
+    A mark that is none fails the query when it is read, wherever it turns up; use
+    ``require_adhoc`` to learn of it at once, or ``impossible_marks`` to see them.
+    """
+    rating = F.col("rating")
+    possible = F.coalesce(rating.between(0, HIGHEST_RATING), F.lit(False))
+    checked = F.when(possible, rating).otherwise(
+        F.raise_error(F.concat(F.lit("a mark outside 0 to 5: "), F.coalesce(rating.cast("string"), F.lit("null"))))
+    )
+    return (
+        ratings.select("user_id", "product_id", checked.alias("rating")).where(~_not_seen())
     )
 
 
 def adhoc_users_without_ratings(ratings: DataFrame) -> DataFrame:
     """People all of whose marks are dropped by ``clean_adhoc``."""
-    kept = F.count_if(F.col("rating").between(1, HIGHEST_RATING))
+    kept = F.count_if(~_not_seen())
     return ratings.groupBy("user_id").agg(kept.alias("_kept")).where("_kept = 0").select("user_id")
 
 
 def require_adhoc(ratings: DataFrame) -> DataFrame:
-    """Cleaned ad-hoc ratings, or ``NoRatingsError`` when somebody has none left."""
+    """Cleaned ad-hoc ratings.
+
+    ``InvalidRatingsError`` when a mark is outside 0 to 5, ``NoRatingsError`` when somebody
+    has none but 0.
+    """
+    if not impossible_marks(ratings).isEmpty():
+        raise InvalidRatingsError("a mark outside 0 to 5")
     if not adhoc_users_without_ratings(ratings).isEmpty():
         raise NoRatingsError("somebody provided no rating")
     return clean_adhoc(ratings)
@@ -131,7 +159,9 @@ def user_histories(
     no array holds more than ``span`` entries however much one user rates, and reading a
     user's chunks in order gives the whole history in product order.
     """
-    rows = ratings.withColumn("chunk", F.floor(F.col("product_id") / span).cast("int"))
+    # whole-number division in BIGINT; down, not towards zero, for negative ids
+    product, size = F.col("product_id").cast("bigint"), F.lit(span).cast("bigint")
+    rows = ratings.withColumn("chunk", F.call_function("div", product - F.pmod(product, size), size))
     if targets is not None:
         # shuffled again by chunk: else all rows of a user would stay where they were joined
         rows = ratings_of(rows, targets).repartition("user_id", "chunk")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kinrank.operators import quality
 from kinrank.operators.topn import candidate_counts
 from kinrank.plans.registry import query
-from kinrank.plans.sql import MARKS, RATINGS, with_
+from kinrank.plans.sql import DAILY_MARKS, MARKS, RATINGS, with_
 from kinrank.sources import tables
 
 
@@ -33,11 +33,12 @@ def adhoc_ratings_clean(spark, folder):
 
 
 @query(
-    with_(MARKS)
-    + "SELECT user_id FROM marks GROUP BY user_id HAVING max(rating) < 1"
+    with_(DAILY_MARKS)
+    + "SELECT user_id FROM daily_marks GROUP BY user_id HAVING max(rating) < 1"
 )
 def adhoc_users_empty(spark, folder):
-    return quality.adhoc_users_without_ratings(tables.signup_marks(spark, folder))
+    """People, one for each day a user signed up on, who left only "not seen" marks."""
+    return quality.adhoc_users_without_ratings(tables.signup_marks(spark, folder, daily=True))
 
 
 @query(
@@ -71,7 +72,7 @@ def ratings_summary(spark, folder):
 
 @query(
     with_(RATINGS)
-    + """SELECT user_id, product_id // 25 AS chunk, count(*) AS n_ratings,
+    + """SELECT user_id, CAST(product_id // 25 AS BIGINT) AS chunk, count(*) AS n_ratings,
        string_agg(product_id || ':' || rating, ' ' ORDER BY product_id) AS history
 FROM ratings GROUP BY user_id, product_id // 25"""
 )

@@ -165,3 +165,48 @@ def improvement_pct(spark, folder):
         F.round("m", 6).alias("model_rmse"),
         F.round(evaluate.improvement_pct(F.col("b"), F.col("m")), 6).alias("improvement_pct"),
     )
+
+
+_TRIED = """
+family AS (
+  SELECT user_id, product_id // 4 AS family, sum(rating) AS total, count(*) AS n
+  FROM ratings WHERE ts_s % 10 <= 3 GROUP BY 1, 2),
+middle AS (SELECT avg(rating) AS m FROM ratings WHERE ts_s % 10 <= 3),
+grid(trial, reg) AS (VALUES (0, 0.1::DOUBLE), (1, 10.0::DOUBLE)),
+shrunk AS (
+  SELECT trial, reg, rating, (total + reg * m) / (n + reg) AS prediction
+  FROM grid, middle, ratings AS r LEFT JOIN family AS f
+    ON f.user_id = r.user_id AND f.family = r.product_id // 4
+  WHERE ts_s % 10 = 4),
+tried AS (
+  SELECT trial, reg, sqrt(sum((prediction - rating) * (prediction - rating)) / count(*)) AS error
+  FROM shrunk GROUP BY trial, reg)"""
+
+
+@query(
+    with_(RATINGS, _TRIED)
+    + """SELECT trial, reg, round(error, 6) AS rmse_valid,
+       row_number() OVER (ORDER BY error, trial) = 1 AS is_best FROM tried"""
+)
+def grid_choice(spark, folder):
+    """The better of two weights of the overall mean in a user's family means."""
+    split = splits.split_ts_digit(tables.event_ratings(spark, folder))
+    train = split.where(F.col("split") == splits.TRAIN)
+    valid = split.where(F.col("split") == splits.VALID)
+    family = F.floor(F.col("product_id") / 4).cast("int")
+    sums = train.groupBy("user_id", family.alias("family")).agg(
+        F.sum("rating").alias("total"), F.count("*").alias("n")
+    )
+    middle = train.agg(F.avg("rating")).scalar()
+    pairs = valid.select("user_id", "product_id", family.alias("family")).join(
+        sums, ["user_id", "family"]
+    )
+    tried = None
+    for trial, reg in enumerate((0.1, 10.0)):
+        shrunk = (F.col("total") + reg * middle) / (F.col("n") + reg)
+        error = evaluate.rmse_all_rows(pairs.withColumn("prediction", shrunk), valid)
+        row = error.select(
+            F.lit(trial).alias("trial"), F.lit(reg).alias("reg"), F.col("rmse").alias("rmse_valid")
+        )
+        tried = row if tried is None else tried.unionByName(row)
+    return evaluate.least_error(tried).withColumn("rmse_valid", F.round("rmse_valid", 6))

@@ -1,7 +1,9 @@
 """Latent-factor recommendation.
 
-Fitting is iterative, so SQL can say which pairs are predicted and recommended but not with
-what score; the tests hold the scores to their definitions.
+Fitting is iterative, so SQL can't give the scores. What it can give are the rows and the
+properties that a right fit has by definition: that each user's factors solve their normal
+equations, that a prediction is the product of its factors, and how many products of what
+kind are recommended. Queries for those compare measured properties with SQL.
 """
 
 from __future__ import annotations
@@ -10,9 +12,8 @@ from pyspark.sql import functions as F
 
 from kinrank.operators import als, splits
 from kinrank.operators.evaluate import rmse_of_predicted
-from kinrank.operators.quality import clean_adhoc
 from kinrank.plans.registry import query
-from kinrank.plans.sql import RATINGS, with_
+from kinrank.plans.sql import MARKS, RATINGS, with_
 from kinrank.session import written
 from kinrank.sources import tables
 
@@ -91,11 +92,12 @@ def als_topk_with_rated(spark, folder):
   EXCEPT SELECT user_id, product_id FROM ratings) AS unrated"""
 )
 def als_unrated_pairs(spark, folder):
-    """The hundred best unrated products of every user, which here are all there are."""
+    """As many products for every user as the catalogue has: all that are unrated."""
     ratings = written(tables.event_ratings(spark, folder))
     model = als.als_fit(ratings, **MODEL)
     names = tables.part_names(spark, folder)
-    return als.als_recommend(model, ratings, names, n=100).select("user_id", "product_id")
+    recommended = als.als_recommend(model, ratings, names, n=max(1, names.count()))
+    return recommended.select("user_id", "product_id")
 
 
 @query()
@@ -103,7 +105,7 @@ def als_recommend_adhoc(spark, folder):
     """Ten products for everybody who left marks at signup."""
     return als.als_recommend_adhoc(
         tables.event_ratings(spark, folder),
-        clean_adhoc(tables.signup_marks(spark, folder)),
+        tables.signup_marks(spark, folder),
         tables.part_names(spark, folder),
         **MODEL,
     )
@@ -116,3 +118,174 @@ def als_grid_search(spark, folder):
         split.where(F.col("split") == part) for part in (splits.TRAIN, splits.VALID, splits.TEST)
     )
     return als.als_grid(train, valid, test)
+
+
+# A component of the normal equations' residual, relative to the sum of its terms.
+TOLERANCE = 1e-3
+
+SUPPLIED = """
+supplied AS (
+  SELECT CAST(o_custkey AS INTEGER) AS user_id, CAST(l_suppkey AS INTEGER) AS product_id,
+         CAST(1 + floor((avg(l_quantity) - 1) / 10) AS INTEGER) AS rating
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_suppkey)"""
+
+
+def _dot(a: str, b: str):
+    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
+    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+
+
+def _solved(model, ratings, regularisation, weight, target, counted, gram=None):
+    """Whether each user's factors u solve ``(reg * n + gram + sum w v v') u = sum t v``.
+
+    The residual must vanish beside the terms it is made of. ``gram`` is the product of all
+    product factors with themselves, in implicit fits.
+    """
+    rank = model.rank
+    users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u"))
+    products = model.itemFactors.select(F.col("id").alias("product_id"), F.col("features").alias("v"))
+    rows = ratings.join(products, "product_id").join(users, "user_id")
+    pull = weight * _dot("u", "v") - target
+    sums = rows.groupBy("user_id").agg(
+        F.count("*").alias("n_ratings"),
+        F.sum(counted.cast("double")).alias("n"),
+        F.first("u").alias("u"),
+        *[F.sum(F.col("v")[d] * pull).alias(f"g{d}") for d in range(rank)],
+        *[F.sum(F.abs(F.col("v")[d] * weight * _dot("u", "v")) + F.abs(F.col("v")[d] * target)).alias(f"s{d}") for d in range(rank)],
+    )
+    solved = F.lit(True)
+    for d in range(rank):
+        own = regularisation * F.col("n") * F.col("u")[d].cast("double")
+        residual, scale = F.col(f"g{d}") + own, F.col(f"s{d}") + F.abs(own)
+        if gram is not None:
+            terms = [F.lit(float(gram[d][e])) * F.col("u")[e].cast("double") for e in range(rank)]
+            residual = sum(terms, residual)
+            scale = sum(map(F.abs, terms), scale)
+        solved = solved & (F.abs(residual) <= TOLERANCE * scale)
+    return sums.select("user_id", "n_ratings", solved.alias("solved"))
+
+
+_EVERY_USER = "SELECT user_id, count(*) AS n_ratings, true AS solved FROM supplied GROUP BY user_id"
+
+
+@query(with_(SUPPLIED) + _EVERY_USER)
+def als_normal_equations(spark, folder):
+    """Explicit fit: every customer's factors solve their least squares."""
+    ratings = written(tables.order_ratings(spark, folder))
+    model = als.als_fit(ratings, **MODEL)
+    rating = F.col("rating").cast("double")
+    return _solved(model, ratings, MODEL["regularisation"], F.lit(1.0), rating, F.lit(1))
+
+
+@query(with_(SUPPLIED) + _EVERY_USER)
+def als_implicit_normal_equations(spark, folder):
+    """Implicit fit on signed confidences: the weighted equations hold for every customer."""
+    shifted = F.col("rating").cast("double") - 2.5
+    ratings = written(tables.order_ratings(spark, folder).withColumn("rating", shifted))
+    rank, regularisation = 10, 1.0
+    model = als.als_fit(ratings, rank, 10, regularisation, implicit=True)
+    v = F.col("features")
+    cells = [F.sum(v[d].cast("double") * v[e]).alias(f"c{d}_{e}") for d in range(rank) for e in range(rank)]
+    found = list(model.itemFactors.agg(*cells).first())
+    gram = [found[d * rank : (d + 1) * rank] for d in range(rank)]
+    liked = F.col("rating") > 0
+    target = F.when(liked, 1 + F.abs("rating")).otherwise(0.0)
+    return _solved(model, ratings, regularisation, F.abs("rating"), target, liked, gram)
+
+
+@query(
+    with_(SUPPLIED)
+    + """, hashed AS (
+  SELECT *, (CAST(user_id AS BIGINT) * 7919 + product_id * 104729) % 1009 % 10 AS digit
+  FROM supplied),
+train AS (SELECT * FROM hashed WHERE digit < 8)
+SELECT user_id, product_id, rating, true AS is_product FROM hashed
+WHERE digit >= 8 AND user_id IN (SELECT user_id FROM train)
+  AND product_id IN (SELECT product_id FROM train)"""
+)
+def als_predictions_are_products(spark, folder):
+    """Each held-out prediction beside the product of its factors."""
+    train, test = _parts(spark, folder)
+    model = als.als_fit(train, **MODEL)
+    users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u"))
+    products = model.itemFactors.select(F.col("id").alias("product_id"), F.col("features").alias("v"))
+    rows = als.als_predict(model, test.drop("split")).join(users, "user_id").join(products, "product_id")
+    error = F.abs(F.col("prediction") - _dot("u", "v"))
+    return rows.select("user_id", "product_id", "rating", (error < 1e-4).alias("is_product"))
+
+
+def _described(recommended, rated, names):
+    """Of each user's recommendations: how many, how many rated or without a name, and
+    whether scores descend by position from 1 on without a gap."""
+    known = rated.select(F.col("user_id").cast("int").alias("user_id"), F.col("product_id").cast("int").alias("product_id"))
+    named = names.select(F.col("product_id").cast("int").alias("product_id")).distinct()
+    marked = (
+        recommended.join(known.withColumn("_rated", F.lit(1)), ["user_id", "product_id"], "left")
+        .join(named.withColumn("_named", F.lit(1)), "product_id", "left")
+    )
+    above = marked.select("user_id", (F.col("pos") + 1).alias("pos"), F.col("score").alias("_above"))
+    marked = marked.join(above, ["user_id", "pos"], "left")
+    in_order = F.when(F.col("pos") == 1, True).otherwise(F.coalesce(F.col("score") <= F.col("_above"), F.lit(False)))
+    return marked.groupBy("user_id").agg(
+        F.count("*").alias("n_recommended"),
+        F.countDistinct("product_id").alias("n_products"),
+        F.count("_rated").alias("n_rated"),
+        (F.count("*") - F.count("_named")).alias("n_nameless"),
+        F.bool_and(in_order).alias("descends"),
+    )
+
+
+def _expected(limit: int, rated_too: bool) -> str:
+    left = "" if rated_too else " - count(*) FILTER (WHERE product_id IN (SELECT s_suppkey FROM supplier))"
+    return (
+        with_(SUPPLIED)
+        + f""", offered AS (
+  SELECT count(DISTINCT product_id) AS n FROM supplied WHERE product_id IN (SELECT s_suppkey FROM supplier)),
+each_user AS (
+  SELECT user_id, least({limit}, any_value(n){left}) AS n_recommended
+  FROM supplied, offered GROUP BY user_id)
+SELECT user_id, n_recommended, n_recommended AS n_products, 0::BIGINT AS n_rated,
+  0::BIGINT AS n_nameless, true AS descends FROM each_user WHERE n_recommended > 0"""
+    )
+
+
+@query(_expected(10, False))
+def als_recommend_described(spark, folder):
+    """Ten unrated suppliers for every customer, in order."""
+    recommended = _recommend(spark, folder, 10, True)
+    return _described(recommended, tables.order_ratings(spark, folder), tables.supplier_names(spark, folder))
+
+
+@query(_expected(30, True))
+def als_topk_described(spark, folder):
+    """Thirty suppliers for every customer, rated ones not held back."""
+    recommended = _recommend(spark, folder, 30, False)
+    nobody = tables.order_ratings(spark, folder).where(F.lit(False))
+    return _described(recommended, nobody, tables.supplier_names(spark, folder))
+
+
+@query(
+    with_(RATINGS, MARKS)
+    + """, mine AS (SELECT user_id, product_id FROM marks WHERE rating BETWEEN 1 AND 5),
+offered AS (
+  SELECT DISTINCT product_id FROM (SELECT product_id FROM ratings UNION ALL SELECT product_id FROM mine)
+  WHERE product_id IN (SELECT p_partkey FROM part)),
+each_user AS (
+  SELECT user_id, least(10, (SELECT count(*) FROM offered)
+    - count(*) FILTER (WHERE product_id IN (SELECT product_id FROM offered))) AS n_recommended
+  FROM mine GROUP BY user_id)
+SELECT CAST(user_id AS INTEGER) AS user_id, n_recommended, n_recommended AS n_products,
+  0::BIGINT AS n_rated, 0::BIGINT AS n_nameless, true AS descends
+FROM each_user WHERE n_recommended > 0"""
+)
+def als_adhoc_described(spark, folder):
+    """Ten products for everybody who left marks at signup, none of those they marked."""
+    marks = tables.signup_marks(spark, folder).where("rating > 0")
+    return _described(als_recommend_adhoc(spark, folder), marks, tables.part_names(spark, folder))
+
+
+@query()
+def als_rmse_scored(spark, folder):
+    """Error of the explicit fit over the held-out rows that have a prediction."""
+    train, test = _parts(spark, folder)
+    return rmse_of_predicted(als.als_predict(als.als_fit(train, **MODEL), test))

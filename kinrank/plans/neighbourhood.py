@@ -30,12 +30,16 @@ def user_neighbours(spark, folder):
 
 
 @query(
-    with_(*_ALL_NEAREST) + "SELECT user_id, neighbour_id, n, round(sim, 6) AS sim FROM near"
+    with_(RATINGS, similarities("ratings", "ratings"))
+    + """SELECT user_id, neighbour_id, n, round(sim, 6) AS sim FROM sims
+WHERE neighbour_id - user_id BETWEEN 1 AND 20"""
 )
 def user_similarity(spark, folder):
-    """Similarity of every user to their neighbours, pair by pair."""
+    """Similarity of every user to those with the next twenty ids, whatever its sign."""
     ratings = _ratings(spark, folder)
-    pairs = neighbours.user_neighbours(ratings).select("user_id", "neighbour_id")
+    steps = F.explode(F.sequence(F.lit(1), F.lit(20)))
+    pairs = ratings.select("user_id").distinct().withColumn("_step", steps)
+    pairs = pairs.select("user_id", (F.col("user_id") + F.col("_step")).alias("neighbour_id"))
     return neighbours.pair_similarity(ratings, pairs).withColumn("sim", F.round("sim", 6))
 
 

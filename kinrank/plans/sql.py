@@ -20,6 +20,14 @@ marks AS (
          MAX(LEAST(5, CAST(floor(value / 25) AS INTEGER))) AS rating
   FROM events WHERE event_type = 'signup' GROUP BY 1, 2)"""
 
+# the same, each day of a user a person of its own
+DAILY_MARKS = """
+daily_marks AS (
+  SELECT -1 - (user_id * 100000 + CAST(floor(epoch(ts) / 86400) AS BIGINT)) AS user_id,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS product_id,
+         MAX(LEAST(5, CAST(floor(value / 25) AS INTEGER))) AS rating
+  FROM events WHERE event_type = 'signup' GROUP BY 1, 2)"""
+
 BASKETS = """
 basket_items AS (
   SELECT DISTINCT l_orderkey AS order_id, p_brand AS item

@@ -46,12 +46,20 @@ def raw_event_scores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def signup_marks(spark: SparkSession, folder: str) -> DataFrame:
-    """Marks 0..5 people bring along at signup, under negative ids; 0 is "not seen"."""
+def signup_marks(spark: SparkSession, folder: str, daily: bool = False) -> DataFrame:
+    """Marks 0..5 people bring along at signup, under negative ids; 0 is "not seen".
+
+    A person is a user, or with ``daily`` a user on one day.
+    """
+    person = F.col("user_id").cast("bigint")
+    if daily:
+        person = person * 100_000 + F.unix_date(F.to_date("ts")).cast("bigint")
+    else:
+        person = F.col("user_id")
     return (
         table(spark, folder, "events")
         .where(F.col("event_type") == "signup")
-        .groupBy((-1 - F.col("user_id")).alias("user_id"), event_product().alias("product_id"))
+        .groupBy((-1 - person).alias("user_id"), event_product().alias("product_id"))
         .agg(F.max(F.least(F.lit(5), F.floor(F.col("value") / 25).cast("int"))).alias("rating"))
     )
 

@@ -36,6 +36,7 @@ TYPES = {
     "bigint": "BIGINT",
     "double": "DOUBLE",
     "string": "VARCHAR",
+    "boolean": "BOOLEAN",
 }
 
 

@@ -26,7 +26,7 @@ def test_predicted_rows_need_no_join(frame):
     every, scored = e.rmse_of_predicted(predicted, test), e.rmse_of_predicted(predicted)
     assert every.collect() == e.rmse_all_rows(predictions, test).collect()
     assert scored.collect() == e.rmse_scored_rows(predictions, test).collect()
-    assert e.rmse_of_predicted(predicted.limit(0), test).first()["rmse"] == 0.0
+    assert e.rmse_of_predicted(predicted.limit(0), test).first()["rmse"] is None
     assert e.rmse_of_predicted(predicted.limit(0)).first()["rmse"] is None
 
 
@@ -38,7 +38,7 @@ def test_clamped_error(frame):
 
 def test_nothing_to_score(frame):
     test, predictions = frame([(1, 1, 1.0)]), frame([], PREDICTIONS)
-    assert e.rmse_all_rows(predictions, test).first()["rmse"] == 0.0
+    assert e.rmse_all_rows(predictions, test).first()["rmse"] is None
     assert e.rmse_scored_rows(predictions, test).first()["rmse"] is None
     assert e.rmse_all_rows(predictions, frame([])).first()["rmse"] is None
 
@@ -94,3 +94,13 @@ def test_a_missing_name_is_null(spark, frame):
     recs = frame([(1, 1, 5.0), (1, 2, 4.0)], "user_id bigint, product_id bigint, score double")
     named = {r["product_id"]: r["name"] for r in with_names(top_n(recs), names).collect()}
     assert named == {1: "one", 2: None}
+
+
+def test_only_finite_errors_compete(spark):
+    schema = "trial int, rmse_valid double"
+    tried = spark.createDataFrame([(0, float("nan")), (1, None), (2, 0.5), (3, 0.5), (4, float("inf"))], schema)
+    assert {r["trial"]: r["is_best"] for r in e.least_error(tried).collect()} == {
+        0: False, 1: False, 2: True, 3: False, 4: False,
+    }
+    none = spark.createDataFrame([(0, float("nan")), (1, None)], schema)
+    assert not any(r["is_best"] for r in e.least_error(none).collect())

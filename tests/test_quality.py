@@ -80,3 +80,29 @@ def test_histories_of_targets(spark, frame):
     targets = spark.createDataFrame([(2,)], "user_id bigint")
     found = q.user_histories(frame([(1, 1, 1.0), (2, 1, 1.0)]), targets).collect()
     assert [r["user_id"] for r in found] == [2]
+
+
+@pytest.mark.parametrize("mark", [6.0, -3.0, float("nan"), None])
+def test_an_impossible_mark_is_refused(frame, mark):
+    marks = frame([(-1, 1, mark), (-1, 2, 4.0)])
+    with pytest.raises(q.InvalidRatingsError):
+        q.require_adhoc(marks)
+    with pytest.raises(Exception, match="outside 0 to 5"):
+        q.clean_adhoc(marks).collect()
+    assert q.impossible_marks(marks).count() == 1
+
+
+def test_marks_below_one_are_kept_and_zeros_dropped(frame):
+    marks = frame([(-1, 1, 0.5), (-1, 2, 0.0), (-1, 3, 4.0)])
+    assert sorted(r["rating"] for r in q.require_adhoc(marks).collect()) == [0.5, 4.0]
+
+
+def test_a_null_rating_is_invalid(spark, frame):
+    names = spark.createDataFrame([(1, "a")], "product_id bigint, name string")
+    assert [r["reason"] for r in q.invalid_ratings(frame([(1, 1, None)]), names).collect()] == ["no rating"]
+
+
+def test_chunks_of_large_and_negative_ids(frame):
+    rows = [(1, 2**53 + 1, 1.0), (1, 2**40, 2.0), (1, -1, 3.0)]
+    found = {r["chunk"] for r in q.user_histories(frame(rows), span=1000).collect()}
+    assert found == {(2**53 + 1) // 1000, 2**40 // 1000, -1}
