@@ -10,6 +10,8 @@ from kinrank.plans.sql import BASKETS, with_
 from kinrank.sources import tables
 
 MIN_SUPPORT = 0.005
+# An order has seven lines at most, so no basket holds more brands.
+LARGEST = 7
 
 
 def _sets_of(size: int) -> str:
@@ -29,7 +31,7 @@ _FREQUENT = with_(
     "\nleast AS (SELECT CAST(ceil(0.005 * count(DISTINCT order_id)) AS BIGINT) AS n "
     "FROM basket_items)",
     "\nfrequent AS (SELECT items, freq FROM ("
-    + " UNION ALL ".join(_sets_of(size) for size in (1, 2, 3, 4))
+    + " UNION ALL ".join(_sets_of(size) for size in range(1, LARGEST + 1))
     + ") AS s, least WHERE freq >= n)",
 )
 

@@ -12,6 +12,7 @@ from kinrank.functions.scores import binary_label, clamp, implicit_shift
 from kinrank.operators import evaluate, splits
 from kinrank.plans.registry import query
 from kinrank.plans.sql import HASHED, RATINGS, with_
+from kinrank.session import written
 from kinrank.sources import tables
 
 _PREDICTED = """
@@ -37,8 +38,13 @@ def _family_means(train, pairs):
     )
 
 
+def _ratings(spark, folder):
+    """Both parts of a split read them, so they are derived from the events once."""
+    return written(tables.event_ratings(spark, folder))
+
+
 def _hashed_parts(spark, folder):
-    split = splits.split_hash(tables.event_ratings(spark, folder), 8)
+    split = splits.split_hash(_ratings(spark, folder), 8)
     train = split.where(F.col("split") == splits.TRAIN)
     test = split.where(F.col("split") == splits.TEST)
     return train, test
@@ -155,7 +161,7 @@ model AS (
 FROM baseline AS b, model AS m"""
 )
 def improvement_pct(spark, folder):
-    split = splits.split_ts_digit(tables.event_ratings(spark, folder))
+    split = splits.split_ts_digit(_ratings(spark, folder))
     train = split.where(F.col("split") == splits.TRAIN)
     test = split.where(F.col("split") == splits.TEST)
     baseline = evaluate.mean_baseline(split).select("rmse").scalar()
@@ -190,7 +196,7 @@ tried AS (
 )
 def grid_choice(spark, folder):
     """The better of two weights of the overall mean in a user's family means."""
-    split = splits.split_ts_digit(tables.event_ratings(spark, folder))
+    split = splits.split_ts_digit(_ratings(spark, folder))
     train = split.where(F.col("split") == splits.TRAIN)
     valid = split.where(F.col("split") == splits.VALID)
     family = F.floor(F.col("product_id") / 4).cast("int")

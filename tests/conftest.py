@@ -6,7 +6,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-from kinrank.session import local_session  # noqa: E402
+from kinrank.session import local_session, release_tables  # noqa: E402
 
 DATA = "/root/testdata"
 
@@ -16,6 +16,7 @@ def spark():
     session = local_session(8, 8)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release_tables(session)
     session.stop()
 
 

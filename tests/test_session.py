@@ -1,9 +1,10 @@
+import os
 from types import SimpleNamespace
 
 import pytest
 from compare import rows_of_spark
 
-from kinrank.session import ensure_checkpoint_dir, written
+from kinrank.session import ensure_checkpoint_dir, forget, release_tables, scratch, written
 
 
 def fake(master, conf):
@@ -45,3 +46,25 @@ def test_written(spark, frame):
     assert rows_of_spark(table) == rows_of_spark(ratings)
     folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
     assert all(folder in file for file in table.inputFiles())
+
+
+def _there(table):
+    return os.path.isdir(table.written_path.removeprefix("file:"))
+
+
+def test_tables_go_when_they_are_done_with(spark, frame):
+    ratings = frame([(1, 2, 3.0)])
+    before = written(ratings)
+    with scratch(spark):
+        inside = written(ratings)
+        assert inside.count() == 1
+    assert _there(before) and not _there(inside)
+    forget(before)
+    assert not _there(before)
+
+
+def test_all_tables_of_a_session_can_be_released(spark, frame):
+    table = written(frame([(1, 2, 3.0)]))
+    release_tables(spark)
+    assert not _there(table)
+    assert written(frame([(1, 2, 3.0)])).count() == 1
