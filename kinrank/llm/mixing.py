@@ -69,17 +69,26 @@ def classifier(docs: DataFrame, domain: str, labelled: int = LABELLED) -> Pipeli
     return PipelineModel([index, bayes])
 
 
+def _settled(frame: DataFrame, **columns: Column) -> DataFrame:
+    """``frame`` with further columns, computed once for each row.
+
+    What is built on a plain column may be merged with its expression, which would then be
+    evaluated anew at every use; behind a generator there are only values.
+    """
+    struct = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return frame.select(*frame.columns, F.inline(F.array(struct)))
+
+
 def _posteriors(docs: DataFrame, model: PipelineModel) -> DataFrame:
     """``row, tokens, p``: softmax of the log likelihoods, tempered by the length."""
     guessed = model.stages[1].transform(_prepared(_packed(docs)))
+    known = _settled(guessed.select("row", "tokens", "rawPrediction"), log=vector_to_array("rawPrediction"))
     cool = F.greatest(F.lit(1.0), F.col("tokens") / EVIDENCE)
-    log = guessed.select("row", "tokens", cool.alias("cool"), vector_to_array("rawPrediction").alias("log"))
-    weights = F.transform("log", lambda x: F.exp((x - F.array_max("log")) / F.col("cool")))
-    return log.select("row", "tokens", weights.alias("w")).select(
-        "row",
-        "tokens",
-        F.transform("w", lambda x: x / F.aggregate("w", F.lit(0.0), lambda a, y: a + y)).alias("p"),
-    )
+    known = _settled(known.select("row", "tokens", "log"), most=F.array_max("log"), cool=cool)
+    known = _settled(known, w=F.transform("log", lambda x: F.exp((x - F.col("most")) / F.col("cool"))))
+    known = _settled(known, whole=F.aggregate("w", F.lit(0.0), lambda a, y: a + y))
+    known = _settled(known, p=F.transform("w", lambda x: x / F.col("whole")))
+    return known.select("row", "tokens", "p")
 
 
 def _rate(steps, floor: float) -> Column:
@@ -117,7 +126,7 @@ def fit_mixture(
     width = range(len(domains))
     rate = F.col("rate")
     totals = lambda steps: list(
-        table.withColumn("rate", _rate(steps, floor))
+        _settled(table, rate=_rate(steps, floor))
         .agg(*[F.coalesce(F.sum(rate * F.col("tokens") * F.col("p")[i]), F.lit(0.0)) for i in width])
         .first()
     )
@@ -168,7 +177,7 @@ def rates(docs: DataFrame, mixture: Mixture | None) -> DataFrame:
             F.lit(1.0).alias("rate"),
             F.lit(1).alias("copies"),
         )
-    found = _posteriors(docs, mixture.classifier).withColumn("rate", _rate(mixture.steps, mixture.floor))
+    found = _settled(_posteriors(docs, mixture.classifier), rate=_rate(mixture.steps, mixture.floor))
     best = F.array_max("p")
     names = F.array(*[F.lit(d) for d in mixture.domains])
     return found.select(
@@ -185,6 +194,6 @@ def mixed(docs: DataFrame, mixture: Mixture | None) -> DataFrame:
     """The rows of ``docs`` with all their columns, each as often as its copies say."""
     if mixture is None:
         return docs
-    found = _posteriors(docs, mixture.classifier).withColumn("rate", _rate(mixture.steps, mixture.floor))
-    repeated = found.withColumn("copies", _copies()).filter("copies > 0")
+    found = _settled(_posteriors(docs, mixture.classifier), rate=_rate(mixture.steps, mixture.floor))
+    repeated = _settled(found, copies=_copies()).filter("copies > 0")
     return repeated.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
