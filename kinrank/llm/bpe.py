@@ -22,8 +22,10 @@ from kinrank.llm.tables import texts
 from kinrank.llm.worker import remembered
 
 # Pieces a worker remembers, and bytes of text it works on at once.
-REMEMBERED = 250_000
-AT_ONCE = 4 << 20
+REMEMBERED = 200_000
+AT_ONCE = 2 << 20
+# What DuckDB may hold in one worker.
+MEMORY = "240MB"
 # Longer pieces are contracted at all places of the minimum rank in one round.
 LONG = 64
 LONG_AT_ONCE = 32 << 10
@@ -87,7 +89,7 @@ class Codec:
         self.known: dict[bytes, bytes] = {}
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         # One thread, so that the sorted rows of a text are put together in their order.
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
         left, right, merged = [], [], []
         for token, rank in self.ranks.items():
             for i in range(1, len(token)):
