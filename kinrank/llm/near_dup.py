@@ -308,6 +308,7 @@ def _labels(docs: DataFrame, members: DataFrame, width: int, percent: int, liste
             .filter("low <> high")
             .select("key", "p.o", "p.pivot", "p.of", "p.pn", "size")
         )
+        pivots = written(pivots)
         if turn == PIVOTS:
             break
         meetings = (
@@ -370,16 +371,16 @@ def near_copies(
     signer = signer or Signer()
     sketches = written(_sketches(docs, width, signer))
     usable = sketches.filter("set_id IS NOT NULL AND doc_id IS NOT NULL")
+    # Equal sets have equal keys: aggregated before any shuffle, however many copies there are.
     classes = written(
         usable.groupBy("set_id").agg(
-            F.min("doc_id").alias("doc"), F.max("doc_id").alias("last"), F.first("n_shingles").alias("n")
+            F.min("doc_id").alias("doc"), F.min("n_shingles").alias("n"), F.min_by("keys", "doc_id").alias("keys")
         )
     )
-    first = usable.join(classes.select("set_id", "doc"), "set_id").filter("doc_id = doc")
-    first = first.dropDuplicates(["set_id"])
-    keys = first.select(F.explode("keys").alias("key"), "doc", F.col("n_shingles").alias("n"))
+    keys = classes.select(F.explode("keys").alias("key"), "doc", "n")
     shared = keys.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low <> high")
-    members = written(keys.join(shared.select("key"), "key"))
+    # Written first, so that the join reads both sides from shuffles and can split hot keys.
+    members = written(keys.join(written(shared.select("key")), "key"))
     labels = _labels(docs, members, width, percent, listed, block)
     # Equal sets are one class; rows that repeat an id tie their classes together.
     named = classes.join(labels, "doc", "left").select(
