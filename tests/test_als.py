@@ -1,6 +1,7 @@
 """Factor models have no SQL to agree with; they are held to their definitions."""
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -8,8 +9,9 @@ from pyspark.sql import functions as F
 
 from kinrank.operators import als
 from kinrank.operators.evaluate import mean_baseline, rmse_all_rows
-from kinrank.operators.quality import NoRatingsError, UnknownUserError
+from kinrank.operators.quality import InvalidRatingsError, NoRatingsError, UnknownUserError
 from kinrank.operators.recommenders import FactorRecommender
+from kinrank.plans.factors import _solved
 from kinrank.sources.provider import RatingData
 
 PARAMETERS = {"rank": 4, "iterations": 5, "regularisation": 0.1}
@@ -185,3 +187,42 @@ def test_block_counts_are_passed_on(ratings, model):
     assert other.userFactors.count() == model.userFactors.count()
     assert other.userFactors.rdd.getNumPartitions() == 3
     assert other.itemFactors.rdd.getNumPartitions() == 2
+
+
+def test_a_grid_in_which_nothing_is_scored_raises(frame, rows):
+    strangers = frame([(5000, 1, 3.0), (5001, 2, 3.0)])
+    with pytest.raises(ValueError, match="finite"):
+        als.als_grid(frame(rows), strangers, strangers, ranks=(2,), iterations=(1,))
+
+
+def test_blocks_follow_the_ratings(monkeypatch, ratings):
+    asked = {}
+
+    class Asked(als.ALS):
+        def __init__(self, **parameters):
+            asked.update(parameters)
+            super().__init__(**parameters)
+
+    monkeypatch.setattr(als, "ALS", Asked)
+    monkeypatch.setattr(als, "RATINGS_PER_BLOCK", 10)
+    als.als_fit(ratings, rank=2, iterations=1)
+    assert asked["numUserBlocks"] == asked["numItemBlocks"] == -(-ratings.count() // 10)
+    als.als_fit(ratings, rank=2, iterations=1, user_blocks=3, product_blocks=2)
+    assert (asked["numUserBlocks"], asked["numItemBlocks"]) == (3, 2)
+
+
+def test_an_impossible_mark_is_refused(frame, ratings, names):
+    with pytest.raises(InvalidRatingsError):
+        als.als_recommend_adhoc(ratings, frame([(-1, 1, 6.0), (-1, 2, 4.0)]), names, **PARAMETERS)
+
+
+def test_unsolved_normal_equations_are_noticed(model, ratings):
+    def solved(user_factors):
+        fitted = SimpleNamespace(rank=model.rank, userFactors=user_factors, itemFactors=model.itemFactors)
+        rating = F.col("rating")
+        found = _solved(fitted, ratings, PARAMETERS["regularisation"], F.lit(1.0), rating, F.lit(1))
+        return {r["solved"] for r in found.collect()}
+
+    assert solved(model.userFactors) == {True}
+    off = F.transform("features", lambda x: x * 1.05)
+    assert False in solved(model.userFactors.withColumn("features", off))
