@@ -12,14 +12,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from kinrank.llm.tables import texts
-from kinrank.llm.worker import remembered
+from kinrank.llm.worker import remembered, slices, without_collection
 
 # Pieces a worker remembers, and bytes of text it works on at once.
 REMEMBERED = 200_000
@@ -230,18 +230,6 @@ def codec(ranks: bytes, pattern: str) -> Codec:
     return remembered(key, lambda: Codec(ranks, pattern))
 
 
-def _slices(values: Iterable[str]) -> Iterator[list[str]]:
-    some, size = [], 0
-    for value in values:
-        some.append(value)
-        size += len(value)
-        if size >= AT_ONCE:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
-
-
 def tokens(docs: DataFrame, path: str, pattern: str, keep: str = "digests") -> DataFrame:
     """One row per document, encoded with the ranks in ``path`` and decoded again.
 
@@ -259,9 +247,10 @@ def tokens(docs: DataFrame, path: str, pattern: str, keep: str = "digests") -> D
         coder = codec(ranks.value, pattern)
         for batch in batches:
             done = 0
-            for some in _slices(v.as_py() for v in batch.column("text")):
-                ids = coder.encode(some)
-                decoded = coder.decode(ids)
+            for some in slices((v.as_py() for v in batch.column("text")), AT_ONCE):
+                with without_collection():
+                    ids = coder.encode(some)
+                    decoded = coder.decode(ids)
                 result = {"doc_id": batch.column("doc_id").slice(done, len(some))}
                 done += len(some)
                 if values:

@@ -10,11 +10,14 @@ unpacks a block at once. Files are in ascending order of documents, as their nam
 from __future__ import annotations
 
 import hashlib
+import os
+import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinrank.llm.tables import texts
-from kinrank.llm.worker import remembered
+from kinrank.llm.worker import remembered, slices, without_collection
 from kinrank.session import ensure_checkpoint_dir
 
 BLOCK = 4096
@@ -33,7 +36,11 @@ MAGIC = b"IDBLOCKS"
 TRAILER = "<8sIIQQQ"
 # Blocks packed or unpacked at once.
 SPAN = 64
-REMEMBERED = 250_000
+# Words, and runs of letters, that a worker remembers; characters it works on at once.
+REMEMBERED = 400_000
+AT_ONCE = 1 << 20
+# Latin-1 letters, each one character in every normal form of composed text.
+LATIN = "À-ÖØ-öø-ÿ"
 
 
 def bits_for(vocabulary: int) -> int:
@@ -161,26 +168,74 @@ class Reader:
 
 
 class WordEncoder:
-    """Ids of texts by the tokenizers library, which drops white space: what lies between
-    spaces, tabs and line ends is encoded once and remembered."""
+    """Ids of texts by the tokenizers library, which drops white space.
+
+    What lies between spaces, tabs and line ends is encoded once and remembered. If it is
+    plain (ASCII but for the apostrophe, and single-character Latin-1 letters), the library
+    always parts it where letters meet other characters, so runs of letters are remembered,
+    too, in lower case, and go to the library's BPE model directly. All else goes through
+    the whole tokenizer.
+    """
 
     def __init__(self, definition: str):
+        # One thread: the cores belong to other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         # Strings like special tokens are ordinary text.
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.plain = re.compile(f"[!-&(-~{LATIN}]*").fullmatch
+        self.runs = re.compile(f"[A-Za-z{LATIN}]+|[^A-Za-z{LATIN}]+").findall
+        # How the library writes the bytes of a letter.
+        latin = [chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha() and re.match(f"[{LATIN}]", chr(c))]
+        self.written = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in latin})
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.packed = [i.to_bytes(4, "little") for i in range(size)]
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _library(self, words: list[str]) -> list[bytes]:
+        found = []
+        for start in range(0, len(words), 1024):
+            some = self.tokenizer.encode_batch_fast(words[start : start + 1024], add_special_tokens=False)
+            found += [np.array(f.ids, dtype="<u4").tobytes() for f in some]
+        return found
+
+    def _runs(self, word: str) -> list[str] | None:
+        """The runs of a plain word in lower case, or None."""
+        if word.isascii():
+            if "'" in word or not word.isprintable():
+                return None
+        elif not self.plain(word):
+            return None
+        return [word.lower()] if word.isalpha() else self.runs(word.lower())
+
+    def _learn(self, words: Iterable[str]) -> None:
+        runs = {word: self._runs(word) for word in words}
+        whole = [word for word, found in runs.items() if found is None]
+        self.known.update(zip(whole, self._library(whole), strict=True))
+        for word in whole:
+            del runs[word]
+        other = []
+        for run in set(chain.from_iterable(runs.values())) - self.parts.keys():
+            if run[0].isalpha():
+                spelt = run if run.isascii() else run.translate(self.written)
+                self.parts[run] = b"".join([self.packed[t.id] for t in self.model.tokenize(spelt)])
+            else:
+                other.append(run)
+        self.parts.update(zip(other, self._library(other), strict=True))
+        parts, known = self.parts, self.known
+        for word, found in runs.items():
+            known[word] = parts[found[0]] if len(found) == 1 else b"".join([parts[r] for r in found])
 
     def encode(self, batch: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        for memory in (self.known, self.parts):
+            if len(memory) > REMEMBERED:
+                memory.clear()
         words = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in batch]
-        new = list(set().union(*words) - self.known.keys())
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.known.update((w, np.array(f.ids, dtype="<u4").tobytes()) for w, f in zip(some, found, strict=True))
+        self._learn(set().union(*words) - self.known.keys())
         ids = self.known.__getitem__
         return [b"".join(map(ids, w)) for w in words]
 
@@ -215,11 +270,12 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int,
         with store.open_output_stream(draft) as sink:
             writer = Writer(sink, bits)
             for batch in batches:
-                for start in range(0, batch.num_rows, 500):
-                    part = batch.slice(start, 500)
-                    found = encoder.encode(part.column("text").to_pylist())
-                    for doc_id, ids in zip(part.column("doc_id").to_pylist(), found, strict=True):
-                        writer.add(doc_id, np.frombuffer(ids + closing, dtype="<u4"))
+                ids_of_docs = iter(batch.column("doc_id").to_pylist())
+                for some in slices((v.as_py() for v in batch.column("text")), AT_ONCE):
+                    with without_collection():
+                        found = encoder.encode(some)
+                    for ids in found:
+                        writer.add(next(ids_of_docs), np.frombuffer(ids + closing, dtype="<u4"))
             writer.close()
         store.move(draft, name)
         yield pa.RecordBatch.from_pydict(

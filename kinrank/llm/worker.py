@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import sys
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterable, Iterator
+from contextlib import contextmanager
 from types import ModuleType
 from typing import TypeVar
 
@@ -21,3 +23,28 @@ def remembered(key: Hashable, make: Callable[[], T]) -> T:
     if key not in values:
         values[key] = make()
     return values[key]
+
+
+def slices(values: Iterable[str], size: int) -> Iterator[list[str]]:
+    """Consecutive texts of about ``size`` characters together, or one longer text."""
+    some, held = [], 0
+    for value in values:
+        some.append(value)
+        held += len(value)
+        if held >= size:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
+
+
+@contextmanager
+def without_collection() -> Iterator[None]:
+    """No search for reference cycles while very many small objects, none in a cycle, are made."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
