@@ -22,7 +22,7 @@ from kinrank.llm.tables import texts
 from kinrank.llm.worker import remembered, slices, without_collection
 
 # Pieces a worker remembers, and bytes of text it works on at once.
-REMEMBERED = 200_000
+REMEMBERED = 120_000
 AT_ONCE = 2 << 20
 # What DuckDB may hold in one worker.
 MEMORY = "240MB"
@@ -77,7 +77,6 @@ class Codec:
     """Encodes and decodes with the ranks of a tiktoken file and its splitting pattern."""
 
     def __init__(self, ranks: bytes, pattern: str):
-        import duckdb
         import regex
 
         self.ranks = {
@@ -88,8 +87,6 @@ class Codec:
         self.cut: dict[str, bytes] = {}
         self.known: dict[bytes, bytes] = {}
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        # One thread, so that the sorted rows of a text are put together in their order.
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
         left, right, merged = [], [], []
         for token, rank in self.ranks.items():
             for i in range(1, len(token)):
@@ -98,17 +95,31 @@ class Codec:
                     left.append(a)
                     right.append(b)
                     merged.append(rank)
-        self._table("merges", l=pa.array(left, pa.int32()), r=pa.array(right, pa.int32()), merged=pa.array(merged, pa.int64()))
+        self.merges = {"l": pa.array(left, pa.int32()), "r": pa.array(right, pa.int32()), "merged": pa.array(merged, pa.int64())}
+        # Bytes as the first 256 code points.
+        self.vocabulary = {
+            "id": pa.array(list(self.ranks.values()), pa.int32()),
+            "piece": pa.array([t.decode("latin-1") for t in self.ranks], pa.string()),
+        }
+        self.db = None
+
+    def _open(self) -> None:
+        import duckdb
+
+        # One thread, so that the sorted rows of a text are put together in their order.
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
+        self._table("merges", **self.merges)
+        self._table("vocabulary", **self.vocabulary)
         self.db.execute(
             "CREATE TABLE unsafe AS SELECT DISTINCT greatest(l, r) AS id FROM merges WHERE merged < greatest(l, r)"
             " UNION SELECT DISTINCT least(l, r) FROM merges WHERE merged < least(l, r)"
         )
-        # Bytes as the first 256 code points.
-        self._table(
-            "vocabulary",
-            id=pa.array(list(self.ranks.values()), pa.int32()),
-            piece=pa.array([t.decode("latin-1") for t in self.ranks], pa.string()),
-        )
+
+    def rest(self) -> None:
+        """Give back DuckDB's memory between tasks; what is remembered stays."""
+        if self.db is not None:
+            self.db.close()
+            self.db = None
 
     def _table(self, name: str, **columns) -> None:
         rows = pa.table(columns)
@@ -117,6 +128,8 @@ class Codec:
         self.db.unregister("rows")
 
     def _query(self, name: str, sql: str, **columns) -> pa.Table:
+        if self.db is None:
+            self._open()
         self.db.register(name, pa.table(columns))
         result = self.db.sql(sql).to_arrow_table()
         self.db.unregister(name)
@@ -245,21 +258,24 @@ def tokens(docs: DataFrame, path: str, pattern: str, keep: str = "digests") -> D
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(ranks.value, pattern)
-        for batch in batches:
-            done = 0
-            for some in slices((v.as_py() for v in batch.column("text")), AT_ONCE):
-                with without_collection():
-                    ids = coder.encode(some)
-                    decoded = coder.decode(ids)
-                result = {"doc_id": batch.column("doc_id").slice(done, len(some))}
-                done += len(some)
-                if values:
-                    result |= {"ids": pa.array(ids, pa.binary()), "decoded": pa.array(decoded, pa.binary())}
-                else:
-                    result["n_tokens"] = pa.array([len(i) // 4 for i in ids], pa.int64())
-                    for name, data in (("ids_sha256", ids), ("decoded_sha256", decoded)):
-                        result[name] = pa.array([hashlib.sha256(d).hexdigest() for d in data], pa.string())
-                yield pa.RecordBatch.from_pydict(result)
+        try:
+            for batch in batches:
+                done = 0
+                for some in slices((v.as_py() for v in batch.column("text")), AT_ONCE):
+                    with without_collection():
+                        ids = coder.encode(some)
+                        decoded = coder.decode(ids)
+                    result = {"doc_id": batch.column("doc_id").slice(done, len(some))}
+                    done += len(some)
+                    if values:
+                        result |= {"ids": pa.array(ids, pa.binary()), "decoded": pa.array(decoded, pa.binary())}
+                    else:
+                        result["n_tokens"] = pa.array([len(i) // 4 for i in ids], pa.int64())
+                        for name, data in (("ids_sha256", ids), ("decoded_sha256", decoded)):
+                            result[name] = pa.array([hashlib.sha256(d).hexdigest() for d in data], pa.string())
+                    yield pa.RecordBatch.from_pydict(result)
+        finally:
+            coder.rest()
 
     frame = texts(docs)
     columns = "ids binary, decoded binary" if values else "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
