@@ -94,10 +94,8 @@ def least_error(tried: DataFrame) -> DataFrame:
     """
     error = F.col("rmse_valid")
     finite = error.isNotNull() & ~F.isnan(error) & (F.abs(error) < float("inf"))
-    best = tried.where(finite).agg(F.min(F.struct("rmse_valid", "trial")).alias("best"))
-    chosen = F.col("trial") == F.col("best.trial")
-    # one row beside all
-    return tried.join(F.broadcast(best)).withColumn("is_best", F.coalesce(chosen, F.lit(False))).drop("best")
+    best = tried.where(finite).agg(F.min(F.struct("rmse_valid", "trial")).alias("best")).scalar()
+    return tried.withColumn("is_best", F.coalesce(F.col("trial") == best.trial, F.lit(False)))
 
 
 def improvement_pct(baseline: Column, model: Column) -> Column:
