@@ -32,7 +32,7 @@ from kinrank.session import written
 CHUNKS, LENGTH, ERRORS = 10, 5, 1
 PERCENT = 80
 # Pivots tried before the rest of a group is compared in full.
-PIVOTS = 8
+PIVOTS = 4
 # Up to this many texts a group's pairs are listed; beyond, blocks of this many are compared.
 LISTED = 32
 BLOCK = 256
@@ -228,20 +228,22 @@ def _ordered(one, other):
 def _blocks_of_links(rows: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
     """Links of large groups: each pair of blocks of a group is compared inside a task.
 
-    ``rows`` are ``key, doc, n, size``. A task returns links enough to join what belongs
-    together, at most one for each text.
+    ``rows`` are ``key, doc, label, size``. Texts of one label belong together already, so a
+    task returns each pair of different labels that a link joins, once.
     """
     parts = rows.withColumn("parts", F.ceil(F.col("size") / block).cast("int")).withColumn(
         "own", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
     )
     cells = parts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "key", "doc", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own"
+        "key", "doc", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    )
+    cells = cells.join(sets, F.col("doc") == F.col("doc_id")).select(
+        "key", "i", "j", "label", "shingles"
     )
-    cells = cells.join(sets, F.col("doc") == F.col("doc_id")).select("key", "i", "j", "doc", "shingles")
     kind = dict(rows.dtypes)["doc"]
 
     def compare(table: pa.Table) -> pa.Table:
-        ids = table.column("doc").to_numpy()
+        ids = table.column("label").to_numpy()
         column = table.column("shingles").combine_chunks()
         flat = column.values.to_numpy()
         lengths = np.diff(column.offsets.to_numpy())
@@ -262,15 +264,10 @@ def _blocks_of_links(rows: DataFrame, sets: DataFrame, percent: int, block: int)
             common += matrix @ matrix.T
         union = lengths[:, None] + lengths[None, :] - common
         linked = common.astype(np.float64) * 100 >= union.astype(np.float64) * percent
-        label = np.arange(len(ids))
-        while True:
-            low = np.where(linked, label[None, :], len(ids)).min(axis=1)
-            low = np.minimum(low, label)[np.minimum(low, label)]
-            if (low == label).all():
-                break
-            label = low
-        joined = label != np.arange(len(ids))
-        return pa.table({"a": pa.array(ids[label[joined]]), "b": pa.array(ids[joined])})
+        names, label = np.unique(ids, return_inverse=True)
+        one, other = np.nonzero(linked & (label[:, None] < label[None, :]))
+        joined = np.unique(label[one] * len(names) + label[other])
+        return pa.table({"a": pa.array(names[joined // len(names)]), "b": pa.array(names[joined % len(names)])})
 
     return cells.groupBy("key", "i", "j").applyInArrow(compare, f"a {kind}, b {kind}")
 
@@ -346,7 +343,7 @@ def _labels(docs: DataFrame, members: DataFrame, width: int, percent: int, liste
     # Keys that join the very same texts need only one comparison.
     same = large.groupBy("key").agg(F.sum(F.xxhash64("doc").cast("decimal(20,0)")).alias("of"), F.max("size").alias("s"))
     once = same.groupBy("of", "s").agg(F.min("key").alias("key")).select("key")
-    big = large.join(once, "key", "left_semi").select("key", "doc", "n", "size")
+    big = large.join(once, "key", "left_semi").select("key", "doc", "label", "size")
     links = written(links.unionByName(_blocks_of_links(big, sets, percent, block)))
     return labels if links.isEmpty() else _relabelled(labels, links)
 
