@@ -1,9 +1,9 @@
 """Near-copies among embeddings by spherical k-means cells.
 
-Centroids are fitted on a bounded sample; every vector is assigned. A vector is at home in
-the cell of its nearest centroid and visits all cells whose centroid is nearer than its best
-one less a margin, so that links across a border are seen from at least one side. Visitors
-are compared with those at home in blocks, as matrix products in double precision; a
+Centroids are fitted on a bounded sample for each length of vectors; every vector is
+assigned. A vector is at home in the cell of its nearest centroid and visits all cells whose
+border is so near that half a link may cross it, so that no link across a border is missed
+from both sides, whatever the data look like (see ``_visits``). Visitors are compared with those at home in blocks, as matrix products in double precision; a
 block's task returns for each vector how many it is linked with, and one link towards the
 smallest of what it joins, never the pairs themselves.
 """
@@ -27,9 +27,10 @@ SAMPLE = 20_000
 CELLS = 16_384
 ROUNDS = 8
 BLOCK = 1024
-# Margin in standard deviations of what a random step to a partner at the threshold
-# changes in the difference of two centroids' cosines.
-MARGIN = 1.6
+# Cosines of rows and centroids held at once.
+AT_ONCE = 2_000_000
+# Part of the bound on half a link that decides about visits: at 1 no link is lost.
+MARGIN = 1.0
 
 
 def spherical_kmeans(sample: np.ndarray, cells: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -72,27 +73,53 @@ def _usable(column: str = "embedding"):
     )
 
 
-def _assigned(classes: DataFrame, centroids: np.ndarray, width: int, margin: float) -> DataFrame:
-    """``id, weight, embedding`` with the ``home`` cell and all visited ``cells``."""
+def _visits(units: np.ndarray, centroids: np.ndarray, threshold: float, margin: float) -> tuple[np.ndarray, np.ndarray]:
+    """The home of each unit row, and which cells it visits (its home among them).
+
+    Let x be at home in h and y in c, linked, so that |x - y| <= sqrt(2 - 2 * threshold). By
+    Cauchy-Schwarz (h - c).x + (c - h).y = (h - c).(x - y) is at most that times |h - c|.
+    Neither term on the left is negative, so one of them is at most half of it: x visits c,
+    or y visits h.
+    """
+    near = units @ centroids.T
+    home = near.argmax(axis=1)
+    apart = np.sqrt(np.maximum(0.0, 2 - 2 * (centroids[home] @ centroids.T)))
+    half = np.sqrt(max(0.0, 2 - 2 * threshold)) / 2
+    # The slack is far above what rounding does.
+    visits = near.max(axis=1, keepdims=True) - near <= margin * half * apart + 1e-7
+    visits[np.arange(len(home)), home] = True
+    return home, visits
+
+
+def _assigned(classes: DataFrame, centroids: dict[int, np.ndarray], threshold: float, margin: float) -> DataFrame:
+    """``id, weight, embedding`` with the ``home`` cell and all visited ``cells``.
+
+    Cells are numbered for each length of vectors; one without centroids has a single cell.
+    """
     shared = classes.sparkSession.sparkContext.broadcast(centroids)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
-                near = _units(part.column("embedding"), width) @ shared.value.T
-                home = near.argmax(axis=1)
-                visits = near >= near.max(axis=1, keepdims=True) - margin
-                cells = np.nonzero(visits)[1].astype(np.int32)
-                offsets = np.concatenate([[0], np.cumsum(visits.sum(axis=1))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(part.column(c) for c in ("id", "weight", "embedding")),
-                        pa.array(home.astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells)),
-                    ],
-                    names=["id", "weight", "embedding", "home", "cells"],
-                )
+            lengths = np.diff(batch.column("embedding").offsets.to_numpy())
+            for width in np.unique(lengths):
+                alike = batch.take(pa.array(np.nonzero(lengths == width)[0]))
+                middles = shared.value.get(int(width))
+                if middles is None:
+                    middles = np.eye(1, width)
+                some = max(1, AT_ONCE // max(len(middles), int(width)))
+                for start in range(0, alike.num_rows, some):
+                    part = alike.slice(start, some)
+                    home, visits = _visits(_units(part.column("embedding"), int(width)), middles, threshold, margin)
+                    cells = np.nonzero(visits)[1].astype(np.int32)
+                    offsets = np.concatenate([[0], np.cumsum(visits.sum(axis=1))]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *(part.column(c) for c in ("id", "weight", "embedding")),
+                            pa.array(home.astype(np.int32)),
+                            pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells)),
+                        ],
+                        names=["id", "weight", "embedding", "home", "cells"],
+                    )
 
     kind = dict(classes.dtypes)
     return classes.mapInArrow(
@@ -109,7 +136,7 @@ def _linked(one: np.ndarray, other: np.ndarray, threshold: float) -> np.ndarray:
     return linked
 
 
-def _compare(width: int, threshold: float):
+def _compare(threshold: float):
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         home = table.filter(pc.equal(table["visitor"], False))
@@ -117,6 +144,7 @@ def _compare(width: int, threshold: float):
         empty = pa.table({"id": table["id"].slice(0, 0), "links": pa.array([], pa.int64()), "head": table["id"].slice(0, 0)})
         if not home.num_rows or not guest.num_rows:
             return empty
+        width = home["dim"][0].as_py()
         linked = _linked(_units(guest["embedding"], width), _units(home["embedding"], width), threshold)
         if not linked.any():
             return empty
@@ -170,8 +198,8 @@ def near_vectors(
 ) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``.
 
-    Vectors are linked at a cosine of ``threshold`` or more, and never below it; recall
-    against brute force is measured in the tests. Vectors of different lengths, and vectors
+    Vectors are linked at a cosine of ``threshold`` or more, and never below it; with a
+    ``margin`` of 1 or more every such link is found. Vectors of different lengths, and vectors
     that are null, zero or hold a null or non-finite component, or have no id, link with
     nothing. Identical vectors are compared once and count each other. ``component_id`` is
     the smallest id reachable by links. Rows that repeat an id are one node of the graph;
@@ -185,18 +213,22 @@ def near_vectors(
         .groupBy("embedding")
         .agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"), F.max("vec_id").alias("last"))
     )
-    size = classes.agg(F.count("*"), F.max(F.size("embedding"))).first()
-    if not size[0]:
+    # One row for each length of vectors.
+    sizes = dict(map(tuple, classes.groupBy(F.size("embedding")).count().collect()))
+    if not sizes:
         return rows.select(
             "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
         )
-    width = size[1]
     chosen = classes.orderBy(F.xxhash64("id"), "id").select("embedding").limit(sample)
-    points = _units(pa.array([r[0] for r in chosen.collect()], pa.list_(pa.float64())), width)
-    centroids = spherical_kmeans(points, cells or int(min(CELLS, max(1, 2 * size[0] ** 0.5))))
-    step = margin * float(np.sqrt(2 * max(0.0, 1 - threshold**2) / width))
-    placed = written(_assigned(classes, centroids, width, step))
-    links = written(_links(placed, width, threshold, block))
+    alike: dict[int, list] = {}
+    for (vector,) in chosen.collect():
+        alike.setdefault(len(vector), []).append(vector)
+    centroids = {}
+    for width, some in alike.items():
+        points = _units(pa.array(some, pa.list_(pa.float64())), width)
+        centroids[width] = spherical_kmeans(points, cells or int(min(CELLS, max(1, 2 * sizes[width] ** 0.5))))
+    placed = written(_assigned(classes, centroids, threshold, margin))
+    links = written(_links(placed, threshold, block))
     heads = components(links.select(F.col("id").alias("a"), F.col("head").alias("b")))
     counts = links.groupBy("id").agg(F.sum("links").alias("links"))
     named = (
@@ -216,7 +248,7 @@ def near_vectors(
     return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(placed: DataFrame, width: int, threshold: float, block: int) -> DataFrame:
+def _links(placed: DataFrame, threshold: float, block: int) -> DataFrame:
     """``id, links, head`` from every pair of a block of guests and one of those at home."""
     placed = placed.withColumn("dim", F.size("embedding"))
     visits = placed.withColumn("cell", F.explode("cells"))
@@ -226,21 +258,24 @@ def _links(placed: DataFrame, width: int, threshold: float, block: int) -> DataF
         F.ceil(F.count("*") / block).cast("int").alias("guests"),
     )
     visits = visits.join(sizes.filter("homes > 0"), ["cell", "dim"])
-    columns = ["cell", "dim", "id", "weight", "home", "cells", "embedding"]
+    columns = ["cell", "dim", "id", "weight", "home", "embedding"]
     spread = F.xxhash64("id", F.lit(3))
     guests = visits.select(
         *columns,
+        # Only the visits of those at home are asked for.
+        F.array().cast("array<int>").alias("cells"),
         F.lit(True).alias("visitor"),
         F.explode(F.sequence(F.lit(0), F.col("homes") - 1)).alias("i"),
         F.pmod(spread, F.col("guests")).cast("int").alias("j"),
     )
     home = visits.filter("cell = home").select(
         *columns,
+        "cells",
         F.lit(False).alias("visitor"),
         F.pmod(spread, F.col("homes")).cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("guests") - 1)).alias("j"),
     )
     both = guests.unionByName(home)
     return both.groupBy("cell", "dim", "i", "j").applyInArrow(
-        _compare(width, threshold), "id bigint, links bigint, head bigint"
+        _compare(threshold), "id bigint, links bigint, head bigint"
     )

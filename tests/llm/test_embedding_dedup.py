@@ -58,6 +58,42 @@ def test_without_a_margin_recall_falls(spark):
     assert narrow <= wide == links
 
 
+def pairs_at(rng, cosines, width, span=None):
+    """Pairs at these cosines in ``span`` (orthonormal rows), or in all directions."""
+    span = np.eye(width) if span is None else span
+    rows = []
+    for cosine in cosines:
+        base, step = rng.normal(size=(2, len(span)))
+        base /= np.linalg.norm(base)
+        step -= step @ base * base
+        step /= np.linalg.norm(step)
+        rows += [base @ span, (cosine * base + np.sqrt(1 - cosine**2) * step) @ span]
+    return rows
+
+
+def all_agree(spark, rows):
+    vectors = [(i, v.tolist()) for i, v in enumerate(rows)]
+    expected = {}
+    for width in {len(v) for _, v in vectors}:
+        expected |= brute([(i, v) for i, v in vectors if len(v) == width])
+    found = ed.near_vectors(spark.createDataFrame(vectors, SCHEMA))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found.collect()} == expected
+    assert sum(n for n, _ in expected.values()) >= len(rows) // 2
+
+
+def test_a_long_vector_costs_no_links(spark):
+    rng = np.random.default_rng(4)
+    rows = pairs_at(rng, rng.uniform(0.901, 0.93, 1000), 64)
+    all_agree(spark, [*rows, *pairs_at(rng, [0.95, 0.905], 4096)])
+
+
+@pytest.mark.parametrize("rank", [4, 8])
+def test_few_directions_cost_no_links(spark, rank):
+    rng = np.random.default_rng(rank)
+    span = np.linalg.qr(rng.normal(size=(64, rank)))[0].T
+    all_agree(spark, pairs_at(rng, rng.uniform(0.901, 0.93, 1000), 64, span))
+
+
 def test_odd_vectors_link_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
