@@ -1,7 +1,9 @@
 """License scans by sentence rules.
 
-A text is cut into sentences, each is normalised, and known licence sentences get their
-identifiers. The sequence of identifiers of a document is then matched against rules, which
+A text is cut into pieces at line ends and sentence ends, each is normalised, and runs of
+pieces that make up known licence sentences get their identifiers: a run may span line ends,
+so that hard-wrapped texts match, but neither a blank line nor the end of a sentence. The
+sequence of identifiers of a document is then matched against rules, which
 are ordered sequences of identifiers. Everything happens inside the document's row.
 """
 
@@ -41,6 +43,40 @@ SENTENCES = {
     25: "spdx license identifier gpl 3 0 only",
     26: "all rights reserved",
 }
+_UNLESS = (
+    "unless required by applicable law or agreed to in writing software distributed under the license is distributed"
+    " on an as is basis without warranties or conditions of any kind either express or implied"
+)
+_MIT_GRANT = (
+    f"{SENTENCES[9]} including without limitation the rights to use copy modify merge publish distribute sublicense"
+    " and or sell copies of the software and to permit persons to whom the software is furnished to do so"
+    " subject to the following conditions"
+)
+_MIT_NOTICE = SENTENCES[10].replace("permission notice", "permission notice including the next paragraph")
+_AT_HTTP = f"{SENTENCES[4]} {SENTENCES[5]}"
+_AT_HTTPS = f"{SENTENCES[4]} https{SENTENCES[5].removeprefix('http')}"
+# What the licences really say where it differs from one of the sentences:
+# sentences that go on, and those that are one where a text is not wrapped -> identifiers.
+WHOLE = {
+    f"{SENTENCES[2]} {SENTENCES[3]}": (2, 3),
+    _AT_HTTP: (4, 5),
+    _AT_HTTPS: (4, 5),
+    f"{_AT_HTTP} {_UNLESS}": (4, 5),
+    f"{_AT_HTTPS} {_UNLESS}": (4, 5),
+    f"https{SENTENCES[5].removeprefix('http')}": (5,),
+    _MIT_GRANT: (9,),
+    f"{_MIT_GRANT} {SENTENCES[10]}": (9, 10),
+    _MIT_NOTICE: (10,),
+    f"{_MIT_GRANT} {_MIT_NOTICE}": (9, 10),
+    f"{SENTENCES[11]} express or implied including but not limited to the warranties of merchantability"
+    " fitness for a particular purpose and noninfringement": (11,),
+    # The number of a list's first item; or its items have marks that are no words.
+    f"{SENTENCES[20]} 1": (20,),
+    f"{SENTENCES[20]} {SENTENCES[21]}": (20, 21),
+}
+# Texts of so many words also match behind other words of their piece, such as a copyright
+# line that was joined with them.
+LONG = 12
 # Rule -> (licence, sentences in order).
 RULES = {
     "apache-notice": ("Apache-2.0", (1,)),
@@ -67,22 +103,44 @@ def _marks(ids) -> str:
     return "".join(f"<{i}>" for i in ids)
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences: cut at line ends and behind ``. ! ?``; ASCII letters and
-    digits in lower case, all else one space."""
-    cut = F.split(F.regexp_replace(text, r"([.!?])[ \t\r\n]+", "$1\n"), "\n")
-    return F.transform(cut, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
+# Behind a piece: the end of a sentence, and of a line.
+_STOP, _LINE = "\x01", "\n"
+
+
+def pieces(text: Column) -> Column:
+    """Normalised pieces, each between two marks of where it was cut: at line ends, and
+    behind ``. ! ?``; ASCII letters and digits in lower case, all else one space."""
+    cut = F.regexp_replace(F.translate(F.lower(text), _STOP, " "), r"[.!?][ \t\r\n]+", _STOP)
+    clean = F.concat(F.lit(_LINE), F.regexp_replace(cut, rf"[^a-z0-9{_LINE}{_STOP}]+", " "), F.lit(_LINE))
+    return F.regexp_replace(clean, rf" ?([{_LINE}{_STOP}]) ?", "$1")
 
 
-def identifiers(text: Column, known: dict[int, str] = SENTENCES) -> Column:
-    """The known sentences of a text, in order: '<7><12>'."""
-    table = F.create_map(*[x for i, s in known.items() for x in (F.lit(s), F.lit(f"<{i}>"))])
-    found = F.transform(sentences(text), lambda s: F.try_element_at(table, s))
-    return F.array_join(found, "")
+def identifiers(
+    text: Column, known: dict[int, str] = SENTENCES, whole: dict[str, tuple[int, ...]] | None = None
+) -> Column:
+    """The known sentences of a text, in order: '<7><12>'; of those that begin at one piece
+    the longest. ``whole`` has further texts (None: ``WHOLE`` with the usual sentences)."""
+    if whole is None:
+        whole = WHOLE if known is SENTENCES else {}
+    marks = {**{t: _marks(ids) for t, ids in whole.items()}, **{t: _marks([i]) for i, t in known.items()}}
+    if not marks:
+        return F.lit("")
+    # Longest first; between two words of a sentence a line may end.
+    ordered = sorted(marks, key=len, reverse=True)
+    ways = lambda some: "|".join(t.replace(" ", f"[ {_LINE}]") for t in some)
+    regex = rf"(?<=[{_LINE}{_STOP}])(?:{ways(ordered)})(?=[{_LINE}{_STOP}])"
+    if inside := [t for t in ordered if t.count(" ") + 1 >= LONG]:
+        regex += rf"|(?<= )(?:{ways(inside)})(?=[{_LINE}{_STOP}])"
+    table = F.create_map(*[F.lit(x) for item in marks.items() for x in item])
+    found = F.regexp_extract_all(pieces(text), F.lit(regex), F.lit(0))
+    return F.array_join(F.transform(found, lambda s: F.element_at(table, F.translate(s, _LINE, " "))), "")
 
 
 def license_matches(
-    docs: DataFrame, known: dict[int, str] = SENTENCES, rules: dict = RULES
+    docs: DataFrame,
+    known: dict[int, str] = SENTENCES,
+    rules: dict = RULES,
+    whole: dict[str, tuple[int, ...]] | None = None,
 ) -> DataFrame:
     """One row per document and matched rule: ``doc_id, license, rule, n_sentences,
     n_matches``.
@@ -103,7 +161,7 @@ def license_matches(
             for name, (licence, ids) in rules.items()
         ]
     )
-    with_ids = texts(docs).select("doc_id", identifiers(F.col("text"), known).alias("ids")).filter("ids <> ''")
+    with_ids = texts(docs).select("doc_id", identifiers(F.col("text"), known, whole).alias("ids")).filter("ids <> ''")
     found = F.filter(table, lambda r: F.instr(F.col("ids"), r["marks"]) > 0)
     count = "(length(ids) - length(replace(ids, r.marks, ''))) div length(r.marks)"
     return with_ids.withColumn("r", F.explode(found)).select(
@@ -112,7 +170,8 @@ def license_matches(
 
 
 def oracle() -> str:
-    """The same scan in SQL."""
+    """The scan in SQL of texts where each known sentence is one piece: neither wrapped nor
+    one of ``WHOLE``."""
     known = ", ".join(f"('{s}', '<{i}>')" for i, s in SENTENCES.items())
     rules = ", ".join(f"('{n}', '{lic}', {len(ids)}, '{_marks(ids)}')" for n, (lic, ids) in RULES.items())
     return f"""
