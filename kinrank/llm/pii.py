@@ -77,7 +77,8 @@ def _cells(kind: int, text: Column, regex: str, wanted: Column) -> Column:
 
 def occurrences(keyed: DataFrame) -> DataFrame:
     """``key, kind, start, stop, match, before, after`` for base patterns (kinds 0 to 3, valid
-    ones only) and identifier-like tokens (4); ``keyed`` has ``key, text``."""
+    ones only) and identifier-like tokens (4); ``keyed`` has ``key, text``. Rows that repeat a
+    key are one."""
     text = F.col("text")
     wanted = [text.contains("@"), *[text.rlike("[0-9]")] * 2, text.contains("+"), text.rlike("[0-9]")]
     kinds = [_cells(k, text, r, w) for k, (r, w) in enumerate(zip((*PATTERNS, TOKEN), wanted, strict=True))]
@@ -87,6 +88,8 @@ def occurrences(keyed: DataFrame) -> DataFrame:
         .filter(F.size("k.cells") > 1)
         .select("key", F.col("k.kind").alias("kind"), F.posexplode("k.cells").alias("pos", "cell"))
         .select("key", "kind", "pos", "cell.between.size", "cell.between.tail", "cell.between.front", "cell.match")
+        # Pieces of a repeated key would be added up; they are shorter than the texts.
+        .distinct()
     )
     order = Window.partitionBy("key", "kind").orderBy("pos")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

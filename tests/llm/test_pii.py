@@ -61,6 +61,16 @@ def test_base_spans_agree_with_the_plain_expressions(spark):
     check(rows, personal_data(clashing(docs(spark, rows))).collect())
 
 
+def test_repeated_rows_have_the_spans_of_one(spark):
+    mixed = "a 1.2.3.4 b"
+    many = "x@y.co, 4111 1111 1111 1111 and +1 (743) 555-3824 or 9.8.7.6"
+    rows = [(1, mixed)] * 2 + [(None, many)] * 3 + [(2, mixed), (2, many)]
+    found = personal_data(docs(spark, rows)).collect()
+    assert sorted(r.spans for r in found if r.doc_id == 1) == ["ip:2:9"] * 2
+    check(rows, found)
+    assert len({r.spans for r in found if r.doc_id is None}) == 1
+
+
 def test_contexts_discover_what_patterns_miss(spark):
     mails = ["a1@b.co", "c2@d.org", "e3@f.net", "g4@h.com", "i5@j.com", "k6@l.com"]
     write = "Dear reader, contact person reachable via {} for all questions please".format
