@@ -119,7 +119,7 @@ def op7_token_files(spark, sf_dir):
 
     folder = token_files.token_folder(spark)
     files = token_files.write_tokens(
-        documents(spark, sf_dir), folder, public_tokenizers.path(WORDS), WORD_IDS
+        documents(spark, sf_dir), folder, public_tokenizers.path(WORDS), WORD_IDS, added=True
     )
     return token_files.read_tokens(files, folder)
 

@@ -10,6 +10,7 @@ unpacks a block at once. Files are in ascending order of documents, as their nam
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import struct
@@ -174,17 +175,21 @@ class WordEncoder:
     plain (ASCII but for the apostrophe, and single-character Latin-1 letters), the library
     always parts it where letters meet other characters, so runs of letters are remembered,
     too, in lower case, and go to the library's BPE model directly. All else goes through
-    the whole tokenizer.
+    the whole tokenizer. With ``added`` the tokens added to the vocabulary get their ids where
+    a text holds them, as the library does by itself, and words with one go through the whole
+    tokenizer; without, such strings are ordinary text.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, added: bool = False):
         # One thread: the cores belong to other tasks.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        # Strings like special tokens are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        # They may be found in normalised text, so in lower case, too.
+        contents = [t["content"].lower() for t in json.loads(definition).get("added_tokens") or []]
+        self.added = re.compile("|".join(map(re.escape, contents))).search if added and contents else None
         self.model = self.tokenizer.model
         self.plain = re.compile(f"[!-&(-~{LATIN}]*").fullmatch
         self.runs = re.compile(f"[A-Za-z{LATIN}]+|[^A-Za-z{LATIN}]+").findall
@@ -210,6 +215,8 @@ class WordEncoder:
                 return None
         elif not self.plain(word):
             return None
+        if self.added and self.added(word.lower()):
+            return None
         return [word.lower()] if word.isalpha() else self.runs(word.lower())
 
     def _learn(self, words: Iterable[str]) -> None:
@@ -240,17 +247,20 @@ class WordEncoder:
         return [b"".join(map(ids, w)) for w in words]
 
 
-def _encoder(definition: str) -> WordEncoder:
-    key = ("words", hashlib.sha256(definition.encode()).digest())
-    return remembered(key, lambda: WordEncoder(definition))
+def _encoder(definition: str, added: bool) -> WordEncoder:
+    key = ("words", added, hashlib.sha256(definition.encode()).digest())
+    return remembered(key, lambda: WordEncoder(definition, added))
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, end: int = 1) -> DataFrame:
+def write_tokens(
+    docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, end: int = 1, added: bool = False
+) -> DataFrame:
     """Encode all documents, each closed by the id ``end``, into files under ``folder``.
 
     ``tokenizer`` is the path of a tokenizers definition. Returns one row per file, in order:
     ``file, n_docs, n_ids, start``. Documents are in ascending order of ``doc_id`` (nulls
-    first; rows that repeat an id by their text). A null or empty text is the end id alone.
+    first; rows that repeat an id by their text). Strings like the definition's added tokens are
+    ordinary text, or those tokens with ``added``, the library's own way. A null or empty text is the end id alone.
     A file appears under its name when it is complete, so a task that runs again only
     replaces it by the same bytes.
     """
@@ -262,7 +272,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int,
     store.create_dir(place, recursive=True)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, context = _encoder(definition.value), TaskContext.get()
+        encoder, context = _encoder(definition.value, added), TaskContext.get()
         store, place = open_store(folder)
         name = f"{place}/part-{context.partitionId():07d}.ids"
         draft = f"{place}/.{context.partitionId()}-{context.taskAttemptId()}"

@@ -72,6 +72,26 @@ def test_documents_round_trip(spark):
         start += r.n_tokens
 
 
+def test_added_tokens_as_the_library_has_them(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    from kinrank.llm.queries import QUERIES
+
+    library = Tokenizer.from_file(PATH)
+    texts = [
+        "a <|endoftext|> b", "a<|endoftext|>b", "<|startoftext|>Hello<|endoftext|>", "<|EndOfText|>, x", "<|endoftext|",
+        "é<|endoftext|>é it's", "<|endoftext|>\u0338", "🙂<|endoftext|>\r\n<|startoftext|>\t1", "<|endoftext|>" * 9, "plain",
+    ]
+    docs(spark, enumerate(texts)).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: tuple(r)[1:] for r in QUERIES["op7_token_files"](spark, str(tmp_path)).collect()}
+    start = 0
+    for k, text in enumerate(texts):
+        ids = np.array(library.encode(text, add_special_tokens=False).ids + [1], dtype="<u4")
+        assert found.pop(k) == (start, len(ids), zlib.crc32(ids.tobytes())), text
+        start += len(ids)
+    assert not found
+
+
 def test_no_rows(spark):
     folder = tf.token_folder(spark)
     files = tf.write_tokens(docs(spark, []), folder, PATH, 49_408)
