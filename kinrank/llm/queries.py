@@ -7,16 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kinrank.llm import (
+    alignment,
     bpe,
     embedding_dedup,
     exact_dedup,
     licenses,
+    main_text,
     mixing,
     near_dup,
     pii,
     quality,
     sharding,
     token_files,
+    vector_codes,
 )
 from kinrank.llm.tables import documents, table
 
@@ -127,3 +130,24 @@ def op7_token_files(spark, sf_dir):
 @query()
 def op1_pii(spark, sf_dir):
     return pii.personal_data(documents(spark, sf_dir))
+
+
+@query()
+def op11_main_text(spark, sf_dir):
+    return main_text.main_text(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op12_tokenizer_alignment(spark, sf_dir):
+    import public_tokenizers
+
+    return alignment.alignment(
+        documents(spark, sf_dir),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+@query(vector_codes.oracle())
+def op13_vector_codes(spark, sf_dir):
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))

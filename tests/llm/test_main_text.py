@@ -1,0 +1,168 @@
+"""Main text of pages: markup, repeated stretches, and odd rows."""
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from kinrank.llm import main_text as mt
+
+SCHEMA = "page_id bigint, url string, html string"
+
+
+def text_of(page):
+    read = mt.PageReader().read(page)
+    return "\n\n".join(read.content or [t for zone, t in read.blocks if zone == "open"])
+
+
+WORDS = "alpha beta gamma delta"
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<article><h1>Title</h1><p>{WORDS}</p></article>", f"Title\n\n{WORDS}"),
+        (f"<nav>menu</nav><header>top</header><main><p>{WORDS}</main><footer>end</footer>", WORDS),
+        (f"<article><p>one<p>two<br>three<p><b>four</article>", "one\n\ntwo three\n\nfour"),
+        ("<article><p>a  b\n\tc&nbsp;d &amp; &lt;e&gt; &#233; &copy</p></article>", "a b c d & <e> é ©"),
+        ("<article><script>var t='</p>';</script><style>p{}</style><p>kept</article>", "kept"),
+        ("<article><header><h1>T</h1><span>by me</span></header><p>x</p></article>", "T\n\nx"),
+        ("<article><p>x</p><aside>side</aside><div class='share-buttons'>share</div><p>y</p></article>", "x\n\ny"),
+        ("<article><p>x</p><form><label>mail</label><input><button>go</button></form></article>", "x"),
+        ("<article><p>x</p></article><section id='comments'><article><p>reader</p></article></section>", "x"),
+        ("<article><p>x</p><div class='comment-list'><p>reader</p></div></article>", "x"),
+        ("<div class='cookieNotice'>we use</div><div id='main-article'></div><article>x</article>", "x"),
+        ("<nav><ul><li><a>menu<article><p>nav never closed</p></article>", "nav never closed"),
+        ("<article><ul><li>one<li>two</ul><table><tr><td>a<td>b<tr><td>c</table></article>", "one\n\ntwo\n\na b\n\nc"),
+        ("<article><p>bold <b>wo</b>rd and <i>so</i> on</p>tail</article>", "bold word and so on\n\ntail"),
+        ("<article><!-- <p>no</p> --><p>yes</p></article>", "yes"),
+        ("<article><blockquote><p>q</p></blockquote><pre>a\n  b</pre></article>", "q\n\na b"),
+        ("<article><p hidden>no</p><noscript>no</noscript><p>x</p></article>", "x"),
+        ("<article><h2 class='related'>Related work</h2><p>x</p></article>", "Related work\n\nx"),
+        ("<div role='main'><p>x</p></div><div>y</div>", "x"),
+        ("<body class='article sidebar'><div>x</div></body>", "x"),
+        ("<article><p>cut off in the mid", "cut off in the mid"),
+        ("<article><p>x &am</p><p>1 < 2 & 3</p></article>", "x &am\n\n1 < 2 & 3"),
+        ("no markup at all", "no markup at all"),
+        ("<article><nav>only a menu</nav></article>", ""),
+        ("", ""),
+    ],
+)
+def test_markup(page, want):
+    assert text_of(page) == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(
+    ["<p>", "</p>", "<div>", "</div>", "<article>", "</article>", "<nav>", "</nav>", "<li>", "<td>", "text ", "&amp;", "<!--",
+     "-->", "<![CDATA[", "<![x[", "]]>", "<?x", "<!x", "<", ">", "</", "<script>", "</script>", "<b", "='\"", "\x00", "&#x;",
+     "&#99999999;", "<textarea>", "<p/>", "é"]), max_size=30))
+def test_any_markup_is_read(parts):
+    page = mt.PageReader().read("".join(parts))
+    assert all(t == " ".join(t.split()) and t for _, t in page.blocks)
+
+
+def covered_plainly(streams, length, pages):
+    """For each word of each stream: is it in a stretch that enough streams hold?"""
+    where = {}
+    for k, stream in enumerate(streams):
+        for i in range(len(stream) - length + 1):
+            where.setdefault(tuple(stream[i : i + length]), set()).add(k)
+    found = []
+    for stream in streams:
+        covered = [False] * len(stream)
+        for i in range(len(stream) - length + 1):
+            if len(where[tuple(stream[i : i + length])]) >= pages:
+                covered[i : i + length] = [True] * length
+        found.append(covered)
+    return found
+
+
+def test_suffix_order():
+    rng = np.random.default_rng(1)
+    words = rng.integers(0, 3, 400)
+    page = np.sort(rng.integers(0, 9, 400))
+    order, rank = mt.suffix_order(words, page, 4)
+    keys = [tuple(words[i : i + 4]) for i in order]
+    assert keys == sorted(keys)
+    assert [a == b for a, b in zip(keys, keys[1:])] == [a == b for a, b in zip(rank, rank[1:])]
+    assert sorted(order) == [i for i in range(397) if page[i] == page[i + 3]]
+    for n in (0, 1, 3):
+        assert len(mt.suffix_order(words[:n], page[:n], 4)[0]) == 0
+
+
+def site(rng, n_pages, host="h.example"):
+    """Pages without telling markup: menu, some of few notices, text of their own."""
+    menu = "home products services about contact imprint press jobs shop"
+    notices = [" ".join(f"n{k}w{i}" for i in range(12)) for k in range(3)]
+    pages, truth = [], {}
+    for k in range(n_pages):
+        own = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 30)) for _ in range(3)]
+        html = f"<div>{menu}</div><div>{notices[k % 3]}</div>" + "".join(f"<div>{p}</div>" for p in own)
+        pages.append((k, f"https://{host}/{k}", html))
+        truth[k] = "\n\n".join(own)
+    return pages, truth
+
+
+def run(spark, rows):
+    return {r.page_id: r for r in mt.main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+
+
+def test_repetitions_of_a_host_go_and_unique_runs_stay(spark):
+    pages, truth = site(np.random.default_rng(2), 30)
+    got = run(spark, pages)
+    assert {k: r.text for k, r in got.items()} == truth
+    assert all(r.n_chars == len(r.text) for r in got.values())
+
+
+def test_parts_of_a_host_add_up(spark, monkeypatch):
+    """Streams dealt to very small arrays give what one array gives."""
+    pages, truth = site(np.random.default_rng(3), 24)
+    monkeypatch.setattr(mt, "WORDS", 50)
+    assert {k: r.text for k, r in run(spark, pages).items()} == truth
+
+
+def test_coverage_equals_a_plain_program(spark):
+    rng = np.random.default_rng(4)
+    streams = [[f"w{x}" for x in rng.integers(0, 2, rng.integers(1, 40))] for _ in range(12)]
+    rows = [(k, "http://h/", f"<div>{' '.join(s)}</div>") for k, s in enumerate(streams)]
+    read = mt.read_pages(spark.createDataFrame(rows, SCHEMA)).cache()
+    ids = {bytes(r.digest): r.page_id for r in read.collect()}
+    got = {ids[bytes(r.digest)]: r["at"] for r in mt.covered_places(mt.repeated_stretches(read)).collect()}
+    # Equal pages count once.
+    distinct = {tuple(s): s for s in streams}
+    want = dict(zip(distinct, covered_plainly(list(distinct.values()), mt.REPEAT, mt.PAGES)))
+    for k, stream in enumerate(streams):
+        if k in ids.values():
+            covered = [False] * len(stream)
+            for i in got.get(k, []):
+                covered[i : i + mt.REPEAT] = [True] * mt.REPEAT
+            assert covered == want[tuple(stream)]
+
+
+def test_other_hosts_and_copies_are_no_evidence(spark):
+    pages, truth = site(np.random.default_rng(5), 1)
+    (_, _, html) = pages[0]
+    rows = [(k, f"https://host{k}.example/", html) for k in range(5)] + [(9, "https://host0.example/x", html)] * 4
+    got = mt.main_text(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == 9 and {truth[0] in r.text for r in got} == {True}
+    assert len({r.text for r in got}) == 1
+
+
+def test_shared_passages_in_articles_stay(spark):
+    passage = " ".join(f"shared{i}" for i in range(60))
+    rows = [(k, "https://h/", f"<nav>{WORDS} {WORDS} {WORDS}</nav><article><p>{passage}</p><p>own{k}</p></article>") for k in range(9)]
+    assert {k: r.text for k, r in run(spark, rows).items()} == {k: f"{passage}\n\nown{k}" for k in range(9)}
+
+
+def test_odd_rows(spark):
+    long = "x" * 200_000 + " " + "word " * 50_000
+    rows = [(None, None, None), (1, None, ""), (2, "not a url", "<p>text"), (3, "http://[bad", long), (2, "not a url", "<p>text"),
+            (4, "HTTP://User@Host.Example:80/x", "<article></article>")]
+    frame = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS text", "2 AS words", "3 AS digest", "4 AS host", "5 AS at")
+    got = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in mt.main_text(frame).collect()), key=str)
+    whole = " ".join(long.split())
+    want = [(None, None, "", 0), (1, None, "", 0), (2, "not a url", "text", 4), (2, "not a url", "text", 4),
+            (3, "http://[bad", whole, len(whole)), (4, "HTTP://User@Host.Example:80/x", "", 0)]
+    assert got == sorted(want, key=str)
+    assert mt.main_text(spark.createDataFrame([], SCHEMA)).collect() == []
