@@ -163,7 +163,7 @@ def _sums(rows: DataFrame) -> DataFrame:
 def _moved(books: Codebooks, sums: DataFrame) -> Codebooks:
     """Entries replaced by their parts' floored means; the driver sees one row a component."""
     moved = {length: [entries.copy() for entries in parts] for length, parts in books.items()}
-    for row in sums.toLocalIterator():
+    for row in sums.collect():
         mean = int(row["total"]) // row["parts"]
         moved[row["length"]][row["part"]][row["entry"], row["position"]] = mean
     return moved
