@@ -19,8 +19,7 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
-from itertools import accumulate
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +31,14 @@ from kinrank.llm.worker import remembered, slices, without_collection
 from kinrank.session import written
 
 # Stretches of text that a worker remembers, if they are no longer than so many characters.
-REMEMBERED, LONG = 200_000, 64
-# Characters worked on at once.
-AT_ONCE = 1 << 20
+REMEMBERED, LONG = 300_000, 64
+# Characters worked on, and characters given to the tokenizers, at once.
+AT_ONCE, LEARNED = 1 << 20, 1 << 15
+# Links looked up at once.
+LOOKED_UP = 1 << 19
 # A space behind a visible character of ASCII or a letter of the Latin blocks.
 _CUT = re.compile("(?<=[!-~À-ÖØ-öø-ɏ]) ")
+_VISIBLE = re.compile("[!-~À-ÖØ-öø-ɏ]").match
 SPACE = "▁"
 
 # What one stretch of text gives: tokens of A, of B, groups as text, links as packed id pairs.
@@ -69,10 +71,10 @@ class ByteLevel:
             plain = entry in added or any(c not in letters for c in entry)
             self.bytes[k] = entry.encode() if plain else bytes(letters[c] for c in entry)
 
-    def encode(self, some: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+    def encode(self, text: str) -> tuple[list[int], list[int]]:
         """Ids, and the character behind each token."""
-        for found in self.tokenizer.encode_batch(some, add_special_tokens=False):
-            yield found.ids, [end for _, end in found.offsets]
+        (found,) = self.tokenizer.encode_batch([text], add_special_tokens=False)
+        return found.ids, [end for _, end in found.offsets]
 
 
 class Pieces:
@@ -98,14 +100,12 @@ class Pieces:
             and self.model.encode(" a") == probe
         )
 
-    def encode(self, some: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """For texts with a leading space, ids and the byte behind each token."""
-        protos = self.model.encode([s[1:] for s in some], return_type="proto", num_threads=1)
-        for text, proto in zip(some, protos, strict=True):
-            if text == " " and self.space is not None:
-                yield [self.space], [1]
-            else:
-                yield [p.id for p in proto.pieces], [p.end + 1 for p in proto.pieces]
+    def encode(self, text: str) -> tuple[list[int], list[int]]:
+        """For a text with a leading space, ids and the byte behind each token."""
+        if text == " " and self.space is not None:
+            return [self.space], [1]
+        pieces = self.model.encode(text[1:], return_type="proto").pieces
+        return [p.id for p in pieces], [p.end + 1 for p in pieces]
 
 
 class Aligner:
@@ -113,33 +113,69 @@ class Aligner:
 
     def __init__(self, definition: str, model: bytes):
         self.a, self.b = ByteLevel(definition), Pieces(model)
+        self.names = [str(k) for k in range(max(len(self.a.bytes), len(self.b.bytes)))]
         self.known: dict[str, Aligned | None] = {}
 
-    def _one(self, text: str, a: tuple[list[int], list[int]], b: tuple[list[int], list[int]]) -> Aligned | None:
-        (ids_a, ends_a), (ids_b, ends_b) = a, b
-        data = text.encode()
-        bytes_a, bytes_b = [self.a.bytes[k] for k in ids_a], [self.b.bytes[k] for k in ids_b]
-        if b"".join(bytes_a) != data or b"".join(bytes_b) != data:
-            return None
-        if len(data) != len(text):
-            # Tokens may end inside a character: their bytes say where.
-            ends_a, ends_b = list(accumulate(map(len, bytes_a))), list(accumulate(map(len, bytes_b)))
-        groups, links, i, j = [], [], 0, 0
-        width, total_b = len(self.b.bytes), len(ids_b)
-        for k, end in enumerate(ends_a):
-            other = j
-            while other < total_b and ends_b[other] < end:
-                other += 1
-            if other < total_b and ends_b[other] == end:
-                groups.append(f"{','.join(map(str, ids_a[i : k + 1]))}|{','.join(map(str, ids_b[j : other + 1]))}")
-                links.append(ids_a[k] * width + ids_b[other])
-                i, j = k + 1, other + 1
-        return len(ids_a), total_b, ";".join(groups), np.array(links, dtype="<i8").tobytes()
-
-    def _learned(self, stretches: list[str]) -> Iterator[Aligned | None]:
-        for start in range(0, len(stretches), 1024):
-            some = stretches[start : start + 1024]
-            yield from map(self._one, some, self.a.encode(some), self.b.encode(some))
+    def _tokens(self, text: str) -> list[tuple[list[int], np.ndarray]] | None:
+        """Ids of A and of B with the byte behind each token, or None where they are not the text."""
+        data, found = text.encode(), []
+        for side in (self.a, self.b):
+            ids, ends = side.encode(text)
+            parts = [side.bytes[k] for k in ids]
+            if b"".join(parts) != data:
+                return None
+            if len(data) != len(text):
+                # Tokens may end inside a character: their bytes say where.
+                ends = np.cumsum([len(p) for p in parts])
+            found.append((ids, np.array(ends, dtype=np.int64)))
+        return found
+
+    def _together(self, some: list[str]) -> list[Aligned | None]:
+        """Stretches that stand behind each other as in a text."""
+        found = self._tokens("".join([" " + s for s in some]))
+        if found is None:
+            if len(some) == 1:
+                return [None]
+            half = len(some) // 2
+            return self._together(some[:half]) + self._together(some[half:])
+        (ids_a, ends_a), (ids_b, ends_b) = found
+        # A token of A and one of B end at each of these.
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        last_a, last_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
+        width = len(self.b.bytes)
+        links = (np.array(ids_a, dtype=np.int64)[last_a] * width + np.array(ids_b, dtype=np.int64)[last_b]).astype("<i8")
+        groups, names, i, j = [], self.names, 0, 0
+        for a, b in zip((last_a + 1).tolist(), (last_b + 1).tolist(), strict=True):
+            if a - i == 1 and b - j == 1:
+                groups.append(f"{ids_a[i]}|{ids_b[j]}")
+            else:
+                groups.append(f"{','.join([names[k] for k in ids_a[i:a]])}|{','.join([names[k] for k in ids_b[j:b]])}")
+            i, j = a, b
+        stretch_ends = np.cumsum([1 + (len(s) if s.isascii() else len(s.encode())) for s in some])
+        behind = [np.searchsorted(ends, stretch_ends, side="right").tolist() for ends in (ends_a, ends_b, cuts)]
+        aligned, packed, low = [], links.tobytes(), (0, 0, 0)
+        for high in zip(*behind, strict=True):
+            aligned.append(
+                (high[0] - low[0], high[1] - low[1], ";".join(groups[low[2] : high[2]]), packed[8 * low[2] : 8 * high[2]])
+            )
+            low = high
+        return aligned
+
+    def _learn(self, stretches: Iterable[str]) -> dict[str, Aligned | None]:
+        found, together, size = {}, [], 0
+        for stretch in stretches:
+            if self.b.splits and _VISIBLE(stretch[-1:]):
+                together.append(stretch)
+                size += len(stretch)
+                if size >= LEARNED:
+                    found.update(zip(together, self._together(together), strict=True))
+                    together, size = [], 0
+            else:
+                # What follows would not stand apart from it.
+                found[stretch] = self._together([stretch])[0]
+        if together:
+            found.update(zip(together, self._together(together), strict=True))
+        return found
 
     def align(self, batch: list[str]) -> list[Aligned | None]:
         """For each text its tokens, groups and links; None where a text has no tokens."""
@@ -148,10 +184,12 @@ class Aligner:
         known, cut = self.known, _CUT.split if self.b.splits else lambda text: [text]
         # Each stretch begins with the space that the cut took away.
         parts = [cut(text) if text else [] for text in batch]
-        new = list(set().union(*parts) - known.keys())
-        found = dict(zip(new, self._learned([" " + s for s in new]), strict=True))
+        found = self._learn(set().union(*parts) - known.keys())
+        long = {s: aligned for s, aligned in found.items() if len(s) > LONG}
         known.update((s, aligned) for s, aligned in found.items() if len(s) <= LONG)
-        return [self._joined([known[s] if s in known else found[s] for s in some]) for some in parts]
+        if not long:
+            return [self._joined([known[s] for s in some]) for some in parts]
+        return [self._joined([long[s] if s in long else known[s] for s in some]) for some in parts]
 
     @staticmethod
     def _joined(parts: list[Aligned | None]) -> Aligned | None:
@@ -182,6 +220,13 @@ def _shared(spark: SparkSession, definition: str, model: str):
         return spark.sparkContext.broadcast((one.read(), other.read()))
 
 
+def _link_type(definition: str, model: str) -> tuple[pa.DataType, str]:
+    """The smallest type that holds every pair of ids."""
+    with open(definition, encoding="utf-8") as one, open(model, "rb") as other:
+        pairs = len(ByteLevel(one.read()).bytes) * len(Pieces(other.read()).bytes)
+    return (pa.int32(), "int") if pairs < 1 << 31 else (pa.int64(), "bigint")
+
+
 def aligned_texts(docs: DataFrame, definition: str, model: str, keep_groups: bool = False) -> DataFrame:
     """Per document ``doc_id, n_a, n_b, n_groups, groups_sha256, links`` (and ``groups``).
 
@@ -190,6 +235,7 @@ def aligned_texts(docs: DataFrame, definition: str, model: str, keep_groups: boo
     ``a * size of B's vocabulary + b`` for each pair of tokens that end together.
     """
     files = _shared(docs.sparkSession, definition, model)
+    kinds = _link_type(definition, model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, other = files.value
@@ -209,7 +255,7 @@ def aligned_texts(docs: DataFrame, definition: str, model: str, keep_groups: boo
                     "n_groups": pa.array(np.diff(offsets), pa.int64()),
                     "groups_sha256": pa.array([hashlib.sha256(f[2].encode()).hexdigest() if f else "" for f in found]),
                     "links": pa.ListArray.from_arrays(
-                        pa.array(offsets, pa.int32()), pa.array(np.concatenate(links), pa.int64())
+                        pa.array(offsets, pa.int32()), pa.array(np.concatenate(links)).cast(kinds[0])
                     ),
                 }
                 if keep_groups:
@@ -219,7 +265,7 @@ def aligned_texts(docs: DataFrame, definition: str, model: str, keep_groups: boo
 
     frame = texts(docs)
     kind = dict(frame.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, links array<bigint>"
+    schema = f"doc_id {kind}, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, links array<{kinds[1]}>"
     return frame.mapInArrow(rows, schema + ", groups string" * keep_groups)
 
 
@@ -229,7 +275,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, times = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         for batch in batches:
-            flat = batch.column("links").flatten().to_numpy()
+            flat = batch.column("links").flatten().to_numpy().astype(np.int64, copy=False)
             for start in range(0, len(flat), AT_ONCE):
                 new, n = np.unique(flat[start : start + AT_ONCE], return_counts=True)
                 merged, place = np.unique(np.concatenate([pairs, new]), return_inverse=True)
@@ -272,20 +318,24 @@ def alignment(docs: DataFrame, definition: str, model: str) -> DataFrame:
         for batch in batches:
             column = batch.column("links")
             lengths = column.value_lengths().to_numpy()
-            place = np.searchsorted(pairs, column.flatten().to_numpy())
-            # Running sums part at the documents; empty ones have none.
-            edges = np.concatenate([[0], np.cumsum(lengths)])
-            sums, bests = (np.concatenate([[0], np.cumsum(v[place], dtype=np.int64)]) for v in (counts, best))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups")),
-                    pa.array(lengths, pa.int64()),
-                    pa.array(np.diff(bests[edges]), pa.int64()),
-                    pa.array(np.diff(sums[edges]), pa.int64()),
-                    batch.column("groups_sha256"),
-                ],
-                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
-            )
+            # Some rows at a time, so that the looked-up numbers stay few.
+            rows = np.flatnonzero(np.diff(np.cumsum(lengths) // LOOKED_UP, prepend=-1))
+            for low, high in zip(rows, [*rows[1:], batch.num_rows], strict=True):
+                place = np.searchsorted(pairs, column.slice(low, high - low).flatten().to_numpy())
+                edges = np.concatenate([[0], np.cumsum(lengths[low:high])])
+                # Running sums part at the documents; empty ones have none.
+                sums, bests = (np.concatenate([[0], np.cumsum(v[place], dtype=np.int64)]) for v in (counts, best))
+                part = batch.slice(low, high - low)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups")),
+                        pa.array(np.diff(edges)),
+                        pa.array(np.diff(bests[edges])),
+                        pa.array(np.diff(sums[edges])),
+                        part.column("groups_sha256"),
+                    ],
+                    names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
+                )
 
     kind = dict(aligned.dtypes)["doc_id"]
     return aligned.mapInArrow(
