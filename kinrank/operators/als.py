@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor, as_completed
+from dataclasses import dataclass
 from itertools import product as grid
 
 import numpy as np
@@ -12,15 +15,16 @@ import pyarrow.compute as pc
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
+from pyspark.util import inheritable_thread_target
 
 from kinrank.functions.scores import binary_label, block_of, implicit_shift
 from kinrank.operators.blocks import Side, best_per_row, block_count, cell_partitions
 from kinrank.operators.evaluate import rmse_of_predicted
+from kinrank.operators.norm_search import bounded_recommend
 from kinrank.operators.quality import ratings_of, require_adhoc, with_adhoc
 from kinrank.operators.splits import TEST, TRAIN
 from kinrank.operators.topn import top_n
-from kinrank.session import ensure_checkpoint_dir, written
+from kinrank.session import ensure_checkpoint_dir, forget, written
 
 # Default training parameters.
 RANK = 10
@@ -28,6 +32,9 @@ ITERATIONS = 20
 REGULARISATION = 1.0
 SEED = 42
 
+# Combinations of a grid that are fitted at the same time.
+TRIALS_AT_ONCE = 4
+
 # Ratings that one in-memory block of a fit should hold.
 RATINGS_PER_BLOCK = 2_000_000
 
@@ -104,13 +111,17 @@ def als_recommend(
     exclude_rated: bool = True,
     block_users: int = BLOCK_USERS,
     block_products: int = BLOCK_PRODUCTS,
+    bounded: bool = True,
 ) -> DataFrame:
     """The ``n`` best predicted catalogue products of each target (everybody by default).
 
-    Users and products are hashed into blocks. A cell scores one block of users against
-    one block of products as a matrix product, blanks out what its users already rated,
-    and returns ``n`` products per user. However much a user rated, a cell only ever sees
-    the ratings that fall into its block of products.
+    A catalogue of more than one block of products is searched by norms, see
+    :mod:`kinrank.operators.norm_search`, with blocks as bands, so that most products are
+    never scored; the result is the same. A smaller one, or any with ``bounded=False``, is
+    scored in full: users and products are hashed into blocks. A cell scores one block of
+    users against one block of products as a matrix product, blanks out what its users
+    already rated, and returns ``n`` products per user. However much a user rated, a cell
+    only ever sees the ratings that fall into its block of products.
     """
     users = model.userFactors.withColumnRenamed("id", "user_id")
     if targets is not None:
@@ -125,7 +136,13 @@ def als_recommend(
     elif targets is not None:
         rated = ratings_of(rated, users)
 
-    n_users, n_products, n_rated = users.count(), products.count(), rated.count()
+    n_products = products.count()
+    if bounded and n_products > block_products:
+        return bounded_recommend(
+            model, ratings, names, targets, n=n, exclude_rated=exclude_rated, block_users=block_users,
+            band_products=block_products,
+        )
+    n_users, n_rated = users.count(), rated.count()
     cores = ratings.sparkSession.sparkContext.defaultParallelism
     pb = block_count(Side(n_products, n_products, 1), block_products, block_products, 1)
     ub = block_count(
@@ -223,6 +240,71 @@ def als_recommend_adhoc(
     return als_recommend(als_fit(everyone, **parameters), mine, names, mine, n)
 
 
+@dataclass(frozen=True)
+class Trial:
+    """One fit of a grid; ``place`` is its place in the grid."""
+
+    place: int
+    rank: int
+    reg: float
+    iters: int
+    rmse_valid: float | None
+    model: ALSModel
+
+    def beats(self, other: Trial | None) -> bool:
+        """A smaller finite error, or an equal one at an earlier place."""
+        if self.rmse_valid is None or not math.isfinite(self.rmse_valid):
+            return False
+        return other is None or (self.rmse_valid, self.place) < (other.rmse_valid, other.place)
+
+
+def als_trials(
+    train: DataFrame,
+    valid: DataFrame,
+    ranks: Iterable[int] = (12,),
+    regularisations: Iterable[float] = (0.1, 10.0),
+    iterations: Iterable[int] = (10,),
+    seed: int = SEED,
+    at_once: int = TRIALS_AT_ONCE,
+) -> Iterator[Trial]:
+    """Fit every combination, ``at_once`` at the same time, and yield trials as they finish.
+
+    Each trial runs in a thread of its own, whose jobs share one tag and a scheduler pool; with a fair
+    scheduler (``spark.scheduler.mode``) they share the cluster evenly, so that one fit's small last stages
+    leave cores to the others. If a trial fails, or the caller stops, the jobs of all others are cancelled.
+    """
+    spark = train.sparkSession
+    context, tag = spark.sparkContext, f"grid-{uuid.uuid4().hex}"
+
+    def run(place: int, rank: int, reg: float, iters: int) -> Trial:
+        context.addJobTag(tag)
+        context.setLocalProperty("spark.scheduler.pool", f"{tag}-{place}")
+        try:
+            model = als_fit(train, rank, iters, reg, seed=seed)
+            error = rmse_of_predicted(als_predict(model, valid), valid).first()["rmse"]
+        finally:
+            context.setLocalProperty("spark.scheduler.pool", None)
+            context.removeJobTag(tag)
+        return Trial(place, rank, reg, iters, error, model)
+
+    points = list(enumerate(grid(ranks, regularisations, iterations)))
+    # Threads of their own Spark properties, which start with those of the caller.
+    target = inheritable_thread_target(spark)(run)
+    pool = ThreadPoolExecutor(max(1, at_once), thread_name_prefix=tag)
+    waiting = [pool.submit(target, place, *point) for place, point in points]
+    done = False
+    try:
+        for trial in as_completed(waiting):
+            yield trial.result()
+        done = True
+    finally:
+        if not done:
+            for trial in waiting:
+                trial.cancel()
+            context.cancelJobsWithTag(tag)
+        pool.shutdown()
+
+
 def als_grid(
     train: DataFrame,
     valid: DataFrame,
@@ -231,33 +313,33 @@ def als_grid(
     regularisations: Iterable[float] = (0.1, 10.0),
     iterations: Iterable[int] = (10,),
     seed: int = SEED,
+    at_once: int = TRIALS_AT_ONCE,
 ) -> DataFrame:
     """Fit every combination, keep the one with the least validation error, test it.
 
-    One row per combination: rank, reg, iters, rmse_valid, is_best, rmse_test (of the best
-    only). Errors are over all held-out rows; the first of equals wins. A model that scored
-    nothing, or whose error is not finite, never wins; if none is left, this raises. The
-    driver sees one number per fit.
+    One row per combination, in the order of the grid: rank, reg, iters, rmse_valid, is_best,
+    rmse_test (of the best only). Errors are over all held-out rows; the first of equals wins,
+    whichever finishes first. A model that scored nothing, or whose error is not finite, never wins; if none
+    is left, this raises. Of the models only the best so far is kept. The driver sees one number per fit.
     """
     spark = train.sparkSession
     parts = [part.select("user_id", "product_id", "rating") for part in (train, valid, test)]
-    train, valid, test = (part.persist(StorageLevel.MEMORY_AND_DISK) for part in parts)
-    tried, best = [], None
+    # read by every fit; written, so that a lost executor does not derive them again
+    train, valid, test = map(written, parts)
+    tried, best = {}, None
     try:
-        for rank, reg, iters in grid(ranks, regularisations, iterations):
-            model = als_fit(train, rank, iters, reg, seed=seed)
-            error = rmse_of_predicted(als_predict(model, valid), valid).first()["rmse"]
-            tried.append((rank, reg, iters, error))
-            if error is not None and math.isfinite(error) and (best is None or error < best[0]):
-                best = (error, len(tried) - 1, model)
+        for trial in als_trials(train, valid, ranks, regularisations, iterations, seed, at_once):
+            tried[trial.place] = (trial.rank, trial.reg, trial.iters, trial.rmse_valid)
+            if trial.beats(best):
+                best = trial
         if best is None:
             raise ValueError("no combination has a finite validation error")
-        tested = rmse_of_predicted(als_predict(best[2], test), test).first()["rmse"]
+        tested = rmse_of_predicted(als_predict(best.model, test), test).first()["rmse"]
     finally:
-        for part in parts:
-            part.unpersist()
+        for part in (train, valid, test):
+            forget(part)
     rows = [
-        (*row, i == best[1], tested if i == best[1] else None) for i, row in enumerate(tried)
+        (*tried[i], i == best.place, tested if i == best.place else None) for i in sorted(tried)
     ]
     return spark.createDataFrame(
         rows,

@@ -20,8 +20,16 @@ PARTITION_BYTES = 128 << 20
 
 # Products both blocks rate this densely are multiplied as matrices, the rest pair by pair.
 DENSE_SHARE = 0.02
-DENSE_COLUMNS = 512
-PAIRS_PER_STEP = 1_000_000
+DENSE_COLUMNS = 256
+PAIRS_PER_STEP = 250_000
+# Users whose products of matrices are added, and who are ranked, at once: small beside the grid.
+ADDED_ROWS = 256
+RANKED_ROWS = 64
+
+
+def largest_block(labels: DataFrame) -> int:
+    """Users of the fullest ``block``."""
+    return labels.groupBy("block").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
 
 
 @dataclass(frozen=True)
@@ -87,32 +95,44 @@ class Members:
 class RunningSums:
     """Co-rated sums of a cell whose products come batch by batch.
 
-    Memory follows the users of the two blocks, not how much they rated.
+    Memory follows the users of the two blocks, not how much they rated: 48 bytes a pair. ``rows`` and
+    ``columns`` are how many users either side may have; a cell that turns out larger is
+    copied to a larger grid. ``grids`` such cells are kept beside each other.
     """
 
-    def __init__(self):
+    def __init__(self, rows: int = 0, columns: int = 0, grids: int = 1):
         self.users, self.others = Members(), Members()
-        self.sums = np.zeros((6, 0, 0))
+        # Zeros take no memory before they are written to.
+        self.grids = np.zeros((grids, 6, rows, columns))
 
-    def _room(self, rows: int, columns: int) -> None:
-        _, had_rows, had_columns = self.sums.shape
+    @property
+    def sums(self) -> np.ndarray:
+        return self.grids[0]
+
+    def place(self, user: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The users' positions in the grid, which has room for them."""
+        u, v = self.users.positions(user), self.others.positions(other)
+        rows, columns = len(self.users.ids), len(self.others.ids)
+        had_rows, had_columns = self.grids.shape[2:]
         if rows > had_rows or columns > had_columns:
             # grown by half, so that few batches copy the sums
             grown = [n if n <= had else max(n, had * 3 // 2) for n, had in ((rows, had_rows), (columns, had_columns))]
-            larger = np.zeros((6, max(grown[0], had_rows), max(grown[1], had_columns)))
-            larger[:, :had_rows, :had_columns] = self.sums
-            self.sums = larger
+            larger = np.zeros((*self.grids.shape[:2], max(grown[0], had_rows), max(grown[1], had_columns)))
+            larger[:, :, :had_rows, :had_columns] = self.grids
+            self.grids = larger
+        return u, v
 
     def add(self, user, x, user_raters, other, y, other_raters) -> None:
         """Raters and ratings of some products, as ``corated_sums`` takes them, with ids."""
-        u, v = self.users.positions(user), self.others.positions(other)
-        self._room(len(self.users.ids), len(self.others.ids))
+        u, v = self.place(user, other)
         corated_sums(u, x, user_raters, v, y, other_raters, sums=self.sums)
 
-    def by_id(self):
-        """Both sides' ids in ascending order, and their sums."""
-        row, column = np.argsort(self.users.ids), np.argsort(self.others.ids)
-        return self.users.ids[row], self.others.ids[column], self.sums[:, row][:, :, column]
+    def in_order(self, step: int = RANKED_ROWS):
+        """Some users at a time: their ids, all others' ids in ascending order, and the sums of every grid."""
+        order, used = np.argsort(self.others.ids), len(self.users.ids)
+        for first in range(0, used, step):
+            last = min(first + step, used)
+            yield self.users.ids[first:last], self.others.ids[order], self.grids[:, :, first:last][..., order]
 
 
 def corated_sums(u, x, u_raters, v, y, v_raters, n_users=0, n_others=0, sums=None):
@@ -135,18 +155,21 @@ def corated_sums(u, x, u_raters, v, y, v_raters, n_users=0, n_others=0, sums=Non
         chosen = columns[first : first + DENSE_COLUMNS]
         x_mask, x_value = _dense(u, x, u_starts, chosen, n_users)
         y_mask, y_value = _dense(v, y, v_starts, chosen, n_others)
-        sums[0] += x_mask @ y_mask.T
-        sums[1] += x_value @ y_mask.T
-        sums[2] += x_mask @ y_value.T
-        sums[3] += (x_value * x_value) @ y_mask.T
-        sums[4] += x_mask @ (y_value * y_value).T
-        sums[5] += x_value @ y_value.T
+        for low in range(0, n_users, ADDED_ROWS):
+            part = slice(low, low + ADDED_ROWS)
+            mask, value = x_mask[part], x_value[part]
+            sums[0, part] += mask @ y_mask.T
+            sums[1, part] += value @ y_mask.T
+            sums[2, part] += mask @ y_value.T
+            sums[3, part] += (value * value) @ y_mask.T
+            sums[4, part] += mask @ (y_value * y_value).T
+            sums[5, part] += value @ y_value.T
 
     column = np.repeat(np.arange(len(u_raters)), u_raters)
     rows = np.flatnonzero(~dense[column])
     partners = v_raters[column[rows]]
     ends = np.cumsum(partners)
-    flat = sums.reshape(6, -1)
+    flat = [part.reshape(-1) for part in sums]
     first = 0
     while first < len(rows):
         done = ends[first - 1] if first else 0
@@ -158,7 +181,7 @@ def corated_sums(u, x, u_raters, v, y, v_raters, n_users=0, n_others=0, sums=Non
         right = v_starts[column[left]] + step
         cell, a, b = u[left] * n_others + v[right], x[left], y[right]
         for position, weights in enumerate((None, a, b, a * a, b * b, a * b)):
-            flat[position] += np.bincount(cell, weights, minlength=flat.shape[1])
+            np.add.at(flat[position], cell, 1.0 if weights is None else weights)
         first = last
     return sums
 

@@ -20,17 +20,22 @@ from kinrank.operators.blocks import (
     best_per_row,
     block_count,
     cell_partitions,
+    largest_block,
 )
+from kinrank.operators.selection import with_fold
 from kinrank.operators.splits import TEST, TRAIN, split_hash
 from kinrank.operators.topn import top_n, without_rated
+from kinrank.session import written
 
 # Size of a neighbourhood, and how many neighbours must have rated a product
 # before it gets an estimate.
 NEIGHBOURS = 25
 LEAST_RATERS = 2
 
-# Larger blocks copy a rating less often; the sums of a cell take 48 bytes a pair.
+# Larger blocks copy a rating less often; the sums of a cell take 48 bytes a pair, its work a few more.
 BLOCK_USERS = 2048
+# Rounds in which users and products take each other's labels.
+LABEL_ROUNDS = 3
 # Ratings of a neighbour that are joined in one part.
 SEGMENT_RATINGS = 1000
 # Raters whose products a cell adds up at once.
@@ -48,7 +53,7 @@ def _pearson_column() -> Column:
     return F.when(defined, F.greatest(F.least(similarity, F.lit(1.0)), F.lit(-1.0)))
 
 
-def _pearson_array(sums: np.ndarray) -> np.ndarray:
+def pearson_array(sums: np.ndarray) -> np.ndarray:
     """The same for arrays; NaN where it is undefined."""
     n, _, _, sxx, syy, _ = sums
     vx, vy, cov = covariance_parts(*sums)
@@ -57,7 +62,7 @@ def _pearson_array(sums: np.ndarray) -> np.ndarray:
     return np.where(defined, np.clip(cov / scale, -1.0, 1.0), np.nan)
 
 
-def _typed(ratings: DataFrame) -> DataFrame:
+def typed_ratings(ratings: DataFrame) -> DataFrame:
     return ratings.select(
         F.col("user_id").cast("bigint").alias("user_id"),
         F.col("product_id").cast("bigint").alias("product_id"),
@@ -71,8 +76,8 @@ def pair_similarity(ratings: DataFrame, pairs: DataFrame) -> DataFrame:
     Pairs without a defined similarity are left out. The work is the pairs times the
     ratings of one user.
     """
-    mine = _typed(ratings).select("user_id", "product_id", F.col("rating").alias("x"))
-    theirs = _typed(ratings).select(
+    mine = typed_ratings(ratings).select("user_id", "product_id", F.col("rating").alias("x"))
+    theirs = typed_ratings(ratings).select(
         F.col("user_id").alias("neighbour_id"), "product_id", F.col("rating").alias("y")
     )
     x, y = F.col("x"), F.col("y")
@@ -101,6 +106,7 @@ def user_neighbours(
     k: int | None = NEIGHBOURS,
     target_ratings: DataFrame | None = None,
     block_users: int = BLOCK_USERS,
+    blocking: str = "hash",
 ) -> DataFrame:
     """The ``k`` most similar users of each target: user_id, neighbour_id, n, sim, rank.
 
@@ -109,18 +115,18 @@ def user_neighbours(
     their own neighbour. ``k=None`` gives every defined similarity of given targets; for
     everybody that would be all pairs, and is refused.
 
-    Target users and users are hashed into blocks; a cell of two blocks receives the
-    products both sides rated as a stream, and adds them up in one grid of its users. So
-    its memory does not depend on how much anybody rated, and at most ``k`` rows a user
-    leave it.
+    Target users and users are dealt into blocks (see :func:`user_blocks` for ``blocking``); a cell
+    of two blocks receives the products both sides rated as a stream, and adds them up in one
+    grid of its users. So its memory does not depend on how much anybody rated, and at most
+    ``k`` rows a user leave it.
     """
     if k is None and targets is None and target_ratings is None:
         raise ValueError("all similarities are only given for targets")
-    ratings = _typed(ratings)
+    ratings = typed_ratings(ratings)
     mine, side = ratings, Side.of(ratings)
     mine_side = side
     if target_ratings is not None:
-        mine = _typed(target_ratings)
+        mine = typed_ratings(target_ratings)
         mine_side = Side.of(mine)
     elif targets is not None:
         targets = targets.select("user_id").distinct()
@@ -131,14 +137,20 @@ def user_neighbours(
     target_blocks = block_count(mine_side, block_users, math.inf, 1)
     other_blocks = block_count(side, block_users, math.inf, math.ceil(2 * cores / target_blocks))
 
+    dealt, room = [], []
+    for who, blocks in ((mine, target_blocks), (ratings, other_blocks)):
+        labels = user_blocks(who, blocks, blocking)
+        # how many users the grid of a cell has to hold
+        room.append(largest_block(labels))
+        dealt.append(with_block(who, labels, blocks, blocking))
     copied = 16.0 * (mine_side.rows * other_blocks + side.rows * target_blocks)
     partitions = cell_partitions(ratings, target_blocks * other_blocks, copied)
     found = (
-        _cells(mine, ratings, target_blocks, other_blocks)
+        product_cells(*dealt)
         .repartition(partitions, "tb", "ub")
         .groupBy("tb", "ub")
         .applyInArrow(
-            _nearest_in_cell(k), "user_id bigint, neighbour_id bigint, n bigint, sim double"
+            _nearest_in_cell(k, tuple(room)), "user_id bigint, neighbour_id bigint, n bigint, sim double"
         )
     )
     by_user = Window.partitionBy("user_id").orderBy(F.desc("sim"), "neighbour_id")
@@ -146,9 +158,63 @@ def user_neighbours(
     return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
-def _cells(mine: DataFrame, theirs: DataFrame, target_blocks: int, other_blocks: int) -> DataFrame:
+def user_blocks(ratings: DataFrame, blocks: int, blocking: str = "hash") -> DataFrame:
+    """``user_id, block``: everybody who rated something, in ``blocks`` blocks 0, 1, ...
+
+    ``'hash'`` spreads users at random, so that every block has raters of every popular product.
+    ``'products'`` puts users side by side who rated the same. A user's first label is the least hash of
+    their products, which two users share the more often the more products they share; then products take
+    the label most of their raters have, and users the one most of their products have, a few
+    times. Users in the order of their labels are cut into blocks of equal size. Where tastes form groups, blocks then share few products: a product is copied to
+    fewer cells, and cells of two blocks without a common product never come about. Neighbours do not
+    depend on the blocks.
+    """
+    if blocking == "hash":
+        users = ratings.select("user_id").distinct()
+        return users.withColumn("block", block_of(F.col("user_id"), blocks))
+    if blocking != "products":
+        raise ValueError("blocking is 'hash' or 'products'")
+    rated = written(ratings.select("user_id", "product_id"))
+    users = rated.groupBy("user_id").agg(F.min(F.xxhash64("product_id")).alias("_label"))
+    for _ in range(LABEL_ROUNDS):
+        products = _most_common(rated.join(users, "user_id"), "product_id")
+        users = written(_most_common(rated.join(products, "product_id"), "user_id"))
+    cut = with_fold(users, ["_label", "user_id"], blocks, "block")
+    return written(cut.select("user_id", (F.col("block") - 1).alias("block")))
+
+
+def _most_common(labelled: DataFrame, key: str) -> DataFrame:
+    """The ``_label`` that most rows of each key have, the least of equals."""
+    counts = labelled.groupBy(key, "_label").agg(F.count("*").alias("_n"))
+    best = F.max(F.struct(F.col("_n"), (-F.col("_label").cast("decimal(20,0)")).alias("_minus"), "_label"))
+    return counts.groupBy(key).agg(best["_label"].alias("_label"))
+
+
+def with_block(ratings: DataFrame, labels: DataFrame, blocks: int, blocking: str) -> DataFrame:
+    """``ratings`` with the ``block`` of their user; hashed blocks need no join."""
+    if blocking == "hash":
+        return ratings.withColumn("block", block_of(F.col("user_id"), blocks))
+    return ratings.join(labels, "user_id")
+
+
+def cell_load(ratings: DataFrame, blocks: int, blocking: str = "hash") -> DataFrame:
+    """What comparing everybody costs: ``n_cells`` that come about, ``n_rows`` of packed raters copied
+    to them, ``n_raters`` in those rows."""
+    ratings = typed_ratings(ratings)
+    dealt = with_block(ratings, user_blocks(ratings, blocks, blocking), blocks, blocking)
+    return product_cells(dealt, dealt).agg(
+        F.countDistinct("tb", "ub").alias("n_cells"),
+        F.count("*").alias("n_rows"),
+        F.sum(F.size("users") + F.size("others")).alias("n_raters"),
+    )
+
+
+def product_cells(mine: DataFrame, theirs: DataFrame, extra: str | None = None) -> DataFrame:
     """One row per product and cell (tb, ub), with the raters of both blocks.
 
+    Ratings have the ``block`` of their user. ``users, x`` and ``others, y`` are the raters and their
+    ratings; a column ``extra`` of the ratings comes along as ``x_extra`` and ``y_extra``.
+
     Raters are packed per product and block before anything is joined. A pair is rated
     once, so a packed row holds at most one block of users, and a product that everybody
     rated is one row per block. A packed row of targets is copied to the blocks in which
@@ -156,29 +222,29 @@ def _cells(mine: DataFrame, theirs: DataFrame, target_blocks: int, other_blocks:
     many join keys as it has blocks.
     """
 
-    def packed(ratings: DataFrame, block: str, blocks: int, who: str, rated: str) -> DataFrame:
-        raters = F.collect_list(F.struct("user_id", "rating"))
+    def packed(ratings: DataFrame, block: str, who: str, rated: str) -> DataFrame:
+        raters = F.collect_list(F.struct("user_id", "rating", *([extra] if extra else [])))
         return (
-            ratings.groupBy("product_id", block_of(F.col("user_id"), blocks).alias(block))
+            ratings.groupBy("product_id", F.col("block").alias(block))
             .agg(raters.alias("raters"))
             .select(
                 "product_id",
                 block,
                 F.col("raters.user_id").alias(who),
                 F.col("raters.rating").alias(rated),
+                *([F.col("raters")[extra].alias(f"{rated}_extra")] if extra else []),
             )
         )
 
-    present = theirs.groupBy("product_id").agg(
-        F.collect_set(block_of(F.col("user_id"), other_blocks)).alias("blocks")
-    )
-    left = packed(mine, "tb", target_blocks, "users", "x").join(present, "product_id")
+    present = theirs.groupBy("product_id").agg(F.collect_set("block").alias("blocks"))
+    left = packed(mine, "tb", "users", "x").join(present, "product_id")
     left = left.withColumn("ub", F.explode("blocks")).drop("blocks")
-    right = packed(theirs, "ub", other_blocks, "others", "y")
-    return left.join(right, ["product_id", "ub"]).select("tb", "ub", "users", "x", "others", "y")
+    right = packed(theirs, "ub", "others", "y")
+    columns = ["tb", "ub", "users", "x", "others", "y"] + (["x_extra", "y_extra"] if extra else [])
+    return left.join(right, ["product_id", "ub"]).select(*columns)
 
 
-def _steps(batch: pa.RecordBatch):
+def product_steps(batch: pa.RecordBatch):
     """Products of a batch, a bounded number of raters at a time."""
     raters = np.maximum.reduce(
         [batch.column(c).value_lengths().to_numpy(zero_copy_only=False) for c in ("users", "others")]
@@ -189,23 +255,22 @@ def _steps(batch: pa.RecordBatch):
         yield batch.slice(first, last - first)
 
 
-def _nearest_in_cell(k: int | None):
-    def flat(batch: pa.RecordBatch, column: str):
-        lists = batch.column(column)
-        return lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+def flat_lists(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of lists, and how many each list has."""
+    lists = batch.column(column)
+    return lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+
 
+def _nearest_in_cell(k: int | None, room: tuple[int, int] = (0, 0)):
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell = RunningSums()
+        cell = RunningSums(*room)
         for batch in batches:
-            for some in _steps(batch):
-                (user, user_raters), (other, other_raters) = flat(some, "users"), flat(some, "others")
-                x, y = flat(some, "x")[0], flat(some, "y")[0]
+            for some in product_steps(batch):
+                (user, user_raters), (other, other_raters) = flat_lists(some, "users"), flat_lists(some, "others")
+                x, y = flat_lists(some, "x")[0], flat_lists(some, "y")[0]
                 cell.add(user, x, user_raters, other, y, other_raters)
-        users, others, sums = cell.by_id()
-        # some target users at a time, as ranking takes arrays of its own
-        for first in range(0, len(users), 256):
-            part, who = sums[:, first : first + 256], users[first : first + 256]
-            similarity = _pearson_array(part)
+        for who, others, (part,) in cell.in_order():
+            similarity = pearson_array(part)
             similarity[who[:, None] == others[None, :]] = np.nan
             # others are in ascending order, so ties go to the lower neighbour
             row, column = best_per_row(similarity, len(others) if k is None else k)
@@ -229,7 +294,7 @@ def knn_estimate(
     Needs at least two such neighbours. The estimate is the mean of their ratings weighted
     by similarity, kept within the observed ratings.
     """
-    ratings = _typed(ratings)
+    ratings = typed_ratings(ratings)
     theirs = ratings.select(
         F.col("user_id").alias("neighbour_id"), "product_id", F.col("rating").alias("_rating")
     )
@@ -296,7 +361,7 @@ def knn_mae(ratings: DataFrame, train_tenths: int = 9, k: int = NEIGHBOURS) -> D
     Pairs without an estimate are counted but not averaged. Neighbours are found for all
     training users, as nearly all of them have a held-out pair.
     """
-    split = split_hash(_typed(ratings), train_tenths)
+    split = split_hash(typed_ratings(ratings), train_tenths)
     train = split.where(F.col("split") == TRAIN).drop("split")
     test = split.where(F.col("split") == TEST).drop("split")
     estimates = knn_estimate(user_neighbours(train, k=k), train, test)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinrank.functions.scores import HIGHEST_RATING, LOWEST_RATING
+from kinrank.session import written
 
 
 class InvalidRatingsError(ValueError):
@@ -136,13 +137,60 @@ def users_below(ratings: DataFrame, minimum: int = 20) -> DataFrame:
     )
 
 
+def id_bitmaps(ratings: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Which users and products occur, as bits: ``kind, word, bits, n`` for each group of ``by``.
+
+    ``bits`` has bit i where id ``64 * word + i`` occurs, ``n`` counts the ratings. The bitmaps of parts (a
+    split, a day) merge into those of the whole with :func:`merged_bitmaps`, so distinct counts of any union
+    of parts need no second look at the ratings. Words of 64 bits are added up by hash aggregation before
+    anything is shuffled, and suit scattered ids, too. Ids must be whole numbers; a null id counts as a
+    rating, not as a user or product.
+    """
+    ids = F.explode(
+        F.array(
+            F.struct(F.lit("user").alias("kind"), F.col("user_id").cast("bigint").alias("id")),
+            F.struct(F.lit("product").alias("kind"), F.col("product_id").cast("bigint").alias("id")),
+        )
+    )
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("id.id").bitwiseAND(F.lit(63).cast("bigint")).cast("int"))
+    return (
+        ratings.select(*by, ids.alias("id"))
+        .groupBy(*by, F.col("id.kind").alias("kind"), F.shiftright("id.id", 6).alias("word"))
+        .agg(F.bit_or(bit).alias("bits"), F.count("*").alias("n"))
+    )
+
+
+def merged_bitmaps(bitmaps: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The bitmaps of coarser groups, from those of their parts."""
+    return bitmaps.groupBy(*by, "kind", "word").agg(F.bit_or("bits").alias("bits"), F.sum("n").alias("n"))
+
+
+def bitmap_summary(bitmaps: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Per group: ratings, distinct users, distinct products."""
+
+    def total(kind: str, value):
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, value)), F.lit(0)).cast("bigint")
+
+    return bitmaps.groupBy(*by).agg(
+        total("user", F.col("n")).alias("n_ratings"),
+        total("user", F.bit_count("bits")).alias("n_users"),
+        total("product", F.bit_count("bits")).alias("n_products"),
+    )
+
+
 def ratings_summary(ratings: DataFrame) -> DataFrame:
     """One row: ratings, distinct users, distinct products."""
-    return ratings.agg(
-        F.count("*").alias("n_ratings"),
-        F.countDistinct("user_id").alias("n_users"),
-        F.countDistinct("product_id").alias("n_products"),
-    )
+    return bitmap_summary(id_bitmaps(ratings))
+
+
+def split_summaries(split: DataFrame, column: str = "split") -> DataFrame:
+    """The same for each part of a split and, under a null label, for all parts together.
+
+    The whole is merged from the parts' bitmaps, which are made in one pass and written.
+    """
+    parts = written(id_bitmaps(split.select(F.col(column).alias("part"), "user_id", "product_id"), ("part",)))
+    whole = bitmap_summary(merged_bitmaps(parts)).withColumn("part", F.lit(None).cast(dict(parts.dtypes)["part"]))
+    return bitmap_summary(parts, ("part",)).unionByName(whole).withColumnRenamed("part", column)
 
 
 def ratings_of(ratings: DataFrame, targets: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinrank.functions.scores import hash_tenth
-from kinrank.session import ensure_checkpoint_dir
+from kinrank.operators.selection import at_or_behind, can_hunt, rows_at, with_fold
+from kinrank.session import ensure_checkpoint_dir, written
 
 TRAIN, VALID, TEST = "train", "valid", "test"
 
@@ -92,13 +93,32 @@ def with_global_index(
 
 
 def split_kfold(ratings: DataFrame, k: int = 5, order: list[str] | None = None) -> DataFrame:
-    """Label ``k`` contiguous folds of equal size, 1..k, in ``order``."""
+    """Label ``k`` contiguous folds of equal size, 1..k, in ``order``.
+
+    Only the first row of each fold is looked for, see :mod:`kinrank.operators.selection`:
+    ``ratings`` is read a few times, and neither sorted nor moved. An order by other columns than whole
+    numbers, dates and timestamps numbers all rows instead.
+    """
     order = order or ["ts_s", "user_id", "product_id"]
+    if can_hunt(ratings, order):
+        return with_fold(ratings, order, k)
     indexed = with_global_index(ratings, order, "_idx", "_rows")
     fold = F.call_function("div", F.col("_idx") * k, F.col("_rows")).cast("int") + 1
     return indexed.withColumn("fold", fold).drop("_idx", "_rows")
 
 
+def _first_rows(rows: DataFrame, order: list[str], count: int) -> DataFrame:
+    """The ``count`` first rows in a unique ``order``."""
+    if not can_hunt(rows, order):
+        return with_global_index(rows, order, "_idx").where(F.col("_idx") < count)
+    rows = written(rows)
+    total = rows.count()
+    if count >= total:
+        return rows
+    (bound,) = rows_at(rows, order, [count], total)
+    return rows.where(~at_or_behind(rows, order, bound))
+
+
 def split_ordinals(
     ratings: DataFrame,
     start: int = 1,
@@ -108,8 +128,8 @@ def split_ordinals(
 ) -> DataFrame:
     """Hold out each user's ``start``-th to ``stop``-th rating in ``order``.
 
-    At most ``cap`` rows are held out overall, the first ones in ``order``. The (user,
-    product) pair must be unique. Only ``stop`` rows per user and task reach the window's
+    At most ``cap`` rows are held out overall, the first ones in ``order``; the row the cap falls on
+    is looked for without sorting. The (user, product) pair must be unique. Only ``stop`` rows per user and task reach the window's
     shuffle, so a user with very many ratings does not load one task.
     """
     order = order or ["ts_s", "user_id", "product_id"]
@@ -120,7 +140,7 @@ def split_ordinals(
         .where(F.col("_ordinal") >= start)
     )
     if cap is not None:
-        held = with_global_index(held, order, "_idx").where(F.col("_idx") < cap)
+        held = _first_rows(held, order, cap)
     held = held.select("user_id", "product_id", F.lit(TEST).alias("_held"))
     return (
         ratings.join(held, ["user_id", "product_id"], "left")

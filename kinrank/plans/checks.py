@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kinrank.operators import quality
+from kinrank.operators import quality, splits
 from kinrank.operators.topn import candidate_counts
 from kinrank.plans.registry import query
 from kinrank.plans.sql import DAILY_MARKS, MARKS, RATINGS, with_
 from kinrank.sources import tables
+from kinrank.sources.histories import HistoryStore
 
 
 @query(
@@ -122,3 +123,48 @@ def candidates_unrated(spark, folder):
     return candidate_counts(
         targets, tables.part_names(spark, folder), tables.event_ratings(spark, folder)
     )
+
+
+@query(
+    with_(RATINGS)
+    + """, labelled AS (
+  SELECT *, CASE WHEN ts_s % 10 <= 3 THEN 'train' WHEN ts_s % 10 = 4 THEN 'valid'
+     WHEN ts_s % 10 = 5 THEN 'test' ELSE 'unused' END AS split FROM ratings)
+SELECT coalesce(split, 'all') AS split, count(*) AS n_ratings, count(DISTINCT user_id) AS n_users,
+  count(DISTINCT product_id) AS n_products
+FROM labelled GROUP BY GROUPING SETS ((split), ())"""
+)
+def split_summaries(spark, folder):
+    """Ratings, users and products of each part and of all, from the same bitmaps."""
+    split = splits.split_ts_digit(tables.event_ratings(spark, folder))
+    split = split.withColumn("split", F.coalesce("split", F.lit("unused")))
+    return quality.split_summaries(split).withColumn("split", F.coalesce("split", F.lit("all")))
+
+
+def _store(spark, folder):
+    return HistoryStore.write(tables.event_ratings(spark, folder), buckets=16)
+
+
+@query(
+    with_(RATINGS)
+    + "SELECT user_id, product_id, rating, ts_s FROM ratings WHERE user_id IN (1, 7, 19, 40, 99999999)"
+)
+def history_of_users(spark, folder):
+    """The ratings of a handful of users, from their buckets alone."""
+    return _store(spark, folder).of_users([1, 7, 19, 40, 99_999_999])
+
+
+@query(
+    with_(RATINGS)
+    + """SELECT user_id, product_id, rating, ts_s FROM ratings
+WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'signup')"""
+)
+def histories_of_targets(spark, folder):
+    """The ratings of everybody who signed up, joined bucket by bucket."""
+    signed_up = tables.table(spark, folder, "events").where("event_type = 'signup'").select("user_id")
+    return _store(spark, folder).of_targets(signed_up)
+
+
+@query(with_(RATINGS) + "SELECT user_id, count(*) AS n_ratings FROM ratings GROUP BY user_id")
+def history_counts(spark, folder):
+    return _store(spark, folder).counts()

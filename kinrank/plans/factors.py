@@ -8,10 +8,13 @@ kind are recommended. Queries for those compare measured properties with SQL.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
-from kinrank.operators import als, splits
-from kinrank.operators.evaluate import rmse_of_predicted
+from kinrank.operators import als, fold_in, norm_search, splits
+from kinrank.operators.evaluate import least_error, rmse_of_predicted
+from kinrank.operators.quality import clean_adhoc
 from kinrank.plans.registry import query
 from kinrank.plans.sql import MARKS, RATINGS, with_
 from kinrank.session import written
@@ -85,19 +88,71 @@ def als_topk_with_rated(spark, folder):
 
 @query(
     with_(RATINGS)
-    + """SELECT CAST(user_id AS INTEGER) AS user_id, product_id FROM (
-  SELECT user_id, product_id
-  FROM (SELECT DISTINCT user_id FROM ratings) AS u, (SELECT DISTINCT product_id FROM ratings) AS p
-  WHERE product_id IN (SELECT p_partkey FROM part)
-  EXCEPT SELECT user_id, product_id FROM ratings) AS unrated"""
+    + """, offered AS (SELECT DISTINCT product_id FROM ratings WHERE product_id IN (SELECT p_partkey FROM part)),
+whole AS (SELECT count(*) AS n, sum(product_id)::BIGINT AS total FROM offered)
+SELECT CAST(user_id AS INTEGER) AS user_id, any_value(n) - count(o.product_id) AS n_free,
+  (any_value(total) - coalesce(sum(o.product_id), 0))::BIGINT AS id_sum
+FROM whole, ratings LEFT JOIN offered AS o USING (product_id) GROUP BY user_id"""
 )
 def als_unrated_pairs(spark, folder):
-    """As many products for every user as the catalogue has: all that are unrated."""
+    """How many catalogue products each user may still get, and the sum of their ids: what the
+    scoring cells are left with, without returning the pairs."""
     ratings = written(tables.event_ratings(spark, folder))
     model = als.als_fit(ratings, **MODEL)
-    names = tables.part_names(spark, folder)
-    recommended = als.als_recommend(model, ratings, names, n=max(1, names.count()))
-    return recommended.select("user_id", "product_id")
+    everybody = ratings.select("user_id").distinct().withColumn("mark", F.lit(0.0))
+    counted = norm_search.products_above(model, tables.part_names(spark, folder), everybody, ratings)
+    return counted.select("user_id", "n_free", "id_sum")
+
+
+# Products of a band: small, so that the catalogues of the test tables have many.
+BAND = 16
+
+
+def _best(spark, folder, n, exclude_rated):
+    """Is there any better product than those the bounded search returns?"""
+    ratings = written(tables.event_ratings(spark, folder))
+    model, names = als.als_fit(ratings, **MODEL), tables.part_names(spark, folder)
+    found = written(
+        norm_search.bounded_recommend(model, ratings, names, n=n, exclude_rated=exclude_rated, band_products=BAND)
+    )
+    rated = ratings if exclude_rated else ratings.where(F.lit(False))
+    return norm_search.best_possible(model, names, found, rated, n)
+
+
+def _best_possible(limit: int, rated_too: bool) -> str:
+    left = "" if rated_too else " - count(*) FILTER (WHERE product_id IN (SELECT p_partkey FROM part))"
+    return (
+        with_(RATINGS)
+        + f""", offered AS (
+  SELECT count(DISTINCT product_id) AS n FROM ratings WHERE product_id IN (SELECT p_partkey FROM part))
+SELECT CAST(user_id AS INTEGER) AS user_id, least({limit}, any_value(n){left}) AS n_recommended,
+  0::BIGINT AS n_above, 0::BIGINT AS n_missing
+FROM ratings, offered GROUP BY user_id"""
+    )
+
+
+@query(_best_possible(10, False))
+def als_recommend_best(spark, folder):
+    """Nobody has an unrated product that scores above the last of their ten."""
+    return _best(spark, folder, 10, True)
+
+
+@query(_best_possible(30, True))
+def als_topk_best(spark, folder):
+    """Nobody has a product, rated or not, that scores above the last of their thirty."""
+    return _best(spark, folder, 30, False)
+
+
+@query(with_(RATINGS) + "SELECT CAST(user_id AS INTEGER) AS user_id, true AS adds_up FROM ratings GROUP BY user_id")
+def als_search_work(spark, folder):
+    """For every user, products scored and products skipped add up to the catalogue."""
+    ratings = written(tables.event_ratings(spark, folder))
+    model, names = als.als_fit(ratings, **MODEL), tables.part_names(spark, folder)
+    found = norm_search.search_products(model, ratings, names, band_products=BAND)
+    work = norm_search.search_work(found, names, model)
+    known = norm_search.known_catalogue(model, names).agg(F.count("*")).scalar()
+    right = (F.col("scored") + F.col("skipped") == known) & (F.col("scored") > 0) & (F.col("skipped") >= 0)
+    return work.select("user_id", right.alias("adds_up"))
 
 
 @query()
@@ -289,3 +344,122 @@ def als_rmse_scored(spark, folder):
     """Error of the explicit fit over the held-out rows that have a prediction."""
     train, test = _parts(spark, folder)
     return rmse_of_predicted(als.als_predict(als.als_fit(train, **MODEL), test))
+
+
+_MINE = """, mine AS (SELECT user_id, product_id FROM marks WHERE rating BETWEEN 1 AND 5),
+offered AS (SELECT DISTINCT product_id FROM ratings)"""
+
+
+def _folded(spark, folder):
+    """A model of the events' users, and people with signup marks folded into it."""
+    model = als.als_fit(written(tables.event_ratings(spark, folder)), **MODEL)
+    marks = written(clean_adhoc(tables.signup_marks(spark, folder)))
+    return model, marks, fold_in.fold_in(model, marks, MODEL["regularisation"])
+
+
+@query(
+    with_(RATINGS, MARKS)
+    + _MINE
+    + """
+SELECT user_id, count(*) AS n_ratings, true AS solved
+FROM mine WHERE product_id IN (SELECT product_id FROM offered) GROUP BY user_id"""
+)
+def als_fold_in_equations(spark, folder):
+    """Everybody's folded-in factors solve their own least squares over the fixed products."""
+    _, marks, folded = _folded(spark, folder)
+    rating = F.col("rating").cast("double")
+    return _solved(folded, marks, MODEL["regularisation"], F.lit(1.0), rating, F.lit(1))
+
+
+@query(
+    with_(RATINGS, MARKS)
+    + _MINE
+    + """, catalogue AS (SELECT product_id FROM offered WHERE product_id IN (SELECT p_partkey FROM part))
+SELECT CAST(user_id AS INTEGER) AS user_id,
+  least(10, (SELECT count(*) FROM catalogue)
+    - count(*) FILTER (WHERE product_id IN (SELECT product_id FROM catalogue))) AS n_recommended,
+  0::BIGINT AS n_above, 0::BIGINT AS n_missing
+FROM mine GROUP BY user_id HAVING bool_or(product_id IN (SELECT product_id FROM offered))"""
+)
+def als_fold_in_best(spark, folder):
+    """Ten products for everybody who left marks, from a model fitted without them: none is better."""
+    model, marks, folded = _folded(spark, folder)
+    names = tables.part_names(spark, folder)
+    found = written(fold_in.recommend_folded(model, marks, names, MODEL["regularisation"], band_products=BAND))
+    return norm_search.best_possible(folded, names, found, marks, 10)
+
+
+def _held_out_with_products(model, test):
+    """Held-out ratings with the product of their factors, computed here."""
+    users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u"))
+    products = model.itemFactors.select(F.col("id").alias("product_id"), F.col("features").alias("v"))
+    return test.join(users, "user_id").join(products, "product_id").withColumn("product", _dot("u", "v"))
+
+
+def _error_agrees(found, model, test, n):
+    """Whether an error is that of the products of factors over ``n`` rows."""
+    again = _held_out_with_products(model, test).agg(F.sum(F.pow(F.col("product") - F.col("rating"), F.lit(2)))).scalar()
+    return found.select("n", (F.abs(F.col("rmse") - F.sqrt(again / n)) < 1e-5).alias("agrees"))
+
+
+_HELD_OUT = (
+    with_(SUPPLIED)
+    + """, hashed AS (
+  SELECT *, (CAST(user_id AS BIGINT) * 7919 + product_id * 104729) % 1009 % 10 AS digit
+  FROM supplied),
+train AS (SELECT * FROM hashed WHERE digit < 8)
+SELECT count(*) AS n, true AS agrees FROM hashed WHERE digit >= 8"""
+)
+_KNOWN = """ AND user_id IN (SELECT user_id FROM train) AND product_id IN (SELECT product_id FROM train)"""
+
+
+@query(_HELD_OUT)
+def als_rmse_agrees(spark, folder):
+    """The error over all held-out rows, beside that of the products of factors."""
+    train, test = _parts(spark, folder)
+    model = als.als_fit(train, **MODEL)
+    found = rmse_of_predicted(als.als_predict(model, test), test)
+    return _error_agrees(found, model, test, F.col("n"))
+
+
+@query(_HELD_OUT + _KNOWN)
+def als_rmse_scored_agrees(spark, folder):
+    """The error over the held-out rows with a prediction, beside that of the products."""
+    train, test = _parts(spark, folder)
+    model = als.als_fit(train, **MODEL)
+    return _error_agrees(rmse_of_predicted(als.als_predict(model, test)), model, test, F.col("n"))
+
+
+@query(
+    """SELECT rank::INTEGER AS rank, reg::DOUBLE AS reg, iters::INTEGER AS iters, true AS agrees,
+  true AS chosen_rightly, 4::BIGINT AS n_trials
+FROM (VALUES (4), (8)) AS r(rank), (VALUES (0.1), (10.0)) AS g(reg), (VALUES (5)) AS i(iters)"""
+)
+def als_grid_checked(spark, folder):
+    """Four fits at the same time: each error is that of the products of its factors, and the row that
+    the grid chooses is the first of the least."""
+    split = written(splits.split_ts_digit(tables.event_ratings(spark, folder)))
+    train, valid, test = (
+        split.where(F.col("split") == part).select("user_id", "product_id", "rating")
+        for part in (splits.TRAIN, splits.VALID, splits.TEST)
+    )
+    points = {"ranks": (4, 8), "regularisations": (0.1, 10.0), "iterations": (5,)}
+    n_valid = valid.count()
+    again = []
+    for trial in als.als_trials(train, valid, **points):
+        squares = _held_out_with_products(trial.model, valid).agg(F.sum(F.pow(F.col("product") - F.col("rating"), F.lit(2))))
+        again.append((trial.rank, trial.reg, trial.iters, trial.place, math.sqrt(squares.first()[0] / n_valid)))
+    recomputed = spark.createDataFrame(again, "rank int, reg double, iters int, trial int, product_rmse double")
+    least = least_error(recomputed.withColumnRenamed("product_rmse", "rmse_valid")).select(
+        "rank", "reg", "iters", "rmse_valid", F.col("is_best").alias("is_least")
+    ).withColumnRenamed("rmse_valid", "product_rmse")
+    found = als.als_grid(train, valid, test, **points)
+    n_trials = found.agg(F.count("*")).scalar()
+    return found.join(least, ["rank", "reg", "iters"]).select(
+        "rank",
+        "reg",
+        "iters",
+        (F.abs(F.col("rmse_valid") - F.col("product_rmse")) < 1e-3).alias("agrees"),
+        ((F.col("is_best") == F.col("is_least")) & (F.col("rmse_test").isNotNull() == F.col("is_best"))).alias("chosen_rightly"),
+        n_trials.alias("n_trials"),
+    )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kinrank.operators import splits
 from kinrank.plans.registry import query
 from kinrank.plans.sql import HASHED, RATINGS, with_
+from kinrank.session import written
 from kinrank.sources import tables
 
 _DIGIT = """CASE WHEN ts_s % 10 <= 3 THEN 'train' WHEN ts_s % 10 = 4 THEN 'valid'
@@ -59,7 +60,7 @@ def split_leave_n_out(spark, folder):
 @query(with_(RATINGS, _ORDINALS.format(start=11, stop=20, cap=1000)))
 def split_leave_n_out_capped(spark, folder):
     """Each user's next ten ratings are held out, 1000 rows at most."""
-    return splits.split_ordinals(tables.event_ratings(spark, folder), 11, 20, cap=1000)
+    return splits.split_ordinals(written(tables.event_ratings(spark, folder)), 11, 20, cap=1000)
 
 
 @query(
@@ -70,4 +71,5 @@ def split_leave_n_out_capped(spark, folder):
 FROM ratings"""
 )
 def split_kfold(spark, folder):
-    return splits.split_kfold(tables.event_ratings(spark, folder), 5)
+    # read a few times, so derived from the events once
+    return splits.split_kfold(written(tables.event_ratings(spark, folder)), 5)

@@ -45,7 +45,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(shared)
 
 
-def _table_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The folder of this application's tables beside its checkpoints."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/tables-{spark.sparkContext.applicationId}"
@@ -64,7 +64,7 @@ def written(frame: DataFrame) -> DataFrame:
     ``forget``, the end of a ``scratch`` block, or ``release_tables``.
     """
     spark = frame.sparkSession
-    path = f"{_table_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     frame.write.parquet(path)
     table = spark.read.schema(frame.schema).parquet(path)
     table.written_path = path
@@ -84,7 +84,7 @@ def release_tables(spark: SparkSession) -> None:
     To be called before a session is stopped that others with the same folder outlive.
     """
     if spark.sparkContext.getCheckpointDir() is not None:
-        _delete(spark, _table_folder(spark))
+        _delete(spark, shared_folder(spark))
 
 
 _OPEN_BLOCKS: list[list[str]] = []

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from kinrank.operators import neighbours as nb
-from kinrank.operators.blocks import RunningSums
+from kinrank.operators.blocks import RunningSums, best_per_row
 from kinrank.operators.quality import UnknownUserError
 from kinrank.operators.recommenders import NeighbourhoodRecommender
 from kinrank.sources.provider import RatingData
@@ -126,9 +126,10 @@ def test_all_pairs_of_everybody_are_refused(frame, rows):
         nb.user_neighbours(frame(rows), k=None)
 
 
-def test_cells_take_their_products_in_batches():
+@pytest.mark.parametrize("room", [(), (30, 40), (3, 50)])
+def test_cells_take_their_products_in_batches(room):
     draw = random.Random(4)
-    cell, expected = RunningSums(), {}
+    cell, expected = RunningSums(*room), {}
     for _ in range(6):
         batch = []
         for _ in range(5):
@@ -147,11 +148,38 @@ def test_cells_take_their_products_in_batches():
                 np.array([len(pair[side]) for pair in batch]),
             ]
         cell.add(*sides)
-    users, others, sums = cell.by_id()
-    assert list(users) == sorted(users) and list(others) == sorted(others)
-    for i, a in enumerate(users):
-        for j, b in enumerate(others):
-            np.testing.assert_array_equal(sums[:, i, j], expected.get((a, b), np.zeros(6)))
+    seen = []
+    for users, others, (sums,) in cell.in_order(7):
+        seen += list(users)
+        assert list(others) == sorted(others)
+        for i, a in enumerate(users):
+            for j, b in enumerate(others):
+                np.testing.assert_array_equal(sums[:, i, j], expected.get((a, b), np.zeros(6)))
+    assert len(seen) == len(set(seen)) and {a for a, _ in expected} == set(seen)
+
+
+def test_a_cell_takes_at_most_sixty_bytes_a_pair():
+    """With its ranking, however the ratings are spread."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    users, batches = 2048, []
+    for raters in (20, 300, 2048, 1):
+        chosen = [np.sort(rng.choice(users, raters, replace=False)) for _ in range(40)]
+        ids = np.concatenate(chosen)
+        batches.append((ids, rng.integers(1, 6, len(ids)).astype(float), np.full(40, raters)))
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        cell = RunningSums(users, users)
+        for side in batches:
+            cell.add(*side, *side)
+        for who, others, (part,) in cell.in_order():
+            best_per_row(nb.pearson_array(part), 25)
+        peak = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    assert peak <= 60 * users * users
 
 
 def test_a_neighbour_of_everybody_is_joined_in_parts(frame, monkeypatch):
@@ -270,3 +298,45 @@ def test_few_rows_per_user_reach_the_ranking_shuffles(frame, rows):
             assert "WindowGroupLimit" in below[exchange + 1] and "Partial" in below[exchange + 1] or any(
                 "WindowGroupLimit" in line and "Partial" in line for line in below[exchange:]
             )
+
+
+def grouped_rows():
+    """Users of twelve groups, each with products of its own."""
+    draw = random.Random(9)
+    return [
+        (u, 100 * (u % 12) + p, float(draw.randint(1, 5))) for u in range(240) for p in draw.sample(range(30), 12)
+    ]
+
+
+@pytest.mark.parametrize("block_users", [2048, 30])
+def test_blocks_of_users_who_rated_the_same_change_nothing(frame, block_users):
+    rows = grouped_rows()[::3]
+    by_hash = as_nearest(nb.user_neighbours(frame(rows), k=4, block_users=block_users))
+    by_products = as_nearest(nb.user_neighbours(frame(rows), k=4, block_users=block_users, blocking="products"))
+    assert by_hash == by_products
+
+
+def test_targets_and_adhoc_people_with_blocks_by_products(spark, frame):
+    rows = grouped_rows()[::3]
+    targets = spark.createDataFrame([(3,), (17,)], "user_id bigint")
+    own = frame([(-1, 101, 5.0), (-1, 102, 1.0), (-1, 105, 3.0), (-2, 1, 2.0)])
+    for options in ({"targets": targets}, {"target_ratings": own}):
+        found = [
+            as_nearest(nb.user_neighbours(frame(rows), k=5, block_users=20, blocking=how, **options)) for how in ("hash", "products")
+        ]
+        assert found[0] == found[1]
+
+
+def test_grouped_tastes_take_fewer_cells_and_copies(frame):
+    ratings = frame(grouped_rows()).cache()
+    by_hash, by_products = (nb.cell_load(ratings, 12, how).first() for how in ("hash", "products"))
+    assert by_hash["n_cells"] == 144
+    assert by_products["n_cells"] < 72
+    assert by_products["n_raters"] < 0.5 * by_hash["n_raters"]
+    sizes = nb.user_blocks(ratings, 12, "products").groupBy("block").count().collect()
+    assert {r["count"] for r in sizes} == {20}
+
+
+def test_unknown_blocking_is_refused(frame, rows):
+    with pytest.raises(ValueError, match="blocking"):
+        nb.user_neighbours(frame(rows), blocking="luck")
