@@ -422,10 +422,14 @@ def main_text(pages: DataFrame) -> DataFrame:
     count once as evidence. Other columns are ignored; no rows give no rows.
     """
     read = written(read_pages(pages))
-    covered = covered_places(repeated_stretches(read))
-    joined = read.select("page_id", "url", "digest", "main", "open", "owner").join(
+    # Written, so that a small one is known to be small; only pages with open blocks wait for it.
+    covered = written(covered_places(repeated_stretches(read)))
+    columns = ["page_id", "url", "main", "open", "owner", "at"]
+    settled = read.filter("main IS NOT NULL").withColumn("at", F.lit(None).cast("array<int>"))
+    waiting = read.filter("main IS NULL").join(
         covered.withColumnRenamed("digest", "of"), F.col("digest") == F.col("of"), "left"
     )
+    joined = settled.select(*columns).unionByName(waiting.select(*columns))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -445,6 +449,6 @@ def main_text(pages: DataFrame) -> DataFrame:
             )
 
     kind = dict(read.dtypes)["page_id"]
-    return joined.select("page_id", "url", "main", "open", "owner", "at").mapInArrow(
+    return joined.mapInArrow(
         rows, f"page_id {kind}, url string, text string, n_chars bigint"
     )
