@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinrank.session import written
+from kinrank.session import forget, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,8 +13,8 @@ def components(links: DataFrame) -> DataFrame:
     smallest node.
 
     Each round takes the smallest label among a node's neighbours, then the label of that
-    label, and writes the labels to the shared folder; the driver sees only how many have
-    changed. Links to nulls are left out; no links give no rows.
+    label, and writes the labels to the shared folder, where only the last ones stay; the driver
+    sees only whether any has changed. Links to nulls are left out; no links give no rows.
     """
     links = links.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     both = written(
@@ -31,12 +31,13 @@ def components(links: DataFrame) -> DataFrame:
             "node", F.least("component", "least").alias("lower"), F.col("component").alias("was")
         )
         heads = labels.select(F.col("node").alias("head"), F.col("component").alias("of_head"))
+        before = labels
         labels = written(
             lower.join(heads, F.col("lower") == F.col("head")).select(
                 "node", F.least("lower", "of_head").alias("component"), "was"
             )
         )
-        settled = labels.filter("component <> was").isEmpty()
-        labels = labels.drop("was")
-        if settled:
-            return labels
+        forget(before)
+        if labels.filter("component <> was").isEmpty():
+            forget(both)
+            return labels.select("node", "component")

@@ -10,8 +10,10 @@ however many symbols differ; links are confirmed on the full sets. At a similari
 
 Texts with the same set count as one node until the end. In a group of texts with one key,
 first all are compared with one pivot, linked ones join their labels, and only texts whose
-labels still differ meet the next pivot. What no pivot decides is compared in full: small
-groups as distinct pairs, large ones block by block inside tasks that return links only.
+labels still differ meet the next pivot. What no pivot decides in a small group is listed as
+pairs. The texts of large ones meet by their rarest shingles: linked texts have one in common
+among the rarest fifth of either, early enough that what follows can still make up 0.8, so texts
+that merely share a frame never meet, however many they are. All of it loses no link.
 """
 
 from __future__ import annotations
@@ -27,15 +29,14 @@ from pyspark.sql import functions as F
 
 from kinrank.llm.components import components
 from kinrank.llm.tables import texts
-from kinrank.session import written
+from kinrank.session import forget, written
 
 CHUNKS, LENGTH, ERRORS = 10, 5, 1
 PERCENT = 80
 # Pivots tried before the rest of a group is compared in full.
 PIVOTS = 4
-# Up to this many texts a group's pairs are listed; beyond, blocks of this many are compared.
+# Up to this many texts a group's pairs are listed; beyond, rare shingles choose them.
 LISTED = 32
-BLOCK = 256
 # Bytes of text whose words are hashed at once.
 AT_ONCE = 1 << 20
 
@@ -160,32 +161,57 @@ def _big_array(values: list[np.ndarray]) -> pa.Array:
 
 
 def _sketches(docs: DataFrame, width: int, signer: Signer) -> DataFrame:
-    """``doc_id, n_shingles, set_id, keys``; an empty set has no id and no keys."""
+    """``doc_id, n_shingles, set_id, signature``; an empty set has neither id nor signature."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
         for batch in batches:
-            counts, sets, keys = [], [], []
+            counts, sets, signatures = [], [], []
             for value in batch.column("text").cast(pa.large_binary()):
                 shingles = shingler.shingles(value.as_buffer().to_pybytes())
                 counts.append(len(shingles))
                 if len(shingles):
                     sets.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
-                    keys.append(signer.keys(signer.signature(shingles)))
+                    signatures.append(signer.signature(shingles).astype("<u2").tobytes())
                 else:
                     sets.append(None)
-                    keys.append(shingles)
+                    signatures.append(None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(sets, pa.binary()), _big_array(keys)],
-                names=["doc_id", "n_shingles", "set_id", "keys"],
+                [
+                    batch.column("doc_id"),
+                    pa.array(counts, pa.int64()),
+                    pa.array(sets, pa.binary()),
+                    pa.array(signatures, pa.binary()),
+                ],
+                names=["doc_id", "n_shingles", "set_id", "signature"],
             )
 
     frame = texts(docs)
     return frame.mapInArrow(
-        rows, f"doc_id {dict(frame.dtypes)['doc_id']}, n_shingles bigint, set_id binary, keys array<bigint>"
+        rows, f"doc_id {dict(frame.dtypes)['doc_id']}, n_shingles bigint, set_id binary, signature binary"
     )
 
 
+def _keys(classes: DataFrame, signer: Signer) -> DataFrame:
+    """``key, doc, n`` for every key of every class."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1000):
+                part = batch.slice(start, 1000)
+                flat = np.frombuffer(b"".join(part.column("signature").to_pylist()), dtype="<u2")
+                all_of = flat.reshape(-1, signer.chunks, signer.length).astype(np.uint64)
+                keys = np.stack([signer.keys(signature) for signature in all_of])
+                again = pa.array(np.repeat(np.arange(part.num_rows), keys.shape[1]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.ravel().view(np.int64)), part.column("doc").take(again), part.column("n").take(again)],
+                    names=["key", "doc", "n"],
+                )
+
+    kind = dict(classes.dtypes)["doc"]
+    return classes.select("doc", "n", "signature").mapInArrow(rows, f"key bigint, doc {kind}, n bigint")
+
+
 def _sets(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, shingles`` of the given documents."""
 
@@ -225,67 +251,86 @@ def _ordered(one, other):
     return F.least(one, other).alias("a"), F.greatest(one, other).alias("b")
 
 
-def _blocks_of_links(rows: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links of large groups: each pair of blocks of a group is compared inside a task.
+def _least_common(total, percent: int):
+    """The fewest common shingles with which two sets of ``total`` together are similar enough."""
+    return F.ceil(total * percent / (100 + percent)).cast("bigint")
+
 
-    ``rows`` are ``key, doc, label, size``. Texts of one label belong together already, so a
-    task returns each pair of different labels that a link joins, once.
+def _rare_shingles(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``shingle, doc, n, at``: the rarest shingles of each text, in the order of how many of ``docs``
+    have them; ``at`` is a shingle's place.
+
+    As many as it takes to have one in common with every similar text: all but the fewest that a
+    similar text shares, and one more. Shingles of one text only meet nobody and are left out.
     """
-    parts = rows.withColumn("parts", F.ceil(F.col("size") / block).cast("int")).withColumn(
-        "own", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
+    mine = written(sets.join(docs, F.col("doc_id") == F.col("doc"), "left_semi"))
+    each = mine.select("doc_id", F.explode("shingles").alias("shingle"))
+    # Added up inside tasks first, so a shingle that all texts have is a row a task.
+    shared = written(each.groupBy("shingle").agg(F.count("*").alias("texts")).filter("texts > 1"))
+    # A text's own shingles come first; only shared ones need a place among themselves.
+    ranked = (
+        each.join(shared, "shingle")
+        .groupBy("doc_id")
+        .agg(F.array_sort(F.collect_list(F.struct("texts", "shingle"))).alias("shared"))
+        .join(mine.select("doc_id", F.size("shingles").cast("bigint").alias("n")), "doc_id")
     )
-    cells = parts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "key", "doc", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    own = F.col("n") - F.size("shared")
+    places = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("bigint") + 1
+    kept = F.slice("shared", F.lit(1), F.greatest(places - own, F.lit(0)).cast("int"))
+    return ranked.select(F.col("doc_id").alias("doc"), "n", own.alias("own"), F.posexplode(kept).alias("k", "s")).select(
+        F.col("s.shingle").alias("shingle"), "doc", "n", (F.col("own") + F.col("k")).alias("at")
     )
-    cells = cells.join(sets, F.col("doc") == F.col("doc_id")).select(
-        "key", "i", "j", "label", "shingles"
+
+
+def _pairs_by_rare_shingles(docs: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: pairs of ``docs`` with different labels that may be linked; none that is linked is missing.
+
+    The shorter one is found by the shingles that one of its own length would need, the longer
+    one looks with all its rare shingles. The first common shingle must stand so early in both that
+    as many can follow as the pair needs.
+    """
+    rare = written(_rare_shingles(docs, sets, percent).join(labels, "doc"))
+    needed = _least_common(2 * F.col("n"), percent)
+    found = rare.filter(F.col("at") <= F.col("n") - needed)
+    one = found.select("shingle", *[F.col(c).alias(f"{c}1") for c in ("doc", "n", "at", "label")])
+    # Groups of one label have nothing to find; they go before the join, and are never listed.
+    several = rare.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    rare = written(rare.join(several.select("shingle"), "shingle", "left_semi"))
+    shorter = (F.col("n1") < F.col("n")) | ((F.col("n1") == F.col("n")) & (F.col("doc1") < F.col("doc")))
+    can_follow = F.least(F.col("n1") - F.col("at1"), F.col("n") - F.col("at"))
+    return (
+        rare.join(one, "shingle")
+        .filter(
+            (F.col("label") != F.col("label1"))
+            & shorter
+            & _sizes_allow("n1", "n", percent)
+            & (can_follow >= _least_common(F.col("n1") + F.col("n"), percent))
+        )
+        .select(*_ordered(F.col("doc1"), F.col("doc")))
+        .distinct()
     )
-    kind = dict(rows.dtypes)["doc"]
-
-    def compare(table: pa.Table) -> pa.Table:
-        ids = table.column("label").to_numpy()
-        column = table.column("shingles").combine_chunks()
-        flat = column.values.to_numpy()
-        lengths = np.diff(column.offsets.to_numpy())
-        flat = flat[column.offsets.to_numpy()[0] :][: lengths.sum()]
-        owner = np.repeat(np.arange(len(ids)), lengths)
-        _, place, times = np.unique(flat, return_inverse=True, return_counts=True)
-        # Only shingles of several texts count towards intersections.
-        shared = np.cumsum(times > 1) - 1
-        use = (times > 1)[place]
-        columns, rows_, width = shared[place[use]], owner[use], int((times > 1).sum())
-        common = np.zeros((len(ids), len(ids)), dtype=np.float32)
-        order = np.argsort(columns, kind="stable")
-        columns, rows_ = columns[order], rows_[order]
-        for start in range(0, width, 4096):
-            a, b = np.searchsorted(columns, [start, start + 4096])
-            matrix = np.zeros((len(ids), 4096), dtype=np.float32)
-            matrix[rows_[a:b], columns[a:b] - start] = 1
-            common += matrix @ matrix.T
-        union = lengths[:, None] + lengths[None, :] - common
-        linked = common.astype(np.float64) * 100 >= union.astype(np.float64) * percent
-        names, label = np.unique(ids, return_inverse=True)
-        one, other = np.nonzero(linked & (label[:, None] < label[None, :]))
-        joined = np.unique(label[one] * len(names) + label[other])
-        return pa.table({"a": pa.array(names[joined // len(names)]), "b": pa.array(names[joined % len(names)])})
-
-    return cells.groupBy("key", "i", "j").applyInArrow(compare, f"a {kind}, b {kind}")
 
 
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``doc, label`` after joining the labels of linked documents."""
+    """``doc, label`` after joining the labels of linked documents; the labels before are forgotten."""
+    if links.isEmpty():
+        forget(links)
+        return labels
     by_a = labels.select(F.col("doc").alias("a"), F.col("label").alias("la"))
     by_b = labels.select(F.col("doc").alias("b"), F.col("label").alias("lb"))
     edges = links.join(by_a, "a").join(by_b, "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
     joined = components(edges.distinct())
-    return written(
+    relabelled = written(
         labels.join(joined, F.col("label") == F.col("node"), "left").select(
             "doc", F.coalesce("component", "label").alias("label")
         )
     )
+    forget(labels)
+    forget(links)
+    return relabelled
 
 
-def _labels(docs: DataFrame, members: DataFrame, width: int, percent: int, listed: int, block: int):
+def _labels(docs: DataFrame, members: DataFrame, width: int, percent: int, listed: int):
     """The label of every text that shares a key with another; ``members``: key, doc, n."""
     ids = members.select("doc").distinct()
     sets = written(_sets(docs.join(ids, F.col("doc_id") == F.col("doc"), "left_semi"), width))
@@ -320,10 +365,10 @@ def _labels(docs: DataFrame, members: DataFrame, width: int, percent: int, liste
         pairs = written(first.select(*_ordered(F.col("doc"), F.col("p.pivot"))).distinct())
         if pairs.isEmpty():
             break
+        forget(pivots)
         checked = pairs if checked is None else checked.unionByName(pairs)
         links = written(_confirmed(pairs, sets, percent))
-        if not links.isEmpty():
-            labels = _relabelled(labels, links)
+        labels = _relabelled(labels, links)
     # What pivots have not decided, exactly.
     rest = written(marked.join(pivots.select("key", "size"), "key").select("key", "doc", "n", "label", "size"))
     if rest.isEmpty():
@@ -338,14 +383,14 @@ def _labels(docs: DataFrame, members: DataFrame, width: int, percent: int, liste
     )
     if checked is not None:
         pairs = pairs.join(checked, ["a", "b"], "left_anti")
-    links = _confirmed(pairs, sets, percent)
-    large = rest.filter(F.col("size") > listed)
-    # Keys that join the very same texts need only one comparison.
-    same = large.groupBy("key").agg(F.sum(F.xxhash64("doc").cast("decimal(20,0)")).alias("of"), F.max("size").alias("s"))
-    once = same.groupBy("of", "s").agg(F.min("key").alias("key")).select("key")
-    big = large.join(once, "key", "left_semi").select("key", "doc", "label", "size")
-    links = written(links.unionByName(_blocks_of_links(big, sets, percent, block)))
-    return labels if links.isEmpty() else _relabelled(labels, links)
+    labels = _relabelled(labels, written(_confirmed(pairs, sets, percent)))
+    large = written(rest.filter(F.col("size") > listed).select("doc").distinct())
+    if large.isEmpty():
+        return labels
+    pairs = _pairs_by_rare_shingles(large, labels, sets, percent)
+    if checked is not None:
+        pairs = pairs.join(checked, ["a", "b"], "left_anti")
+    return _relabelled(labels, written(_confirmed(pairs, sets, percent)))
 
 
 def near_copies(
@@ -354,7 +399,6 @@ def near_copies(
     percent: int = PERCENT,
     signer: Signer | None = None,
     listed: int = LISTED,
-    block: int = BLOCK,
 ) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
@@ -371,21 +415,24 @@ def near_copies(
     # Equal sets have equal keys: aggregated before any shuffle, however many copies there are.
     classes = written(
         usable.groupBy("set_id").agg(
-            F.min("doc_id").alias("doc"), F.min("n_shingles").alias("n"), F.min_by("keys", "doc_id").alias("keys")
+            F.min("doc_id").alias("doc"), F.min("n_shingles").alias("n"), F.first("signature").alias("signature")
         )
     )
-    keys = classes.select(F.explode("keys").alias("key"), "doc", "n")
+    keys = _keys(classes, signer)
     shared = keys.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low <> high")
     # Written first, so that the join reads both sides from shuffles and can split hot keys.
     members = written(keys.join(written(shared.select("key")), "key"))
-    labels = _labels(docs, members, width, percent, listed, block)
+    keyed = _labels(docs, members, width, percent, listed)
     # Equal sets are one class; rows that repeat an id tie their classes together.
-    named = classes.join(labels, "doc", "left").select(
+    named = classes.join(keyed, "doc", "left").select(
         "set_id", F.coalesce("label", "doc").alias("component_id")
     )
     placed = sketches.join(named, "set_id", "left").withColumn(
         "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     )
+    placed = written(placed.drop("signature", "set_id"))
+    for done in (sketches, classes, members, keyed):
+        forget(done)
     placed = _repeated_ids_joined(placed)
     return placed.select(
         "doc_id",
@@ -396,7 +443,6 @@ def near_copies(
 
 
 def _repeated_ids_joined(placed: DataFrame) -> DataFrame:
-    placed = written(placed.drop("keys", "set_id"))
     several = written(
         placed.filter("doc_id IS NOT NULL")
         .groupBy("doc_id")

@@ -70,11 +70,11 @@ def test_components_agree_with_all_pairs(spark, width):
     assert sorted(map(tuple, result.collect())) == brute(rows, width)
 
 
-@pytest.mark.parametrize("listed", [4, 10**6])
+@pytest.mark.parametrize("listed", [0, 4, 10**6])
 def test_what_pivots_leave_is_compared_in_full(spark, monkeypatch, listed):
     monkeypatch.setattr(near_dup, "PIVOTS", 0)
     rows = chains(7)
-    result = near_dup.near_copies(docs(spark, rows), 2, listed=listed, block=5)
+    result = near_dup.near_copies(docs(spark, rows), 2, listed=listed)
     assert sorted(map(tuple, result.collect())) == brute(rows, 2)
 
 
@@ -128,3 +128,47 @@ def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 200), (None, 1), (300, None)]
     result = {r.node: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert result == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}}
+
+
+def framed(n, own, seed):
+    """Texts with one frame and words of their own: many keys in common, no links."""
+    rng = random.Random(seed)
+    frame = [f"f{i}" for i in range(150)]
+    rows = []
+    for k in range(n):
+        words = list(frame)
+        for at in sorted(rng.sample(range(150), own), reverse=True):
+            words.insert(at, f"w{k}x{at}")
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+def test_unlinked_groups_take_rows_in_proportion(spark):
+    """Twice the texts of one group make twice the rows, not four times."""
+    rows_made = []
+    for n in (60, 120):
+        frame = docs(spark, framed(n, 14, 3))
+        sets = near_dup._sets(frame, 2).cache()
+        ids = frame.select(frame.doc_id.alias("doc"))
+        labels = ids.selectExpr("doc", "doc AS label")
+        rare = near_dup._rare_shingles(ids, sets, 80).count()
+        pairs = near_dup._pairs_by_rare_shingles(ids, labels, sets, 80).count()
+        rows_made.append(rare + pairs)
+    assert rows_made[1] <= 2.2 * rows_made[0]
+    result = near_dup.near_copies(docs(spark, framed(40, 14, 4)), 2, listed=0)
+    assert sorted(map(tuple, result.collect())) == brute(framed(40, 14, 4), 2)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rare_shingles_meet_every_linked_pair(spark, seed):
+    rows = [(i, t) for i, t in chains(seed) if shingles(t, 2)]
+    frame = docs(spark, rows)
+    sets = near_dup._sets(frame, 2).cache()
+    ids = frame.select(frame.doc_id.alias("doc"))
+    pairs = near_dup._pairs_by_rare_shingles(ids, ids.selectExpr("doc", "doc AS label"), sets, 80)
+    found = {(r.a, r.b) for r in pairs.collect()}
+    plain = {i: shingles(t, 2) for i, t in rows}
+    linked = {
+        (a, b) for a in plain for b in plain if a < b and 100 * len(plain[a] & plain[b]) >= 80 * len(plain[a] | plain[b])
+    }
+    assert linked and linked <= found
