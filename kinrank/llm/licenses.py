@@ -42,6 +42,26 @@ SENTENCES = {
     24: "spdx license identifier apache 2 0",
     25: "spdx license identifier gpl 3 0 only",
     26: "all rights reserved",
+    27: "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    28: "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    29: "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    30: "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    31: "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    32: "this source code form is subject to the terms of the mozilla public license v",
+    33: "this is free and unencumbered software released into the public domain",
+    34: "licensed under cc by sa 4 0",
+    35: "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+    36: "spdx license identifier isc",
+    37: "spdx license identifier bsd 2 clause",
+    38: "spdx license identifier bsd 3 clause",
+    39: "spdx license identifier gpl 2 0 only",
+    40: "spdx license identifier gpl 2 0 or later",
+    41: "spdx license identifier gpl 3 0 or later",
+    42: "spdx license identifier lgpl 2 1 or later",
+    43: "spdx license identifier agpl 3 0 only",
+    44: "spdx license identifier mpl 2 0",
+    45: "spdx license identifier cc0 1 0",
+    46: "spdx license identifier mit or apache 2 0",
 }
 _UNLESS = (
     "unless required by applicable law or agreed to in writing software distributed under the license is distributed"
@@ -96,6 +116,26 @@ RULES = {
     "cc-by-text": ("CC-BY-4.0", (18,)),
     "bsd-2-clause": ("BSD-2-Clause", (20, 21, 22)),
     "all-rights-reserved": ("proprietary", (26,)),
+    "bsd-3-clause": ("BSD-3-Clause", (20, 21, 22, 27)),
+    "isc-text": ("ISC", (28,)),
+    "gpl2-header": ("GPL-2.0", (29, 14, 15)),
+    "lgpl-header": ("LGPL-2.1", (30,)),
+    "agpl3-header": ("AGPL-3.0", (31,)),
+    "mpl2-header": ("MPL-2.0", (32,)),
+    "unlicense-text": ("Unlicense", (33,)),
+    "cc-by-sa-notice": ("CC-BY-SA-4.0", (34,)),
+    "cc-by-sa-text": ("CC-BY-SA-4.0", (35,)),
+    "isc-spdx": ("ISC", (36,)),
+    "bsd2-spdx": ("BSD-2-Clause", (37,)),
+    "bsd3-spdx": ("BSD-3-Clause", (38,)),
+    "gpl2-only-spdx": ("GPL-2.0", (39,)),
+    "gpl2-or-later-spdx": ("GPL-2.0", (40,)),
+    "gpl3-or-later-spdx": ("GPL-3.0", (41,)),
+    "lgpl-spdx": ("LGPL-2.1", (42,)),
+    "agpl3-spdx": ("AGPL-3.0", (43,)),
+    "mpl2-spdx": ("MPL-2.0", (44,)),
+    "cc0-spdx": ("CC0-1.0", (45,)),
+    "mit-or-apache-spdx": ("MIT OR Apache-2.0", (46,)),
 }
 
 
@@ -136,6 +176,13 @@ def identifiers(
     return F.array_join(F.transform(found, lambda s: F.element_at(table, F.translate(s, _LINE, " "))), "")
 
 
+def _longer(rule: str, rules: dict) -> list[str]:
+    """The sequences of other rules that contain this rule's, the longest first."""
+    own = _marks(rules[rule][1])
+    others = {_marks(ids) for _, ids in rules.values()} - {own}
+    return sorted((m for m in others if own in m), key=lambda m: (-len(m), m))
+
+
 def license_matches(
     docs: DataFrame,
     known: dict[int, str] = SENTENCES,
@@ -147,7 +194,8 @@ def license_matches(
 
     A rule matches where its sentences follow each other among the document's known
     sentences (unknown ones may stand between); ``n_matches`` counts matches that do not
-    overlap. Shorter rules inside longer ones are reported, too. Null and empty texts match
+    overlap. Where a rule's sentences contain another rule's, the longer one matches alone: three
+    clauses are not two and one. Null and empty texts match
     nothing; rows that repeat an id are scanned each for itself. Other columns are ignored.
     """
     table = F.array(
@@ -157,14 +205,17 @@ def license_matches(
                 F.lit(licence).alias("license"),
                 F.lit(len(ids)).alias("n_sentences"),
                 F.lit(_marks(ids)).alias("marks"),
+                F.array(*[F.lit(m) for m in _longer(name, rules)]).cast("array<string>").alias("longer"),
             )
             for name, (licence, ids) in rules.items()
         ]
     )
     with_ids = texts(docs).select("doc_id", identifiers(F.col("text"), known, whole).alias("ids")).filter("ids <> ''")
-    found = F.filter(table, lambda r: F.instr(F.col("ids"), r["marks"]) > 0)
-    count = "(length(ids) - length(replace(ids, r.marks, ''))) div length(r.marks)"
-    return with_ids.withColumn("r", F.explode(found)).select(
+    left = lambda r: F.aggregate(r["longer"], F.col("ids"), lambda t, m: F.replace(t, m, F.lit("|")))
+    found = F.filter(table, lambda r: F.instr(left(r), r["marks"]) > 0)
+    matched = with_ids.withColumn("r", F.explode(found)).withColumn("left", left(F.col("r")))
+    count = "(length(left) - length(replace(left, r.marks, ''))) div length(r.marks)"
+    return matched.select(
         "doc_id", "r.license", "r.rule", "r.n_sentences", F.expr(count).cast("bigint").alias("n_matches")
     )
 
@@ -174,6 +225,11 @@ def oracle() -> str:
     one of ``WHOLE``."""
     known = ", ".join(f"('{s}', '<{i}>')" for i, s in SENTENCES.items())
     rules = ", ".join(f"('{n}', '{lic}', {len(ids)}, '{_marks(ids)}')" for n, (lic, ids) in RULES.items())
+    longer = {name: _longer(name, RULES) for name in RULES}
+    left = "ids"
+    for name, marks in longer.items():
+        for mark in marks:
+            left = f"CASE WHEN rule = '{name}' THEN replace({left}, '{mark}', '|') ELSE {left} END"
     return f"""
 WITH known(sentence, mark) AS (VALUES {known}),
 rules(rule, license, n_sentences, marks) AS (VALUES {rules}),
@@ -183,5 +239,5 @@ cut AS (SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS pa
 clean AS (SELECT doc_id, pos, trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')) AS sentence FROM cut),
 ids AS (SELECT doc_id, string_agg(mark, '' ORDER BY pos) AS ids FROM clean JOIN known USING (sentence) GROUP BY doc_id)
 SELECT doc_id, license, rule, n_sentences,
-  CAST((length(ids) - length(replace(ids, marks, ''))) // length(marks) AS BIGINT) AS n_matches
-FROM ids JOIN rules ON contains(ids, marks)"""
+  CAST((length(rest) - length(replace(rest, marks, ''))) // length(marks) AS BIGINT) AS n_matches
+FROM (SELECT *, {left} AS rest FROM ids, rules WHERE contains(ids, marks)) WHERE contains(rest, marks)"""

@@ -90,6 +90,40 @@ CANONICAL = {
     "cc-by-text": ["This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "bsd-2-clause": BSD,
     "all-rights-reserved": ["Copyright 2020 Somebody.", "All rights reserved."],
+    "bsd-3-clause": [
+        *BSD,
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+    ],
+    "isc-text": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ],
+    "gpl2-header": [GPL[0].replace("version 3", "version 2"), *GPL[1:]],
+    "lgpl-header": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+        "any later version."
+    ],
+    "agpl3-header": [GPL[0].replace("GNU General", "GNU Affero General"), *GPL[1:]],
+    "mpl2-header": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ],
+    "unlicense-text": ["This is free and unencumbered software released into the public domain."],
+    "cc-by-sa-notice": ["Licensed under CC BY-SA 4.0."],
+    "cc-by-sa-text": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "isc-spdx": ["SPDX-License-Identifier: ISC"],
+    "bsd2-spdx": ["SPDX-License-Identifier: BSD-2-Clause"],
+    "bsd3-spdx": ["SPDX-License-Identifier: BSD-3-Clause"],
+    "gpl2-only-spdx": ["SPDX-License-Identifier: GPL-2.0-only"],
+    "gpl2-or-later-spdx": ["SPDX-License-Identifier: GPL-2.0-or-later"],
+    "gpl3-or-later-spdx": ["SPDX-License-Identifier: GPL-3.0-or-later"],
+    "lgpl-spdx": ["SPDX-License-Identifier: LGPL-2.1-or-later"],
+    "agpl3-spdx": ["SPDX-License-Identifier: AGPL-3.0-only"],
+    "mpl2-spdx": ["SPDX-License-Identifier: MPL-2.0"],
+    "cc0-spdx": ["SPDX-License-Identifier: CC0-1.0"],
+    "mit-or-apache-spdx": ["SPDX-License-Identifier: MIT OR Apache-2.0"],
 }
 
 
@@ -127,6 +161,24 @@ def test_runs_end_where_sentences_and_paragraphs_do(spark, text):
     assert found(spark, [(1, text)]) == []
 
 
+def test_the_longer_rule_matches_alone(spark):
+    two, three = "\n\n".join(CANONICAL["bsd-2-clause"]), "\n\n".join(CANONICAL["bsd-3-clause"])
+    rows = [(1, two), (2, three), (3, f"{three}\n\n{two}\n\n{two}")]
+    assert found(spark, rows) == [
+        (1, "BSD-2-Clause", "bsd-2-clause", 1),
+        (2, "BSD-3-Clause", "bsd-3-clause", 1),
+        (3, "BSD-2-Clause", "bsd-2-clause", 2),
+        (3, "BSD-3-Clause", "bsd-3-clause", 1),
+    ]
+
+
+def test_licences_are_told_apart(spark):
+    """No published text is reported as another licence."""
+    rows = [(i, "\n\n".join(paragraphs)) for i, paragraphs in enumerate(CANONICAL.values())]
+    names = [RULES[rule][0] for rule in CANONICAL]
+    assert all(licence == names[i] for i, licence, _, _ in found(spark, rows))
+
+
 def test_odd_inputs(spark):
     notice = "Released under the MIT License."
     rows = [(1, None), (2, ""), (3, "...!?"), (4, "x " * 50_000 + ". " + notice), (5, notice), (5, notice), (None, notice)]
