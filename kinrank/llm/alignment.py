@@ -30,8 +30,8 @@ from kinrank.llm.tables import texts
 from kinrank.llm.worker import remembered, slices, without_collection
 from kinrank.session import written
 
-# Stretches of text that a worker remembers, if they are no longer than so many characters.
-REMEMBERED, LONG = 300_000, 64
+# Stretches of text that a worker remembers twice over, if they are no longer than so many characters.
+REMEMBERED, LONG = 180_000, 64
 # Characters worked on, and characters given to the tokenizers, at once.
 AT_ONCE, LEARNED = 1 << 20, 1 << 15
 # Links looked up at once.
@@ -114,7 +114,9 @@ class Aligner:
     def __init__(self, definition: str, model: bytes):
         self.a, self.b = ByteLevel(definition), Pieces(model)
         self.names = [str(k) for k in range(max(len(self.a.bytes), len(self.b.bytes)))]
+        # Those met of late, and those met in the stretch of texts before.
         self.known: dict[str, Aligned | None] = {}
+        self.before: dict[str, Aligned | None] = {}
 
     def _tokens(self, text: str) -> list[tuple[list[int], np.ndarray]] | None:
         """Ids of A and of B with the byte behind each token, or None where they are not the text."""
@@ -180,11 +182,15 @@ class Aligner:
     def align(self, batch: list[str]) -> list[Aligned | None]:
         """For each text its tokens, groups and links; None where a text has no tokens."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            # What is met again is kept, the rest is forgotten the next time.
+            self.before, self.known = self.known, {}
         known, cut = self.known, _CUT.split if self.b.splits else lambda text: [text]
         # Each stretch begins with the space that the cut took away.
         parts = [cut(text) if text else [] for text in batch]
-        found = self._learn(set().union(*parts) - known.keys())
+        new = set().union(*parts) - known.keys()
+        again = new & self.before.keys()
+        known.update((s, self.before[s]) for s in again)
+        found = self._learn(new - again)
         long = {s: aligned for s, aligned in found.items() if len(s) > LONG}
         known.update((s, aligned) for s, aligned in found.items() if len(s) <= LONG)
         if not long:

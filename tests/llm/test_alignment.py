@@ -126,5 +126,16 @@ def test_stretches_change_nothing():
     assert parted.align(texts) == whole.align(texts)
 
 
+def test_forgetting_changes_nothing(monkeypatch):
+    with open(A, encoding="utf-8") as one, open(B, "rb") as other:
+        definition, model = one.read(), other.read()
+    keeping, forgetting = al.Aligner(definition, model), al.Aligner(definition, model)
+    texts = [t or "" for t in TEXTS]
+    want = keeping.align(texts)
+    monkeypatch.setattr(al, "REMEMBERED", 3)
+    assert [forgetting.align([t])[0] for t in texts] == want
+    assert [forgetting.align([t])[0] for t in reversed(texts)] == want[::-1]
+
+
 def test_pairs_are_bounded_by_the_vocabularies():
     assert al.pair_bound([b"ab", b"b", b"c"], [b"b", b"ab", b"xc"]) == 5
