@@ -21,17 +21,23 @@ TEXTS = [
 ]
 
 
+class Libraries:
+    @staticmethod
+    def load():
+        import sentencepiece
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(A)
+        tokenizer.encode_special_tokens = True
+        model = sentencepiece.SentencePieceProcessor(model_file=B)
+        with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+            ranks = {int(k): base64.b64decode(t) for t, k in map(bytes.split, file)}
+        return tokenizer, model, ranks
+
+
 @pytest.fixture(scope="module")
 def libraries():
-    import sentencepiece
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(A)
-    tokenizer.encode_special_tokens = True
-    model = sentencepiece.SentencePieceProcessor(model_file=B)
-    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
-        ranks = {int(k): base64.b64decode(t) for t, k in map(bytes.split, file)}
-    return tokenizer, model, ranks
+    return Libraries.load()
 
 
 def plain(libraries, texts):

@@ -31,7 +31,7 @@ def test_queries_agree_with_sql(spark, name):
 
 def test_all_are_registered():
     names = registered.queries().keys()
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 14))
     assert QUERIES.keys() | {"pipeline"} <= names
     assert registered.oracle_sql().keys() >= ORACLES.keys()
 
@@ -77,6 +77,61 @@ def test_op10(spark):
     assert sorted(map(tuple, found)) == near_brute(texts(spark), 2)
 
 
+def test_op11(spark):
+    """The pages of the test tables have one template, which a few patterns can read."""
+    import html
+
+    found = {r.page_id: r for r in QUERIES["op11_main_text"](spark, FOLDER).collect()}
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").collect()
+    assert len(found) == len(pages)
+    for page in pages:
+        (article,) = re.findall("<article>(.*?)</article>", page.html, re.S)
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split("</?p>|</?h1>", article)]
+        want = "\n\n".join(b for b in blocks if b)
+        assert (found[page.page_id].url, found[page.page_id].text) == (page.url, want)
+        assert found[page.page_id].n_chars == len(want)
+
+
+def test_op12(spark):
+    from test_alignment import Libraries, plain
+
+    rows = texts(spark)
+    found = {r.doc_id: tuple(r)[1:] for r in QUERIES["op12_tokenizer_alignment"](spark, FOLDER).collect()}
+    assert [found[i] for i, _ in rows] == plain(Libraries.load(), [t for _, t in rows])
+
+
+def test_pipeline_takes_odd_rows(spark, tmp_path):
+    """Nulls, empty texts, repeated rows and ids; and tables without rows."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    some = docs.limit(60).collect()
+    first = some[0].asDict()
+    odd = [
+        {**first, "doc_id": None},
+        {**first, "text": None},
+        {**first, "doc_id": 900_001, "text": None, "lang": None, "source": None, "n_chars": None},
+        {**first, "doc_id": 900_002, "text": ""},
+        {**first, "doc_id": 900_003, "text": "word " * 30_000},
+        first,
+        first,
+    ]
+    rows = [r.asDict() for r in some] + odd
+    frame = spark.createDataFrame([tuple(r[c] for c in docs.columns) for r in rows], docs.schema)
+    frame.write.parquet(f"{tmp_path}/odd/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/odd/labels.parquet")
+    result = registered.queries()["pipeline"](spark, f"{tmp_path}/odd").collect()
+    assert result and all(r.n_tokens >= 0 for r in result)
+    by_text = {}
+    for r in result:
+        by_text.setdefault(r.decoded_sha256, set()).add(r.doc_id)
+    # One document of each text is left, however many rows had it.
+    assert all(len(ids) == 1 for ids in by_text.values())
+
+    frame.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/none/labels.parquet")
+    assert registered.queries()["pipeline"](spark, f"{tmp_path}/none").collect() == []
+
+
 def test_pipeline_stages(spark):
     """Each stage on what the one before kept, held to a plain program."""
     from kinrank.llm import mixing, quality
