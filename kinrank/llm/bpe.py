@@ -23,9 +23,9 @@ from kinrank.llm.worker import remembered, slices, without_collection
 
 # Pieces a worker remembers, and bytes of text it works on at once.
 REMEMBERED = 120_000
-AT_ONCE = 2 << 20
+AT_ONCE = 1 << 20
 # What DuckDB may hold in one worker.
-MEMORY = "240MB"
+MEMORY = "160MB"
 # Longer pieces are contracted at all places of the minimum rank in one round.
 LONG = 64
 LONG_AT_ONCE = 32 << 10
