@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from kinrank.llm.tables import texts
-from kinrank.llm.worker import remembered, slices, without_collection
+from kinrank.llm.worker import Lately, remembered, slices, without_collection
 
-# Pieces a worker remembers, and bytes of text it works on at once.
-REMEMBERED = 120_000
+# Pieces a worker remembers (see ``Lately``), and bytes of text it works on at once.
+REMEMBERED = 80_000
 AT_ONCE = 1 << 20
 # What DuckDB may hold in one worker.
 MEMORY = "160MB"
@@ -84,8 +84,8 @@ class Codec:
         }
         self.findall = regex.compile(pattern).findall
         # Ids of texts between two spaces, with the space before them, and of pieces.
-        self.cut: dict[str, bytes] = {}
-        self.known: dict[bytes, bytes] = {}
+        self.cut: Lately[str, bytes] = Lately(REMEMBERED)
+        self.known: Lately[bytes, bytes] = Lately(REMEMBERED)
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         left, right, merged = [], [], []
         for token, rank in self.ranks.items():
@@ -135,48 +135,55 @@ class Codec:
         self.db.unregister(name)
         return result
 
-    def _rows(self, pieces: list[np.ndarray]) -> dict:
-        lengths = np.array([len(p) for p in pieces])
+    @staticmethod
+    def _rows(ids: np.ndarray, lengths: np.ndarray) -> dict:
         starts = np.cumsum(lengths) - lengths
         return {
-            "word": np.repeat(np.arange(len(pieces), dtype=np.int32), lengths),
+            "word": np.repeat(np.arange(len(lengths), dtype=np.int32), lengths),
             "pos": (np.arange(lengths.sum()) - np.repeat(starts, lengths)).astype(np.int32),
-            "id": np.concatenate(pieces).astype(np.int32),
+            "id": ids.astype(np.int32),
         }
 
-    def _contracted(self, pieces: list[bytes], sql: str) -> list[bytes]:
-        """Ids of pieces that are no tokens themselves."""
+    def _short(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of short pieces that are no tokens themselves."""
+        lengths = np.array([len(p) for p in pieces])
+        found = self._query("pieces", _SHORT, **self._rows(self.single[np.frombuffer(b"".join(pieces), np.uint8)], lengths))
+        cuts = (4 * np.searchsorted(found["word"].to_numpy(), np.arange(len(pieces) + 1))).tolist()
+        packed = found["id"].to_numpy().astype("<u4").tobytes()
+        return [packed[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _long(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of long pieces that are no tokens themselves."""
         state = [self.single[np.frombuffer(p, dtype=np.uint8)] for p in pieces]
         open_ = list(range(len(pieces)))
         while open_:
-            found = self._query("pieces", sql, **self._rows([state[i] for i in open_]))
+            some = [state[i] for i in open_]
+            found = self._query("pieces", _LONG, **self._rows(np.concatenate(some), np.array([len(s) for s in some])))
             words, ids = found["word"].to_numpy(), found["id"].to_numpy()
             cuts = np.searchsorted(words, np.arange(len(open_) + 1))
             for k, i in enumerate(open_):
                 state[i] = ids[cuts[k] : cuts[k + 1]]
-            if sql is _SHORT:
-                break
-            # Long pieces whose rounds ran out go on from where they are.
+            # Pieces whose rounds ran out go on from where they are.
             full = found["step"].to_numpy()[cuts[:-1]] == ROUNDS
             open_ = [i for k, i in enumerate(open_) if full[k]]
         return [s.astype("<u4").tobytes() for s in state]
 
     def _learn(self, pieces: set[bytes]) -> None:
-        new = [p for p in pieces if p not in self.known]
+        new = self.known.missing(pieces)
         whole = [p for p in new if p in self.ranks]
         self.known.update((p, self.ranks[p].to_bytes(4, "little")) for p in whole)
         rest = [p for p in new if p not in self.ranks]
         short = [p for p in rest if len(p) <= LONG]
         if short:
-            self.known.update(zip(short, self._contracted(short, _SHORT), strict=True))
+            self.known.update(zip(short, self._short(short), strict=True))
         some: list[bytes] = []
         for piece in [p for p in rest if len(p) > LONG]:
             if some and len(piece) + sum(map(len, some)) > LONG_AT_ONCE:
-                self.known.update(zip(some, self._contracted(some, _LONG), strict=True))
+                self.known.update(zip(some, self._long(some), strict=True))
                 some = []
             some.append(piece)
         if some:
-            self.known.update(zip(some, self._contracted(some, _LONG), strict=True))
+            self.known.update(zip(some, self._long(some), strict=True))
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers.
@@ -184,12 +191,8 @@ class Codec:
         A piece never reaches across a space that a non-space follows, so texts are cut
         there first; what lies between two such spaces repeats more often than its parts.
         """
-        if len(self.cut) > REMEMBERED:
-            self.cut.clear()
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         cut = [_between_spaces(text) for text in batch]
-        new = set().union(*cut) - self.cut.keys()
+        new = self.cut.missing(set().union(*cut))
         pieces = {c: [p.encode() for p in self.findall(c)] for c in new}
         self._learn(set().union(*pieces.values()))
         known = self.known.__getitem__

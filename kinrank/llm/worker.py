@@ -10,6 +10,8 @@ from types import ModuleType
 from typing import TypeVar
 
 T = TypeVar("T")
+K = TypeVar("K")
+V = TypeVar("V")
 
 
 def remembered(key: Hashable, make: Callable[[], T]) -> T:
@@ -48,3 +50,23 @@ def without_collection() -> Iterator[None]:
     finally:
         if on:
             gc.enable()
+
+
+class Lately(dict[K, V]):
+    """What was met of late. When there is more than ``most``, what has not been met again since the
+    last time is forgotten; so the frequent stays, and at most about twice as much is held."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most = most
+        self.before: dict[K, V] = {}
+
+    def missing(self, keys: set[K]) -> set[K]:
+        """The keys whose values are not known; all others can be looked up until the next call."""
+        if len(self) > self.most:
+            self.before = dict(self)
+            self.clear()
+        new = keys - self.keys()
+        again = new & self.before.keys()
+        self.update((k, self.before[k]) for k in again)
+        return new - again

@@ -92,3 +92,14 @@ def test_documents(spark, raw, encoding):
 
 def test_no_rows(spark):
     assert tokens(docs(spark, []), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_what_is_met_again_is_remembered():
+    from kinrank.llm.worker import Lately
+
+    memory = Lately(2)
+    for round_ in range(20):
+        new = memory.missing({"often", f"once{round_}"})
+        assert ("often" in new) == (round_ == 0)
+        memory.update((k, k.upper()) for k in new)
+        assert memory["often"] == "OFTEN" and len(memory) + len(memory.before) <= 6
