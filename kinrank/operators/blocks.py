@@ -27,9 +27,13 @@ ADDED_ROWS = 256
 RANKED_ROWS = 64
 
 
-def largest_block(labels: DataFrame) -> int:
-    """Users of the fullest ``block``."""
-    return labels.groupBy("block").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+def room_for(keys: int, blocks: int) -> int:
+    """Users that a block has at most, but for one hashed block in very many; a grid grows where it has more.
+
+    Rows of a grid that are never written to take no memory, so a little too much costs little.
+    """
+    share = keys / blocks
+    return min(keys, math.ceil(share + 5 * math.sqrt(share) + 8))
 
 
 @dataclass(frozen=True)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinrank.operators.blocks import RunningSums, Side, best_per_row, block_count, cell_partitions, corated_sums, largest_block
+from kinrank.operators.blocks import RunningSums, Side, best_per_row, block_count, cell_partitions, corated_sums, room_for
 from kinrank.operators.neighbours import (
     BLOCK_USERS,
     LEAST_RATERS,
@@ -25,7 +25,6 @@ from kinrank.operators.neighbours import (
     pearson_array,
     product_cells,
     product_steps,
-    user_blocks,
     with_block,
 )
 
@@ -110,9 +109,8 @@ def fold_neighbours(
     side = Side.of(ratings)
     cores = ratings.sparkSession.sparkContext.defaultParallelism
     blocks = block_count(side, block_users, math.inf, math.ceil(math.sqrt(2 * cores)))
-    labels = user_blocks(ratings, blocks)
-    room = (largest_block(labels),) * 2
-    dealt = with_block(ratings, labels, blocks, "hash")
+    room = (room_for(side.keys, blocks),) * 2
+    dealt = with_block(ratings, blocks)
     partitions = cell_partitions(ratings, blocks * blocks, 48.0 * side.rows * blocks)
     found = (
         product_cells(dealt, dealt, extra="fold")

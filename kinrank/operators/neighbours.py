@@ -20,7 +20,7 @@ from kinrank.operators.blocks import (
     best_per_row,
     block_count,
     cell_partitions,
-    largest_block,
+    room_for,
 )
 from kinrank.operators.selection import with_fold
 from kinrank.operators.splits import TEST, TRAIN, split_hash
@@ -138,11 +138,10 @@ def user_neighbours(
     other_blocks = block_count(side, block_users, math.inf, math.ceil(2 * cores / target_blocks))
 
     dealt, room = [], []
-    for who, blocks in ((mine, target_blocks), (ratings, other_blocks)):
-        labels = user_blocks(who, blocks, blocking)
+    for who, keys, blocks in ((mine, mine_side.keys, target_blocks), (ratings, side.keys, other_blocks)):
+        dealt.append(with_block(who, blocks, blocking))
         # how many users the grid of a cell has to hold
-        room.append(largest_block(labels))
-        dealt.append(with_block(who, labels, blocks, blocking))
+        room.append(room_for(keys, blocks))
     copied = 16.0 * (mine_side.rows * other_blocks + side.rows * target_blocks)
     partitions = cell_partitions(ratings, target_blocks * other_blocks, copied)
     found = (
@@ -190,18 +189,18 @@ def _most_common(labelled: DataFrame, key: str) -> DataFrame:
     return counts.groupBy(key).agg(best["_label"].alias("_label"))
 
 
-def with_block(ratings: DataFrame, labels: DataFrame, blocks: int, blocking: str) -> DataFrame:
+def with_block(ratings: DataFrame, blocks: int, blocking: str = "hash") -> DataFrame:
     """``ratings`` with the ``block`` of their user; hashed blocks need no join."""
     if blocking == "hash":
         return ratings.withColumn("block", block_of(F.col("user_id"), blocks))
-    return ratings.join(labels, "user_id")
+    return ratings.join(user_blocks(ratings, blocks, blocking), "user_id")
 
 
 def cell_load(ratings: DataFrame, blocks: int, blocking: str = "hash") -> DataFrame:
     """What comparing everybody costs: ``n_cells`` that come about, ``n_rows`` of packed raters copied
     to them, ``n_raters`` in those rows."""
     ratings = typed_ratings(ratings)
-    dealt = with_block(ratings, user_blocks(ratings, blocks, blocking), blocks, blocking)
+    dealt = with_block(ratings, blocks, blocking)
     return product_cells(dealt, dealt).agg(
         F.countDistinct("tb", "ub").alias("n_cells"),
         F.count("*").alias("n_rows"),
