@@ -33,8 +33,10 @@ from kinrank.session import forget, written
 
 CHUNKS, LENGTH, ERRORS = 10, 5, 1
 PERCENT = 80
-# Pivots tried before the rest of a group is compared otherwise; the first decides nearly all that any do.
-PIVOTS = 1
+# Pivots tried before the rest of a group is compared otherwise.
+PIVOTS = 4
+# Words of 64 bits that tell which shingles a text has not.
+BIT_WORDS = 32
 # Up to this many texts a group's pairs are listed; beyond, rare shingles choose them.
 LISTED = 32
 # Bytes of text whose words are hashed at once.
@@ -256,9 +258,29 @@ def _least_common(total, percent: int):
     return F.ceil(total * percent / (100 + percent)).cast("bigint")
 
 
+def _bits(shingles: str):
+    """Which of ``64 * BIT_WORDS`` bits the shingles of a text fall on."""
+    places = F.transform(shingles, lambda h: h.bitwiseAND(F.lit(64 * BIT_WORDS - 1)).cast("int"))
+    by_word = F.array_distinct(places)
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(BIT_WORDS - 1)),
+        lambda w: F.aggregate(
+            F.filter(by_word, lambda p: F.shiftright(p, 6) == w),
+            F.lit(0).cast("bigint"),
+            lambda bits, p: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), p.bitwiseAND(F.lit(63)))),
+        ),
+    )
+
+
+def _surely_missing(one: str, other: str):
+    """Shingles of the one that the other has not, as far as bits tell: never too many."""
+    counts = F.zip_with(one, other, lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b))))
+    return F.aggregate(counts, F.lit(0), lambda total, n: total + n)
+
+
 def _rare_shingles(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``shingle, doc, n, at``: the rarest shingles of each text, in the order of how many of ``docs``
-    have them; ``at`` is a shingle's place.
+    """``shingle, doc, n, at, bits``: the rarest shingles of each text, in the order of how many of
+    ``docs`` have them; ``at`` is a shingle's place, ``bits`` has a bit for each of the text's shingles.
 
     As many as it takes to have one in common with every similar text: all but the fewest that a
     similar text shares, and one more. Shingles of one text only meet nobody and are left out.
@@ -272,14 +294,14 @@ def _rare_shingles(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         each.join(shared, "shingle")
         .groupBy("doc_id")
         .agg(F.array_sort(F.collect_list(F.struct("texts", "shingle"))).alias("shared"))
-        .join(mine.select("doc_id", F.size("shingles").cast("bigint").alias("n")), "doc_id")
+        .join(mine.select("doc_id", F.size("shingles").cast("bigint").alias("n"), _bits("shingles").alias("bits")), "doc_id")
     )
     own = F.col("n") - F.size("shared")
     places = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("bigint") + 1
     kept = F.slice("shared", F.lit(1), F.greatest(places - own, F.lit(0)).cast("int"))
-    return ranked.select(F.col("doc_id").alias("doc"), "n", own.alias("own"), F.posexplode(kept).alias("k", "s")).select(
-        F.col("s.shingle").alias("shingle"), "doc", "n", (F.col("own") + F.col("k")).alias("at")
-    )
+    return ranked.select(
+        F.col("doc_id").alias("doc"), "n", "bits", own.alias("own"), F.posexplode(kept).alias("k", "s")
+    ).select(F.col("s.shingle").alias("shingle"), "doc", "n", (F.col("own") + F.col("k")).alias("at"), "bits")
 
 
 def _pairs_by_rare_shingles(docs: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -287,24 +309,28 @@ def _pairs_by_rare_shingles(docs: DataFrame, labels: DataFrame, sets: DataFrame,
 
     The shorter one is found by the shingles that one of its own length would need, the longer
     one looks with all its rare shingles. The first common shingle must stand so early in both that
-    as many can follow as the pair needs.
+    as many can follow as the pair needs, and no more shingles of either may surely be missing from the
+    other than the pair can spare: of texts near the threshold few but linked ones are left.
     """
     rare = written(_rare_shingles(docs, sets, percent).join(labels, "doc"))
     needed = _least_common(2 * F.col("n"), percent)
     found = rare.filter(F.col("at") <= F.col("n") - needed)
-    one = found.select("shingle", *[F.col(c).alias(f"{c}1") for c in ("doc", "n", "at", "label")])
+    one = found.select("shingle", *[F.col(c).alias(f"{c}1") for c in ("doc", "n", "at", "label", "bits")])
     # Groups of one label have nothing to find; they go before the join, and are never listed.
     several = rare.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
     rare = written(rare.join(several.select("shingle"), "shingle", "left_semi"))
     shorter = (F.col("n1") < F.col("n")) | ((F.col("n1") == F.col("n")) & (F.col("doc1") < F.col("doc")))
     can_follow = F.least(F.col("n1") - F.col("at1"), F.col("n") - F.col("at"))
+    can_share = F.least(F.col("n1") - _surely_missing("bits1", "bits"), F.col("n") - _surely_missing("bits", "bits1"))
+    least = _least_common(F.col("n1") + F.col("n"), percent)
     return (
         rare.join(one, "shingle")
         .filter(
             (F.col("label") != F.col("label1"))
             & shorter
             & _sizes_allow("n1", "n", percent)
-            & (can_follow >= _least_common(F.col("n1") + F.col("n"), percent))
+            & (can_follow >= least)
+            & (can_share >= least)
         )
         .select(*_ordered(F.col("doc1"), F.col("doc")))
         .distinct()

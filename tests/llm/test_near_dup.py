@@ -172,3 +172,15 @@ def test_rare_shingles_meet_every_linked_pair(spark, seed):
         (a, b) for a in plain for b in plain if a < b and 100 * len(plain[a] & plain[b]) >= 80 * len(plain[a] | plain[b])
     }
     assert linked and linked <= found
+
+
+def test_bits_never_claim_too_much(spark):
+    """What is surely missing is missing, for short and for very long texts."""
+    rng = random.Random(2)
+    rows = [(k, " ".join(f"w{rng.randrange(900)}" for _ in range(n))) for k, n in enumerate([3, 40, 300, 9000, 9000])]
+    sets = near_dup._sets(docs(spark, rows), 2).select("doc_id", near_dup._bits("shingles").alias("bits"))
+    one, other = sets.toDF("a", "x"), sets.toDF("b", "y")
+    found = one.crossJoin(other).select("a", "b", near_dup._surely_missing("x", "y").alias("gone")).collect()
+    plain = {i: shingles(t, 2) for i, t in rows}
+    assert all(r.gone <= len(plain[r.a] - plain[r.b]) for r in found)
+    assert any(r.gone > 0 for r in found) and all(r.gone == 0 for r in found if r.a == r.b)
