@@ -385,7 +385,8 @@ def _labels(docs: DataFrame, members: DataFrame, width: int, percent: int, liste
             .select("doc", "o", "pivot", *_ordered(F.col("doc"), F.col("pivot")))
         )
         if checked is not None:
-            meetings = meetings.join(checked, ["a", "b"], "left_anti")
+            # A text mostly meets the same pivot by many keys.
+            meetings = meetings.distinct().join(checked, ["a", "b"], "left_anti")
         # Each text meets one new pivot a turn, of all its keys' the first in the order.
         first = meetings.groupBy("doc").agg(F.min(F.struct("o", "pivot")).alias("p"))
         pairs = written(first.select(*_ordered(F.col("doc"), F.col("p.pivot"))).distinct())
