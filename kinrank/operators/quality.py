@@ -87,6 +87,11 @@ def adhoc_users_without_ratings(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("user_id").agg(kept.alias("_kept")).where("_kept = 0").select("user_id")
 
 
+def adhoc_with_ratings(ratings: DataFrame) -> DataFrame:
+    """The marks, unchanged, of people who have any other than 0."""
+    return ratings.join(adhoc_users_without_ratings(ratings), "user_id", "left_anti")
+
+
 def require_adhoc(ratings: DataFrame) -> DataFrame:
     """Cleaned ad-hoc ratings.
 

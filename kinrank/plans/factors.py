@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kinrank.operators import als, fold_in, norm_search, splits
 from kinrank.operators.evaluate import least_error, rmse_of_predicted
-from kinrank.operators.quality import clean_adhoc
+from kinrank.operators.quality import adhoc_with_ratings, clean_adhoc
 from kinrank.plans.registry import query
 from kinrank.plans.sql import MARKS, RATINGS, with_
 from kinrank.session import written
@@ -157,10 +157,10 @@ def als_search_work(spark, folder):
 
 @query()
 def als_recommend_adhoc(spark, folder):
-    """Ten products for everybody who left marks at signup."""
+    """Ten products for everybody who left marks at signup; nobody is asked of whom all marks are "not seen"."""
     return als.als_recommend_adhoc(
         tables.event_ratings(spark, folder),
-        tables.signup_marks(spark, folder),
+        adhoc_with_ratings(written(tables.signup_marks(spark, folder))),
         tables.part_names(spark, folder),
         **MODEL,
     )
