@@ -25,6 +25,8 @@ PAIRS_PER_STEP = 250_000
 # Users whose products of matrices are added, and who are ranked, at once: small beside the grid.
 ADDED_ROWS = 256
 RANKED_ROWS = 64
+# Users of a cell that are multiplied with as many others at once.
+TILE_USERS = 2048
 
 
 def room_for(keys: int, blocks: int) -> int:
@@ -145,7 +147,7 @@ def corated_sums(u, x, u_raters, v, y, v_raters, n_users=0, n_others=0, sums=Non
     ``u`` and ``v`` are raters as positions in their block, ``x`` and ``y`` their ratings,
     product after product; ``u_raters`` and ``v_raters`` say how many belong to each
     product. Returns six (n_users, n_others) arrays: n, sum x, sum y, sum xx, sum yy,
-    sum xy; or adds to ``sums`` of that shape.
+    sum xy; or adds to ``sums`` of that shape, in the type of its numbers.
     """
     if sums is None:
         sums = np.zeros((6, n_users, n_others))
@@ -157,8 +159,9 @@ def corated_sums(u, x, u_raters, v, y, v_raters, n_users=0, n_others=0, sums=Non
     columns = np.flatnonzero(dense)
     for first in range(0, len(columns), DENSE_COLUMNS):
         chosen = columns[first : first + DENSE_COLUMNS]
-        x_mask, x_value = _dense(u, x, u_starts, chosen, n_users)
-        y_mask, y_value = _dense(v, y, v_starts, chosen, n_others)
+        x_mask, x_value = _dense(u, x, u_starts, chosen, n_users, sums.dtype)
+        y_mask, y_value = _dense(v, y, v_starts, chosen, n_others, sums.dtype)
+        y_square = y_value * y_value
         for low in range(0, n_users, ADDED_ROWS):
             part = slice(low, low + ADDED_ROWS)
             mask, value = x_mask[part], x_value[part]
@@ -166,7 +169,7 @@ def corated_sums(u, x, u_raters, v, y, v_raters, n_users=0, n_others=0, sums=Non
             sums[1, part] += value @ y_mask.T
             sums[2, part] += mask @ y_value.T
             sums[3, part] += (value * value) @ y_mask.T
-            sums[4, part] += mask @ (y_value * y_value).T
+            sums[4, part] += mask @ y_square.T
             sums[5, part] += value @ y_value.T
 
     column = np.repeat(np.arange(len(u_raters)), u_raters)
@@ -190,11 +193,138 @@ def corated_sums(u, x, u_raters, v, y, v_raters, n_users=0, n_others=0, sums=Non
     return sums
 
 
-def _dense(who, rated, starts, columns, n_rows):
+@dataclass(frozen=True)
+class Tile:
+    """Some users of a cell, ids ascending, and their ratings product after product.
+
+    ``who`` are positions in ``ids``; ``products`` are numbers the cell gives, ascending, and
+    ``raters`` how many of the ratings each has. ``extra`` is a column that comes with the ratings.
+    """
+
+    ids: np.ndarray
+    who: np.ndarray
+    rating: np.ndarray
+    products: np.ndarray
+    raters: np.ndarray
+    extra: np.ndarray | None = None
+    # The most ratings of a user, and the largest if all are whole numbers, else infinity.
+    most: int = 1
+    peak: float = math.inf
+
+    def of_products(self, wanted: np.ndarray) -> Tile:
+        """The same users with the ratings of the products at the positions ``wanted``."""
+        if len(wanted) == len(self.products):
+            return self
+        chosen = np.zeros(len(self.products), dtype=bool)
+        chosen[wanted] = True
+        return self._kept(np.repeat(chosen, self.raters), self.products[wanted], self.raters[wanted])
+
+    def without(self, extra: int) -> Tile:
+        """The same users without the ratings whose extra is this; products may be left without raters."""
+        keep = self.extra != extra
+        owner = np.repeat(np.arange(len(self.products)), self.raters)
+        return self._kept(keep, self.products, np.bincount(owner[keep], minlength=len(self.products)))
+
+    def _kept(self, keep, products, raters) -> Tile:
+        extra = None if self.extra is None else self.extra[keep]
+        return Tile(self.ids, self.who[keep], self.rating[keep], products, raters, extra, self.most, self.peak)
+
+
+def tiles_of(user, rating, product, extra=None, size: int = TILE_USERS) -> list[Tile]:
+    """Ratings of a block of users, which come product after product, as tiles of ``size`` users.
+
+    Users whose first product is the same are put side by side, so that where tastes form
+    groups a tile has few products.
+    """
+    ids, first, who = np.unique(user, return_index=True, return_inverse=True)
+    tile_of = np.empty(len(ids), dtype=np.int64)
+    tile_of[np.lexsort((ids, product[first]))] = np.arange(len(ids)) // size
+    rows = np.argsort(tile_of[who], kind="stable")
+    found, start = [], 0
+    for tile, n in enumerate(np.bincount(tile_of[who])):
+        some = rows[start : start + n]
+        start += n
+        members = np.flatnonzero(tile_of == tile)
+        products, raters = np.unique(product[some], return_counts=True)
+        place, rated = np.searchsorted(members, who[some]), rating[some]
+        whole = np.array_equal(rated, np.rint(rated))
+        found.append(
+            Tile(
+                ids[members],
+                place,
+                rated,
+                products,
+                raters,
+                None if extra is None else extra[some],
+                int(np.bincount(place).max()),
+                max(1.0, float(np.abs(rated).max())) if whole else math.inf,
+            )
+        )
+    return found
+
+
+def tile_sums(one: Tile, other: Tile, buffer: np.ndarray) -> np.ndarray | None:
+    """Co-rated sums of the users of two tiles, in ``buffer``; None without a common product.
+
+    Where whole numbers are so small that neither sums nor products of two of them are rounded,
+    numbers of half the size do, and are as exact.
+    """
+    common, mine, theirs = np.intersect1d(one.products, other.products, assume_unique=True, return_indices=True)
+    if not len(common):
+        return None
+    most, peak = min(one.most, other.most), max(one.peak, other.peak)
+    dtype = np.float32 if most * peak < 1 << 12 else np.float64
+    one, other = one.of_products(mine), other.of_products(theirs)
+    shape = (6, len(one.ids), len(other.ids))
+    sums = buffer.view(dtype)[: math.prod(shape)].reshape(shape)
+    sums[:] = 0
+    return corated_sums(one.who, one.rating, one.raters, other.who, other.rating, other.raters, sums=sums)
+
+
+def tile_buffer(mine: list[Tile], theirs: list[Tile]) -> np.ndarray:
+    """Room for the sums of any two tiles."""
+    largest = [max((len(t.ids) for t in side), default=0) for side in (mine, theirs)]
+    return np.empty(6 * math.prod(largest))
+
+
+class Nearest:
+    """The ``k`` best others of the users of a tile (all of them without ``k``), tile after tile."""
+
+    def __init__(self, users: np.ndarray, k: int | None):
+        self.users, self.k = users, k
+        self.least = np.full(len(users), -np.inf)
+        self.waiting = [(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int32))]
+
+    def add(self, row: np.ndarray, other: np.ndarray, score: np.ndarray, n: np.ndarray) -> None:
+        """Candidates of the users at positions ``row``; undefined scores are none."""
+        keep = score >= self.least[row]
+        self.waiting.append((row[keep].astype(np.int32), other[keep], score[keep], n[keep].astype(np.int32)))
+
+    def settle(self) -> None:
+        """Keep the best of what was added; ties go to the lower id."""
+        if len(self.waiting) == 1:
+            return
+        row, other, score, n = (np.concatenate(c) for c in zip(*self.waiting, strict=True))
+        order = np.lexsort((other, -score, row))
+        if self.k is not None:
+            sorted_row = row[order]
+            place = np.arange(len(row)) - np.searchsorted(sorted_row, sorted_row)
+            last = order[place == self.k - 1]
+            self.least[row[last]] = score[last]
+            order = order[place < self.k]
+        self.waiting = [(row[order], other[order], score[order], n[order])]
+
+    def found(self) -> dict[str, np.ndarray]:
+        self.settle()
+        row, other, score, n = self.waiting[0]
+        return {"user_id": self.users[row], "neighbour_id": other, "n": n.astype(np.int64), "sim": score}
+
+
+def _dense(who, rated, starts, columns, n_rows, dtype=np.float64):
     """Mask and value matrices (user x chosen product) of ratings listed by product."""
     entry = np.concatenate([np.arange(starts[c], starts[c + 1]) for c in columns])
     column = np.repeat(np.arange(len(columns)), starts[columns + 1] - starts[columns])
-    mask, value = np.zeros((2, n_rows, len(columns)))
+    mask, value = np.zeros((2, n_rows, len(columns)), dtype)
     mask[who[entry], column] = 1.0
     value[who[entry], column] = rated[entry]
     return mask, value

@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 
 from kinrank.functions.scores import VARIANCE_NOISE, block_of, covariance_parts
 from kinrank.operators.blocks import (
-    RunningSums,
+    Nearest,
     Side,
+    Tile,
     best_per_row,
     block_count,
     cell_partitions,
-    room_for,
+    tile_buffer,
+    tile_sums,
+    tiles_of,
 )
 from kinrank.operators.selection import with_fold
 from kinrank.operators.splits import TEST, TRAIN, split_hash
@@ -32,8 +35,13 @@ from kinrank.session import written
 NEIGHBOURS = 25
 LEAST_RATERS = 2
 
-# Larger blocks copy a rating less often; the sums of a cell take 48 bytes a pair, its work a few more.
-BLOCK_USERS = 2048
+# Larger blocks copy a rating less often; a cell holds the ratings of its two blocks, and sums of two tiles.
+BLOCK_USERS = 65_536
+BLOCK_RATINGS = 4_000_000
+# Pairs whose similarity is worked out at once: few, so that they stay in the processor's cache.
+RANKED_PAIRS = 32_768
+# More than similarities lose that are worked out in numbers of half the size.
+ROUGH = 1e-5
 # Rounds in which users and products take each other's labels.
 LABEL_ROUNDS = 3
 # Ratings of a neighbour that are joined in one part.
@@ -116,9 +124,9 @@ def user_neighbours(
     everybody that would be all pairs, and is refused.
 
     Target users and users are dealt into blocks (see :func:`user_blocks` for ``blocking``); a cell
-    of two blocks receives the products both sides rated as a stream, and adds them up in one
-    grid of its users. So its memory does not depend on how much anybody rated, and at most
-    ``k`` rows a user leave it.
+    of two blocks receives the ratings of the products both sides rated, a bounded number, and adds
+    them up tile by tile: some of its users with some others at a time. So blocks are large, a
+    rating is copied to few cells, and at most ``k`` rows a user leave a cell.
     """
     if k is None and targets is None and target_ratings is None:
         raise ValueError("all similarities are only given for targets")
@@ -134,22 +142,23 @@ def user_neighbours(
         mine_side = Side.of(ratings, targets)
 
     cores = ratings.sparkSession.sparkContext.defaultParallelism
-    target_blocks = block_count(mine_side, block_users, math.inf, 1)
-    other_blocks = block_count(side, block_users, math.inf, math.ceil(2 * cores / target_blocks))
-
-    dealt, room = [], []
-    for who, keys, blocks in ((mine, mine_side.keys, target_blocks), (ratings, side.keys, other_blocks)):
-        dealt.append(with_block(who, blocks, blocking))
-        # how many users the grid of a cell has to hold
-        room.append(room_for(keys, blocks))
+    everybody = targets is None and target_ratings is None
+    if everybody:
+        # every two blocks meet once
+        target_blocks = other_blocks = all_blocks(side, block_users, cores)
+        dealt = [with_block(ratings, other_blocks, blocking)] * 2
+    else:
+        target_blocks = block_count(mine_side, block_users, BLOCK_RATINGS, 1)
+        other_blocks = block_count(side, block_users, BLOCK_RATINGS, math.ceil(2 * cores / target_blocks))
+        dealt = [with_block(mine, target_blocks, blocking), with_block(ratings, other_blocks, blocking)]
     copied = 16.0 * (mine_side.rows * other_blocks + side.rows * target_blocks)
     partitions = cell_partitions(ratings, target_blocks * other_blocks, copied)
     found = (
-        product_cells(*dealt)
+        product_cells(*dealt, once=everybody)
         .repartition(partitions, "tb", "ub")
         .groupBy("tb", "ub")
         .applyInArrow(
-            _nearest_in_cell(k, tuple(room)), "user_id bigint, neighbour_id bigint, n bigint, sim double"
+            _nearest_in_cell(k, everybody), "user_id bigint, neighbour_id bigint, n bigint, sim double"
         )
     )
     by_user = Window.partitionBy("user_id").orderBy(F.desc("sim"), "neighbour_id")
@@ -157,6 +166,11 @@ def user_neighbours(
     return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
+def all_blocks(side: Side, block_users: int, cores: int) -> int:
+    """Blocks of everybody, so many that their cells, of which there are about half the square, occupy the cores."""
+    return block_count(side, block_users, BLOCK_RATINGS, math.ceil(math.sqrt(6 * cores)))
+
+
 def user_blocks(ratings: DataFrame, blocks: int, blocking: str = "hash") -> DataFrame:
     """``user_id, block``: everybody who rated something, in ``blocks`` blocks 0, 1, ...
 
@@ -208,11 +222,12 @@ def cell_load(ratings: DataFrame, blocks: int, blocking: str = "hash") -> DataFr
     )
 
 
-def product_cells(mine: DataFrame, theirs: DataFrame, extra: str | None = None) -> DataFrame:
+def product_cells(mine: DataFrame, theirs: DataFrame, extra: str | None = None, once: bool = False) -> DataFrame:
     """One row per product and cell (tb, ub), with the raters of both blocks.
 
     Ratings have the ``block`` of their user. ``users, x`` and ``others, y`` are the raters and their
-    ratings; a column ``extra`` of the ratings comes along as ``x_extra`` and ``y_extra``.
+    ratings; a column ``extra`` of the ratings comes along as ``x_extra`` and ``y_extra``. With ``once``
+    only cells with tb <= ub come about, for blocks that are the same on both sides.
 
     Raters are packed per product and block before anything is joined. A pair is rated
     once, so a packed row holds at most one block of users, and a product that everybody
@@ -238,6 +253,8 @@ def product_cells(mine: DataFrame, theirs: DataFrame, extra: str | None = None)
     present = theirs.groupBy("product_id").agg(F.collect_set("block").alias("blocks"))
     left = packed(mine, "tb", "users", "x").join(present, "product_id")
     left = left.withColumn("ub", F.explode("blocks")).drop("blocks")
+    if once:
+        left = left.where(F.col("tb") <= F.col("ub"))
     right = packed(theirs, "ub", "others", "y")
     columns = ["tb", "ub", "users", "x", "others", "y"] + (["x_extra", "y_extra"] if extra else [])
     return left.join(right, ["product_id", "ub"]).select(*columns)
@@ -260,26 +277,114 @@ def flat_lists(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarr
     return lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
 
 
-def _nearest_in_cell(k: int | None, room: tuple[int, int] = (0, 0)):
+def cell_tiles(batches: Iterator[pa.RecordBatch], extra: bool = False) -> tuple[list[Tile], list[Tile]]:
+    """Both blocks of a cell in tiles."""
+    sides: list[list[list[np.ndarray]]] = [[[] for _ in range(3 + extra)] for _ in range(2)]
+    n_products = 0
+    for batch in batches:
+        for some in product_steps(batch):
+            number = np.arange(n_products, n_products + some.num_rows, dtype=np.int32)
+            n_products += some.num_rows
+            for side, who, rated in ((sides[0], "users", "x"), (sides[1], "others", "y")):
+                ids, raters = flat_lists(some, who)
+                columns = [ids.copy(), flat_lists(some, rated)[0].copy(), np.repeat(number, raters)]
+                if extra:
+                    columns.append(flat_lists(some, f"{rated}_extra")[0].astype(np.int32))
+                for kept, column in zip(side, columns, strict=True):
+                    kept.append(column)
+    mine, theirs = (tiles_of(*[np.concatenate(side.pop(0)) for _ in range(3 + extra)]) for side in sides)
+    return mine, theirs
+
+
+def offer(mine: Nearest, theirs: Nearest | None, sums: np.ndarray, others: np.ndarray) -> None:
+    """Give the users of two tiles each other as neighbours; without ``theirs`` only the first ones.
+
+    Similarities are first worked out in the type of the sums, which tells most pairs apart from the
+    best so far; what is left is worked out exactly.
+    """
+    step = max(1, RANKED_PAIRS // len(others))
+    few = [math.inf if best is None or best.k is None else 8 * best.k for best in (mine, theirs)]
+    columns = []
+    if theirs is not None:
+        least = (theirs.least - ROUGH).astype(sums.dtype)
+    for first in range(0, len(mine.users), step):
+        part = sums[:, first : first + step]
+        vx, vy, similarity = covariance_parts(*part)
+        np.maximum(vx, 0, out=vx)
+        np.maximum(vy, 0, out=vy)
+        scale = np.sqrt(vx, out=vx)
+        scale *= np.sqrt(vy, out=vy)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            similarity /= scale
+        similarity[mine.users[first : first + step, None] == others] = np.nan
+        hits = similarity >= (mine.least[first : first + step, None] - ROUGH).astype(sums.dtype)
+        row, column = np.divmod(np.flatnonzero(hits), len(others))
+        if len(row) > few[0] * len(part[0]):
+            _offer_best(mine, first, part, others)
+        else:
+            _offer_exactly(mine, row, column, first, part, others)
+        if theirs is not None and columns is not None:
+            row, column = np.divmod(np.flatnonzero(similarity >= least), len(others))
+            columns.append((row + first, column))
+            if sum(len(row) for row, _ in columns) > few[1] * len(others):
+                columns = None
+    mine.settle()
+    if theirs is None:
+        return
+    turned = sums.transpose(0, 2, 1)
+    if columns is None:
+        step = max(1, RANKED_PAIRS // len(mine.users))
+        for first in range(0, len(others), step):
+            _offer_best(theirs, first, turned[:, first : first + step], mine.users)
+    else:
+        row, column = (np.concatenate(c) for c in zip(*columns, strict=True))
+        _offer_exactly(theirs, column, row, 0, turned, mine.users)
+    theirs.settle()
+
+
+def _offer_exactly(best: Nearest, row, column, first: int, part: np.ndarray, others: np.ndarray) -> None:
+    chosen = part[:, row, column].astype(np.float64)
+    best.add(row + first, others[column], pearson_array(chosen), chosen[0])
+
+
+def _offer_best(best: Nearest, first: int, part: np.ndarray, others: np.ndarray) -> None:
+    similarity = pearson_array(part.astype(np.float64))
+    users = best.users[first : first + len(similarity), None]
+    similarity[(users == others) | (similarity < best.least[first : first + len(similarity), None])] = np.nan
+    # others are in ascending order, so ties go to the lower neighbour
+    row, column = best_per_row(similarity, len(others) if best.k is None else best.k)
+    best.add(row + first, others[column], similarity[row, column], part[0][row, column])
+
+
+def meet(mine: list[Tile], theirs: list[Tile], k: int | None, both: bool, same: bool, buffer: np.ndarray):
+    """The best of every tile of a cell: all tiles of one block meet those of the other.
+
+    With ``both`` the other block's users look for neighbours, too; ``same`` says that the blocks are
+    one, where every two tiles meet once.
+    """
+    bests = [Nearest(tile.ids, k) for tile in mine]
+    other_bests = bests if same else [Nearest(tile.ids, k) for tile in theirs] if both else [None] * len(theirs)
+    for i, one in enumerate(mine):
+        for j, other in enumerate(theirs):
+            if same and j < i:
+                continue
+            sums = tile_sums(one, other, buffer)
+            if sums is not None:
+                offer(bests[i], None if same and i == j else other_bests[j], sums, other.ids)
+    return bests if same or not both else bests + other_bests
+
+
+def same_block(mine: list[Tile], theirs: list[Tile]) -> bool:
+    """Whether the two blocks of a cell, where every two blocks meet once, are one."""
+    return len(mine) == len(theirs) and all(np.array_equal(a.ids, b.ids) for a, b in zip(mine, theirs, strict=True))
+
+
+def _nearest_in_cell(k: int | None, both: bool):
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell = RunningSums(*room)
-        for batch in batches:
-            for some in product_steps(batch):
-                (user, user_raters), (other, other_raters) = flat_lists(some, "users"), flat_lists(some, "others")
-                x, y = flat_lists(some, "x")[0], flat_lists(some, "y")[0]
-                cell.add(user, x, user_raters, other, y, other_raters)
-        for who, others, (part,) in cell.in_order():
-            similarity = pearson_array(part)
-            similarity[who[:, None] == others[None, :]] = np.nan
-            # others are in ascending order, so ties go to the lower neighbour
-            row, column = best_per_row(similarity, len(others) if k is None else k)
-            best = {
-                "user_id": who[row],
-                "neighbour_id": others[column],
-                "n": part[0][row, column].astype("int64"),
-                "sim": similarity[row, column],
-            }
-            yield pa.RecordBatch.from_pydict(best)
+        mine, theirs = cell_tiles(batches)
+        same = both and same_block(mine, theirs)
+        for best in meet(mine, theirs, k, both, same, tile_buffer(mine, theirs)):
+            yield pa.RecordBatch.from_pydict(best.found())
 
     return nearest
 
