@@ -434,16 +434,31 @@ def _spread(near: DataFrame, theirs: DataFrame) -> DataFrame:
 
     A neighbour's products are cut into segments of about ``SEGMENT_RATINGS``, and the
     users near to them are copied to the segments they have: a neighbour who rated a lot
-    and is near to many is that many join keys instead of one.
+    and is near to many is that many join keys instead of one. A segment stays packed until it
+    is where its user is, so that a user's products are added up without moving them once more.
     """
     largest = theirs.groupBy("neighbour_id").count().agg(F.max("count")).first()[0] or 1
     segments = math.ceil(largest / SEGMENT_RATINGS)
-    theirs = theirs.withColumn("_segment", block_of(F.col("product_id"), segments))
-    present = theirs.groupBy("neighbour_id").agg(F.collect_set("_segment").alias("_segments"))
-    copied = near.join(present, "neighbour_id").select(
-        "user_id", "neighbour_id", "sim", F.explode("_segments").alias("_segment")
+    rated = F.collect_list(F.struct("product_id", "_rating"))
+    packed = (
+        theirs.groupBy("neighbour_id", block_of(F.col("product_id"), segments).alias("_segment"))
+        .agg(rated.alias("_rated"))
+        .select(
+            "neighbour_id", "_segment", F.col("_rated.product_id").alias("_products"), F.col("_rated._rating").alias("_ratings")
+        )
+    )
+    present = theirs.select("neighbour_id", block_of(F.col("product_id"), segments).alias("_segment")).distinct()
+    if segments == 1:
+        copied = near.withColumn("_segment", F.lit(0))
+    else:
+        copied = near.join(present, "neighbour_id")
+    gathered = (
+        copied.join(packed, ["neighbour_id", "_segment"]).select("user_id", "sim", "_products", "_ratings").repartition("user_id")
+    )
+    each = F.explode(F.arrays_zip("_products", "_ratings")).alias("_each")
+    return gathered.select("user_id", "sim", each).select(
+        "user_id", F.col("_each._products").alias("product_id"), "sim", F.col("_each._ratings").alias("_rating")
     )
-    return copied.join(theirs, ["neighbour_id", "_segment"])
 
 
 def knn_recommend(
