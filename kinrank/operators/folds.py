@@ -1,14 +1,12 @@
 """Neighbourhood errors of all folds from one set of cells.
 
-A fold's training data are all ratings but its own. The sums over the products two users have in
-common, without fold f, are the sums over all products less those over products where the one's or
-the other's rating lies in f. A cell therefore adds up everything once, and for each fold only the
-pairs of ratings that the fold takes away; the cells are formed and shuffled once, not once a fold.
+A fold's training data are all ratings but its own. A cell of two blocks of users receives their
+ratings once, with the fold of each, and adds up the products two users have in common for one fold
+after the other, without its ratings; the cells are formed and shuffled once, not once a fold.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,15 +14,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinrank.operators.blocks import RunningSums, Side, best_per_row, block_count, cell_partitions, corated_sums, room_for
+from kinrank.operators.blocks import RunningSums, Side, cell_partitions, corated_sums, tile_buffer
 from kinrank.operators.neighbours import (
     BLOCK_USERS,
     LEAST_RATERS,
     NEIGHBOURS,
-    flat_lists,
-    pearson_array,
+    all_blocks,
+    cell_tiles,
+    meet,
     product_cells,
-    product_steps,
+    same_block,
     with_block,
 )
 
@@ -68,29 +67,16 @@ class FoldSums(RunningSums):
                 corated_sums(*rest, *some, sums=self.grids[fold])
 
 
-def _nearest_by_fold(folds: int, k: int, room: tuple[int, int]):
+def _nearest_by_fold(folds: int, k: int):
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell = FoldSums(folds, *room)
-        for batch in batches:
-            for some in product_steps(batch):
-                (user, user_raters), (other, other_raters) = flat_lists(some, "users"), flat_lists(some, "others")
-                x, y, x_fold, y_fold = (flat_lists(some, c)[0] for c in ("x", "y", "x_extra", "y_extra"))
-                cell.add_folds(user, x, x_fold, user_raters, other, y, y_fold, other_raters)
-        for who, others, parts in cell.in_order():
-            for fold in range(1, folds + 1):
-                left = parts[0] - parts[fold]
-                similarity = pearson_array(left)
-                similarity[who[:, None] == others[None, :]] = np.nan
-                row, column = best_per_row(similarity, k)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "fold": np.full(len(row), fold, dtype=np.int32),
-                        "user_id": who[row],
-                        "neighbour_id": others[column],
-                        "n": left[0][row, column].astype("int64"),
-                        "sim": similarity[row, column],
-                    }
-                )
+        mine, theirs = cell_tiles(batches, extra=True)
+        same, buffer = same_block(mine, theirs), tile_buffer(mine, theirs)
+        for fold in range(1, folds + 1):
+            left = [tile.without(fold) for tile in mine]
+            others = left if same else [tile.without(fold) for tile in theirs]
+            for best in meet(left, others, k, True, same, buffer):
+                found = best.found()
+                yield pa.RecordBatch.from_pydict({"fold": np.full(len(found["n"]), fold, dtype=np.int32), **found})
 
     return nearest
 
@@ -101,23 +87,21 @@ def fold_neighbours(
     """The ``k`` most similar users of everybody, for each fold 1..``folds`` without its ratings.
 
     ``ratings`` have a ``fold``, and are unique per user and product. Returns ``fold, user_id,
-    neighbour_id, n, sim, rank`` as ``user_neighbours`` does for the other folds alone. A cell takes
-    48 bytes a pair and grid, so blocks are smaller the more folds there are.
+    neighbour_id, n, sim, rank`` as ``user_neighbours`` does for the other folds alone. A cell holds
+    the ratings of its two blocks once, and takes one fold after the other.
     """
     ratings = typed_folds(ratings)
-    block_users = block_users or max(64, int(BLOCK_USERS / math.sqrt(folds + 1)))
     side = Side.of(ratings)
     cores = ratings.sparkSession.sparkContext.defaultParallelism
-    blocks = block_count(side, block_users, math.inf, math.ceil(math.sqrt(2 * cores)))
-    room = (room_for(side.keys, blocks),) * 2
+    blocks = all_blocks(side, block_users or BLOCK_USERS, cores)
     dealt = with_block(ratings, blocks)
     partitions = cell_partitions(ratings, blocks * blocks, 48.0 * side.rows * blocks)
     found = (
-        product_cells(dealt, dealt, extra="fold")
+        product_cells(dealt, dealt, extra="fold", once=True)
         .repartition(partitions, "tb", "ub")
         .groupBy("tb", "ub")
         .applyInArrow(
-            _nearest_by_fold(folds, k, room), "fold int, user_id bigint, neighbour_id bigint, n bigint, sim double"
+            _nearest_by_fold(folds, k), "fold int, user_id bigint, neighbour_id bigint, n bigint, sim double"
         )
     )
     by_user = Window.partitionBy("fold", "user_id").orderBy(F.desc("sim"), "neighbour_id")
