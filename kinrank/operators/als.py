@@ -20,7 +20,7 @@ from pyspark.util import inheritable_thread_target
 from kinrank.functions.scores import binary_label, block_of, implicit_shift
 from kinrank.operators.blocks import Side, best_per_row, block_count, cell_partitions
 from kinrank.operators.evaluate import rmse_of_predicted
-from kinrank.operators.norm_search import bounded_recommend
+from kinrank.operators.norm_search import CELL_ROWS, bounded_recommend
 from kinrank.operators.quality import ratings_of, require_adhoc, with_adhoc
 from kinrank.operators.splits import TEST, TRAIN
 from kinrank.operators.topn import top_n
@@ -116,8 +116,7 @@ def als_recommend(
     """The ``n`` best predicted catalogue products of each target (everybody by default).
 
     A catalogue of more than one block of products is searched by norms, see
-    :mod:`kinrank.operators.norm_search`, with blocks as bands, so that most products are
-    never scored; the result is the same. A smaller one, or any with ``bounded=False``, is
+    :mod:`kinrank.operators.norm_search`, so that many products are never scored; the result is the same. A smaller one, or any with ``bounded=False``, is
     scored in full: users and products are hashed into blocks. A cell scores one block of
     users against one block of products as a matrix product, blanks out what its users
     already rated, and returns ``n`` products per user. However much a user rated, a cell
@@ -137,11 +136,13 @@ def als_recommend(
         rated = ratings_of(rated, users)
 
     n_products = products.count()
-    if bounded and n_products > block_products:
+    if bounded and n_products > block_products > n:
         return bounded_recommend(
             model, ratings, names, targets, n=n, exclude_rated=exclude_rated, block_users=block_users,
             band_products=block_products,
         )
+    # a cell returns n products a user, all of its block where n is larger
+    block_users = max(1, min(block_users, CELL_ROWS // max(1, min(n, n_products, block_products))))
     n_users, n_rated = users.count(), rated.count()
     cores = ratings.sparkSession.sparkContext.defaultParallelism
     pb = block_count(Side(n_products, n_products, 1), block_products, block_products, 1)

@@ -1,11 +1,10 @@
 """The best products of each user without scoring every product: a search bounded by norms.
 
-No score exceeds the product of the two norms (Cauchy-Schwarz). Products are cut into bands by
-norm, at quantiles. All users are scored against the band of the largest norms; after that
-a user's ``n``-th best score says how large a product's norm must be to matter, and they
-are sent on to the bands that reach it, and to no others. Inside a band products come in tiles
-of descending norm, and a user leaves when the next tile can't reach their ``n``-th
-score. Nothing is approximate: what is left out can't be among the best ``n``.
+No score exceeds the product of the two norms (Cauchy-Schwarz). A cell has a block of users and a
+slice of the catalogue, which is large, so that a user is sent to few cells and at most ``n`` products
+a user leave each. Inside a cell products come in tiles of descending norm, and a user leaves when the
+next tile can't reach their ``n``-th score. Nothing is approximate: what is left out can't be among
+the best ``n``. A task holds the factors of its cell and the ``n`` best so far.
 """
 
 from __future__ import annotations
@@ -15,7 +14,6 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import Bucketizer
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +27,13 @@ from kinrank.session import written
 BLOCK_USERS = 65_536
 BLOCK_RATINGS = 4_000_000
 BAND_PRODUCTS = 8192
+SLICE_PRODUCTS = 262_144
+# Rows that leave a cell.
+CELL_ROWS = 2_000_000
 TILE_PRODUCTS = 512
-TILE_USERS = 4096
+TILE_USERS = 1024
+# Tiles grow up to this many times.
+LARGER_TILES = 16
 # Bounds are raised by this share, far more than sums of doubles lose.
 SLACK = 1e-6
 
@@ -47,42 +50,63 @@ def _norm(features: str = "features") -> Column:
 def known_catalogue(model: ALSModel, names: DataFrame) -> DataFrame:
     """``product_id, features, bound`` of the products that have factors and a name.
 
-    ``bound`` is at least the norm. It differs a little between products of one norm, so that
-    quantiles part those, too.
+    ``bound`` is at least the norm.
     """
     catalogue = names.select(F.col("product_id").cast("int").alias("id")).distinct()
-    share = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / float(1 << 20)
     return model.itemFactors.join(catalogue, "id", "left_semi").select(
-        F.col("id").alias("product_id"), "features", (_norm() * (1 + SLACK * (1 + share))).alias("bound")
+        F.col("id").alias("product_id"), "features", (_norm() * (1 + SLACK)).alias("bound")
     )
 
 
-def _bands(products: DataFrame, n_products: int, size: int) -> list[float]:
-    """The bounds at which the bands begin, in ascending order; the first is everything's."""
-    count = math.ceil(n_products / size)
-    if count <= 1:
-        return []
-    shares = [k / count for k in range(1, count)]
-    return sorted(set(products.approxQuantile("bound", shares, 1 / (4 * count))))
+def _best_of_users(user, rows, product, columns, bound, at_row, at_column, n: int, tile_products: int):
+    """The ``n`` best products of some users, from the largest norm down, and how many were scored.
 
-
-def _banded(frame: DataFrame, column: str, edges: list[float]) -> DataFrame:
-    """``frame`` with the ``band`` its ``column`` falls into; band 0 has the smallest bounds."""
-    if not edges:
-        return frame.withColumn("band", F.lit(0))
-    splits = [-math.inf, *edges, math.inf]
-    cut = Bucketizer(splits=splits, inputCol=column, outputCol="band", handleInvalid="error")
-    return cut.transform(frame).withColumn("band", F.col("band").cast("int"))
-
-
-def _merged(best: np.ndarray, scores: np.ndarray, n: int) -> np.ndarray:
-    """The ``n`` best scores of each row, so far and of a tile, the lowest first."""
-    both = np.concatenate([best, np.where(np.isnan(scores), -np.inf, scores)], axis=1)
-    return np.sort(np.partition(both, both.shape[1] - n, axis=1)[:, -n:], axis=1)
-
-
-def _search_cell(n: int):
-    """Scores the users of a cell against its products, from the largest norm down."""
+    ``product`` and ``columns`` are in the order of descending ``bound``; ``at_row`` and
+    ``at_column``, by column, are the pairs that don't count.
+    """
+    norms = np.sqrt((rows * rows).sum(axis=1))
+    best_score = np.full((len(user), n), -np.inf)
+    best_product = np.full((len(user), n), np.iinfo(np.int32).max, dtype=np.int32)
+    scored = np.zeros(len(user), dtype=np.int64)
+    low, most = 0, LARGER_TILES * tile_products
+    while low < len(product):
+        high = min(low + tile_products, len(product))
+        needed = best_score[:, -1]
+        # Zero times infinity can't occur: bounds are finite, and no score asks for nothing.
+        active = np.flatnonzero((norms * bound[low] >= needed) | ~np.isfinite(needed))
+        if not len(active):
+            break
+        scored[active] += high - low
+        tile = low + np.argsort(product[low:high])
+        column_of = np.empty(high - low, dtype=np.int64)
+        column_of[tile - low] = np.arange(high - low)
+        scores = rows[active] @ columns[tile].T
+        a, b = np.searchsorted(at_column, [low, high])
+        spot = np.minimum(np.searchsorted(active, at_row[a:b]), len(active) - 1)
+        here = active[spot] == at_row[a:b]
+        scores[spot[here], column_of[at_column[a:b][here] - low]] = np.nan
+        wanted = scores >= needed[active, None]
+        if np.count_nonzero(wanted) > 2 * n * len(active):
+            row, column = best_per_row(scores, n)
+        else:
+            row, column = np.divmod(np.flatnonzero(wanted), high - low)
+        # Only users with a new candidate are ranked anew; ties go to the lower id.
+        touched, place = np.unique(row, return_inverse=True)
+        who = active[touched]
+        every = np.concatenate([np.repeat(np.arange(len(who)), n), place])
+        score = np.concatenate([best_score[who].ravel(), scores[row, column]])
+        which = np.concatenate([best_product[who].ravel(), product[tile[column]]])
+        order = np.lexsort((which, -score, every))
+        rank = np.arange(len(order)) - np.searchsorted(every[order], every[order])
+        order = order[rank < n]
+        best_score[who], best_product[who] = score[order].reshape(-1, n), which[order].reshape(-1, n)
+        # Candidates get rarer with every product, so that users are ranked anew less often.
+        low, tile_products = high, min(2 * tile_products, most)
+    return best_score, best_product, scored
+
+
+def _search_cell(n: int, tile_products: int):
+    """Scores the users of a cell against its products, some users at a time."""
 
     def matrix(table: pa.Table) -> np.ndarray:
         flat = table["features"].combine_chunks().flatten().to_numpy()
@@ -93,90 +117,35 @@ def _search_cell(n: int):
         products = cell.filter(pc.invert(cell["is_user"])).sort_by([("bound", "descending"), ("id", "ascending")])
         if not len(users) or not len(products):
             return FOUND.empty_table()
-        user, least_score = users["id"].to_numpy(), users["bound"].to_numpy()
-        product, bound = products["id"].to_numpy(), products["bound"].to_numpy()
+        user, product, bound = users["id"].to_numpy(), products["id"].to_numpy(), products["bound"].to_numpy()
         rows, columns = matrix(users), matrix(products)
-        norms = np.sqrt((rows * rows).sum(axis=1))
         rated_user, rated_product = rated["user_id"].to_numpy(), rated["product_id"].to_numpy()
         by_id = np.argsort(product)
         place = np.minimum(np.searchsorted(product, rated_product, sorter=by_id), len(product) - 1)
         at_row = np.minimum(np.searchsorted(user, rated_user), len(user) - 1)
         known = (product[by_id[place]] == rated_product) & (user[at_row] == rated_user)
         at_row, at_column = at_row[known], by_id[place[known]]
-        order = np.argsort(at_column, kind="stable")
+        order = np.lexsort((at_column, at_row // TILE_USERS))
         at_row, at_column = at_row[order], at_column[order]
-
-        best = np.full((len(user), n), -np.inf)
-        scored = np.zeros(len(user), dtype=np.int64)
         found = []
-        for low in range(0, len(product), TILE_PRODUCTS):
-            high = min(low + TILE_PRODUCTS, len(product))
-            needed = np.maximum(least_score, best[:, 0])
-            # Zero times infinity can't occur: bounds are finite, and no score asks for nothing.
-            active = np.flatnonzero((norms * bound[low] >= needed) | ~np.isfinite(needed))
-            if not len(active):
-                break
-            scored[active] += high - low
-            tile = low + np.argsort(product[low:high])
-            a, b = np.searchsorted(at_column, [low, high])
-            column_of = np.empty(high - low, dtype=np.int64)
-            column_of[tile - low] = np.arange(high - low)
-            for first in range(0, len(active), TILE_USERS):
-                some = active[first : first + TILE_USERS]
-                scores = rows[some] @ columns[tile].T
-                spot = np.minimum(np.searchsorted(some, at_row[a:b]), len(some) - 1)
-                here = some[spot] == at_row[a:b]
-                scores[spot[here], column_of[at_column[a:b][here] - low]] = np.nan
-                row, column = best_per_row(scores, n)
-                found.append((some[row], product[tile[column]], scores[row, column]))
-                best[some] = _merged(best[some], scores, n)
-        who, which, score = (np.concatenate(parts) for parts in zip(*found, strict=True)) if found else (
-            np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0))
-        keep = score >= np.maximum(least_score, best[:, 0])[who]
-        blank = pa.nulls(len(user))
-        return pa.concat_tables(
-            [
-                pa.table([user[who[keep]], which[keep], score[keep], pa.nulls(int(keep.sum()), pa.int64())], schema=FOUND),
+        for first in range(0, len(user), TILE_USERS):
+            some = slice(first, first + TILE_USERS)
+            a, b = np.searchsorted(at_row // TILE_USERS, [first // TILE_USERS, first // TILE_USERS + 1])
+            score, which, scored = _best_of_users(
+                user[some], rows[some], product, columns, bound, at_row[a:b] - first, at_column[a:b], n, tile_products
+            )
+            row, place = np.nonzero(np.isfinite(score))
+            nothing = pa.nulls(len(scored))
+            found += [
+                pa.table([user[some][row], which[row, place], score[row, place], pa.nulls(len(row), pa.int64())], schema=FOUND),
                 # How many products each user was multiplied with.
-                pa.table([user, blank.cast(pa.int32()), blank.cast(pa.float64()), scored], schema=FOUND),
+                pa.table([user[some], nothing.cast(pa.int32()), nothing.cast(pa.float64()), scored], schema=FOUND),
             ]
-        )
+        return pa.concat_tables(found)
 
     return search
 
 
-def _searched(users: DataFrame, products: DataFrame, rated: DataFrame, blocks: int, n: int, partitions: int) -> DataFrame:
-    """``user_id, product_id, score, scored`` of cells of a block of users and a band.
-
-    ``users`` has ``user_id, features, least_score, band``; a user is scored in each band they
-    have a row for.
-    """
-    cells = users.select(
-        block_of(F.col("user_id"), blocks).alias("ub"),
-        "band",
-        F.lit(True).alias("is_user"),
-        F.col("user_id").alias("id"),
-        "features",
-        F.col("least_score").alias("bound"),
-    ).unionByName(
-        products.select(
-            F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("ub"),
-            "band",
-            F.lit(False).alias("is_user"),
-            F.col("product_id").alias("id"),
-            "features",
-            "bound",
-        )
-    )
-    rated = rated.select(block_of(F.col("user_id"), blocks).alias("ub"), "band", "user_id", "product_id")
-    return (
-        cells.repartition(partitions, "ub", "band")
-        .groupBy("ub", "band")
-        .cogroup(rated.repartition(partitions, "ub", "band").groupBy("ub", "band"))
-        .applyInArrow(_search_cell(n), "user_id int, product_id int, score double, scored bigint")
-    )
-
-
 def search_products(
     model: ALSModel,
     ratings: DataFrame,
@@ -199,46 +168,54 @@ def search_products(
         users = users.join(chosen, "user_id", "left_semi")
     products = known_catalogue(model, names)
     n_users, n_products = users.count(), products.count()
-    edges = _bands(products, n_products, band_products)
-    products = written(_banded(products, "bound", edges))
     rated = ratings.select(F.col("user_id").cast("int").alias("user_id"), F.col("product_id").cast("int").alias("product_id"))
     if not exclude_rated:
         rated = rated.where(F.lit(False))
     elif targets is not None:
         rated = rated.join(users.select("user_id"), "user_id", "left_semi")
-    # A rating belongs to the band of its product.
-    rated = written(rated.join(products.select("product_id", "band"), "product_id"))
-    cores, top = spark.sparkContext.defaultParallelism, len(edges)
-    blocks = block_count(Side(n_users, rated.count() // (top + 1), 1), block_users, BLOCK_RATINGS, 2 * cores)
-    # Nobody has a score yet: negative infinity asks for nothing.
-    first_users = users.withColumn("least_score", F.lit(-math.inf)).withColumn("band", F.lit(top))
-    in_top = F.col("band") == top
-    first = written(
-        _searched(
-            first_users, products.where(in_top), rated.where(in_top), blocks, n, cell_partitions(ratings, blocks)
+    rated = written(rated)
+    cores, n_rated = spark.sparkContext.defaultParallelism, rated.count()
+    slices = max(1, math.ceil(n_products / SLICE_PRODUCTS))
+    block_users = max(1, min(block_users, CELL_ROWS // n))
+    blocks = block_count(Side(n_users, n_rated // slices, 1), block_users, BLOCK_RATINGS, math.ceil(2 * cores / slices))
+    # Few users leave cores to slices of the catalogue, as long as a slice keeps several bands.
+    slices = max(slices, min(math.ceil(2 * cores / blocks), n_products // (8 * band_products)))
+    every_slice = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    cells = users.select(
+        block_of(F.col("user_id"), blocks).alias("ub"),
+        every_slice.alias("slice"),
+        F.lit(True).alias("is_user"),
+        F.col("user_id").alias("id"),
+        "features",
+        F.lit(None).cast("double").alias("bound"),
+    ).unionByName(
+        products.select(
+            every_block.alias("ub"),
+            block_of(F.col("product_id"), slices).alias("slice"),
+            F.lit(False).alias("is_user"),
+            F.col("product_id").alias("id"),
+            "features",
+            "bound",
         )
     )
-    if not top:
-        return first
-    enough = first.where(F.col("product_id").isNotNull())
-    nth = top_n(enough, n).groupBy("user_id").agg(F.count("*").alias("have"), F.min("score").alias("nth"))
-    least_score = F.when(F.col("have") >= n, F.col("nth")).otherwise(-math.inf)
-    norm = _norm()
-    # A bound below this can't reach the n-th score. Users without length tie everywhere.
-    reach = F.when((norm > 0) & (F.col("least_score") > 0), F.col("least_score") / norm).otherwise(-math.inf)
-    waiting = users.join(nth, "user_id", "left").withColumn("least_score", least_score).withColumn("reach", reach)
-    waiting = _banded(waiting, "reach", edges).where(F.col("band") < top)
-    waiting = written(
-        waiting.withColumn("band", F.explode(F.sequence("band", F.lit(top - 1)))).select(
-            "user_id", "features", "least_score", "band"
+    pairs = rated.select(
+        block_of(F.col("user_id"), blocks).alias("ub"),
+        block_of(F.col("product_id"), slices).alias("slice"),
+        "user_id",
+        "product_id",
+    )
+    copied = 8.0 * model.rank * (n_users * slices + n_products * blocks) + 16.0 * n_rated
+    partitions = cell_partitions(ratings, blocks * slices, copied)
+    found = (
+        cells.repartition(partitions, "ub", "slice")
+        .groupBy("ub", "slice")
+        .cogroup(pairs.repartition(partitions, "ub", "slice").groupBy("ub", "slice"))
+        .applyInArrow(
+            _search_cell(n, min(TILE_PRODUCTS, band_products)), "user_id int, product_id int, score double, scored bigint"
         )
     )
-    left = rated.join(waiting.select("user_id", "band"), ["user_id", "band"], "left_semi")
-    # Only bands that somebody still needs are copied to the blocks of users.
-    wanted = products.join(waiting.select("band").distinct(), "band", "left_semi")
-    copied = 8.0 * model.rank * (waiting.count() + n_products * blocks)
-    rest = _searched(waiting, wanted, left, blocks, n, cell_partitions(ratings, blocks * top, copied))
-    return written(first.unionByName(rest))
+    return written(found)
 
 
 def bounded_recommend(model: ALSModel, ratings: DataFrame, names: DataFrame, *args, n: int = 10, **options) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kinrank.operators import als, fold_in, norm_search, splits
@@ -68,22 +69,23 @@ def als_implicit_rmse(spark, folder):
 
 
 def _recommend(spark, folder, n, exclude_rated):
+    """Recommendations, and the ratings and names they are from."""
     ratings = written(tables.order_ratings(spark, folder))
     model = als.als_fit(ratings, **MODEL)
     names = tables.supplier_names(spark, folder)
-    return als.als_recommend(model, ratings, names, n=n, exclude_rated=exclude_rated)
+    return als.als_recommend(model, ratings, names, n=n, exclude_rated=exclude_rated), ratings, names
 
 
 @query()
 def als_recommend_user(spark, folder):
     """Ten unrated suppliers for every customer."""
-    return _recommend(spark, folder, 10, True)
+    return _recommend(spark, folder, 10, True)[0]
 
 
 @query()
 def als_topk_with_rated(spark, folder):
     """Thirty suppliers for every customer, rated or not."""
-    return _recommend(spark, folder, 30, False)
+    return _recommend(spark, folder, 30, False)[0]
 
 
 @query(
@@ -274,13 +276,14 @@ def _described(recommended, rated, names):
     whether scores descend by position from 1 on without a gap."""
     known = rated.select(F.col("user_id").cast("int").alias("user_id"), F.col("product_id").cast("int").alias("product_id"))
     named = names.select(F.col("product_id").cast("int").alias("product_id")).distinct()
+    before = F.lag(F.struct("pos", "score")).over(Window.partitionBy("user_id").orderBy("pos"))
     marked = (
-        recommended.join(known.withColumn("_rated", F.lit(1)), ["user_id", "product_id"], "left")
+        recommended.withColumn("_before", before)
+        .join(known.withColumn("_rated", F.lit(1)), ["user_id", "product_id"], "left")
         .join(named.withColumn("_named", F.lit(1)), "product_id", "left")
     )
-    above = marked.select("user_id", (F.col("pos") + 1).alias("pos"), F.col("score").alias("_above"))
-    marked = marked.join(above, ["user_id", "pos"], "left")
-    in_order = F.when(F.col("pos") == 1, True).otherwise(F.coalesce(F.col("score") <= F.col("_above"), F.lit(False)))
+    follows = (F.col("_before.pos") + 1 == F.col("pos")) & (F.col("score") <= F.col("_before.score"))
+    in_order = F.when(F.col("pos") == 1, F.col("_before").isNull()).otherwise(F.coalesce(follows, F.lit(False)))
     return marked.groupBy("user_id").agg(
         F.count("*").alias("n_recommended"),
         F.countDistinct("product_id").alias("n_products"),
@@ -307,16 +310,14 @@ SELECT user_id, n_recommended, n_recommended AS n_products, 0::BIGINT AS n_rated
 @query(_expected(10, False))
 def als_recommend_described(spark, folder):
     """Ten unrated suppliers for every customer, in order."""
-    recommended = _recommend(spark, folder, 10, True)
-    return _described(recommended, tables.order_ratings(spark, folder), tables.supplier_names(spark, folder))
+    return _described(*_recommend(spark, folder, 10, True))
 
 
 @query(_expected(30, True))
 def als_topk_described(spark, folder):
     """Thirty suppliers for every customer, rated ones not held back."""
-    recommended = _recommend(spark, folder, 30, False)
-    nobody = tables.order_ratings(spark, folder).where(F.lit(False))
-    return _described(recommended, nobody, tables.supplier_names(spark, folder))
+    recommended, ratings, names = _recommend(spark, folder, 30, False)
+    return _described(recommended, ratings.where(F.lit(False)), names)
 
 
 @query(

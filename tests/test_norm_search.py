@@ -123,3 +123,13 @@ def test_no_users_and_no_products(spark):
     strangers = spark.createDataFrame([(9,)], "user_id bigint")
     names = spark.createDataFrame([(1, "x")], "product_id int, name string")
     assert ns.bounded_recommend(model, nothing, names, strangers).collect() == []
+
+
+def test_a_user_leaves_a_search_as_n_rows_however_many_bands(spark):
+    rng = np.random.default_rng(12)
+    users, products = factors("equal norms", rng, 40), factors("equal norms", rng, 400)
+    names = spark.createDataFrame([(p, "x") for p in range(400)], "product_id int, name string")
+    nothing = spark.createDataFrame([], "user_id bigint, product_id bigint, rating double")
+    found = ns.search_products(model_of(spark, users, products), nothing, names, n=5, band_products=100)
+    assert found.where("product_id IS NOT NULL").count() == 40 * 5
+    assert found.where("scored IS NOT NULL").count() == 40
