@@ -52,3 +52,13 @@ def test_packed_ratings_are_added_up_where_their_user_is(frame):
     plan = nb.knn_estimate(near, ratings)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(user_id" in plan
     assert not any("Exchange hashpartitioning(user_id" in line and "product_id" in line.split("]")[0].split("),")[0] for line in plan.splitlines())
+
+
+def test_unrated_pairs_are_all_returned(spark, folder):
+    from kinrank.plans.registry import QUERIES
+    from kinrank.sources import tables
+
+    found = {tuple(r) for r in QUERIES["als_unrated_pairs"](spark, folder).select("user_id", "product_id").collect()}
+    rated = {(r.user_id, r.product_id) for r in tables.event_ratings(spark, folder).collect()}
+    products = {p for _, p in rated} & {r.product_id for r in tables.part_names(spark, folder).collect()}
+    assert found == {(u, p) for u, _ in rated for p in products} - rated
