@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 from helpers import clashing, docs
+from pyspark.sql import functions as F
 
 from kinrank.llm import quality
 from kinrank.llm.tables import documents, table
@@ -84,3 +85,55 @@ def test_long_texts_are_read_in_pieces(monkeypatch):
     monkeypatch.setattr(quality, "AT_ONCE", 12_000)
     assert b"".join(quality._pieces(data)) == data
     np.testing.assert_allclose(quality.features(data), whole, rtol=0.2, atol=0.2)
+
+
+def _labelled(spark, n, bad):
+    """Short documents, the labels of which their punctuation tells most of the time."""
+    draw = random.Random(7)
+    rows, marks = [], []
+    for i in range(n):
+        quality_ = int(i % 100 >= bad)
+        noise = draw.random() < 0.3
+        words = [draw.choice("alpha beta gamma delta 12 Epsilon".split()) for _ in range(draw.randint(1, 9))]
+        rows.append((i, " ".join(words) + ("." if quality_ != noise else " |||")))
+        marks.append((i, quality_))
+    return docs(spark, rows), spark.createDataFrame(marks, "doc_id bigint, quality int")
+
+
+@pytest.mark.parametrize("n, bad", [(26_000, 50), (1_500, 10), (1_500, 90)])
+def test_all_labelled_rows_are_in_the_fit(spark, n, bad):
+    frame, labels = _labelled(spark, n, bad)
+    found = quality.fit(frame, labels)
+    rows = frame.join(labels, "doc_id").filter(~quality.held_out()).withColumn("hash", F.xxhash64("doc_id")).collect()
+    longer = max(sum(r.quality == k for r in rows) for k in (0, 1))
+    rows.sort(key=lambda r: (r.hash % -(-longer // quality.NUMBERED), r.doc_id))
+    good, bad = (np.array([quality.features(r.text.encode()) for r in rows if r.quality == k]) for k in (1, 0))
+    expected = quality.bradley_terry(good, bad, len(bad) / len(rows))
+    np.testing.assert_allclose(found.mean, expected.mean, atol=1e-9)
+    np.testing.assert_allclose(found.scale, expected.scale, atol=1e-9)
+    np.testing.assert_allclose(found.weights, expected.weights, atol=1e-6)
+    assert found.threshold == pytest.approx(expected.threshold, abs=1e-6)
+
+
+def test_rows_are_numbered_without_a_gap(spark, monkeypatch):
+    monkeypatch.setattr(quality, "NUMBERED", 64)
+    rows = spark.range(1000).selectExpr("id % 700 AS doc_id", "int(id % 3 > 0) AS quality", "array(double(id)) AS features")
+    sizes = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
+    found = quality._numbered(rows, sizes).collect()
+    for k in (0, 1):
+        assert sorted(r.place for r in found if r.quality == k) == list(range(sizes[k]))
+    assert sorted(r.features[0] for r in found) == list(range(1000))
+
+
+def test_threshold_of_many_equal_scores(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BUCKETS", 3)
+    one = np.array([1.0])
+    for values in ([0.0] * 5 + [1.0] * 45, [float(i % 7) for i in range(60)], [2.0] * 9, [i / 64 for i in range(-90, 200)]):
+        rows = spark.createDataFrame([(int(i % 4 > 0), [v]) for i, v in enumerate(values)], "quality int, features array<double>")
+        sides = [np.array([v for i, v in enumerate(values) if (i % 4 > 0) == k]) for k in (True, False)]
+        sizes = {1: len(sides[0]), 0: len(sides[1])}
+        found = quality._threshold(rows, quality.Model(one * 0, one, one, 0.0), sizes, 0.2)
+        scores = np.clip(np.concatenate(sides), -6, 6)
+        mass = np.concatenate([np.full(len(s), m / len(s)) for s, m in zip(sides, (0.8, 0.2), strict=True)])
+        low = min(s for s in scores if mass[scores <= s].sum() >= 0.2 - 1e-12)
+        assert found == (low + min(scores[scores > low], default=low)) / 2
