@@ -35,8 +35,10 @@ SEED = 42
 # Combinations of a grid that are fitted at the same time.
 TRIALS_AT_ONCE = 4
 
-# Ratings that one in-memory block of a fit should hold.
-RATINGS_PER_BLOCK = 2_000_000
+# Ratings that one in-memory block of a fit should hold, about 40 bytes each while it is built. In every
+# iteration a user's factors go to each product block with one of their ratings, and the other way round:
+# the more blocks there are, the more copies are shuffled.
+RATINGS_PER_BLOCK = 16_000_000
 
 # Large blocks keep the copies of the factors few; tiles keep the arrays of a task small.
 BLOCK_USERS = 65_536

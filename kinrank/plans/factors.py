@@ -10,10 +10,15 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from kinrank.functions.scores import block_of
 from kinrank.operators import als, fold_in, norm_search, splits
+from kinrank.operators.blocks import cell_partitions
 from kinrank.operators.evaluate import least_error, rmse_of_predicted
 from kinrank.operators.quality import adhoc_with_ratings, clean_adhoc
 from kinrank.plans.registry import query
@@ -179,6 +184,10 @@ def als_grid_search(spark, folder):
 # A component of the normal equations' residual, relative to the sum of its terms.
 TOLERANCE = 1e-3
 
+# Ratings of a block of users, and those that a task looks at together.
+BLOCK_RATINGS = 4_000_000
+AT_ONCE = 1 << 18
+
 SUPPLIED = """
 supplied AS (
   SELECT CAST(o_custkey AS INTEGER) AS user_id, CAST(l_suppkey AS INTEGER) AS product_id,
@@ -191,34 +200,82 @@ def _dot(a: str, b: str):
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
+def _solved_cell(rank, regularisation, gram, output):
+    """The check of a block of users, from their ratings and the factors of them and of what they rated."""
+
+    def by_id(factors: pa.Table):
+        factors = factors.sort_by("id")
+        flat = factors["features"].combine_chunks().flatten().to_numpy()
+        return factors["id"].to_numpy(), flat.reshape(-1, rank).astype(np.float64)
+
+    def positions(ids, wanted):
+        place = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
+        return place, ids[place] == wanted
+
+    def solved(factors: pa.Table, rated: pa.Table) -> pa.Table:
+        users, u = by_id(factors.filter(factors["is_user"]))
+        products, v = by_id(factors.filter(pc.invert(factors["is_user"])))
+        if not len(users) or not len(products):
+            return output.empty_table()
+        residual, scale = np.zeros((2, rank, len(users)))
+        n_ratings, n = np.zeros(len(users), dtype=np.int64), np.zeros(len(users))
+        for first in range(0, len(rated), AT_ONCE):
+            some = rated.slice(first, AT_ONCE)
+            who, known_user = positions(users, some["user_id"].to_numpy())
+            what, known_product = positions(products, some["product_id"].to_numpy())
+            known = known_user & known_product
+            who, what = who[known], what[known]
+            weight, target, counted = (some[name].to_numpy()[known] for name in ("weight", "target", "counted"))
+            own, reached = v[what], weight * (u[who] * v[what]).sum(axis=1)
+            for d in range(rank):
+                residual[d] += np.bincount(who, own[:, d] * (reached - target), len(users))
+                scale[d] += np.bincount(who, np.abs(own[:, d]) * (np.abs(reached) + np.abs(target)), len(users))
+            n_ratings += np.bincount(who, minlength=len(users))
+            n += np.bincount(who, counted, len(users))
+        shrunk = regularisation * n * u.T
+        residual, scale = residual + shrunk, scale + np.abs(shrunk)
+        if gram is not None:
+            residual, scale = residual + gram @ u.T, scale + np.abs(gram) @ np.abs(u.T)
+        holds, seen = (np.abs(residual) <= TOLERANCE * scale).all(axis=0), n_ratings > 0
+        return pa.table([pa.array(column[seen]) for column in (users, n_ratings, holds)], names=output.names).cast(output)
+
+    return solved
+
+
 def _solved(model, ratings, regularisation, weight, target, counted, gram=None):
     """Whether each user's factors u solve ``(reg * n + gram + sum w v v') u = sum t v``.
 
     The residual must vanish beside the terms it is made of. ``gram`` is the product of all
-    product factors with themselves, in implicit fits.
+    product factors with themselves, in implicit fits. Users are hashed into blocks. A block gets
+    the ratings of its users, and the factors of a product once however many of them rated it.
     """
-    rank = model.rank
-    users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u"))
-    products = model.itemFactors.select(F.col("id").alias("product_id"), F.col("features").alias("v"))
-    rows = ratings.join(products, "product_id").join(users, "user_id")
-    pull = weight * _dot("u", "v") - target
-    sums = rows.groupBy("user_id").agg(
-        F.count("*").alias("n_ratings"),
-        F.sum(counted.cast("double")).alias("n"),
-        F.first("u").alias("u"),
-        *[F.sum(F.col("v")[d] * pull).alias(f"g{d}") for d in range(rank)],
-        *[F.sum(F.abs(F.col("v")[d] * weight * _dot("u", "v")) + F.abs(F.col("v")[d] * target)).alias(f"s{d}") for d in range(rank)],
+    n_ratings, cores = ratings.count(), ratings.sparkSession.sparkContext.defaultParallelism
+    blocks = max(2 * cores, math.ceil(n_ratings / BLOCK_RATINGS))
+    ratings = ratings.withColumn("block", block_of(F.col("user_id"), blocks))
+    products = model.itemFactors.select(F.col("id").alias("product_id"), "features")
+    factors = model.userFactors.select(
+        block_of(F.col("id"), blocks).alias("block"), F.lit(True).alias("is_user"), "id", "features"
+    ).unionByName(
+        ratings.select("block", "product_id").distinct().join(products, "product_id").select(
+            "block", F.lit(False).alias("is_user"), F.col("product_id").cast("int").alias("id"), "features"
+        )
+    )
+    partitions = cell_partitions(ratings, blocks, 32.0 * n_ratings)
+    numbers = {"weight": weight, "target": target, "counted": counted}
+    rated = ratings.repartition(partitions, "block").select(
+        "block", "user_id", "product_id", *[column.cast("double").alias(name) for name, column in numbers.items()]
+    )
+    wide = dict(ratings.dtypes)["user_id"] == "bigint"
+    output = pa.schema([("user_id", pa.int64() if wide else pa.int32()), ("n_ratings", pa.int64()), ("solved", pa.bool_())])
+    return (
+        factors.repartition(partitions, "block")
+        .groupBy("block")
+        .cogroup(rated.groupBy("block"))
+        .applyInArrow(
+            _solved_cell(model.rank, regularisation, None if gram is None else np.array(gram), output),
+            f"user_id {'bigint' if wide else 'int'}, n_ratings bigint, solved boolean",
+        )
     )
-    solved = F.lit(True)
-    for d in range(rank):
-        own = regularisation * F.col("n") * F.col("u")[d].cast("double")
-        residual, scale = F.col(f"g{d}") + own, F.col(f"s{d}") + F.abs(own)
-        if gram is not None:
-            terms = [F.lit(float(gram[d][e])) * F.col("u")[e].cast("double") for e in range(rank)]
-            residual = sum(terms, residual)
-            scale = sum(map(F.abs, terms), scale)
-        solved = solved & (F.abs(residual) <= TOLERANCE * scale)
-    return sums.select("user_id", "n_ratings", solved.alias("solved"))
 
 
 _EVERY_USER = "SELECT user_id, count(*) AS n_ratings, true AS solved FROM supplied GROUP BY user_id"

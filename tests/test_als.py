@@ -11,6 +11,7 @@ from kinrank.operators import als
 from kinrank.operators.evaluate import mean_baseline, rmse_all_rows
 from kinrank.operators.quality import InvalidRatingsError, NoRatingsError, UnknownUserError
 from kinrank.operators.recommenders import FactorRecommender
+from kinrank.plans import factors as factor_plans
 from kinrank.plans.factors import _solved
 from kinrank.sources.provider import RatingData
 
@@ -211,6 +212,21 @@ def test_blocks_follow_the_ratings(monkeypatch, ratings):
     assert (asked["numUserBlocks"], asked["numItemBlocks"]) == (3, 2)
 
 
+def test_many_ratings_do_not_copy_factors_to_many_blocks(monkeypatch, spark, ratings):
+    asked = {}
+
+    class Asked(als.ALS):
+        def __init__(self, **parameters):
+            asked.update(parameters)
+            super().__init__(**parameters)
+
+    few = ratings.limit(50)
+    monkeypatch.setattr(als, "ALS", Asked)
+    monkeypatch.setattr(type(few), "count", lambda frame: 35_212_260)
+    als.als_fit(few, rank=2, iterations=1)
+    assert asked["numUserBlocks"] == asked["numItemBlocks"] == spark.sparkContext.defaultParallelism
+
+
 def test_an_impossible_mark_is_refused(frame, ratings, names):
     with pytest.raises(InvalidRatingsError):
         als.als_recommend_adhoc(ratings, frame([(-1, 1, 6.0), (-1, 2, 4.0)]), names, **PARAMETERS)
@@ -226,3 +242,39 @@ def test_unsolved_normal_equations_are_noticed(model, ratings):
     assert solved(model.userFactors) == {True}
     off = F.transform("features", lambda x: x * 1.05)
     assert False in solved(model.userFactors.withColumn("features", off))
+
+
+@pytest.mark.parametrize("implicit", [False, True])
+def test_equations_are_checked_user_by_user(monkeypatch, spark, frame, implicit):
+    monkeypatch.setattr(factor_plans, "AT_ONCE", 7)
+    rng = np.random.default_rng(5)
+    users = {u: rng.normal(size=3).astype(np.float32) for u in range(40)}
+    products = {p: rng.normal(size=3).astype(np.float32) for p in range(12)}
+    gram = sum(np.outer(v, v) for v in products.values()) if implicit else np.zeros((3, 3))
+    rows = [(u, p, float(rng.integers(-2, 3))) for u in range(40) for p in range(12) if rng.random() < 0.5]
+    for u in range(0, 40, 2):  # every other user gets the solution
+        mine = [(products[p].astype(float), r) for x, p, r in rows if x == u]
+        matrix = gram + 0.3 * sum((r > 0) if implicit else 1 for _, r in mine) * np.eye(3)
+        matrix = matrix + sum((abs(r) if implicit else 1) * np.outer(v, v) for v, r in mine)
+        right = sum(((1 + abs(r)) * (r > 0) if implicit else r) * v for v, r in mine)
+        users[u] = np.linalg.solve(matrix, right).astype(np.float32)
+    rows += [(77, 0, 1.0), (3, 99, 1.0)]  # nobody knows this user, or this product
+
+    def side(factors):
+        return spark.createDataFrame([(k, v.tolist()) for k, v in factors.items()], "id int, features array<float>")
+
+    rating = F.col("rating")
+    liked = rating > 0
+    terms = (
+        (F.abs("rating"), F.when(liked, 1 + F.abs("rating")).otherwise(0.0), liked, gram.tolist())
+        if implicit
+        else (F.lit(1.0), rating, F.lit(1))
+    )
+    model = SimpleNamespace(rank=3, userFactors=side(users), itemFactors=side(products))
+    checked = _solved(model, frame(rows), 0.3, *terms)
+    assert [f.dataType.simpleString() for f in checked.schema] == ["bigint", "bigint", "boolean"]
+    found = {r.user_id: (r.n_ratings, r.solved) for r in checked.collect()}
+    assert found == {u: (sum(x == u and p < 12 for x, p, _ in rows), u % 2 == 0) for u in range(40)}
+    # factors meet the pairs of block and product, not ratings one by one
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "FlatMapCoGroupsInArrow" in plan
