@@ -300,23 +300,65 @@ class Nearest:
         keep = score >= self.least[row]
         self.waiting.append((row[keep].astype(np.int32), other[keep], score[keep], n[keep].astype(np.int32)))
 
-    def settle(self) -> None:
-        """Keep the best of what was added; ties go to the lower id."""
-        if len(self.waiting) == 1:
+    @property
+    def crowd(self) -> float:
+        """Candidates that are worth settling before the end."""
+        return math.inf if self.k is None else len(self.users) * max(1, self.k // 2)
+
+    def raise_least(self, least: np.ndarray) -> None:
+        """Scores that every user has ``k`` candidates of, at least."""
+        np.maximum(self.least, least, out=self.least)
+
+    def settle(self, crowd: float = 1) -> None:
+        """Let go of what is not among the best, if a ``crowd`` was added; equals of the last may stay."""
+        if sum(len(part[0]) for part in self.waiting[1:]) < crowd:
             return
         row, other, score, n = (np.concatenate(c) for c in zip(*self.waiting, strict=True))
-        order = np.lexsort((other, -score, row))
         if self.k is not None:
-            sorted_row = row[order]
-            place = np.arange(len(row)) - np.searchsorted(sorted_row, sorted_row)
-            last = order[place == self.k - 1]
-            self.least[row[last]] = score[last]
-            order = order[place < self.k]
-        self.waiting = [(row[order], other[order], score[order], n[order])]
+            by_row, filled = self._by_row(row)
+            if filled.shape[1] >= self.k and filled.size <= 4 * len(row):
+                scores = np.full(filled.shape, np.inf)
+                scores[filled] = -score[by_row]
+                self.raise_least(-np.partition(scores, self.k - 1, axis=1)[:, self.k - 1])
+                kept = np.flatnonzero(score >= self.least[row])
+            else:
+                kept = self._ranked(row, other, score)
+            if len(kept) > 2 * self.k * len(self.users):
+                kept = self._ranked(row, other, score)
+            row, other, score, n = row[kept], other[kept], score[kept], n[kept]
+        self.waiting = [(row, other, score, n)]
+
+    def _by_row(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The order by row, and which places of a row of the longest's length are taken."""
+        count = np.bincount(row, minlength=len(self.users))
+        small = np.uint16 if len(self.users) < 1 << 16 else row.dtype
+        return np.argsort(row.astype(small), kind="stable"), np.arange(count.max(initial=0)) < count[:, None]
+
+    def _ranked(self, row: np.ndarray, other: np.ndarray, score: np.ndarray) -> np.ndarray:
+        """The best, by row, then score, then id; ties go to the lower id."""
+        by_row, filled = self._by_row(row)
+        if filled.size <= 4 * len(row):
+            # many short rows are sorted faster than one long list
+            scores, ids = np.full(filled.shape, np.inf), np.zeros(filled.shape, dtype=np.int64)
+            scores[filled], ids[filled] = -score[by_row], other[by_row]
+            count = filled.sum(axis=1)
+            order = by_row[np.lexsort((ids, scores))[filled] + np.repeat(np.cumsum(count) - count, count)]
+        else:
+            order = np.lexsort((other, -score, row))
+        if self.k is None:
+            return order
+        sorted_row = row[order]
+        place = np.arange(len(row)) - np.searchsorted(sorted_row, sorted_row)
+        last = order[place == self.k - 1]
+        self.least[row[last]] = np.maximum(self.least[row[last]], score[last])
+        return order[place < self.k]
 
     def found(self) -> dict[str, np.ndarray]:
-        self.settle()
-        row, other, score, n = self.waiting[0]
+        """The best of every user, in order."""
+        row, other, score, n = (np.concatenate(c) for c in zip(*self.waiting, strict=True))
+        order = self._ranked(row, other, score)
+        row, other, score, n = row[order], other[order], score[order], n[order]
+        self.waiting = [(row, other, score, n)]
         return {"user_id": self.users[row], "neighbour_id": other, "n": n.astype(np.int64), "sim": score}
 
 

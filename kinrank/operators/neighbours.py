@@ -25,6 +25,7 @@ from kinrank.operators.blocks import (
     tile_sums,
     tiles_of,
 )
+from kinrank.operators.packed import RANKED_USERS, Scale, Sums, Whole, similar
 from kinrank.operators.selection import with_fold
 from kinrank.operators.splits import TEST, TRAIN, split_hash
 from kinrank.operators.topn import top_n, without_rated
@@ -296,6 +297,43 @@ def cell_tiles(batches: Iterator[pa.RecordBatch], extra: bool = False) -> tuple[
     return mine, theirs
 
 
+def offer_similar(mine: Nearest, theirs: Nearest | None, sums: Sums) -> None:
+    """Give some users and others each other as neighbours; without ``theirs`` only the first ones.
+
+    Rough similarities tell most pairs apart from the best so far; what is left is worked out exactly.
+    """
+    similarity = sums.similarity
+    hits = _hits(mine, theirs, similarity)
+    sides = [(mine, 1)] if theirs is None else [(mine, 1), (theirs, 0)]
+    if np.count_nonzero(hits) > 2 * sum(math.inf if best.k is None else best.k * len(best.users) for best, _ in sides):
+        for best, axis in sides:
+            if best.k < similarity.shape[axis]:
+                # the k-th here is no better than the k-th of all
+                defined = np.where(np.isnan(similarity), -np.inf, similarity)
+                last = similarity.shape[axis] - best.k
+                best.raise_least(np.partition(defined, last, axis=axis).take(last, axis=axis) - ROUGH)
+        hits = _hits(mine, theirs, similarity)
+    pairs = np.flatnonzero(hits)
+    if not len(pairs):
+        return
+    row, column = np.divmod(pairs, similarity.shape[1])
+    chosen = sums.at(pairs)
+    exact = pearson_array(chosen)
+    mine.add(row, sums.others[column], exact, chosen[0])
+    mine.settle(mine.crowd)
+    if theirs is not None:
+        theirs.add(column, sums.users[row], exact, chosen[0])
+        theirs.settle(theirs.crowd)
+
+
+def _hits(mine: Nearest, theirs: Nearest | None, similarity: np.ndarray) -> np.ndarray:
+    """Pairs that may be among the best of one of them."""
+    hits = similarity >= (mine.least - ROUGH).astype(similarity.dtype)[:, None]
+    if theirs is not None:
+        hits |= similarity >= (theirs.least - ROUGH).astype(similarity.dtype)
+    return hits
+
+
 def offer(mine: Nearest, theirs: Nearest | None, sums: np.ndarray, others: np.ndarray) -> None:
     """Give the users of two tiles each other as neighbours; without ``theirs`` only the first ones.
 
@@ -328,7 +366,7 @@ def offer(mine: Nearest, theirs: Nearest | None, sums: np.ndarray, others: np.nd
             columns.append((row + first, column))
             if sum(len(row) for row, _ in columns) > few[1] * len(others):
                 columns = None
-    mine.settle()
+    mine.settle(mine.crowd)
     if theirs is None:
         return
     turned = sums.transpose(0, 2, 1)
@@ -339,7 +377,7 @@ def offer(mine: Nearest, theirs: Nearest | None, sums: np.ndarray, others: np.nd
     else:
         row, column = (np.concatenate(c) for c in zip(*columns, strict=True))
         _offer_exactly(theirs, column, row, 0, turned, mine.users)
-    theirs.settle()
+    theirs.settle(theirs.crowd)
 
 
 def _offer_exactly(best: Nearest, row, column, first: int, part: np.ndarray, others: np.ndarray) -> None:
@@ -357,21 +395,44 @@ def _offer_best(best: Nearest, first: int, part: np.ndarray, others: np.ndarray)
 
 
 def meet(mine: list[Tile], theirs: list[Tile], k: int | None, both: bool, same: bool, buffer: np.ndarray):
-    """The best of every tile of a cell: all tiles of one block meet those of the other.
+    """The best of some users of a cell at a time: all tiles of one block meet those of the other.
 
     With ``both`` the other block's users look for neighbours, too; ``same`` says that the blocks are
-    one, where every two tiles meet once.
+    one, where every two tiles meet once. Whole numbers meet in packed sums, where they fit.
     """
-    bests = [Nearest(tile.ids, k) for tile in mine]
-    other_bests = bests if same else [Nearest(tile.ids, k) for tile in theirs] if both else [None] * len(theirs)
+    bests = [_parts(tile, k) for tile in mine]
+    other_bests = bests if same else [_parts(tile, k) for tile in theirs] if both else None
+    whole = [Whole.of(tile) for tile in mine]
+    other_whole = whole if same else [Whole.of(tile) for tile in theirs]
     for i, one in enumerate(mine):
         for j, other in enumerate(theirs):
             if same and j < i:
                 continue
+            scale = whole[i] and other_whole[j] and Scale.of(whole[i], other_whole[j])
+            alike = same and i == j
+            if scale:
+                for a, b, sums in similar(whole[i], other_whole[j], scale, buffer, alike):
+                    partner = other_bests[j][b] if both and not (alike and a == b) else None
+                    offer_similar(bests[i][a], partner, sums)
+                continue
             sums = tile_sums(one, other, buffer)
-            if sums is not None:
-                offer(bests[i], None if same and i == j else other_bests[j], sums, other.ids)
-    return bests if same or not both else bests + other_bests
+            if sums is None:
+                continue
+            for a, best in enumerate(bests[i]):
+                rows = slice(a * RANKED_USERS, a * RANKED_USERS + len(best.users))
+                for b, start in enumerate(range(0, len(other.ids), RANKED_USERS)):
+                    if alike and b < a:
+                        continue
+                    partner = other_bests[j][b] if both and not (alike and a == b) else None
+                    columns = slice(start, start + RANKED_USERS)
+                    offer(best, partner, sums[:, rows, columns], other.ids[columns])
+    found = bests if same or not both else bests + other_bests
+    return [best for parts in found for best in parts]
+
+
+def _parts(tile: Tile, k: int | None) -> list[Nearest]:
+    """Nobody's neighbours yet, for ``RANKED_USERS`` of a tile at a time."""
+    return [Nearest(tile.ids[first : first + RANKED_USERS], k) for first in range(0, len(tile.ids), RANKED_USERS)]
 
 
 def same_block(mine: list[Tile], theirs: list[Tile]) -> bool:
