@@ -11,10 +11,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinrank.operators.blocks import RunningSums, Side, cell_partitions, corated_sums, tile_buffer
+from kinrank.operators.blocks import Nearest, RunningSums, Side, cell_partitions, corated_sums, tile_buffer
+from kinrank.operators.lookups import cut, held_out_sums, list_values
 from kinrank.operators.neighbours import (
     BLOCK_USERS,
     LEAST_RATERS,
@@ -26,6 +27,14 @@ from kinrank.operators.neighbours import (
     same_block,
     with_block,
 )
+from kinrank.operators.packed import RANKED_USERS
+
+# What cells pack of the neighbours they found.
+FOUND = {"user_id": pa.int64(), "neighbour_id": pa.int64(), "n": pa.int32(), "sim": pa.float64()}
+# Users whose neighbours of all cells are ranked at once.
+USERS_PER_STEP = 4096
+# Blocks whose cells are so few that each gets a partition of its own, and the most partitions a block for that.
+LONE_BLOCKS, SPREAD = 16, 128
 
 
 def typed_folds(ratings: DataFrame) -> DataFrame:
@@ -67,20 +76,65 @@ class FoldSums(RunningSums):
                 corated_sums(*rest, *some, sums=self.grids[fold])
 
 
-def _nearest_by_fold(folds: int, k: int):
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _nearest_by_fold(folds: int, k: int, parts: int):
+    def nearest(
+        key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
+    ) -> Iterator[pa.RecordBatch]:
         mine, theirs = cell_tiles(batches, extra=True)
         same, buffer = same_block(mine, theirs), tile_buffer(mine, theirs)
+        own = sum(-(-len(tile.ids) // RANKED_USERS) for tile in mine)
         for fold in range(1, folds + 1):
             left = [tile.without(fold) for tile in mine]
             others = left if same else [tile.without(fold) for tile in theirs]
-            for best in meet(left, others, k, True, same, buffer):
-                found = best.found()
-                yield pa.RecordBatch.from_pydict({"fold": np.full(len(found["n"]), fold, dtype=np.int32), **found})
+            for i, best in enumerate(meet(left, others, k, True, same, buffer)):
+                yield _packed_best(key[0 if i < own else 1].as_py(), fold, best.found(), parts)
 
     return nearest
 
 
+def part_of(user: np.ndarray, parts: int) -> np.ndarray:
+    """Users of a block spread over its parts."""
+    return user % 1_000_003 * 7919 % 65_537 % parts
+
+
+def _packed_best(block: int, fold: int, found: dict[str, np.ndarray], parts: int) -> pa.RecordBatch:
+    """Neighbours that a cell found for some users of a block, a row for each part of the block."""
+    part = part_of(found["user_id"], parts)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    ends = np.append(np.flatnonzero(np.diff(part)) + 1, len(part)) if len(part) else np.zeros(0, dtype=np.int64)
+    lists = {name: cut(found[name][order], ends, dtype) for name, dtype in FOUND.items()}
+    cell = {"block": np.full(len(ends), block), "fold": np.full(len(ends), fold), "part": part[ends - 1]}
+    return pa.RecordBatch.from_pydict({**{name: pa.array(v, pa.int32()) for name, v in cell.items()}, **lists})
+
+
+def _best_of_cells(k: int):
+    def best(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        user, other, n, sim = list_values(pa.Table.from_batches(batches), *FOUND)
+        users, row = np.unique(user, return_inverse=True)
+        for first in range(0, len(users), USERS_PER_STEP):
+            some = np.flatnonzero((row >= first) & (row < first + USERS_PER_STEP))
+            nearest = Nearest(users[first : first + USERS_PER_STEP], k)
+            nearest.add(row[some] - first, other[some], sim[some], n[some])
+            found = nearest.found()
+            rank = np.arange(len(found["n"])) - np.searchsorted(found["user_id"], found["user_id"]) + 1
+            fold = np.full(len(rank), key[1].as_py(), dtype=np.int32)
+            yield pa.RecordBatch.from_pydict({"fold": fold, **found, "rank": rank.astype(np.int32)})
+
+    return best
+
+
+def lone_partitions(spark: SparkSession, blocks: int) -> int:
+    """The fewest partitions, within some a block, that most cells of every two blocks are alone in.
+
+    A cell is minutes of work, so the others would wait for two in one partition.
+    """
+    sides = spark.range(blocks).select(F.col("id").cast("int").alias("tb"))
+    cells = sides.crossJoin(sides.withColumnRenamed("tb", "ub")).where("tb <= ub")
+    hashes = np.array([row[0] for row in cells.select(F.hash("tb", "ub")).collect()])
+    return max(range(len(hashes), SPREAD * blocks + 1), key=lambda n: (len(np.unique(hashes % n)), -n))
+
+
 def fold_neighbours(
     ratings: DataFrame, folds: int, k: int = NEIGHBOURS, block_users: int | None = None
 ) -> DataFrame:
@@ -95,17 +149,28 @@ def fold_neighbours(
     cores = ratings.sparkSession.sparkContext.defaultParallelism
     blocks = all_blocks(side, block_users or BLOCK_USERS, cores)
     dealt = with_block(ratings, blocks)
-    partitions = cell_partitions(ratings, blocks * blocks, 48.0 * side.rows * blocks)
+    if blocks <= LONE_BLOCKS:
+        partitions = lone_partitions(ratings.sparkSession, blocks)
+    else:
+        partitions = cell_partitions(ratings, blocks * blocks, 48.0 * side.rows * blocks)
     found = (
         product_cells(dealt, dealt, extra="fold", once=True)
         .repartition(partitions, "tb", "ub")
         .groupBy("tb", "ub")
         .applyInArrow(
-            _nearest_by_fold(folds, k), "fold int, user_id bigint, neighbour_id bigint, n bigint, sim double"
+            _nearest_by_fold(folds, k, blocks),
+            "block int, fold int, part int, user_id array<bigint>, neighbour_id array<bigint>, n array<int>, sim array<double>",
+        )
+    )
+    # every user is in as many cells as there are blocks
+    partitions = cell_partitions(ratings, blocks * blocks * folds, 20.0 * k * side.keys * blocks * folds)
+    return (
+        found.repartition(partitions, "block", "fold", "part")
+        .groupBy("block", "fold", "part")
+        .applyInArrow(
+            _best_of_cells(k), "fold int, user_id bigint, neighbour_id bigint, n bigint, sim double, rank int"
         )
     )
-    by_user = Window.partitionBy("fold", "user_id").orderBy(F.desc("sim"), "neighbour_id")
-    return found.withColumn("rank", F.row_number().over(by_user)).where(F.col("rank") <= k)
 
 
 def _without_fold(values: list[float | None], pick) -> Column:
@@ -124,29 +189,12 @@ def fold_estimates(neighbours: DataFrame, ratings: DataFrame, folds: int) -> Dat
     ratings = typed_folds(ratings)
     seen = {r["fold"]: (r["low"], r["high"]) for r in ratings.groupBy("fold").agg(F.min("rating").alias("low"), F.max("rating").alias("high")).collect()}
     low, high = ([seen.get(f, (None, None))[side] for f in range(1, folds + 1)] for side in (0, 1))
-    theirs = ratings.select(
-        F.col("user_id").alias("neighbour_id"), "product_id", F.col("rating").alias("_rating"), F.col("fold").alias("_fold")
-    )
-    near = neighbours.select("fold", "user_id", "neighbour_id", "sim")
-    pairs = ratings.select("fold", "user_id", "product_id")
-    rated = pairs.join(near, ["fold", "user_id"]).join(theirs, ["neighbour_id", "product_id"]).where("_fold <> fold")
-    mean = F.col("_num") / F.col("_den")
-    estimated = (
-        rated.groupBy("fold", "user_id", "product_id")
-        .agg(
-            F.count("*").alias("n"),
-            F.sum(F.col("sim") * F.col("_rating")).alias("_num"),
-            F.sum("sim").alias("_den"),
-        )
-        # similarities that cancel out leave rounding noise instead of zero
-        .where((F.col("n") >= LEAST_RATERS) & (F.round("_den", 9) != 0))
-        .withColumn(
-            "score", F.round(F.greatest(F.least(mean, _without_fold(high, max)), _without_fold(low, min)), 6)
-        )
-        .select("fold", "user_id", "product_id", "n", "score")
-    )
-    return ratings.join(estimated, ["fold", "user_id", "product_id"], "left").select(
-        "fold", "user_id", "product_id", "rating", "n", "score"
+    mean = F.col("num") / F.col("den")
+    score = F.round(F.greatest(F.least(mean, _without_fold(high, max)), _without_fold(low, min)), 6)
+    # similarities that cancel out leave rounding noise instead of zero
+    enough = (F.col("n") >= LEAST_RATERS) & (F.round("den", 9) != 0)
+    return held_out_sums(neighbours, ratings).select(
+        "fold", "user_id", "product_id", "rating", F.when(enough, F.col("n")).alias("n"), F.when(enough, score).alias("score")
     )
 
 
