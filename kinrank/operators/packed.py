@@ -17,8 +17,9 @@ import numpy as np
 
 from kinrank.operators.blocks import DENSE_COLUMNS, DENSE_SHARE, PAIRS_PER_STEP, Tile
 
-# Users that are ranked with as many others at once.
-RANKED_USERS = 256
+# Users that are ranked with as many others at once, and of those the users who are multiplied with them at once.
+RANKED_USERS = 512
+ADDED_USERS = 128
 # Digits that numbers of half and of full size hold.
 DIGITS = {np.float32: 24, np.float64: 53}
 
@@ -67,18 +68,27 @@ class Scale:
 
 @dataclass(frozen=True)
 class Sums:
-    """Some users with some others: rough similarities, NaN where undefined, and the sums as they were packed."""
+    """Some users with some others: rough similarities, NaN where undefined, and their sums a, b and c."""
 
     users: np.ndarray
     others: np.ndarray
     similarity: np.ndarray
-    parts: tuple[np.ndarray, ...]
+    packed: np.ndarray
     base: float
 
     def at(self, pairs: np.ndarray) -> np.ndarray:
         """n, sx, sy, sxx, syy, sxy of pairs, given by their places row after row."""
-        n, sx, sy, sxx, syy, sxy = (part.reshape(-1)[pairs].astype(np.float64) for part in self.parts)
-        return np.stack([n * self.base, sx, sy, sxx / self.base, syy / self.base, sxy / self.base])
+        a, b, c = (part.reshape(-1)[pairs].astype(np.float64) for part in self.packed)
+        found = np.empty((6, len(pairs)))
+        n, sx, sy, sxx, syy, sxy = found
+        np.rint(a / self.base, out=syy)
+        a -= syy * self.base
+        np.rint(a, out=sy)
+        np.multiply(a - sy, self.base, out=n)
+        np.rint(b / self.base, out=sxx)
+        np.subtract(b, sxx * self.base, out=sx)
+        np.divide(c, self.base, out=sxy)
+        return found
 
 
 def _matrices(tile: Tile, columns: np.ndarray, dtype) -> tuple[np.ndarray, np.ndarray]:
@@ -120,33 +130,32 @@ def _add_rare(planes: np.ndarray, one: Tile, other: Tile, scale: Scale) -> None:
         first = last
 
 
-def _sums(users: np.ndarray, others: np.ndarray, room: np.ndarray, scale: Scale) -> Sums:
-    """From a, b and c, the first three of ``room``, whose numbers are used up."""
-    a, b, c, syy, sy, sxx, similarity, vx, vy, product = room
+def _similarity(packed: np.ndarray, room: np.ndarray, similarity: np.ndarray, scale: Scale) -> None:
+    """``similarity`` from a, b and c, by steps of which each fits into the processor's cache."""
+    a, b, c = packed
+    n, sy, syy, sx, sxx, product = room
     rounding = scale.dtype(scale.rounding)
     np.add(a, rounding, out=syy)
     syy -= rounding
-    a -= syy
-    np.rint(a, out=sy)
-    a -= sy
+    np.subtract(a, syy, out=n)
+    np.rint(n, out=sy)
+    n -= sy
     np.add(b, rounding, out=sxx)
     sxx -= rounding
-    b -= sxx
-    n, sx = a, b
+    np.subtract(b, sxx, out=sx)
     np.multiply(c, n, out=similarity)
     np.multiply(sx, sy, out=product)
     similarity -= product
-    np.multiply(sxx, n, out=vx)
-    np.multiply(sx, sx, out=product)
-    vx -= product
-    np.multiply(syy, n, out=vy)
-    np.multiply(sy, sy, out=product)
-    vy -= product
-    vx *= vy
-    np.sqrt(vx, out=vx)
+    sxx *= n
+    sx *= sx
+    sxx -= sx
+    syy *= n
+    sy *= sy
+    syy -= sy
+    sxx *= syy
+    np.sqrt(sxx, out=sxx)
     with np.errstate(divide="ignore", invalid="ignore"):
-        similarity /= vx
-    return Sums(users, others, similarity, (n, sx, sy, sxx, syy, c), scale.base)
+        similarity /= sxx
 
 
 def similar(one: Whole, other: Whole, scale: Scale, buffer: np.ndarray, same: bool = False) -> Iterator[tuple[int, int, Sums]]:
@@ -175,22 +184,31 @@ def similar(one: Whole, other: Whole, scale: Scale, buffer: np.ndarray, same: bo
                 for low in range(0, rows, RANKED_USERS):
                     plane[low : low + RANKED_USERS] += x[low : low + RANKED_USERS] @ y.T
     shared = len(np.intersect1d(left.ids, right.ids, assume_unique=True)) > 0
-    whole = np.empty((10, RANKED_USERS * RANKED_USERS), scale.dtype)
+    size = RANKED_USERS * RANKED_USERS
+    packed, ranked = np.empty((3, size), scale.dtype), np.empty((1, size), scale.dtype)
+    room = np.empty((6, ADDED_USERS * RANKED_USERS), scale.dtype)
     for i, low in enumerate(range(0, rows, RANKED_USERS)):
         for j, start in enumerate(range(0, columns, RANKED_USERS)):
             if same and j < i:
                 continue
-            part = slice(low, low + RANKED_USERS), slice(start, start + RANKED_USERS)
-            shape = min(RANKED_USERS, rows - low), min(RANKED_USERS, columns - start)
-            room = whole[:, : math.prod(shape)].reshape(10, *shape)
-            if last is None:
-                room[:3] = planes[:, *part]
-            else:
-                for out, (x, y) in zip(room, last, strict=False):
-                    np.matmul(x[part[0]], y[part[1]].T, out=out)
-                if planes is not None:
-                    room[:3] += planes[:, *part]
-            sums = _sums(left.ids[part[0]], right.ids[part[1]], room, scale)
+            part = slice(low, min(low + RANKED_USERS, rows)), slice(start, min(start + RANKED_USERS, columns))
+            users, others = left.ids[part[0]], right.ids[part[1]]
+            shape = len(users), len(others)
+            sums = packed[:, : math.prod(shape)].reshape(3, *shape)
+            similarity = ranked[0, : math.prod(shape)].reshape(shape)
+            for first in range(0, len(users), ADDED_USERS):
+                some = slice(first, min(first + ADDED_USERS, len(users)))
+                these = slice(low + some.start, low + some.stop), part[1]
+                if last is None:
+                    sums[:, some] = planes[:, *these]
+                else:
+                    for out, (x, y) in zip(sums[:, some], last, strict=True):
+                        np.matmul(x[these[0]], y[these[1]].T, out=out)
+                    if planes is not None:
+                        sums[:, some] += planes[:, *these]
+                count = some.stop - some.start
+                own = room[:, : count * shape[1]].reshape(6, count, shape[1])
+                _similarity(sums[:, some], own, similarity[some], scale)
             if shared:
-                sums.similarity[sums.users[:, None] == sums.others] = np.nan
-            yield i, j, sums
+                similarity[users[:, None] == others] = np.nan
+            yield i, j, Sums(users, others, similarity, sums, scale.base)

@@ -19,7 +19,7 @@ def drawn(seed, products, users, share, highest=5):
     [(40, 0.5, 5, np.float32), (700, 0.4, 5, np.float64), (40, 0.5, 900, np.float64), (600, 0.03, 5, np.float32), (300, np.linspace(0.01, 0.6, 300)[:, None], 5, np.float64)],
 )
 def test_packed_sums_are_exact(products, share, highest, dtype):
-    tiles = blocks.tiles_of(*drawn(2, products, 700, share, highest), size=400)
+    tiles = blocks.tiles_of(*drawn(2, products, 1200, share, highest), size=700)
     one, other = tiles
     buffer = blocks.tile_buffer(tiles, tiles)
     whole = [packed.Whole.of(t) for t in tiles]
@@ -43,8 +43,8 @@ def test_packed_sums_are_exact(products, share, highest, dtype):
 @pytest.mark.parametrize("same", [True, False])
 @pytest.mark.parametrize("k", [1, 25, None])
 def test_the_best_are_those_of_six_sums(monkeypatch, highest, same, k):
-    tiles = blocks.tiles_of(*drawn(4, 12, 900, 0.6, highest), size=300)
-    sides = (tiles, tiles) if same else (tiles[:2], tiles[2:])
+    tiles = blocks.tiles_of(*drawn(4, 12, 1500, 0.6, highest), size=550)
+    sides = (tiles, tiles) if same else (tiles[:1], tiles[1:])
 
     def best():
         found = {}
